@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import simhash, toxicity
+from weftline.llm import bpe, embed_dedup, langid, mixing, simhash, toxicity
 from weftline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,19 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), langid.held_out_condition()
+    model = langid.train(docs, training=~held)
+    return langid.predict_documents(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, output="digest")
+
+
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents"), toxicity.held_out_condition()
@@ -26,6 +40,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.with_copies(table(spark, sf_dir, "documents")).drop("copies")
+
+
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
