@@ -29,7 +29,7 @@ PATTERNS = {
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d.])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})(?!\d)",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|(?:1[ .-])?\(\d{3}\) ?\d{3}[ .-]\d{4}|(?:1[ .-])?\d{3}[.-]\d{3}[.-]\d{4})(?!\d)",
+    "phone": r"(?<![\w+])(?:\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|\+(?!1[ .(-])\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?(?!\d{1,3}\.\d{1,3}\.\d{1,3}\.)\d{2,4}){1,4}|(?:1[ .-])?\(\d{3}\) ?\d{3}[ .-]\d{4}|(?:1[ .-])?\d{3}[.-]\d{3}[.-]\d{4})(?!\d)",
 }
 ROUNDS = 8
 POWERS_10 = [10**k for k in range(19)]
@@ -243,21 +243,25 @@ def pseudonym(hit: Column, key: str) -> Column:
     return reduce(lambda case, x: case.when(*x), rest, F.when(*first)).otherwise(hit)
 
 
+def _searched(text: Column, key: str) -> Column:
+    """struct<text, n> of the new text and the number of values replaced; null where there is nothing to search."""
+    search = F.lit(rf"(?s)(.*?)(?:({'|'.join(PATTERNS.values())})|\z)")
+    pieces = F.arrays_zip(F.regexp_extract_all(text, search, F.lit(1)).alias("gap"), F.regexp_extract_all(text, search, F.lit(2)).alias("hit"))
+    changed = F.transform(pieces, lambda p: F.struct(p["gap"].alias("gap"), p["hit"].alias("hit"), F.when(p["hit"] == "", "").otherwise(pseudonym(p["hit"], key)).alias("new")))
+    done = let(changed, lambda c: F.struct(F.array_join(F.transform(c, lambda p: F.concat(p["gap"], p["new"])), "").alias("text"), F.size(F.filter(c, lambda p: p["hit"] != p["new"])).alias("n")))
+    return F.when(text.rlike(r"[0-9]{2}|@|[0-9][./-][0-9]"), done)
+
+
+def replaced_text(text: Column, key: str) -> Column:
+    """The text with its personal data replaced by pseudonyms."""
+    return F.coalesce(_searched(text, key)["text"], text)
+
+
 def pseudonymised(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, text, n_values)`` of every row.
 
     n_values counts the values replaced.  Null texts stay null with 0 values, texts without
-    personal data stay as they are.  Only texts with a digit or @ are searched.
+    personal data stay as they are.  Only texts with two digits or @ are searched.
     """
-    master = "|".join(PATTERNS.values())
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.select("doc_id", *_replaced(F.col("text"), master, key))
-
-
-def _replaced(text: Column, master: str, key: str) -> list[Column]:
-    search = F.lit(rf"(?s)(.*?)(?:({master})|\z)")
-    pieces = F.arrays_zip(F.regexp_extract_all(text, search, F.lit(1)).alias("gap"), F.regexp_extract_all(text, search, F.lit(2)).alias("hit"))
-    candidate = text.rlike(r"[0-9]{3}|@|[0-9][./-][0-9]")
-    changed = F.transform(pieces, lambda p: F.struct(p["gap"].alias("gap"), p["hit"].alias("hit"), F.when(p["hit"] == "", "").otherwise(pseudonym(p["hit"], key)).alias("new")))
-    done = F.when(candidate, let(changed, lambda c: F.struct(F.array_join(F.transform(c, lambda p: F.concat(p["gap"], p["new"])), "").alias("text"), F.size(F.filter(c, lambda p: p["hit"] != p["new"])).alias("n"))))
-    return [F.coalesce(done["text"], text).alias("text"), F.coalesce(done["n"], F.lit(0)).cast("bigint").alias("n_values")]
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), _searched(F.col(text), key).alias("done"))
+    return rows.select("doc_id", F.coalesce("done.text", "text").alias("text"), F.coalesce("done.n", F.lit(0)).cast("bigint").alias("n_values"))

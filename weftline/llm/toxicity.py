@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftline.llm.common import bounded_sample, crc_mod, plain, segment_sums, text_chunks, word_ngrams
 from weftline.llm.common import word_codes as all_word_codes
@@ -212,15 +213,21 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), t
 
 def score_documents(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """``(doc_id, score, predicted)`` of every row; null and empty texts are scored like a passage without words."""
+    return with_scores(plain(docs, doc_id=F.col("doc_id").cast("bigint"), text=F.col("text")), model, threshold).drop("text")
+
+
+def with_scores(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
+    """All rows and columns of ``docs`` (which must not have ``score`` or ``predicted``) with both of these."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in text_chunks(batch, "text", 4 << 20):
                 score = shared.value.score(texts)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*part.schema.names, "score", "predicted"])
 
-    return plain(docs, doc_id=F.col("doc_id").cast("bigint"), text=F.col("text")).mapInArrow(run, "doc_id bigint, score double, predicted int")
+    added = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    return docs.mapInArrow(run, added)
 
 
 def held_out_condition():
