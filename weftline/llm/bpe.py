@@ -19,9 +19,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import accumulate
 
@@ -45,9 +46,36 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def _expanded(pattern: str, space: str, letters: str, numbers: str) -> str:
+    """The pattern with its classes spelled out."""
+    spelled = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{letters}{numbers}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]")
+    return spelled.replace(r"[^\s", "[^" + space).replace(r"\S", f"[^{space}]").replace(r"\s", f"[{space}]")
+
+
 @lru_cache
-def splitter(pattern: str):
-    return regex.compile(pattern.replace(r"[^\s", "[^" + SPACE).replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]"))
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """A function that lists the matches of the pattern in a text.
+
+    Texts within Latin-1 take the standard library's engine with the classes of that range
+    spelled out, which gives the same matches in less time.
+    """
+    general = regex.compile(_expanded(pattern, SPACE, r"\p{L}", r"\p{N}").replace(r"[\p{L}]", r"\p{L}").replace(r"[\p{N}]", r"\p{N}")).findall
+    chars = [chr(i) for i in range(256)]
+    letters, numbers = ("".join(re.escape(c) for c in chars if regex.match(p, c)) for p in (r"\p{L}", r"\p{N}"))
+    spaces = "".join(re.escape(c) for c in chars if regex.match(f"[{SPACE}]", c))
+    try:
+        narrow = re.compile(_expanded(pattern, spaces, letters, numbers)).findall
+    except re.error:  # a pattern with more of the wider engine's notation
+        return general
+
+    def split(text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return general(text)
+        return narrow(text)
+
+    return split
 
 
 def _pack(numbers: np.ndarray) -> bytes:
@@ -82,7 +110,7 @@ class _Block:
 
 def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, max_words: int, max_size: int, keep: bool) -> Iterator[tuple[int, int, _Block]]:
     """(block id, dictionary checksum, block) of one input partition; both numbers and the cuts follow from what it holds."""
-    split, block, ids = splitter(pattern).findall, _Block(), xxhash.xxh64()
+    split, block, ids = splitter(pattern), _Block(), xxhash.xxh64()
 
     def closed() -> tuple[int, int, _Block]:
         check = xxhash.xxh64()

@@ -106,7 +106,7 @@ def word_ngrams(words: list[str], sizes: tuple[int, ...], buckets: int) -> Itera
 
 def segment_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Sums over consecutive segments; empty segments give 0."""
-    out = np.zeros((len(lengths), *values.shape[1:]))
+    out = np.zeros((len(lengths), *values.shape[1:]), values.dtype)
     filled = lengths > 0
     if filled.any():
         out[filled] = np.add.reduceat(values, (np.cumsum(lengths) - lengths)[filled], axis=0)

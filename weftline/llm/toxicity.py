@@ -33,9 +33,9 @@ SIZES = (3, 4, 5)
 @dataclass(frozen=True)
 class Settings:
     buckets: int = 1 << 16
-    dims: int = 6
+    dims: int = 4
     passage: int = 12
-    per_label: int = 1500
+    per_label: int = 1300
     epochs: tuple[int, ...] = (12,20,25,25,25)
     #: An n-gram must stand in about so many training documents.
     min_docs: int = 6
@@ -111,7 +111,7 @@ class _Trainer:
         owner, bucket = owner[frequent[bucket]], bucket[frequent[bucket]]
         used, at = np.unique(bucket, return_inverse=True)
         order = np.argsort(owner, kind="stable")
-        self.owner, self.at, self.used = owner[order], at[order], used
+        self.owner, self.at, self.used = owner[order].astype(np.int32), at[order].astype(np.int32), used
         self.kept = np.bincount(owner, minlength=self.n)
         rng = np.random.default_rng(settings.seed)
         self.p = {"e": rng.normal(0, 0.01, (len(used), settings.dims)).astype(np.float32), "w": rng.normal(0, 0.5, (settings.dims, 2)).astype(np.float32), "b": np.zeros(2, np.float32)}
@@ -120,12 +120,14 @@ class _Trainer:
 
     def fit(self, codes: np.ndarray, lengths: np.ndarray, labels: np.ndarray, epochs: int) -> None:
         s, p = self.s, self.p
-        example = np.repeat(np.arange(len(lengths)), lengths)
-        inverse = 1 / np.maximum(lengths, s.passage // 4)
+        example = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        inverse = (1 / np.maximum(lengths, s.passage // 4)).astype(np.float32)
         weight = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
-        by_word = np.argsort(codes, kind="stable")
+        codes = codes.astype(np.int32)
+        by_word = np.argsort(codes, kind="stable").astype(np.int32)
         word_n = np.bincount(codes, minlength=self.n)
-        target = np.eye(2)[labels]
+        weight = weight.astype(np.float32)
+        target = np.eye(2, dtype=np.float32)[labels]
         moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items()}
         for t in range(1, epochs + 1):
             vectors = segment_sums(p["e"][self.at], self.kept) / self.size[:, None]
