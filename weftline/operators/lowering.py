@@ -147,7 +147,7 @@ def _pieces(target: _Target, ctx: Context, name: str) -> tuple[Column, Column]:
         calls = _list(MESSAGE, F.when(has_action, _message(target.assistant, F.concat_ws("\n", _given(shown(text)), wrapped))), F.when(has_action & back.isNotNull(), _message(target.tool, shown(back))))
     else:
         calls = _list(MESSAGE, F.when(has_action, _message(target.assistant, call_text, key, tool, arguments)), F.when(has_action & reply.isNotNull(), _message(target.tool, reply, answers=key)))
-    result = _message(target.tool, shown(F.coalesce("observed", F.lit(""))), answers=key)
+    result = _message(target.tool, shown(F.coalesce("observed", F.lit(""))), answers=None if name == "hermes-xml" else key)
     results = {"once": F.when(key.isNotNull() & (F.col("earlier") == 0), result), "always": result, "never": null_of(MESSAGE)}[target.results]
     thinking = {"hermes-xml": lambda t: F.concat(F.lit("\n"), shown(t), F.lit("\n</think>"))}.get(name, shown)
     planning = {"hermes-xml": lambda t: F.concat(F.lit("<plan>\n"), shown(t), F.lit("\n</plan>"))}.get(name, shown)
