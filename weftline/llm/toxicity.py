@@ -8,7 +8,7 @@ Adam in numpy, on the driver, on a bounded sample of labelled rows.
 A document's score is that of its most toxic passage of ``passage`` words: an average over
 thousands of words would drown a few insults.  The first round of training takes whole
 documents, each later one the passage of every toxic document that the round before scores
-highest, and of the others their three highest and every seventh.  A quarter of the sample
+highest, and of the others their six highest and every fifth.  A quarter of the sample
 is set aside to place the threshold: its best parting becomes the score 0.7.  A word that is repeated
 in a row counts once.
 """
@@ -36,9 +36,9 @@ class Settings:
     dims: int = 4
     passage: int = 12
     per_label: int = 1300
-    epochs: tuple[int, ...] = (12,20,25,25,25)
+    epochs: tuple[int, ...] = (12,20,30,30,30,30)
     #: An n-gram must stand in about so many training documents.
-    min_docs: int = 6
+    min_docs: int = 12
     decay: float = 0.005
     floor: float = 1e-6
     seed: int = 11
@@ -167,11 +167,11 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
 
 
 def _offset(model: Model, texts: list[str], labels: np.ndarray) -> float:
-    """What to add to the logits so that 0.7 is the score that parts the labels best; one false alarm weighs twelve misses."""
+    """What to add to the logits so that 0.7 is the score that parts the labels best; one false alarm weighs five misses."""
     score = np.clip(model.score(texts), 1e-12, 1 - 1e-12)
     logits = np.log(score / (1 - score))
     order = np.argsort(-logits, kind="stable")
-    gain = np.cumsum(np.where(labels[order] == 1, 1 / max(1, (labels == 1).sum()), -12 / max(1, (labels == 0).sum())))
+    gain = np.cumsum(np.where(labels[order] == 1, 1 / max(1, (labels == 1).sum()), -5 / max(1, (labels == 0).sum())))
     gain[:-1][logits[order][:-1] == logits[order][1:]] = -np.inf
     best = int(np.argmax(gain))
     cut = logits[order[best]] if best + 1 == len(order) else (logits[order[best]] + logits[order[best + 1]]) / 2
@@ -190,7 +190,7 @@ def _fit(texts: list[str], y: np.ndarray, settings: Settings) -> Model:
         chosen: list[tuple[int, int, int]] = []
         for i, (n, at) in enumerate(zip(counts, np.cumsum(counts) - counts)):
             ranked = np.argsort(-logits[at : at + n], kind="stable")
-            own = ranked[:1] if y[i] else [*ranked[:3], *range(i % 7, int(n), 7)]
+            own = ranked[:1] if y[i] else [*ranked[:6], *range(i % 5, int(n), 5)]
             chosen += [(base[i] + k * half, min(base[i] + k * half + size, base[i] + lengths[i]), y[i]) for k in own]
         spans = np.array(chosen, np.int64)
         spans = spans[spans[:, 1] > spans[:, 0]]
