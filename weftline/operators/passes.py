@@ -8,16 +8,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from weftline.functions import text as X
 from weftline.model import SCHEMAS, Trajectories, diagnostics_of, empty, events_of, null_of, struct_of, text_block, visible
 
 EPISODE = ("rid", "ep_pos")
-IN_EPISODE = Window.partitionBy(*EPISODE)
-IN_ORDER = IN_EPISODE.orderBy("pos")
-SO_FAR = IN_ORDER.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def in_order() -> WindowSpec:
+    return Window.partitionBy(*EPISODE).orderBy("pos")
+
+
+def so_far() -> WindowSpec:
+    return in_order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
 
 #: What tools do, by lower-cased name (fixed values).
 TOOLS = {
@@ -98,7 +104,7 @@ def paired(events: DataFrame) -> DataFrame:
     """
     call, result = F.col("event_type") == "tool_call", F.col("event_type") == "tool_result"
     own = F.when(call, _given(F.col("action")["tool_call_id"])).when(result, result_call_id())
-    df = events.withColumn("__seg", F.count_if(call).over(SO_FAR)).withColumn("__id", own)
+    df = events.withColumn("__seg", F.count_if(call).over(so_far())).withColumn("__id", own)
     by_id = Window.partitionBy(*EPISODE, "__id")
     last = F.max_by("event_id", F.when(result, F.col("pos"))).over(by_id)
     last_pos = F.max(F.when(result, F.col("pos"))).over(by_id)
@@ -215,7 +221,7 @@ def slice_training(t: Trajectories, keep_non_trainable: bool = False) -> Traject
         return joined.withColumn("__alive", F.col("__alive") & F.coalesce("__kept", F.lit(True))).withColumn("__lost", F.when(~F.coalesce("__kept", F.lit(True)), F.lit("call" if types is CALLS else "result")).otherwise(F.col("__lost"))).drop("__kept")
 
     df = linked(linked(df.withColumn("__lost", null_of("string")), "children", CALLS), "parents", RESULTS)
-    kept = df.where("__alive").withColumn("idx", F.row_number().over(IN_ORDER).cast("bigint") - 1).withColumn("pos", F.col("idx"))
+    kept = df.where("__alive").withColumn("idx", F.row_number().over(in_order()).cast("bigint") - 1).withColumn("pos", F.col("idx"))
     lost = [diagnostics_of(df.where(F.col("__lost") == x), "slice-training", f"slice-training:dropped-orphan-{x}") for x in ("call", "result")]
     return t.with_(records=t.records.withColumn("level", F.lit("training")), events=events_of(kept), diagnostics=lost)
 
@@ -231,7 +237,7 @@ def verify(t: Trajectories, strict: bool = False) -> Trajectories:
     """Structural checks; see the codes VERIFY001 to VERIFY004."""
     e, name = t.events, "verify"
     nth = F.row_number().over(Window.partitionBy(*EPISODE, "event_id").orderBy("pos"))
-    checked = e.select("rid", "record_id", *EPISODE[1:], "pos", "event_id", "idx", nth.alias("nth"), F.lag("idx").over(IN_ORDER).alias("before"))
+    checked = e.select("rid", "record_id", *EPISODE[1:], "pos", "event_id", "idx", nth.alias("nth"), F.lag("idx").over(in_order()).alias("before"))
     ids = e.select(*EPISODE, F.col("event_id").alias("to")).distinct()
     parents = e.select("rid", "record_id", "ep_pos", "event_id", F.explode("parents").alias("to")).join(ids, [*EPISODE, "to"], "left_anti")
     known = t.records.select("rid", F.explode("artifacts.artifact_id").alias("to")).distinct()
@@ -268,9 +274,9 @@ def parse_xml_calls(t: Trajectories) -> Trajectories:
     found = F.regexp_extract_all(F.col("__text"), F.lit(_BLOCK), F.lit(0))
     df = t.events.withColumn("__text", text).withColumn("__blocks", F.coalesce(found, empty("array<string>"))).withColumn("__n", F.size("__blocks"))
     # running maximum with k new events after each source: sum of earlier k + max over (idx - sum of k before)
-    before = F.coalesce(F.sum("__n").over(IN_ORDER.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum("__n").over(in_order().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     df = df.withColumn("__before", before)
-    df = df.withColumn("__base", F.col("__before") + F.max(F.col("idx") - F.col("__before")).over(SO_FAR)).withColumn("__shift", F.col("__before"))
+    df = df.withColumn("__base", F.col("__before") + F.max(F.col("idx") - F.col("__before")).over(so_far())).withColumn("__shift", F.col("__before"))
     new = df.where("__n > 0").select("rid", "record_id", "ep_pos", "episode_id", "pos", "event_id", "provenance", "__base", "__shift", F.posexplode("__blocks").alias("__i", "__block"))
     inner = F.col("__inner")
     new = new.withColumn("__call", F.col("__block").startswith("<tool_call>")).withColumn("__inner", X.strip(F.regexp_replace("__block", r"^<tool_(call|response)>|</tool_(call|response)>$", "")))
@@ -358,11 +364,15 @@ def extract_patches(t: Trajectories) -> Trajectories:
 
 
 def parse_native_calls(t: Trajectories) -> Trajectories:
-    """Messages with native tool calls (raw ``messages``) become message, call and result events; results are linked to the latest call of their id."""
+    """Messages with native tool calls (raw ``messages``) become message, call and result events; results are linked to the latest call of their id.
+
+    For raw records: those that a frontend has parsed stay as they are.
+    """
     from weftline.sources.frontends import native_message_events
 
     v = F.try_parse_json("raw")
     rows = t.records.select("rid", "record_id", X.items(v, "$.messages").alias("turns")).where("size(turns) > 0")
+    rows = rows.join(t.events.select("rid").distinct(), "rid", "left_anti")
     return t.with_(events=_appended(t, latest_calls(native_message_events(rows, "parse-openhands-tool-calls"))))
 
 

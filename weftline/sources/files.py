@@ -35,8 +35,11 @@ def read_jsonl(spark: SparkSession, path: str | list[str], limit: int | None = N
 def read_json(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """A JSON array gives its elements, an object one row, anything else is read as lines; malformed lines and other values are left out."""
     whole = spark.read.text(path, wholetext=True).select(F.col("value"), F.try_parse_json("value").alias("v"))
-    parts = F.when(X.is_list(F.col("v")), X.items(F.col("v"))).when(X.is_object(F.col("v")), F.array("v"))
-    lines = F.transform(F.split("value", "\n"), lambda x: F.try_parse_json(x))
+    texts = F.filter(F.split("value", "\n"), lambda x: ~X.is_blank(x))
+    lines = F.transform(texts, lambda x: F.try_parse_json(x))
+    # the parser stops after the first value: a first line that is a whole object begins a file of lines
+    several = (F.size(texts) > 1) & X.is_object(F.get(lines, F.lit(0)))
+    parts = F.when(several, lines).when(X.is_list(F.col("v")), X.items(F.col("v"))).when(X.is_object(F.col("v")), F.array("v"))
     rows = whole.select(F.explode(F.coalesce(parts, lines)).alias("v")).where(X.is_object(F.col("v"))).select(F.to_json("v").alias("raw"))
     return numbered(rows if limit is None else rows.limit(limit)).select("rid", "raw")
 
