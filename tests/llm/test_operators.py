@@ -383,3 +383,64 @@ def test_html(spark):
     assert len(got) == 5 and all(r["n_chars"] == len(r["text"]) for r in got)
     assert {r["page_id"]: r["text"] for r in got}[None] == words(40000) + "." and sum(r["text"] == "" for r in got) == 3
     assert html_extract.extract(pages.limit(0)).count() == 0
+
+
+def test_chat_query_against_sql(spark, sf_dir):
+    import duckdb
+
+    from weftline.llm import queries
+
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{sf_dir}/conversations.parquet'")
+    found = con.execute(queries.ORACLE_SQL["op8_chat_format"])
+    names = [x[0] for x in found.description]
+    assert sorted(found.fetchall()) == sorted(tuple(r[n] for n in names) for r in queries.QUERIES["op8_chat_format"](spark, sf_dir).collect())
+
+
+def test_queries_keep_every_row(spark, sf_dir):
+    from weftline.llm import queries
+
+    n = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("documents", "pages", "embeddings")}
+    for name, f in queries.QUERIES.items():
+        if name.startswith("op8") or name == "pipeline":
+            continue
+        table = "pages" if name.startswith("op4") else "embeddings" if name.startswith("op10") else "documents"
+        assert f(spark, sf_dir).count() == n[table], name
+
+
+def test_pipeline_stages(spark, sf_dir):
+    """Each stage against a plain version of what it decides, on all its predecessor kept."""
+    import corpus_pipeline as P
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    toxic, dedup, private, mix, encode = [f for _, f in P.STAGES]
+    clean = toxic(spark, docs, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), training=~toxicity.held_out_condition())
+    scores = toxicity.score_documents(docs, model)
+    assert sorted(r["doc_id"] for r in clean.collect()) == sorted(r["doc_id"] for r in scores.where("predicted = 0").collect())
+    clean = clean.persist()
+    kept = dedup(spark, clean, sf_dir).persist()
+    found = simhash.near_duplicates(clean)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({r["component_id"] for r in found.collect()})
+    masked = private(spark, kept, sf_dir).persist()
+    plain = {r["doc_id"]: r["text"] for r in pii.pseudonymised(kept, P.PII_KEY).collect()}
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in masked.collect()} == {k: (v, len(v)) for k, v in plain.items()}
+    mixed = mix(spark, masked, sf_dir).persist()
+    copies = {r["doc_id"]: r["copies"] for r in mixing.with_copies(masked).collect() if r["copies"]}
+    assert Counter(r["doc_id"] for r in mixed.collect()) == Counter(copies)
+    for frame in (clean, kept, masked, mixed):
+        assert frame.columns == docs.columns and frame.count() > 0
+    ids = encode(spark, mixed, sf_dir).collect()
+    assert Counter(r["doc_id"] for r in ids) == Counter(copies)
+    text = {r["doc_id"]: r["text"] for r in masked.collect()}
+    assert all(r["decoded_sha256"] == hashlib.sha256(text[r["doc_id"]].encode()).hexdigest() and len(r["ids"]) == r["n_tokens"] for r in ids)
+
+
+def test_pipeline_takes_odd_rows(spark, docs, sf_dir):
+    import corpus_pipeline as P
+
+    frame = docs.select("doc_id", "text", "lang", "source", F.col("n_chars"), F.lit(1).alias("predicted"), F.lit(2).alias("key"))
+    for start in (frame, frame.limit(0)):
+        for name, f in P.STAGES:
+            start = f(spark, start, sf_dir).persist()
+            start.count()

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 from collections import defaultdict
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,16 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII_LOWER = {i: i + 32 for i in range(65, 91)}
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it, unless they can already; a cluster ships it its own way."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in [*paths, *os.environ.get("PYTHONPATH", "").split(os.pathsep)]:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

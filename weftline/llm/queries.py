@@ -81,6 +81,19 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _added(column: str) -> str:
+    """SQL: by how many characters escaping lengthens a text."""
+    times = " + ".join(f"(length({column}) - length(replace({column}, '{c}', ''))) // {len(c)}" for c in chat.CONTROL)
+    return f"(2 * ({times}) + length({column}) - length(replace({column}, '{chat.ESCAPE}', '')))"
+
+
+ORACLE_SQL["op8_chat_format"] = f"""WITH c AS (SELECT conv_id, turn, replace(coalesce(role, ''), chr(10), ' ') AS role, coalesce(text, '') AS text FROM conversations
+UNION ALL SELECT -7, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_TEXT}'),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text) AS said, coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+sum({len(chat.TURN) + len(chat.END) + 2} + length(role) + {_added("role")} + length(text) + {_added("text")}) AS formatted_chars FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars FROM g"""
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
