@@ -305,3 +305,24 @@ def test_user_extensions(spark):
         assert events(t, "event_id")[0] == ("EVT_0000",) and frontends.best_frontend(rows(spark, {"x": 1})).first()["frontend"] == "mine"
     finally:
         del frontends.FRONTENDS["mine"], passes.PASSES["upper"]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from weftline.__main__ import main
+
+    source, form = tmp_path / "in.jsonl", tmp_path / "f.yaml"
+    source.write_text(json.dumps(CHAT) + "\n{bad\n")
+    form.write_text(spec.new_spec("mine"))
+    run = lambda *a: main([str(x) for x in a])
+    assert run("version") == 0 and run("schema") == 0 and run("format", "validate", form) == 0 and run("format", "init", "n") == 0 and run("format", "list", tmp_path) == 0
+    assert run("detect", source) == 0
+    assert run("parse", source, tmp_path / "t", "--quarantine", tmp_path / "q") == 0
+    assert run("opt", tmp_path / "t", tmp_path / "o", "--passes", "canonicalize-tools,verify") == 0
+    assert run("lower", tmp_path / "o", tmp_path / "out.parquet", "--target", "sharegpt", "--report", tmp_path / "losses") == 0
+    assert run("verify", tmp_path / "o") == 0 and run("stats", tmp_path / "o") == 0
+    assert run("compile", source, tmp_path / "c", "--passes", "minimal") == 0
+    assert run("format", "probe", source) == 0 and run("format", "preview", form, source) == 0 and run("format", "convert", form, source, tmp_path / "fc") == 0
+    assert run("format", "diff", form, form, source) == 0 and run("format", "bench", form, source) == 0
+    assert spark.read.parquet(str(tmp_path / "out.parquet")).count() == 1 and spark.read.text(str(tmp_path / "q")).count() == 1
+    assert "| sharegpt" not in capsys.readouterr().out
+    del frontends.FRONTENDS["mine"]

@@ -49,6 +49,16 @@ def compile_files(spark: SparkSession, source: str, out: str, frontend: str, pas
     return lowering.status_counts(lowered)
 
 
+def save(t: Trajectories, path: str) -> None:
+    """Trajectories as three Parquet tables."""
+    for name in ("records", "events", "diagnostics"):
+        getattr(t, name).write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def load(spark: SparkSession, path: str) -> Trajectories:
+    return Trajectories(*[spark.read.parquet(f"{path}/{name}") for name in ("records", "events", "diagnostics")])
+
+
 def diagnostic_counts(t: Trajectories) -> DataFrame:
     return t.diagnostics.groupBy("pass", "code", "severity").agg(F.count("*").alias("n"))
 
