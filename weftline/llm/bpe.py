@@ -139,7 +139,7 @@ def encode(
     text: str = "text",
     output: str = "ids",
     shards: int = 512,
-    block_words: int = 300_000,
+    block_words: int = 200_000,
     block_size: int = 6_000_000,
 ) -> DataFrame:
     """Token ids of every row's whole text (null as empty), without special tokens.

@@ -64,7 +64,7 @@ def bounded_sample(df: DataFrame, label: Column, per_label: int, *identity: Colu
     return labelled.where(ticket < share[F.col("__label")])
 
 
-def text_chunks(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def text_chunks(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of ``batch`` with the texts of ``column`` (null as empty), each of about ``max_bytes`` unless one text is longer."""
     sizes = batch.column(column)
     lengths = np.asarray(pc.fill_null(pc.binary_length(sizes), 0), dtype=np.int64)

@@ -161,7 +161,7 @@ def predict_documents(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in text_chunks(batch, "text", 4 << 20):
+            for part, texts in text_chunks(batch, "text", 2 << 20):
                 lang, score = shared.value.predict(texts)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 

@@ -224,7 +224,7 @@ def with_scores(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in text_chunks(batch, "text", 4 << 20):
+            for part, texts in text_chunks(batch, "text", 2 << 20):
                 score = shared.value.score(texts)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*part.schema.names, "score", "predicted"])
 
