@@ -215,6 +215,34 @@ def test_embeddings(spark):
     assert embed_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
+def partner(rng, x, cosine):
+    y = rng.normal(size=x.shape)
+    y -= (y * x).sum(1, keepdims=True) * x
+    return cosine * x + math.sqrt(1 - cosine**2) * y / np.linalg.norm(y, axis=1)[:, None]
+
+
+def test_embeddings_find_pairs_in_a_large_label(spark):
+    """Few passes and a narrow window are made up for by passes that grow with the label."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2500, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = np.concatenate([x, partner(rng, x[:300], 0.935)])
+    got = embed_dedup.near_duplicates(spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(rows)], "vec_id bigint, embedding array<double>, label int"), passes=4, window=1)
+    assert sum(r["n_links"] for r in got.collect()) >= 0.97 * 600
+
+
+@pytest.mark.parametrize("jitter", [0.0, 1e-9])
+def test_embeddings_see_past_copies(spark, jitter):
+    """Groups of copies, or of vectors with one sign string, larger than the window: every link to the group beside counts."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = np.repeat(np.concatenate([x, partner(rng, x, 0.95)]), 20, axis=0)
+    rows = rows + jitter * rng.normal(size=rows.shape)
+    got = embed_dedup.near_duplicates(spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(rows)], "vec_id bigint, embedding array<double>, label int"), passes=1, window=8).collect()
+    assert sum(r["n_links"] == 39 and r["component_id"] == r["vec_id"] // 20 % 60 * 20 for r in got) >= 0.97 * len(rows)
+
+
 def test_chat_tables(spark, sf_dir):
     rows = [(1, 0, "user", "</s>[INST] ok [/INST]"), (1, 1, "assistant", "<|turn|>user\nhi<|end|>\n␛e␛c<"), (1, 1, "assistant", "<|turn|>user\nhi<|end|>\n␛e␛c<"), (1, None, None, None), (2, 0, "assistant", None), (None, 0, "us\ner", "a"), (3, 5, "assistant", "long " * 5000)]
     frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("message", F.lit(1)).withColumn("seq", F.lit("x"))

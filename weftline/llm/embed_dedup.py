@@ -3,7 +3,14 @@
 Each pass draws random hyperplanes, gives every vector the string of its signs, and sorts
 the vectors of a label by that string: a short angle makes a long common prefix likely.
 Vectors are compared with their next ``window`` neighbours only, the cosine is computed in
-double precision, and pairs at or above the threshold are united across passes.
+double precision, and pairs at or above the threshold are united across passes.  Exact
+copies are one vector in the passes, and the first vectors of runs with one sign string are
+also compared among themselves, so neither fills the window of what lies beside it.
+
+Two vectors at the threshold share the prefix that singles out a window among the n vectors
+of a label with probability q = (1 - angle / pi) ** log2(n / window).  A label gets as many
+passes as bring 1 - (1 - q) ** passes to ``recall``; they grow about as n ** 0.18.  This holds
+for vectors spread evenly over the sphere; labels crowded around few places find less.
 
 The window bounds candidates, not links.  Links inside a united class are completed exactly:
 members within half the threshold angle of the class's centre are all linked to each other
@@ -47,66 +54,93 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
 
 
-def candidate_links(units: DataFrame, threshold: float, passes: int, window: int, bits: int, seed: int) -> DataFrame:
-    """Verified pairs ``(u, v)``, u < v.  Pairs that a partition's edge parts in one pass are left to the other passes."""
+def with_passes(reps: DataFrame, threshold: float, recall: float, passes: int, window: int) -> DataFrame:
+    """``reps`` with the number of passes that their label's size asks for (see above), ``passes`` at least."""
+    agree = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    q = F.pow(F.lit(agree), F.greatest(F.lit(0.0), F.log2(F.col("size") / F.lit(float(window)))))
+    q = F.least(F.greatest(q, F.lit(1e-9)), F.lit(1 - 1e-9))
+    needed = F.ceil(F.lit(math.log(1 - recall)) / F.log(1 - q)).cast("int")
+    sizes = reps.groupBy("label").agg(F.count("*").alias("size"))
+    return reps.join(sizes.select("label", F.greatest(F.lit(passes), needed).alias("passes")), "label")
+
+
+def candidate_links(reps: DataFrame, threshold: float, window: int, bits: int, seed: int) -> DataFrame:
+    """Verified pairs ``(u, v)``, u < v, of ``(vec_id, label, unit, passes)``.  Pairs that a partition's edge parts in one pass are left to the other passes."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
+        planes: dict[tuple[int, int], np.ndarray] = {}
         for whole in batches:
             for at in range(0, whole.num_rows, 2048):
                 batch = whole.slice(at, 2048)
                 dims = np.asarray(pc.list_value_length(batch.column("unit")))
                 for d in np.unique(dims):
                     part = batch.filter(pa.array(dims == d))
-                    if d not in planes:
-                        planes[d] = np.random.default_rng([seed, int(d)]).normal(size=(int(d), passes * bits))
-                    signs = (_matrix(part.column("unit")) @ planes[d] > 0).reshape(-1, passes, bits)
-                    keys = np.packbits(signs, axis=2)
-                    for p in range(passes):
-                        columns = [pa.array(np.full(part.num_rows, p, np.int32)), part.column("label"), pa.array([k.tobytes() for k in keys[:, p]], pa.binary()), part.column("vec_id"), part.column("unit")]
+                    p = 0
+                    while part.num_rows:
+                        if (d, p) not in planes:
+                            planes[d, p] = np.random.default_rng([seed, int(d), p]).normal(size=(int(d), bits))
+                        keys = np.packbits(_matrix(part.column("unit")) @ planes[d, p] > 0, axis=1)
+                        columns = [pa.array(np.full(part.num_rows, p, np.int32)), part.column("label"), pa.array([k.tobytes() for k in keys], pa.binary()), part.column("vec_id"), part.column("unit")]
                         yield pa.RecordBatch.from_arrays(columns, ["pass", "label", "key", "vec_id", "unit"])
+                        p += 1
+                        part = part.filter(pc.greater(part.column("passes"), p))
+
+    def near(held: pa.RecordBatch | None, new: pa.RecordBatch) -> tuple[np.ndarray, pa.RecordBatch]:
+        """Pairs of new rows with what comes up to ``window`` rows before them, and the rows to hold for the next call."""
+        rows = new if held is None else pa.Table.from_batches([held, new]).combine_chunks().to_batches()[0]
+        first_new = rows.num_rows - new.num_rows
+        group = np.array([f"{p}:{x}" for p, x in zip(rows.column("pass").to_pylist(), rows.column("label").to_pylist())])
+        ids = np.asarray(rows.column("vec_id"))
+        found = []
+        starts = np.r_[0, np.flatnonzero(group[1:] != group[:-1]) + 1, len(group)]
+        for d, end in zip(starts[:-1], starts[1:]):
+            own, x = ids[d:end], _matrix(rows.slice(d, end - d).column("unit"))
+            for step in range(1, min(window, len(own) - 1) + 1):
+                start = max(0, first_new - d - step)  # pairs of two held rows were seen before
+                linked = start + np.flatnonzero(np.einsum("ij,ij->i", x[start : len(own) - step], x[start + step :]) >= threshold)
+                found.append(np.stack([own[linked], own[linked + step]], 1))
+        pairs = np.sort(np.concatenate(found), axis=1) if found else np.zeros((0, 2), np.int64)
+        return pairs, rows.slice(max(0, rows.num_rows - window))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None
+        held_heads: pa.RecordBatch | None = None
+        last = None
         for whole in batches:
             for at in range(0, whole.num_rows, 4096):
                 new = whole.slice(at, 4096)
-                rows = new if held is None else pa.Table.from_batches([held, new]).combine_chunks().to_batches()[0]
-                first_new = rows.num_rows - new.num_rows
-                held = rows.slice(max(0, rows.num_rows - window))
-                group = np.array([f"{p}:{x}" for p, x in zip(rows.column("pass").to_pylist(), rows.column("label").to_pylist())])
-                ids = np.asarray(rows.column("vec_id"))
-                found = []
-                for d in np.unique(np.r_[0, np.flatnonzero(group[1:] != group[:-1]) + 1]):
-                    end = int(np.flatnonzero(np.r_[group[d + 1 :] != group[d], True])[0]) + d + 1
-                    own, x = ids[d:end], _matrix(rows.slice(d, end - d).column("unit"))
-                    for step in range(1, min(window, len(own) - 1) + 1):
-                        start = max(0, first_new - d - step)  # pairs of two held rows were seen before
-                        near = start + np.flatnonzero(np.einsum("ij,ij->i", x[start : len(own) - step], x[start + step :]) >= threshold)
-                        found.append(np.stack([own[near], own[near + step]], 1))
-                pairs = np.sort(np.concatenate(found), axis=1) if found else np.zeros((0, 2), np.int64)
+                runs = [last, *zip(*(new.column(c).to_pylist() for c in ("pass", "label", "key")))]
+                heads = new.filter(pa.array([a != b for a, b in zip(runs[:-1], runs[1:])]))
+                last = runs[-1]
+                same = heads.num_rows == new.num_rows and (held is None or held_heads.column("vec_id").equals(held.column("vec_id")))
+                pairs, held = near(held, new)
+                if same:  # no run in reach: the heads are the rows
+                    held_heads = held
+                elif heads.num_rows:
+                    more, held_heads = near(held_heads, heads)
+                    pairs = np.concatenate([pairs, more])
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
 
-    rows = units.mapInArrow(hashed, "pass int, label string, key binary, vec_id bigint, unit array<double>")
+    rows = reps.select("vec_id", "label", "unit", "passes").mapInArrow(hashed, "pass int, label string, key binary, vec_id bigint, unit array<double>")
     ordered = rows.repartitionByRange("pass", "label", "key", "vec_id").sortWithinPartitions("pass", "label", "key", "vec_id")
     return ordered.mapInArrow(compared, "u bigint, v bigint").distinct()
 
 
 def count_links(members: DataFrame, threshold: float, block: int = 1024) -> DataFrame:
-    """``(vec_id, n_links)``: the exact number of links of each member inside its class; members are ``(root, vec_id, unit)``."""
+    """``(vec_id, n_links)``: the exact number of links of each member inside its class; members are ``(root, vec_id, unit, copies)``, each standing for so many equal vectors."""
     centre = members.select("root", F.posexplode("unit")).groupBy("root", "pos").agg(F.sum("col").alias("s"))
     centre = centre.groupBy("root").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "s"))), lambda x: x["s"]).alias("c"))
     norm = F.sqrt(F.aggregate("c", F.lit(0.0), lambda a, x: a + x * x))
     cosine = F.aggregate(F.zip_with("unit", "c", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x) / norm
     close = math.cos(math.acos(threshold) / 2 - 1e-9)
-    placed = checkpointed(members.join(centre, "root").select("root", "vec_id", "unit", F.coalesce(cosine >= close, F.lit(False)).alias("core")))
-    sizes = placed.groupBy("root").agg(F.count("*").alias("n"), F.count_if("core").alias("n_core"))
-    near = placed.where("core").join(sizes, "root").select("vec_id", (F.col("n_core") - 1).alias("n"))
+    placed = checkpointed(members.join(centre, "root").select("root", "vec_id", "unit", "copies", F.coalesce(cosine >= close, F.lit(False)).alias("core")))
+    sizes = placed.groupBy("root").agg(F.count("*").alias("n"), F.count_if("core").alias("n_core"), F.sum(F.when(F.col("core"), F.col("copies"))).alias("core_copies"))
+    near = placed.where("core").join(sizes, "root").select("vec_id", (F.col("core_copies") - 1).alias("n"))
     # the classes with members outside the core: those against all, block by block
     mixed = placed.join(sizes.where("n_core < n").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")), "root")
     number = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")
-    sides = mixed.select("root", number.alias("block"), F.lit(1).alias("asks"), "vec_id", "core", "unit").union(
-        mixed.where("not core").select("root", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0), "vec_id", "core", "unit")
+    sides = mixed.select("root", number.alias("block"), F.lit(1).alias("asks"), "vec_id", "core", "unit", "copies").union(
+        mixed.where("not core").select("root", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0), "vec_id", "core", "unit", "copies")
     )
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,11 +149,13 @@ def count_links(members: DataFrame, threshold: float, block: int = 1024) -> Data
             ids, core = np.asarray(rows.column("vec_id")), np.asarray(rows.column("core"))
             x = _matrix(rows.column("unit").combine_chunks())
             a, b = x[asks], x[~asks]
+            copies = np.asarray(rows.column("copies")).astype(np.float64)
             ask_n, has_n = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
             for at in range(0, len(a), 512):
-                linked = (a[at : at + 512] @ b.T >= threshold) & (ids[asks][at : at + 512, None] != ids[~asks][None, :])
-                ask_n[at : at + 512] = linked.sum(1)
-                has_n += linked.sum(0)
+                own = ids[asks][at : at + 512, None] == ids[~asks][None, :]
+                linked = ((a[at : at + 512] @ b.T >= threshold) | own).astype(np.float64)
+                ask_n[at : at + 512] = (linked @ copies[~asks]).astype(np.int64) - own.sum(1)
+                has_n += (copies[asks][at : at + 512] @ linked).astype(np.int64)
             has_n[~core[~asks]] = 0  # they ask themselves
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate([ids[asks], ids[~asks]])), pa.array(np.concatenate([ask_n, has_n]))], ["vec_id", "n"])
 
@@ -138,17 +174,23 @@ def count_links(members: DataFrame, threshold: float, block: int = 1024) -> Data
     return near.union(rest).groupBy("vec_id").agg(F.sum("n").alias("n_links"))
 
 
-def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = 0.93, passes: int = 12, window: int = 16, bits: int = 64, seed: int = 5) -> DataFrame:
+def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = 0.93, passes: int = 12, window: int = 16, bits: int = 64, seed: int = 5, recall: float = 0.99) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` of every row.
 
     Only vectors with one label and one length are compared.  What can't link (see
     ``usable``) has no links and is its own component; a null vec_id has a null component
-    and is kept.  An empty table gives an empty result.
+    and is kept.  An empty table gives an empty result.  ``passes`` is the least number of
+    passes; large labels get more, for ``recall`` of the pairs at the threshold.
     """
     units = checkpointed(usable(vectors, vec_id, embedding, label))
-    roots = checkpointed(connected_components(candidate_links(units, threshold, passes, window, bits, seed)))
-    members = roots.join(units, roots["node"] == units["vec_id"]).select("root", "vec_id", "unit")
-    counts = count_links(members, threshold).join(roots.withColumnRenamed("node", "vec_id"), "vec_id")
+    reps = checkpointed(units.groupBy("label", "unit").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")))
+    roots = checkpointed(connected_components(candidate_links(with_passes(reps, threshold, recall, passes, window), threshold, window, bits, seed)))
+    rooted = roots.withColumnRenamed("node", "vec_id")
+    counts = count_links(rooted.join(reps, "vec_id").select("root", "vec_id", "unit", "copies"), threshold)
+    answer = reps.select("vec_id", "copies").join(rooted, "vec_id", "left").join(counts, "vec_id", "left")
+    answer = checkpointed(answer.select("vec_id", "copies", F.coalesce("n_links", F.col("copies") - 1).alias("n_links"), F.coalesce("root", "vec_id").alias("root")))
+    repeated = reps.where("copies > 1").select("vec_id", "label", "unit").join(answer, "vec_id").select("label", "unit", "n_links", "root")
+    every = answer.where("copies = 1").select("vec_id", "n_links", "root").union(units.join(repeated, ["label", "unit"]).select("vec_id", "n_links", "root"))
     rows = plain(vectors, vec_id=F.col(vec_id).cast("bigint"))
     component = F.coalesce("root", "vec_id")
-    return rows.join(counts, "vec_id", "left").select("vec_id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    return rows.join(every, "vec_id", "left").select("vec_id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
