@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import bpe, mixing, pii, simhash, toxicity
-from weftline.llm.common import table
+from weftline.llm.common import checkpointed, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 PII_KEY = "example key"
@@ -32,11 +32,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: the one with the least doc_id (one of its rows, if it is repeated)."""
-    found = simhash.near_duplicates(docs)
-    firsts = found.where("doc_id = component_id").select("doc_id").distinct()
-    one_row = docs.select(*COLUMNS).join(firsts, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row"))
-    return one_row.select("doc_id", "row.*").select(*COLUMNS)
+    """One row of each SimHash component of texts: the one with the least doc_id.
+
+    A null doc_id comes after all others, so a component without any id keeps one of its
+    rows too.  Of several rows of a component with that id (or null), the least (text, lang,
+    source, n_chars) stays.  A doc_id whose rows have texts in several components can stay
+    once for each of them.
+    """
+    of = checkpointed(simhash.fingerprints(docs))
+    ids = of.join(simhash.classes(of), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    firsts = ids.select(F.col("doc_id").alias("first_id"), F.col("fp").alias("first_fp"), "root").distinct()
+    rows = simhash.with_fingerprints(docs.select(*COLUMNS))
+    found = rows.join(firsts, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("fp") == F.col("first_fp")))
+    return found.groupBy("root").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -472,3 +472,16 @@ def test_pipeline_takes_odd_rows(spark, docs, sf_dir):
         for name, f in P.STAGES:
             start = f(spark, start, sf_dir).persist()
             start.count()
+
+
+def test_pipeline_keeps_a_row_of_each_component(spark, sf_dir):
+    """Null ids and ids with several texts: no component of texts is lost, and none stays twice."""
+    import corpus_pipeline as P
+
+    a, b, c, d = (words(80, i) for i in range(20, 24))
+    rows = [(1, a), (1, a), (None, a), (1, b), (2, b), (None, c), (None, c), (None, d), (3, ""), (None, None), (4, c[::-1]), (4, d[::-1])]
+    frame = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = P.drop_near_duplicates(spark, frame, sf_dir)
+    assert got.columns == P.COLUMNS
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter([(1, a), (1, b), (None, c), (None, d), (3, ""), (4, c[::-1]), (4, d[::-1])])
+    assert P.drop_near_duplicates(spark, frame.limit(0), sf_dir).count() == 0

@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from weftline.llm.common import ASCII_LOWER, WORD, checkpointed, plain, text_chunks
 from weftline.llm.components import connected_components
@@ -64,6 +65,18 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return plain(docs, doc_id=F.col(doc_id).cast("bigint"), text=F.col(text)).mapInArrow(run, "doc_id bigint, fp bigint")
 
 
+def with_fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the fingerprint of their text as a signed bigint ``fp``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in text_chunks(batch, text):
+                found = np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], [*part.schema.names, "fp"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("fp", LongType())]))
+
+
 def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
@@ -128,6 +141,15 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return posted.repartition("n", "bytes").sortWithinPartitions("n", "bytes", "fp").mapInArrow(run, "u bigint, v bigint")
 
 
+def classes(of: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``(fp, root, component_id)`` of every distinct fingerprint of ``(doc_id, fp)``: root is the least fingerprint of its component, component_id the least doc_id, null if there is none."""
+    distinct = of.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = connected_components(links(distinct.select("fp"), max_bits))
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rooted.join(least, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` of every row.
 
@@ -137,9 +159,4 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ids alone has a null component_id.  An empty table gives an empty result.
     """
     of = checkpointed(fingerprints(docs, doc_id, text))
-    distinct = of.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = connected_components(links(distinct.select("fp"), max_bits))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(least, "root").select("fp", "component_id")
-    return of.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return of.join(classes(of, max_bits).select("fp", "component_id"), "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
