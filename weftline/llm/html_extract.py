@@ -1,22 +1,33 @@
 """Main text of web pages by tag-path ratios.
 
 A page becomes blocks of text, each under the path of block elements from the root to its
-leaf.  For every path, text length and punctuation are summed and divided by its number of
-blocks; link text does not count.  The two ratios are smoothed over the paths that share a
-parent, fused into one score, and weighed by what the elements of the path say of
-themselves: paths through menus, notices, adverts, forms and the like get nothing, and an
-element meant for the main text (article, main) vouches for its paths.  The paths at or
-above the threshold give the text, in page order.
+leaf.  The paths are a tree.  The method has four steps, all in time linear in the page:
+
+1. Aggregate: for every path the characters (link text does not count) and the punctuation
+   marks of its blocks are summed.
+2. Smooth: a path p receives from every path q the share (common / length) ** 2 of q's sums,
+   where length is q's and common the number of leading elements that p shares with q, both
+   counted below the innermost element that holds all text.  So the paths of one container
+   support each other, and a stray block beside the container gets next to nothing.
+3. Fuse: both sums are divided by their largest, L and P; the ratio of a path is
+   L * (1 + P) / 2, between 0 and 1.
+4. Threshold: what elements say of themselves enters as one bounded factor, ``aside`` for
+   paths through menus, notices, adverts, forms and the like, ``content`` for paths within
+   article or main.  Paths with ratio * factor of at least ``threshold``, or of that share
+   of the best where no path reaches 1, give the text, in page order.
+
+The factor can neither choose nor reject a path alone: a page whose only long text lies in
+an element named like an advert gives that text, and a path of next to no weight inside of
+an article goes.
 """
 
 from __future__ import annotations
 
 import html
-import math
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,110 +65,151 @@ ASIDE_TOKENS = frozenset(
 HEADER_TOKENS = frozenset("header masthead topbar".split())
 
 
-@dataclass
-class _Element:
-    name: str
-    label: str = ""
-    aside: bool = False
-    content: bool = False
+@dataclass(frozen=True)
+class Settings:
+    """``aside`` and ``content`` are the factors of step 4; both 1 leave the choice to the ratios alone."""
+
+    aside: float = 1 / 32
+    content: float = 8.0
+    threshold: float = 0.125
 
 
 @dataclass
-class _Path:
-    blocks: int = 0
+class Path:
+    """A node of the tree of paths, with the sums of its own blocks."""
+
+    parent: int
+    label: str
+    depth: int
+    aside: bool
+    content: bool
     chars: int = 0
     punctuation: int = 0
-    weight: float = 1.0
-    parent: str = ""
+    blocks: int = 0
 
 
 @dataclass
+class _Element:
+    name: str
+    path: int
+
+
 class _Page:
-    stack: list[_Element] = field(default_factory=list)
-    parts: list[str] = field(default_factory=list)
-    linked: int = 0
-    blocks: list[tuple[str, str]] = field(default_factory=list)
-    paths: dict[str, _Path] = field(default_factory=lambda: defaultdict(_Path))
+    """The blocks of a page and its tree of paths, parents before children."""
+
+    def __init__(self) -> None:
+        self.paths = [Path(-1, "", 0, False, False)]
+        self.blocks: list[tuple[int, str]] = []
+        self._known: dict[tuple[int, str], int] = {}
+        self._stack: list[_Element] = []
+        self._open: Counter[str] = Counter()
+        self._dropped = 0
+        self._parts: list[str] = []
+        self._linked = 0
+
+    def _top(self) -> int:
+        return self._stack[-1].path if self._stack else 0
+
+    def _push(self, name: str, attributes: str) -> None:
+        at = self._top()
+        if name in BLOCKS:
+            label, aside, content = _described(name, attributes, self.paths[at].content)
+            if (at, label) not in self._known:
+                up = self.paths[at]
+                self._known[at, label] = len(self.paths)
+                self.paths.append(Path(at, label, up.depth + 1, up.aside or aside, up.content or content))
+            at = self._known[at, label]
+        self._stack.append(_Element(name, at))
+        self._open[name] += 1
+        self._dropped += name in DROPPED
+
+    def _remove(self, first: int, last: int) -> None:
+        for e in self._stack[first:last]:
+            self._open[e.name] -= 1
+            self._dropped -= e.name in DROPPED
+        del self._stack[first:last]
 
     def flush(self) -> None:
-        text = " ".join("".join(self.parts).split())
-        linked, self.parts, self.linked = self.linked, [], 0
-        if not text:
-            return
-        chain = [e for e in self.stack if e.name in BLOCKS]
-        key = "/".join(e.label for e in chain)
-        path = self.paths[key]
-        path.parent = "/".join(e.label for e in chain[:-1])
-        path.blocks += 1
-        path.chars += max(0, len(text) - linked)
-        path.punctuation += len(_PUNCTUATION.findall(text))
-        path.weight = 0.0 if any(e.aside for e in chain) else math.inf if any(e.content for e in chain) else 1.0
-        self.blocks.append((key, text))
+        """End the running block."""
+        text = " ".join("".join(self._parts).split())
+        linked, self._parts, self._linked = self._linked, [], 0
+        if text:
+            path = self.paths[self._top()]
+            path.blocks += 1
+            path.chars += max(0, len(text) - linked)
+            path.punctuation += len(_PUNCTUATION.findall(text))
+            self.blocks.append((self._top(), text))
 
     def text(self, raw: str) -> None:
-        if raw and not any(e.name in DROPPED for e in self.stack):
+        if raw and not self._dropped:
             said = html.unescape(raw)
-            self.parts.append(said)
-            if any(e.name == "a" for e in self.stack):
-                self.linked += len(said.strip())
+            self._parts.append(said)
+            if self._open["a"]:
+                self._linked += len(said.strip())
 
-    def pop(self, names: str, scope: str) -> None:
+    def _end_open(self, names: str, scope: str) -> None:
         """End the innermost open element among ``names`` unless one of ``scope`` stands inside of it."""
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].name in names.split():
+        if not any(self._open[n] for n in names.split()):
+            return
+        for i in range(len(self._stack) - 1, -1, -1):
+            if self._stack[i].name in names.split():
                 self.flush()
-                del self.stack[i:]
+                self._remove(i, len(self._stack))
                 return
-            if self.stack[i].name in scope.split():
+            if self._stack[i].name in scope.split():
                 return
 
     def start(self, name: str, attributes: str) -> None:
         if name == "br":
-            self.parts.append(" ")
+            self._parts.append(" ")
             return
         if name in BLOCKS:
             self.flush()
         if name in ENDS_P:
-            self.pop("p", "table td th button")
+            self._end_open("p", "table td th button")
         if name in ENDS:
-            self.pop(*ENDS[name])
+            self._end_open(*ENDS[name])
         if name not in VOID:
-            self.stack.append(_describe(name, attributes, any(e.content for e in self.stack)))
+            self._push(name, attributes)
 
     def end(self, name: str) -> None:
         if name in BLOCKS:
             self.flush()
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].name == name:
-                if name in BLOCKS:
-                    del self.stack[i:]
-                else:  # an inline element may end inside of a later block
-                    del self.stack[i]
+        if not self._open[name]:
+            return
+        for i in range(len(self._stack) - 1, -1, -1):
+            if self._stack[i].name == name:
+                # an inline element may end inside of a later block, which stays open
+                self._remove(i, len(self._stack) if name in BLOCKS else i + 1)
                 return
-            if name not in BLOCKS and self.stack[i].name in ("td", "th", "table"):
+            if name not in BLOCKS and self._stack[i].name in ("td", "th", "table"):
                 return
 
 
-def _describe(name: str, attributes: str, inside: bool) -> _Element:
-    said, aside = [], name in ASIDE_TAGS or (name == "header" and not inside)
+def _described(name: str, attributes: str, inside: bool) -> tuple[str, bool, bool]:
+    """Label of an element in paths, and whether it calls itself an aside or content; ``inside`` of content, headers are content."""
+    classes, tokens, aside = set(), set(), name in ASIDE_TAGS or (name == "header" and not inside)
     if attributes.strip("/ \t\n\r\f"):
         for key, *values in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), "".join(values)
             if key in ("class", "id"):
-                said.append(value)
+                found = {t.lower() for t in _TOKEN.findall(value)}
+                tokens |= found
+                classes |= found if key == "class" else set()
             elif key == "role":
                 aside |= value.lower() in ASIDE_ROLES
             elif key == "style":
                 aside |= "display:none" in value.replace(" ", "").lower()
             else:
                 aside |= value.lower() != "false"
-    tokens = {t.lower() for s in said for t in _TOKEN.findall(s)}
     if name not in ("html", "body") and name not in CONTENT:
         aside |= bool(tokens & ASIDE_TOKENS) or (not inside and bool(tokens & HEADER_TOKENS))
-    return _Element(name, ".".join([name, *sorted(tokens)]), aside, name in CONTENT)
+    # the factor belongs to the path, so an aside is a path of its own
+    return ".".join([name, *sorted(classes), *["aside"] * aside]), aside, name in CONTENT
 
 
-def _blocks(source: str) -> _Page:
+def parsed(source: str) -> _Page:
+    """Blocks and paths of a page."""
     page, at = _Page(), 0
     while True:
         m = _MARKUP.search(source, at)
@@ -179,46 +231,68 @@ def _blocks(source: str) -> _Page:
             page.start(name, m["attributes"] or "")
 
 
-def _chosen(paths: dict[str, _Path]) -> set[str]:
-    """The content paths: smooth, fuse, weigh, threshold."""
-    if not paths:
-        return set()
-    length = {k: p.chars / p.blocks for k, p in paths.items()}
-    marks = {k: p.punctuation / p.blocks for k, p in paths.items()}
-    siblings = defaultdict(list)
-    for k, p in paths.items():
-        siblings[p.parent].append(k)
-
-    def smooth(ratio: dict[str, float], k: str) -> float:
-        own = siblings[paths[k].parent]
-        blocks = sum(paths[s].blocks for s in own)
-        return 0.5 * ratio[k] + 0.5 * sum(ratio[s] * paths[s].blocks for s in own) / blocks
-
-    score = {k: math.log1p(smooth(length, k)) * (1 + math.log1p(smooth(marks, k))) for k in paths}
-    best = max((s for k, s in score.items() if paths[k].weight), default=0.0)
-    vouched = any(math.isinf(p.weight) for p in paths.values())
-    weighed = {k: 0.0 if not paths[k].weight else max(best, 1e-9) if math.isinf(paths[k].weight) else s for k, s in score.items()}
-    mean = sum(weighed.values()) / len(weighed)
-    spread = math.sqrt(sum((s - mean) ** 2 for s in weighed.values()) / len(weighed))
-    # beside a vouching element others must stand out, else be above the spread of the scores as usual
-    threshold = 0.95 * best if vouched else min(spread, 0.5 * best)
-    return {k for k, s in weighed.items() if s > 0 and s >= threshold}
-
-
-def main_text(source: str | None) -> str:
+def smoothed(paths: list[Path], sums: list[int]) -> list[float]:
+    """Step 2 for the sums of one kind, one for each path.
+
+    With length of a path q in the denominator taken out first, the sum over all q of
+    (common / length) ** 2 goes up the tree once and down once: an element at depth d adds
+    d ** 2 - (d - 1) ** 2 times what lies under it.
+    """
+    held = [p.blocks for p in paths]
+    for i in range(len(paths) - 1, 0, -1):
+        held[paths[i].parent] += held[i]
+    base = max((p.depth for i, p in enumerate(paths) if held[i] == held[0]), default=0)
+    depth = [max(0, p.depth - base) for p in paths]
+    under = [s / d**2 if d else 0.0 for s, d in zip(sums, depth)]
+    for i in range(len(paths) - 1, 0, -1):
+        under[paths[i].parent] += under[i]
+    out = [0.0] * len(paths)
+    for i, p in enumerate(paths):
+        if depth[i]:
+            out[i] = out[p.parent] + (2 * depth[i] - 1) * under[i]
+    # of all paths only those at the common element itself share nothing but themselves
+    return [float(s) if d == 0 else x for s, d, x in zip(sums, depth, out)]
+
+
+def chosen(paths: list[Path], settings: Settings = Settings()) -> set[int]:
+    """The paths that give the text: steps 2 to 4."""
+    own = [i for i, p in enumerate(paths) if p.blocks]
+    length = smoothed(paths, [p.chars for p in paths])
+    marks = smoothed(paths, [p.punctuation for p in paths])
+    longest, most = (max((x[i] for i in own), default=0.0) for x in (length, marks))
+    score = {}
+    for i in own:
+        ratio = length[i] / longest * (1 + (marks[i] / most if most else 1)) / 2 if longest else 0.0
+        score[i] = ratio * (settings.aside if paths[i].aside else 1) * (settings.content if paths[i].content else 1)
+    least = settings.threshold * min(1.0, max(score.values(), default=0.0))
+    return {i for i, s in score.items() if s > 0 and s >= least}
+
+
+def main_text(source: str | None, settings: Settings = Settings()) -> str:
     """The main text of a page, a line for each block; empty if there is none."""
-    page = _blocks(source or "")
-    chosen = _chosen(page.paths)
-    return "\n".join(text for path, text in page.blocks if path in chosen)
+    page = parsed(source or "")
+    kept = chosen(page.paths, settings)
+    return "\n".join(text for path, text in page.blocks if path in kept)
+
 
+def extract(
+    pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html", settings: Settings = Settings()
+) -> DataFrame:
+    """``(page_id, url, text, n_chars)`` of every row.
 
-def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
-    """``(page_id, url, text, n_chars)`` of every row; null html and pages without text give an empty text."""
+    Null html and pages without text give an empty text.  Rows stay rows: repeated and null
+    page_ids are kept apart, an empty table gives an empty result, and other columns of the
+    input, whatever their names, take no part.  Time and memory of a page grow with its
+    length alone, however deep its elements are nested.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, sources in text_chunks(batch, "html"):
-                texts = [main_text(s) for s in sources]
-                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
+                texts = [main_text(s, settings) for s in sources]
+                lengths = pa.array(map(len, texts), pa.int64())
+                columns = [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), lengths]
+                yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
-    return plain(pages, page_id=F.col(page_id).cast("bigint"), url=F.col(url).cast("string"), html=F.col(source)).mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
+    rows = plain(pages, page_id=F.col(page_id).cast("bigint"), url=F.col(url).cast("string"), html=F.col(source))
+    return rows.mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
