@@ -12,7 +12,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word of the contracts: a run of anything but ASCII white space.
@@ -40,28 +40,65 @@ def crc_mod(col: Column, mod: int) -> Column:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder named in spark.checkpoint.dir; a folder of our own only where none is set."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    """Cut the lineage through the shared folder named in spark.checkpoint.dir (see ``shared_folder``)."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftline-ckpt-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
-def bounded_sample(df: DataFrame, label: Column, per_label: int, *identity: Column, salt: int = 7) -> DataFrame:
-    """About ``per_label`` rows of each non-null label (all, if there are fewer), chosen by a hash of ``identity``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; a temporary one where that is unset and the master is local, else an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="weftline-")
 
-    One counting job gives the share to keep, so the expected size is bounded whatever the
-    input; the same rows are chosen on every run.
+
+def bounded_sample(df: DataFrame, label: str, per_label: int, *identity: str, max_labels: int = 1000) -> DataFrame:
+    """At most ``per_label`` rows of each non-null ``label``, and all of a label that has no more.
+
+    Rows are ranked by a hash of the ``identity`` columns, so reruns draw the same ones; rows
+    equal in these are interchangeable.  Counts by label and bucket of the hash tell up to
+    which bucket rows are wanted; of these, every partition ranks its own and passes on
+    ``per_label`` at most.  So neither a large table nor a row that is repeated often makes a
+    task large.  More than ``max_labels`` labels are an error.
+    """
+    buckets = 1 << 16
+    ticket = F.pmod(F.xxhash64(F.lit(7), *identity), F.lit(1 << 40))
+    rows = df.where(F.col(label).isNotNull()).withColumn("__ticket", ticket)
+    bucket = F.floor(F.col("__ticket") / F.lit((1 << 40) // buckets))
+    sizes = rows.groupBy(F.col(label).cast("string").alias("name"), bucket.alias("b")).agg(F.count("*").alias("n"))
+    reached = sizes.withColumn("reached", F.sum("n").over(Window.partitionBy("name").orderBy("b")))
+    last = F.coalesce(F.min(F.when(F.col("reached") >= per_label, F.col("b"))), F.lit(buckets))
+    cuts = reached.groupBy("name").agg(last.alias("last")).limit(max_labels + 1).collect()
+    if not cuts:
+        return rows.where(F.lit(False)).drop("__ticket")
+    if len(cuts) > max_labels:
+        raise ValueError(f"more than {max_labels} values of {label}")
+    cut = F.create_map(*[F.lit(x) for r in cuts for x in (r["name"], r["last"])])
+    place = F.row_number().over(Window.partitionBy(label).orderBy("__ticket", *identity))
+    wanted = rows.where(bucket <= cut[F.col(label).cast("string")]).withColumn("__place", place)
+    return wanted.where(F.col("__place") <= per_label).drop("__ticket", "__place")
+
+
+def join_hot(rows: DataFrame, facts: DataFrame, keys: list[str], spread: int = 100) -> DataFrame:
+    """``rows`` inner-joined to ``facts``, which has one row for each value of ``keys``, with hot keys dealt over many tasks.
+
+    A key is hot if it holds more than one in ``spread`` of all rows, so there are fewer than
+    ``spread`` of them and their list is bounded; only their facts are repeated, ``spread`` times.
     """
-    labelled = df.withColumn("__label", label.cast("string")).where("__label is not null")
-    counts = {r["__label"]: r["n"] for r in labelled.groupBy("__label").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return labelled.where(F.lit(False))
-    scale = 1 << 40
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(scale, per_label * scale // n))])
-    ticket = F.pmod(F.xxhash64(F.lit(salt), *identity), F.lit(scale))
-    return labelled.where(ticket < share[F.col("__label")])
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
+    total = rows.agg(F.count("*").alias("__all"))
+    hot = counts.join(F.broadcast(total), F.col("__n") * spread > F.col("__all")).select(*keys, F.lit(True).alias("__hot"))
+    hot = F.broadcast(checkpointed(hot))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(spread)).cast("int")).otherwise(0)
+    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
+    left = rows.join(hot, keys, "left").withColumn("__salt", salt).drop("__hot")
+    right = facts.join(hot, keys, "left").withColumn("__salt", F.explode(salts)).drop("__hot")
+    return left.join(right, [*keys, "__salt"]).drop("__salt")
 
 
 def text_chunks(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

@@ -55,9 +55,9 @@ class Model:
         words, codes, lengths = word_codes(texts)
         sums, count = np.zeros((len(words), len(self.pairs))), np.zeros(len(words))
         for owner, bucket in word_ngrams(words, SIZES, BUCKETS):
-            count += np.bincount(owner, minlength=len(words))
-            for k in range(len(self.pairs)):
-                sums[:, k] += np.bincount(owner, self.weights[bucket, k], len(words))
+            n = np.bincount(owner, minlength=len(words))  # owners come in order
+            count += n
+            sums += segment_sums(self.weights[bucket], n)
         total = segment_sums(sums[codes], lengths)
         n = segment_sums(count[codes], lengths)
         return SCALE * total / np.maximum(n, 1)[:, None] + self.bias
@@ -115,7 +115,7 @@ def _svm(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: float =
     return w, b
 
 
-def fit(texts: list[str], langs: list[str]) -> Model:
+def fit(texts: list[str], langs: list[str], max_pairs: int = 1000) -> Model:
     """A model from labelled texts; those without n-grams are left out."""
     rows, labels = [], []
     for text, lang in zip(texts, langs):
@@ -132,6 +132,8 @@ def fit(texts: list[str], langs: list[str]) -> Model:
     known = sorted(set(labels))
     families = sorted({family(x) for x in known})
     pairs = [*combinations(families, 2)] + [p for f in families for p in combinations([x for x in known if family(x) == f], 2)]
+    if len(pairs) > max_pairs:
+        raise ValueError(f"{len(pairs)} pairs of languages or families, more than {max_pairs}")
     weights, bias = np.zeros((BUCKETS, len(pairs)), np.float32), np.zeros(len(pairs))
     for k, (a, b) in enumerate(pairs):
         names = [family(x) for x in labels] if k < len(families) * (len(families) - 1) // 2 else labels
@@ -140,14 +142,21 @@ def fit(texts: list[str], langs: list[str]) -> Model:
     return Model(known, pairs, weights, bias)
 
 
-def train(docs: DataFrame, per_lang: int = 400, training=None) -> Model:
-    """Fit on about ``per_lang`` documents of each non-null language; ``training`` is a condition on doc_id."""
-    rows = plain(docs, doc_id=F.col("doc_id").cast("bigint"), text=F.col("text"), lang=F.col("lang").cast("string")).where("text is not null and lang is not null and doc_id is not null")
+def train(docs: DataFrame, per_lang: int = 400, training=None, max_chars: int = 100_000, max_pairs: int = 1000) -> Model:
+    """Fit on at most ``per_lang`` documents of each non-null language, of at most ``max_chars`` characters each.
+
+    ``training`` is a condition on doc_id.  Null ids take no part, longer texts only in
+    prediction.  Rows that share a doc_id are rows of their own.  More than ``max_pairs``
+    duels (weights of 256 kB each) are an error.  An empty table gives a model that knows no
+    language.
+    """
+    rows = plain(docs, doc_id=F.col("doc_id").cast("bigint"), text=F.col("text"), lang=F.col("lang").cast("string"))
+    rows = rows.where("text is not null and lang is not null and doc_id is not null").where(F.length("text") <= max_chars)
     if training is not None:
         rows = rows.where(training)
-    sample = bounded_sample(rows, F.col("lang"), per_lang, F.col("doc_id")).select("doc_id", "lang", "text").collect()
+    sample = bounded_sample(rows, "lang", per_lang, "doc_id", "text").collect()
     sample.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
-    return fit([r["text"] for r in sample], [r["lang"] for r in sample])
+    return fit([r["text"] for r in sample], [r["lang"] for r in sample], max_pairs)
 
 
 def held_out_condition():
@@ -156,7 +165,11 @@ def held_out_condition():
 
 
 def predict_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """``(doc_id, lang_pred, score)`` of every row; ``und`` and 0 where the text is null or has no letter."""
+    """``(doc_id, lang_pred, score)`` of every row; ``und`` and 0 where the text is null or has no letter.
+
+    Repeated rows and ids are predicted one by one; of languages that win as many duels with
+    the same certainty the first in code-point order wins.  An empty table gives an empty result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
