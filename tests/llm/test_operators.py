@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -198,6 +199,7 @@ def test_embeddings(spark):
     frame = spark.createDataFrame(rows + odd + [rows[1]], "vec_id bigint, embedding array<float>, label int")
     got = embed_dedup.near_duplicates(frame).collect()
     assert len(got) == len(rows) + len(odd) + 1
+    rows.append(rows[1])  # a repeated row is one more vector
     ids = [i for i, _, label in rows if label is not None]
     x = np.array([v for _, v, label in rows if label is not None])
     x /= np.linalg.norm(x, axis=1)[:, None]
@@ -215,6 +217,30 @@ def test_embeddings(spark):
     assert embed_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_embeddings_under_one_id(spark):
+    """Different vectors that share a vec_id are all compared; a component of null ids alone has none."""
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [0.0, 2.0], 1), (3, [3.0, 0.0], 1), (None, [-1.0, 0.0], 1), (None, [-2.0, 0.0], 1)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = sorted((r["vec_id"] or 0, r["n_links"], r["component_id"] or 0, r["kept"]) for r in embed_dedup.near_duplicates(frame).collect())
+    assert got == [(0, 1, 0, True), (0, 1, 0, True), (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]
+
+
+def test_embeddings_do_not_depend_on_partitions(spark):
+    """Cuts between partitions part no pair, whatever their number."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = np.concatenate([x, partner(rng, x[:500], 0.94), np.repeat(x[:20], 4, axis=0)])
+    units = spark.createDataFrame([(i, "1", v.tolist(), 4) for i, v in enumerate(rows)], "node bigint, label string, unit array<double>, passes int")
+    found = [
+        {tuple(r) for r in embed_dedup.candidate_links(units, 0.93, 8, 64, 5, size).collect()}
+        for size in (1 << 30, 2080 * 16 * 8 * 4 // 4, 2080 * 16 * 8 * 4 // 32, 2080 * 16 * 8 * 4 // 211)
+    ]
+    # a run of one sign string that a cut divides can only add comparisons
+    assert all(found[0] <= f for f in found) and max(map(len, found)) <= 1.01 * len(found[0])
+    assert all((rows[u] @ rows[v] >= 0.93 - 1e-12) and u < v for u, v in found[-1])
+
+
 def partner(rng, x, cosine):
     y = rng.normal(size=x.shape)
     y -= (y * x).sum(1, keepdims=True) * x
@@ -329,13 +355,47 @@ def test_feistel_permutes(spark, a, b):
 
 
 def test_quality_statistics():
-    base, features = quality.statistics("a b c a b c d\nx #$ y\n\n a b\nx #$ y")
+    given = ["a b c a b c d\nx #$ y\n\n a b\nx #$ y", "", "a b", "a b c a b c d\nx #$ y"]
+    bases, features = quality.statistics(given)
+    base = bases[0].tolist()
     found = re.findall(r"\S+", "a b c a b c d\nx #$ y\n\n a b\nx #$ y")
     windows = [tuple(found[i : i + 3]) for i in range(len(found) - 2)]
     covered = {j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(i, i + 3)}
-    assert base == [len(found), sum(map(len, found)), 4, 1, len(covered)] and len(features) == len(quality.FEATURES)
-    assert quality.statistics(None)[0] == quality.statistics("")[0] == [0] * 5
+    assert base == [len(found), sum(map(len, found)), 4, 1, len(covered)] and features.shape == (4, len(quality.FEATURES))
+    assert bases[1].tolist() == [0] * 5 and bases[2].tolist() == [2, 2, 0, 0, 0] and bases[3][4] == 6
+    assert quality.statistics([])[0].shape == (0, 5)
+
 
+def test_quality_statistics_by_brute_force():
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("a b c\n#\x1c\x85 Éé9.") for _ in range(rng.randrange(60))) for _ in range(300)]
+    for text, base in zip(texts, quality.statistics(texts)[0].tolist()):
+        found = re.findall(r"[^\x20\x09-\x0D]+", text)
+        windows = [tuple(found[i : i + 3]) for i in range(len(found) - 2)]
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        covered = {j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(i, i + 3)}
+        assert base == [len(found), sum(map(len, found)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)]
+
+
+def test_samples_are_bounded(spark):
+    """However often a row is repeated and whatever its id, no more than asked for is drawn; small labels are whole."""
+    from weftline.llm.common import bounded_sample
+
+    frame = spark.range(20_000).select(F.lit(7).alias("doc_id"), F.lit("same").alias("text"), F.lit("a").alias("label"))
+    more = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"), F.when(F.col("id") < 30, "b").otherwise("c").alias("label"))
+    drawn = bounded_sample(frame.union(more), "label", 400, "doc_id", "text")
+    assert {r["label"]: r["count"] for r in drawn.groupBy("label").count().collect()} == {"a": 400, "b": 30, "c": 400}
+    assert sorted(drawn.collect()) == sorted(drawn.repartition(3).collect())
+    with pytest.raises(ValueError):
+        bounded_sample(more, "text", 4, "doc_id", max_labels=10)
+
+
+def test_long_labelled_texts_are_scored_but_not_learned(spark):
+    rows = [(i, words(30, i) + " snarfle snarfled" * (i % 2)) for i in range(60)] + [(100, "snarfle " * 2_000_000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(100, 0)], "doc_id bigint, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_documents(frame, toxicity.train(frame, labels)).collect()}
+    assert got[100] == 1 and sum(got[i] == i % 2 for i in range(60)) >= 54
 
 def test_quality_forest(spark, docs, no_docs):
     rng = np.random.default_rng(1)
@@ -413,6 +473,61 @@ def test_html(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def test_html_ratios_overrule_names():
+    """All the text of a page under a name like an advert's is its text; next to nothing inside of an article goes."""
+    story = "".join(f"<p>{words(60, i)}, and {words(20, i)}.</p>" for i in range(8))
+    assert html_extract.main_text(f"<body><p>Go</p><div class=widget>{story}</div></body>").count("\n") == 7
+    inside = html_extract.main_text(f"<body><article><div><div><section>{story}</section></div></div><div class=box><a href=x>More</a></div></article></body>")
+    assert inside.count("\n") == 7 and "More" not in inside
+
+
+def test_html_scores_by_brute_force():
+    """Path sums, smoothing and threshold against the definition, path by path and pair by pair."""
+    rng = random.Random(4)
+    for _ in range(40):
+        source = "<body>"
+        for _ in range(rng.randrange(1, 25)):
+            source += rng.choice(["<div>", "<div class=a>", "</div>", "<section>", "</section>", "<p>", "</p>", "<div class=ad>", "<article>", "</article>"])
+            source += rng.choice(["", words(rng.randrange(1, 30), rng.randrange(99)) + rng.choice(["", ".", ", x."])])
+        page = html_extract.parsed(source)
+
+        def names(i):
+            return [] if i <= 0 else [*names(page.paths[i].parent), page.paths[i].label]
+
+        own = [i for i, p in enumerate(page.paths) if p.blocks]
+        chain = {i: names(i) for i in own}
+        base = 0
+        while own and all(len(chain[i]) > base and chain[i][: base + 1] == chain[own[0]][: base + 1] for i in own):
+            base += 1
+        below = {i: chain[i][base:] for i in own}
+
+        def common(a, b):
+            return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+        def smooth(kind):
+            total = {}
+            for i in own:
+                total[i] = sum(getattr(page.paths[j], kind) * ((common(below[i], below[j]) / len(below[j])) ** 2 if below[j] else i == j) for j in own)
+            return total
+
+        length, marks = smooth("chars"), smooth("punctuation")
+        score = {}
+        for i in own:
+            p = page.paths[i]
+            fused = length[i] / max(length.values()) * (1 + (marks[i] / max(marks.values()) if max(marks.values()) else 1)) / 2
+            score[i] = fused * (1 / 32 if p.aside else 1) * (8 if p.content else 1)
+        expected = {i for i in own if score[i] >= 0.125 * min(1, max(score.values())) * (1 - 1e-9)}
+        close = {i for i in own if abs(score[i] / (0.125 * min(1, max(score.values()))) - 1) < 1e-9}
+        assert html_extract.chosen(page.paths) | close == expected | close
+
+
+def test_html_deep_pages():
+    start = time.perf_counter()
+    html_extract.main_text("<div>" * 4000 + "text." + "</div>" * 4000)
+    html_extract.main_text("".join(f"<div>some text {i}, yes.</b>" for i in range(4000)))
+    assert time.perf_counter() - start < 2
+
+
 def test_chat_query_against_sql(spark, sf_dir):
     import duckdb
 
