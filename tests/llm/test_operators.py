@@ -276,7 +276,7 @@ def test_chat_tables(spark, sf_dir):
     got = {r["conv_id"]: r for r in done.select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"), chat.masked_text(F.col("formatted"), F.col("mask")).alias("loss")).collect()}
     expected = defaultdict(list)
     for c, t, r, x in sorted(rows, key=lambda r: (r[1] is None, r[1] or 0)):
-        expected[c].append(((r or "").replace("\n", " "), x or ""))
+        expected[c].append((r or "", x or ""))
     for c, turns in expected.items():
         assert [tuple(t) for t in got[c]["turns"]] == turns
         assert got[c]["loss"] == "".join(x for r, x in turns if r == "assistant")
@@ -322,6 +322,55 @@ PERSONAL = ["ann.Lee-99@mail7.example.com", "DE89 3704 0044 0532 0130 00", "GB82
 HARMLESS = ["4111111111111112", "DE88370400440532013000", "2021-02-30", "1.2.3", "300.1.2.3", "000-12-3456", "version 10.4", "call 555", "a@b", "9b0b3c6a43eb78aa99cbd7049c572391524f37a8", "31/02/2020"]
 
 
+def test_chat_log_folds_back(spark, sf_dir):
+    """Deltas, edits and regenerations occur, and the log says what the table of turns says."""
+    rows = [(c, t, random.Random(c * 9 + t).choice(["user", "assistant", "us\ner", None]), words(c + t, t) if t % 4 else None) for c in range(8) for t in range(9)]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    events = chat.streamed_events(frame)
+    assert {r["kind"] for r in events.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    plain = chat.format_conversations(frame).collect()
+    assert sorted(plain) == sorted(chat.format_log(events).collect())
+    assert chat.format_log(chat.streamed_events(frame.limit(0))).count() == 0
+
+
+def feistel_plainly(a, b, left, right, tweak, key):
+    for i in range(pii.ROUNDS):
+        by, size, x = (right, a, left) if i % 2 == 0 else (left, b, right)
+        digest = hashlib.sha256(f"{key}|{tweak}|{i}|{by}".encode()).hexdigest()
+        moved = (x + int(digest[:15], 16) % size) % size
+        left, right = (moved, right) if i % 2 == 0 else (left, moved)
+    return left, right
+
+
+def test_feistel_by_brute_force(spark):
+    """Digit strings of any length against plain Python."""
+    rng = random.Random(12)
+    given = ["".join(rng.choice("0123456789") for _ in range(n)) for n in range(1, 37) for _ in range(3)]
+    frame = spark.createDataFrame([(d,) for d in given], "d string")
+    for r in frame.select("d", pii.permuted_digits(F.col("d"), F.lit("t"), "k").alias("p")).collect():
+        d, u = r["d"], len(r["d"]) // 2
+        v = len(d) - u
+        left, right = feistel_plainly(10**u, 10**v, int(d[:u] or 0), int(d[u:]), f"t:{len(d)}", "k")
+        assert r["p"] == (f"{left:0{u}d}" if u else "") + f"{right:0{v}d}"
+
+
+def test_phone_pseudonyms_ignore_punctuation(spark):
+    pairs = [("+44 20 7946 0958", "+442079460958"), ("+49 (30) 901820-11", "+493090182011"), ("+1 (826) 555-4081", "+1.826.555.4081"), ("+352 26 12 34 56", "+35226123456")]
+    frame = spark.createDataFrame([(i, x) for i, p in enumerate(pairs) for x in p], "doc_id bigint, text string")
+    got = defaultdict(set)
+    for r in pii.pseudonymised(frame, "k").collect():
+        got[r["doc_id"]].add(re.sub(r"\D", "", r["text"]))
+        assert r["text"] not in pairs[r["doc_id"]]
+    assert all(len(x) == 1 for x in got.values())
+
+
+def test_simhash_sets_meet_all_pairs():
+    """Whatever three bytes differ, one set of positions has none of them."""
+    from itertools import combinations
+
+    assert all(any(not set(s) & set(bad) for s in simhash.POSITIONS) for bad in combinations(range(8), 3))
+
+
 def test_pii(spark, docs, no_docs):
     texts = [f"x {v}, y" for v in PERSONAL + HARMLESS] + ["+1 (826) 555-4081 190.137.223.204 ann.Lee-99@mail7.example.com.", "4111-1111-1111-1111 4111111111111111", "ANN.lee-99@mail7.example.com", None, "", "no data", "é 4111111111111111 \U0001f600 (017) 555-7713 " + words(20000)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("gap", F.lit(1)).withColumn("hit", F.lit(1))

@@ -138,7 +138,8 @@ def encode(
     doc_id: str = "doc_id",
     text: str = "text",
     output: str = "ids",
-    shards: int = 512,
+    shards: int | None = None,
+    known_words: int = 1_000_000,
     block_words: int = 200_000,
     block_size: int = 6_000_000,
 ) -> DataFrame:
@@ -147,9 +148,12 @@ def encode(
     ``output`` is ``ids`` for ``(doc_id, n_tokens, ids array<int>)``, ``digest`` for
     ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``, ``both`` for all of these.  Rows stay
     rows: repeated and null doc_ids are kept apart.  A block ends at ``block_words`` distinct
-    words or ``block_size`` pre-tokens, which bounds the memory of a task.
+    words or ``block_size`` pre-tokens, which bounds the memory of a task.  Words are dealt to
+    ``shards`` (by default the session's shuffle partitions, 512 at least), each of which
+    remembers at most ``known_words`` encoded words at a time.
     """
     spark = docs.sparkSession
+    shards = shards or max(512, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = spark.sparkContext.broadcast(ranks)  # bounded by the vocabulary: some 50,000 tokens
     source = plain(docs, doc_id=F.col(doc_id).cast("bigint"), text=F.col(text))
 
@@ -192,6 +196,8 @@ def encode(
                 for a, b in zip([0, *ends], ends):
                     word = words[a:b]
                     if word not in known:
+                        if len(known) >= known_words:
+                            known.clear()  # forgotten words are encoded again
                         known[word] = engine.encode_ordinary(word.decode("utf-8", "surrogatepass"))
                     ids.append(known[word])
                 out.append((row["block"], row["check"], row["codes"], _pack(np.fromiter(map(len, ids), np.uint32, len(ids))), _pack(np.array([i for x in ids for i in x], np.uint32))))

@@ -7,8 +7,8 @@ final messages, which are rendered by a template:
 
     <|turn|>role NEWLINE text <|end|> NEWLINE
 
-Control strings inside roles and texts are broken by an escape that reading undoes, so that
-no text can open or close a turn.
+Control strings inside roles and texts, and line breaks inside roles, are broken by an escape
+that reading undoes, so that no text can open or close a turn.
 """
 
 from __future__ import annotations
@@ -35,8 +35,16 @@ def escaped(text: Column) -> Column:
     return F.regexp_replace(F.replace(text, F.lit(ESCAPE), F.lit(ESCAPE + "e")), _STARTS, f"$1{ESCAPE}c")
 
 
+def escaped_role(role: Column) -> Column:
+    """As ``escaped``, and on one line: the template ends a role by a line break."""
+    return F.replace(escaped(role), F.lit("\n"), F.lit(ESCAPE + "n"))
+
+
 def unescaped(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit(ESCAPE + "c"), F.lit("")), F.lit(ESCAPE + "e"), F.lit(ESCAPE))
+    """The inverse of both: an escape of a text is always followed by the letter that says what it stands for."""
+    for mark, meant in (("c", ""), ("n", "\n"), ("e", ESCAPE)):
+        text = F.replace(text, F.lit(ESCAPE + mark), F.lit(meant))
+    return text
 
 
 def folded(events: DataFrame) -> DataFrame:
@@ -70,7 +78,7 @@ def rendered(messages: DataFrame) -> DataFrame:
     points, start from 0: what training takes its loss from.  A conversation is one string,
     so it must fit a row.
     """
-    head = F.concat(F.lit(TURN), escaped(F.col("role")), F.lit("\n"))
+    head = F.concat(F.lit(TURN), escaped_role(F.col("role")), F.lit("\n"))
     turn = messages.select("conv_id", "message", "role", head.alias("head"), escaped(F.col("text")).alias("body"))
     before = Window.partitionBy("conv_id").orderBy("message").rowsBetween(Window.unboundedPreceding, -1)
     size = F.length("head") + F.length("body") + len(END) + 1
@@ -97,16 +105,63 @@ def masked_text(formatted: Column, mask: Column) -> Column:
     return F.array_join(F.transform(mask, lambda s: unescaped(F.substr(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
 
 
+def _numbered_turns(rows: DataFrame, conv_id: str, turn: str, role: str, text: str) -> DataFrame:
+    """``(conv_id, message, role, text)``: by turn (nulls last), then role and text, so that tied rows stay rows; nulls are empty."""
+    none = F.lit("")
+    rows = rows.select(
+        F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"),
+        F.coalesce(F.col(role), none).alias("role"), F.coalesce(F.col(text), none).alias("text"),
+    )
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), "role", "text")
+    return rows.select("conv_id", F.row_number().over(order).cast("bigint").alias("message"), "role", "text")
+
+
 def turn_events(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """A log of message events from a table of turns: by turn (nulls last), then role and text, so that tied rows stay rows.
+    """A log of one message event for each row of a table of turns."""
+    rows = _numbered_turns(rows, conv_id, turn, role, text)
+    return rows.select("conv_id", F.col("message").alias("seq"), F.lit("message").alias("kind"), "message", "role", "text")
 
-    Line breaks in a role become spaces, as the template ends roles by one.
+
+def streamed_events(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """A log as a chat service writes it, which folds back to the table of turns.
+
+    Every text arrives as a message event with its first third and two deltas.  Every third
+    message first has other words that an edit replaces; every second answer is written
+    twice, the first one taken back by a regeneration.
     """
-    rows = rows.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.translate(F.coalesce(F.col(role), F.lit("")), "\n", " ").alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    number = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), "role", "text")).cast("bigint")
-    return rows.select("conv_id", number.alias("seq"), F.lit("message").alias("kind"), number.alias("message"), "role", "text")
+    rows = _numbered_turns(rows, conv_id, turn, role, text)
+    third = F.floor(F.length("text") / 3).cast("int")
+    parts = [F.substr("text", F.lit(1), third), F.substr("text", third + 1, third), F.substr("text", 2 * third + 1, F.length("text"))]
+    edited = F.col("message") % 3 == 1
+    again = (F.col("role") == "assistant") & (F.col("message") % 2 == 0)
+
+    def event(seq: int, kind: str, text: Column, when: Column = F.lit(True)) -> Column:
+        return F.when(when, F.struct(F.lit(seq).alias("step"), F.lit(kind).alias("kind"), text.alias("text")))
+
+    events = F.array(
+        event(0, "message", F.lit("An answer that is"), again),
+        event(1, "delta", F.lit(" taken back <|end|>"), again),
+        event(2, "regenerate", F.lit(""), again),
+        event(3, "message", F.when(edited, "words that go").otherwise(parts[0])),
+        event(4, "delta", F.lit(" with this"), edited),
+        event(5, "edit", parts[0], edited),
+        event(6, "delta", parts[1]),
+        event(7, "delta", parts[2]),
+    )
+    steps = rows.select("conv_id", "message", "role", F.explode(F.filter(events, lambda e: e.isNotNull())).alias("e"))
+    seq = F.col("message") * 8 + F.col("e.step")
+    return steps.select("conv_id", seq.alias("seq"), "e.kind", "message", "role", "e.text")
+
+
+def format_log(events: DataFrame) -> DataFrame:
+    """``(conv_id, formatted, mask)`` of a log of events (see ``folded``)."""
+    return rendered(folded(events))
 
 
 def format_conversations(rows: DataFrame, **columns: str) -> DataFrame:
-    """``(conv_id, formatted, mask)`` of a table of turns."""
-    return rendered(folded(turn_events(rows, **columns)))
+    """``(conv_id, formatted, mask)`` of a table of turns.
+
+    Repeated rows are turns of their own, null conversations are one conversation, null roles
+    and texts are empty, an empty table gives an empty result.
+    """
+    return format_log(turn_events(rows, **columns))

@@ -89,9 +89,15 @@ def tilts(cells: DataFrame, goals: DataFrame, cap: float = 3.0, tolerance: float
         state = state.drop("error")
         if worst is None or worst <= tolerance:
             break
+    else:
+        raise RuntimeError(f"no convergence in {most} iterations: relative error {worst}")
     return state.drop("low", "high")
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def with_copies(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", cycle: int = 3, cap: float = 3.0, keep: bool = False) -> DataFrame:
     """Every row with ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` = copies * size.
 
@@ -112,7 +118,7 @@ def with_copies(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
     rated = rated.withColumn("start", phase + F.coalesce(F.sum(F.col("n") * F.col("part")).over(along), F.lit(0.0)))
     earlier = Window.partitionBy("key", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("earlier", F.coalesce(F.sum("m").over(earlier), F.lit(0))).join(rated.select("key", "size", "whole", "part", "start", "source_size", "target"), ["key", "size"])
-    rows = docs.select(*names, F.struct(*[docs[c] for c in docs.columns]).alias("row")).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")) if keep else sized
+    rows = docs.select(*names, F.struct(*[F.col(_quoted(c)) for c in docs.columns]).alias("row")).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")) if keep else sized
     place = F.row_number().over(Window.partitionBy("key", "size", "salt").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")) - 1
     ranked = rows.withColumn("place", place).join(parts, ["key", "size", "salt"])
     at = F.col("start") + (F.col("earlier") + F.col("place")) * F.col("part")

@@ -33,7 +33,7 @@ PATTERNS = {
 }
 ROUNDS = 8
 POWERS_10 = [10**k for k in range(19)]
-POWERS_26 = [26**k for k in range(14)]
+POWERS_26 = [26**k for k in range(13)]
 #: The Gregorian calendar repeats after 400 years: 146,097 = 189 * 773 days.
 EPOCH, DAYS = "1800-01-01", (189, 773)
 
@@ -48,7 +48,7 @@ def _power(table: list[int], k: Column) -> Column:
 
 
 def feistel(a: Column, b: Column, left: Column, right: Column, tweak: Column, key: str) -> Column:
-    """A permutation of Z_a x Z_b (each up to 26**13): struct<left, right> of the permuted value."""
+    """A permutation of Z_a x Z_b (each up to 10**18, below the 60 bits of a shift): struct<left, right> of the permuted value."""
 
     def shifted(x: Column, by: Column, i: Column, size: Column) -> Column:
         digest = F.sha2(F.concat_ws("|", F.lit(key), tweak, i.cast("string"), by.cast("string")), 256)
@@ -96,7 +96,7 @@ def _number(letters: Column) -> Column:
 
 
 def permuted_letters(letters: Column, tweak: Column, key: str) -> Column:
-    """A permutation of the strings over a-z of each length, 26 letters at a time."""
+    """A permutation of the strings over a-z of each length, 24 letters at a time."""
 
     def chunk(x: Column, nth: Column) -> Column:
         def body(d: Column) -> Column:
@@ -108,7 +108,7 @@ def permuted_letters(letters: Column, tweak: Column, key: str) -> Column:
 
         return let(x, body)
 
-    parts = F.regexp_extract_all(letters, F.lit("[a-z]{1,26}"), F.lit(0))
+    parts = F.regexp_extract_all(letters, F.lit("[a-z]{1,24}"), F.lit(0))
     return F.array_join(F.transform(parts, chunk), "")
 
 
@@ -222,9 +222,13 @@ def _card(x: Column, key: str) -> Column:
     return let(_digits(x), body)
 
 
+#: Country calling codes of one and two digits; all others have three (fixed values).
+CALLING_CODES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+
+
 def _phone(x: Column, key: str) -> Column:
-    # the country code stays: what stands before the first separator, or one digit after "+"
-    code = F.coalesce(F.nullif(F.regexp_extract(x, r"^(\+\d{1,3})(?=[ .(-])", 1), F.lit("")), F.nullif(F.regexp_extract(x, r"^(\+\d)", 1), F.lit("")), F.regexp_extract(x, r"^(1[ .-])", 1))
+    # the country code stays, found by its digits so that punctuation makes no difference
+    code = F.coalesce(F.nullif(F.regexp_extract(x, rf"^(\+(?:{CALLING_CODES}|\d{{3}}))", 1), F.lit("")), F.regexp_extract(x, r"^(1[ .-])", 1))
 
     def body(rest: Column) -> Column:
         n = F.length(_digits(rest))
@@ -261,7 +265,10 @@ def pseudonymised(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str =
     """``(doc_id, text, n_values)`` of every row.
 
     n_values counts the values replaced.  Null texts stay null with 0 values, texts without
-    personal data stay as they are.  Only texts with two digits or @ are searched.
+    personal data stay as they are.  Only texts with two digits or @ are searched.  Rows stay
+    rows, repeated and null ids among them; an empty table gives an empty result.  Dates with
+    names of months or two-digit years or outside the years 1800 to 2199, IPv6 addresses,
+    phone numbers without + or separators and the domains of e-mail addresses stay.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), _searched(F.col(text), key).alias("done"))
     return rows.select("doc_id", F.coalesce("done.text", "text").alias("text"), F.coalesce("done.n", F.lit(0)).cast("bigint").alias("n_values"))

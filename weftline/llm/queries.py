@@ -67,9 +67,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as a log of messages, deltas, edits and regenerations, folded, rendered and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], "conv_id bigint, turn bigint, role string, text string")
-    done = chat.format_conversations(rows.unionByName(extra)).select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"), chat.masked_text(F.col("formatted"), F.col("mask")).alias("loss"))
+    said = f"'{CONTROL_TEXT}'"
+    extra = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', {said}), (-7L, 1L, 'assistant', {said}) AS t(conv_id, turn, role, text)")
+    done = chat.format_log(chat.streamed_events(rows.unionByName(extra)))
+    loss = chat.masked_text(F.col("formatted"), F.col("mask"))
+    done = done.select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"), loss.alias("loss"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return done.select(
         "conv_id",
@@ -87,10 +91,10 @@ def _added(column: str) -> str:
     return f"(2 * ({times}) + length({column}) - length(replace({column}, '{chat.ESCAPE}', '')))"
 
 
-ORACLE_SQL["op8_chat_format"] = f"""WITH c AS (SELECT conv_id, turn, replace(coalesce(role, ''), chr(10), ' ') AS role, coalesce(text, '') AS text FROM conversations
+ORACLE_SQL["op8_chat_format"] = f"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
 UNION ALL SELECT -7, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_TEXT}'),
 g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text) AS said, coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
-sum({len(chat.TURN) + len(chat.END) + 2} + length(role) + {_added("role")} + length(text) + {_added("text")}) AS formatted_chars FROM c GROUP BY conv_id)
+sum({len(chat.TURN) + len(chat.END) + 2} + length(role) + {_added("role")} + length(role) - length(replace(role, chr(10), '')) + length(text) + {_added("text")}) AS formatted_chars FROM c GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars FROM g"""
 
 

@@ -2,11 +2,13 @@
 
 A fingerprint has eight bytes.  Two fingerprints that differ in at most ``max_bits`` = 3 bits
 agree in at least 5 of the 8 byte positions (the guaranteed minimum).  The index posts every
-distinct fingerprint under (positions, bytes) for the eight three-position sets that lie
-inside one half of the fingerprint: five matching positions put three or more of them into
-one half, so each pair within reach meets in at least one posting list.  Within a list the
-matching bytes of a pair are tallied over all eight positions, pairs below the minimum go,
-and the rest are verified bit by bit.
+distinct fingerprint under (positions, bytes) for the 14 sets of four positions whose numbers
+have the exclusive or 0.  Every three positions lie in one of these sets, and the other four
+positions of such a set are a set, too; so whatever three positions differ, the pair meets
+in the list of a set that has none of them.  Lists have keys of 32 bits, so chance meetings
+stay rare up to billions of fingerprints.  Within a list the matching bytes of a pair are
+tallied over all eight positions, pairs below the minimum go, and the rest are verified bit
+by bit.
 
 A list is walked from neighbour to neighbour: a member that has been reached leaves the list,
 so a cluster of k fingerprints gives k - 1 links and not k * k.  The links of a list connect
@@ -28,9 +30,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from weftline.llm.common import ASCII_LOWER, WORD, checkpointed, plain, text_chunks
 from weftline.llm.components import connected_components
 
-#: Three-position sets inside the halves 0-3 and 4-7.
-POSITIONS = [*combinations(range(4), 3), *combinations(range(4, 8), 3)]
-MIN_BYTES = 5
+#: The four-position sets of the index.
+POSITIONS = [s for s in combinations(range(8), 4) if s[0] ^ s[1] ^ s[2] ^ s[3] == 0]
 MAX_BITS = 3
 
 
