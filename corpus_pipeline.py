@@ -7,7 +7,6 @@ Parquet and read again as the next one's ``docs``.  All but the last return the
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import public_tokenizers
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import bpe, mixing, pii, simhash, toxicity
-from weftline.llm.common import checkpointed, table
+from weftline.llm.common import checkpointed, shared_folder, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 PII_KEY = "example key"
@@ -48,18 +47,27 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data replaced by pseudonyms; n_chars is that of the new text."""
-    text = pii.replaced_text(F.col("text"), PII_KEY)
-    return docs.select(*COLUMNS).withColumn("text", text).withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars")))
+    """Texts with personal data replaced by pseudonyms; n_chars is that of the new text.
+
+    Null texts stay null and keep their n_chars; an empty table gives an empty one.
+    """
+    rows = docs.select(*COLUMNS).withColumn("text", pii.replaced_text(F.col("text"), PII_KEY))
+    return rows.withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix takes them; without those that it takes no copy of."""
+    """The documents as often as the mix takes them; without those that it takes no copy of.
+
+    Null sources are one source, null texts have no words and stay; an empty table gives an empty one.
+    """
     return mixing.mixed(docs.select(*COLUMNS))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with digests of the ids and of the bytes that they decode to."""
+    """Token ids of every document, with digests of the ids and of the bytes that they decode to.
+
+    Null texts are encoded as empty ones; rows stay rows; an empty table gives an empty result.
+    """
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.encode(docs, ranks, public_tokenizers.PATTERN, output="both")
 
@@ -78,8 +86,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what lies between them is written to the shared folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftline-pipeline-")
-    folder = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
