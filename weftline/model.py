@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -117,11 +117,19 @@ def records_of(df: DataFrame) -> DataFrame:
     return df.select(*[(F.col(n) if n in df.columns else default.get(n, F.lit(None))).cast(t).alias(n) for n, t in RECORD_FIELDS.items()])
 
 
-def diagnostics_of(df: DataFrame, origin: str, code: str, field: str | None = None, severity: str | None = None, event_id: Column | None = None) -> DataFrame:
-    """One diagnostic for each row of df (which has rid, record_id and, for events, event_id)."""
-    default, message = CODES.get(code, ("info", code))
+def diagnostics_of(
+    df: DataFrame, origin: str, code: str | Column, field: str | None = None, severity: str | None = None, event_id: Column | None = None
+) -> DataFrame:
+    """One diagnostic for each row of df (which has rid, record_id and, for events, event_id); a Column can give each row its own code."""
+    if isinstance(code, Column):
+        known = lambda i: F.create_map(*[F.lit(x) for c, v in CODES.items() for x in (c, v[i])])[code]
+        default, message = known(0), known(1)
+    else:
+        default, message = map(F.lit, CODES.get(code, ("info", code)))
+        code = F.lit(code)
     at = event_id if event_id is not None else F.col("event_id") if "event_id" in df.columns else null_of("string")
-    values = {"rid": F.col("rid"), "record_id": F.col("record_id"), "pass": F.lit(origin), "code": F.lit(code), "severity": F.lit(severity or default), "event_id": at, "field": F.lit(field), "message": F.lit(message)}
+    values = {"rid": F.col("rid"), "record_id": F.col("record_id"), "pass": F.lit(origin), "code": code, "event_id": at, "field": F.lit(field)}
+    values |= {"severity": F.lit(severity) if severity else default, "message": message}
     return df.select(*[values[n].cast(t).alias(n) for n, t in DIAGNOSTIC_FIELDS.items()])
 
 
@@ -129,6 +137,24 @@ def no_diagnostics(like: DataFrame) -> DataFrame:
     return like.sparkSession.createDataFrame([], ", ".join(f"`{n}` {t}" for n, t in DIAGNOSTIC_FIELDS.items()))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; a temporary one where that is unset and the master is local, else an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="weftline-")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The same rows, read from the folder in spark.checkpoint.dir."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 @dataclass(frozen=True)
 class Trajectories:
     records: DataFrame
@@ -143,12 +169,9 @@ class Trajectories:
         return replace(self, records=self.records if records is None else records, events=self.events if events is None else events, diagnostics=added)
 
     def settled(self) -> Trajectories:
-        """The same with its lineage cut: written to the folder in spark.checkpoint.dir (one of our own only if none is set).
+        """The same with its lineage cut: written to the folder in spark.checkpoint.dir.
 
         Passes read events and records several times each; without a cut now and then, the
         plan of a long list of passes grows as a power of its length.
         """
-        sc = self.events.sparkSession.sparkContext
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(self.events.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftline-"))
-        return Trajectories(self.records.checkpoint(), self.events.checkpoint(), self.diagnostics.checkpoint())
+        return Trajectories(checkpointed(self.records), checkpointed(self.events), checkpointed(self.diagnostics))

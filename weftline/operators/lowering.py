@@ -97,6 +97,7 @@ def _prepared(events: DataFrame, target: _Target, ctx: Context) -> DataFrame:
     if ctx.content_fallback:
         observed = F.coalesce(observed, _given(X.content_text(F.col("content"))))
     df = events.select("rid", "record_id", "ep_pos", "pos", "event_id", "event_type", "action", "observation", X.content_text(F.col("content")).alias("text"), observed.alias("observed"), usable.isNull().alias("id_missing"), F.coalesce(call_id, result_id).alias("key"), F.struct("ep_pos", "pos").alias("at"))
+    df = df.repartition("rid")  # serves the windows here and the grouping by record after them
     same = Window.partitionBy("rid", "key")
     before = same.orderBy("ep_pos", "pos").rowsBetween(Window.unboundedPreceding, -1)
     answer = F.max_by(F.struct(F.coalesce("observed", F.lit("")).alias("text"), "observation"), F.when(_is("tool_result"), F.col("at"))).over(same)

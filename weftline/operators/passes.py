@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from weftline.functions import text as X
-from weftline.model import SCHEMAS, Trajectories, diagnostics_of, empty, events_of, null_of, struct_of, text_block, visible
+from weftline.model import EVENT_FIELDS, SCHEMAS, Trajectories, diagnostics_of, empty, events_of, null_of, struct_of, text_block, visible
 
 EPISODE = ("rid", "ep_pos")
 
@@ -158,8 +158,9 @@ def pair_tool_results(t: Trajectories) -> Trajectories:
         "observation": F.when(takes & o.isNotNull(), o.withField("metadata", put(o["metadata"]))).otherwise(o),
         "metadata": F.when(takes & o.isNull(), put(F.col("metadata"))).otherwise(F.col("metadata")),
     })
-    open_ = df.where("phase is null")
-    return t.with_(events=events_of(events), diagnostics=[diagnostics_of(open_.where(call), "pair-tool-results", "PAIR001"), diagnostics_of(open_.where(result), "pair-tool-results", "PAIR002")])
+    open_ = df.where(F.col("phase").isNull() & (call | result))
+    found = diagnostics_of(open_, "pair-tool-results", F.when(call, "PAIR001").otherwise("PAIR002"))
+    return t.with_(events=events_of(events), diagnostics=[found])
 
 
 def redact_reasoning(t: Trajectories, policy: str | None = "metadata_only") -> Trajectories:
@@ -207,23 +208,40 @@ def normalize_outcome(t: Trajectories) -> Trajectories:
 def slice_training(t: Trajectories, keep_non_trainable: bool = False) -> Trajectories:
     """Keep trainable events; drop calls all of whose results went, then results all of whose calls went; number anew.
 
-    Ids that an episode does not have count as gone; of repeated ids the last counts.
+    Ids that an episode does not have count as gone; of repeated ids the last counts.  Events
+    and a light row for each of their links are dealt by record once.  A window over an id
+    tells its links whether it lives on, a window over an event gathers the links' answers.
     """
     alive = F.lit(True) if keep_non_trainable else F.coalesce(F.col("visibility.trainable"), F.lit(True))
-    df = t.events.withColumn("__alive", alive)
-
-    def linked(df: DataFrame, links: str, types: tuple[str, ...]) -> DataFrame:
-        """``__alive`` false for events of the types whose links all lead to nothing alive."""
-        ids = df.groupBy(*EPISODE, F.col("event_id").alias("__to")).agg(F.max_by("__alive", "pos").alias("__to_alive"))
-        edges = df.where(F.col("event_type").isin(*types) & F.col("__alive") & (F.size(links) > 0)).select(*EPISODE, "pos", F.explode(links).alias("__to"))
-        kept = edges.join(ids, [*EPISODE, "__to"], "left").groupBy(*EPISODE, "pos").agg(F.bool_or(F.coalesce("__to_alive", F.lit(False))).alias("__kept"))
-        joined = df.join(kept, [*EPISODE, "pos"], "left")
-        return joined.withColumn("__alive", F.col("__alive") & F.coalesce("__kept", F.lit(True))).withColumn("__lost", F.when(~F.coalesce("__kept", F.lit(True)), F.lit("call" if types is CALLS else "result")).otherwise(F.col("__lost"))).drop("__kept")
-
-    df = linked(linked(df.withColumn("__lost", null_of("string")), "children", CALLS), "parents", RESULTS)
-    kept = df.where("__alive").withColumn("idx", F.row_number().over(in_order()).cast("bigint") - 1).withColumn("pos", F.col("idx"))
-    lost = [diagnostics_of(df.where(F.col("__lost") == x), "slice-training", f"slice-training:dropped-orphan-{x}") for x in ("call", "result")]
-    return t.with_(records=t.records.withColumn("level", F.lit("training")), events=events_of(kept), diagnostics=lost)
+    of = F.col("event_type")
+
+    def links(kind: int, column: str, types: tuple[str, ...]) -> Column:
+        ids = F.when(of.isin(*types), F.col(column)).otherwise(empty("array<string>"))
+        return F.transform(ids, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("id")))
+
+    own = F.array(F.struct(F.lit(0).alias("kind"), F.col("event_id").alias("id")))
+    names = [c for c in EVENT_FIELDS if c not in ("rid", "record_id", "ep_pos", "pos")]
+    rows = t.events.select(
+        "rid", "record_id", "ep_pos", "pos", alive.alias("__alive"), F.struct(*names).alias("__event"),
+        F.explode(F.concat(own, links(1, "children", CALLS), links(2, "parents", RESULTS))).alias("__x"),
+    )
+    kind = F.col("__kind")
+    rows = rows.select(
+        "rid", "record_id", "ep_pos", "pos", "__alive", F.col("__x.kind").alias("__kind"), F.col("__x.id").alias("__id"),
+        F.when(F.col("__x.kind") == 0, F.col("__event")).alias("__event"), null_of("string").alias("__lost"),
+    ).repartition("rid")
+    for phase, name in ((1, "call"), (2, "result")):
+        target = F.max_by("__alive", F.when(kind == 0, F.col("pos"))).over(Window.partitionBy(*EPISODE, "__id"))
+        rows = rows.withColumn("__kept", F.when(kind == phase, F.coalesce(target, F.lit(False))))
+        kept = F.coalesce(F.bool_or("__kept").over(Window.partitionBy(*EPISODE, "pos")), F.lit(True))
+        rows = rows.withColumn("__kept", kept).withColumn("__lost", F.when(F.col("__alive") & ~F.col("__kept"), name).otherwise(F.col("__lost")))
+        rows = rows.withColumn("__alive", F.col("__alive") & F.col("__kept")).drop("__kept")
+    done = rows.where(kind == 0).select("rid", "record_id", "ep_pos", "pos", "__alive", "__lost", "__event.*")
+    kept = done.where("__alive").withColumn("idx", F.row_number().over(in_order()).cast("bigint") - 1).withColumn("pos", F.col("idx"))
+    lost = diagnostics_of(done.where("__lost is not null"), "slice-training", F.concat(F.lit("slice-training:dropped-orphan-"), "__lost"))
+    # not in the table of codes: an information that says itself
+    lost = lost.withColumns({"severity": F.lit("info"), "message": F.col("code")})
+    return t.with_(records=t.records.withColumn("level", F.lit("training")), events=events_of(kept), diagnostics=[lost])
 
 
 def slice_metrics(before: Trajectories, after: Trajectories) -> DataFrame:

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,13 +9,9 @@ from weftline.functions import text as X
 from weftline.model import Trajectories
 from weftline.operators import lowering, passes
 from weftline.plans import pipeline
+from weftline.plans.catalogue import ORACLE_SQL, QUERIES, TURNS, query, table  # noqa: F401
 from weftline.plans.derived import D, conversation_rows, order_rows, rows_of, trajectories
 from weftline.sources import files, frontends, spec
-from weftline.streaming import convert as stream
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
 
 CALL = """<tool_call>{"name":"bash","arguments":{"k":1}}</tool_call>"""
 DIFF = """diff --git a/f b/f
@@ -31,26 +23,10 @@ DIFF = """diff --git a/f b/f
 """
 
 
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if oracle:
-            ORACLE_SQL[f.__name__] = oracle
-        return f
-
-    return add
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _parsed(spark: SparkSession, sf_dir: str, suffix: str = "''") -> Trajectories:
     return frontends.convert(conversation_rows(spark, sf_dir, suffix), "agenttrove")[0]
 
 
-TURNS = "c AS (SELECT conv_id AS rid, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, role, text FROM conversations)"
-
 # -- frontends ---------------------------------------------------------------------------
 
 
@@ -104,7 +80,7 @@ def q_native_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT doc_id AS rid, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS size_bytes FROM documents WHERE text <> ''""")
 def q_log_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("rid"), F.to_json(F.struct(F.col("text").alias("gitdiff"))).alias("raw"))
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("rid"), F.to_json(F.struct(F.col("text").alias("gitdiff"))).alias("raw"))
     return frontends.convert(rows, "claude-code")[0].records.select("rid", F.explode("artifacts").alias("a")).select("rid", "a.sha256", "a.size_bytes")
 
 
@@ -115,7 +91,7 @@ def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.when(F.col("event_id") % 3 == 0, "{bad").when(F.col("event_id") % 5 == 0, "[1]").otherwise(F.to_json(F.struct(F.array(F.struct(F.lit("user").alias("role"), F.col("event_type").alias("content"))).alias("messages"))))
-    return frontends.convert(_table(spark, sf_dir, "events").select(F.col("event_id").alias("rid"), raw.alias("raw")), "agenttrove")[1]
+    return frontends.convert(table(spark, sf_dir, "events").select(F.col("event_id").alias("rid"), raw.alias("raw")), "agenttrove")[1]
 
 
 @query("SELECT 'batch' AS stage, count(*) AS n FROM events WHERE event_id % 3 = 0 OR event_id % 5 = 0")
@@ -143,7 +119,7 @@ def q_xml_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id AS rid, 'b/f' AS file, 1 AS n_blocks FROM documents WHERE text IS NOT NULL")
 def q_patch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     diffs = passes.diff_blocks(F.concat(F.regexp_replace("text", r"(?m)^(diff --git|--- a/|[+\\ @-])", "_$1"), F.lit("\n" + DIFF + "after")))
-    return _table(spark, sf_dir, "documents").where("text is not null").select(F.col("doc_id").alias("rid"), diffs.alias("d")).select("rid", F.array_join(passes.written_files(F.array_join("d", "")), ",").alias("file"), F.size("d").alias("n_blocks"))
+    return table(spark, sf_dir, "documents").where("text is not null").select(F.col("doc_id").alias("rid"), diffs.alias("d")).select("rid", F.array_join(passes.written_files(F.array_join("d", "")), ",").alias("file"), F.size("d").alias("n_blocks"))
 
 
 @query(f"""WITH {TURNS}, a AS (SELECT rid, pos, row_number() OVER (PARTITION BY rid ORDER BY pos) - 1 AS k, max(pos) OVER (PARTITION BY rid) AS last FROM c), s AS (SELECT a.* FROM a JOIN c ON a.rid = c.rid AND a.pos = c.pos WHERE c.role = 'assistant'), n AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY pos) - 1 AS i FROM s),
@@ -179,7 +155,7 @@ def q_canonical_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {D} SELECT rid, pos, CASE tool WHEN 'bash' THEN 'generic_tool' ELSE 'generic_tool' END AS kind, 'workspace_write' AS effect FROM d WHERE event_type = 'tool_call'""")
-def q_native_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_nativetable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_of(spark, sf_dir).where("event_type = 'tool_call'").select("rid", "pos", passes.native_kind(F.col("tool")).alias("kind"), passes.native_effect(F.col("tool")).alias("effect"))
 
 
@@ -406,12 +382,12 @@ def q_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH n AS (SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS rid FROM conversations) SELECT CAST(floor(rid / 256) AS BIGINT) AS batch_index, CAST(min(rid) AS BIGINT) AS start_row, CAST(max(rid) + 1 AS BIGINT) AS end_row, count(*) AS n_rows FROM n GROUP BY floor(rid / 256)""")
 def q_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.batches(files.numbered(_table(spark, sf_dir, "conversations").select("conv_id", "turn"), ["conv_id", "turn"]))
+    return files.batches(files.numbered(table(spark, sf_dir, "conversations").select("conv_id", "turn"), ["conv_id", "turn"]))
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "events").select("event_id", F.to_json(F.try_parse_json("props")).alias("raw"))
+    rows = table(spark, sf_dir, "events").select("event_id", F.to_json(F.try_parse_json("props")).alias("raw"))
     return rows.select("event_id", X.said(F.try_parse_json("raw"), "$.k").cast("bigint").alias("k"))
 
 
@@ -433,7 +409,7 @@ def q_dsl_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT event_id AS rid, CAST(json_extract(props, '$.k') AS BIGINT) AS whole, CAST(json_extract(props, '$.k') AS DOUBLE) AS number, CAST(json_extract(props, '$.k') AS BIGINT) <> 0 AS truth, 'evt_' || printf('%04d', event_id) AS name, 'unparsed_fragment' AS kind, event_type AS first FROM events""")
 def q_dsl_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "events").select(F.col("event_id").alias("rid"), F.try_parse_json(F.concat(F.lit('{"e":"'), F.col("event_type"), F.lit('","id":'), F.col("event_id"), F.lit(',"p":'), F.col("props"), F.lit("}"))).alias("v"))
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("rid"), F.try_parse_json(F.concat(F.lit('{"e":"'), F.col("event_type"), F.lit('","id":'), F.col("event_id"), F.lit(',"p":'), F.col("props"), F.lit("}"))).alias("v"))
     s = spec.Scope(F.col("v"), {"i": X.get(F.col("v"), "$.id")})
     value = lambda e, kind: F.try_variant_get(s.value(e), "$", kind)
     return rows.select(
@@ -448,15 +424,5 @@ def q_dsl_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spec.diff(spec.compile_spec(FORMAT).parse(rows), spec.compile_spec(OTHER_FORMAT).parse(rows))
 
 
-@query()
-def q_stream_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations written as lines, read as a stream, parsed and passed in micro-batches."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftline-stream-")
-    folder = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
-    conversation_rows(spark, sf_dir).select("raw").write.text(f"{folder}/in")
-
-    def sink(t: Trajectories, bad: DataFrame, n: int) -> None:
-        t.events.select("rid", "pos", "event_id", "event_type", "role").write.mode("overwrite").parquet(f"{folder}/out/batch={n}")
 
-    stream.run(stream.read_lines(spark, f"{folder}/in"), "agenttrove", sink, "minimal", f"{folder}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{folder}/out").select("rid", "pos", "event_id", "event_type", "role")
+from weftline.plans import format_queries  # noqa: E402, F401  (fills the registry)

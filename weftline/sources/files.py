@@ -1,7 +1,6 @@
 """Readers and writers of raw rows: JSON lines, JSON, Parquet.
 
-Rows are ``(rid, raw)``: a number and the JSON text of the row.  Numbers follow the order of
-the input where an order is given, else they are unique but have gaps.
+Rows are ``(rid, raw)``: the index of the row, from 0 without gaps, and its JSON text.
 """
 
 from __future__ import annotations
@@ -12,14 +11,29 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import text as X
-from weftline.model import null_of
+from weftline.model import checkpointed, null_of
 
 
 def numbered(df: DataFrame, order: list[str | Column] | None = None) -> DataFrame:
-    """With ``rid``: dense in the given order (a total order is one partition's work), else unique."""
+    """With ``rid`` from 0 without gaps, in the given order, else in that of the input's partitions.
+
+    Every partition counts its rows, and a running sum over the partitions, one row for each,
+    gives where each begins: no task sees more than its own rows.  An order is a range
+    exchange, whose cuts are estimates, so its result is written to the checkpoint folder
+    before it is counted.  Without an order the input is read twice and must give the same
+    partitions both times, as files do.
+    """
     if order:
-        return df.withColumn("rid", F.row_number().over(Window.orderBy(*order)).cast("bigint") - 1)
-    return df.withColumn("rid", F.monotonically_increasing_id())
+        keys = [F.col(c) if isinstance(c, str) else c for c in order]
+        df = checkpointed(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
+    rows = df.withColumn("__part", F.spark_partition_id())
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("__part").agg(F.count("*").alias("__n"))
+    starts = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    # the id counts up from 0 in the low 33 bits of every partition
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = rows.withColumn("__place", place).join(F.broadcast(starts), "__part")
+    return placed.withColumn("rid", F.col("__start") + F.col("__place")).drop("__part", "__start", "__place")
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str], limit: int | None = None, strict: bool = False) -> DataFrame:
@@ -32,15 +46,28 @@ def read_jsonl(spark: SparkSession, path: str | list[str], limit: int | None = N
     return numbered(lines).select("rid", "raw")
 
 
+def _is_lines(spark: SparkSession, path: str) -> bool:
+    """Whether the file goes on after a first line that is an object of its own; two flags reach the driver."""
+    line = X.strip(F.col("value"))
+    first = spark.read.text(path).where(line != "").select(X.is_object(F.try_parse_json(line)).alias("whole")).limit(2).collect()
+    return len(first) == 2 and first[0]["whole"]
+
+
 def read_json(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """A JSON array gives its elements, an object one row, anything else is read as lines; malformed lines and other values are left out."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("value"), F.try_parse_json("value").alias("v"))
-    texts = F.filter(F.split("value", "\n"), lambda x: ~X.is_blank(x))
-    lines = F.transform(texts, lambda x: F.try_parse_json(x))
-    # the parser stops after the first value: a first line that is a whole object begins a file of lines
-    several = (F.size(texts) > 1) & X.is_object(F.get(lines, F.lit(0)))
-    parts = F.when(several, lines).when(X.is_list(F.col("v")), X.items(F.col("v"))).when(X.is_object(F.col("v")), F.array("v"))
-    rows = whole.select(F.explode(F.coalesce(parts, lines)).alias("v")).where(X.is_object(F.col("v"))).select(F.to_json("v").alias("raw"))
+    """A JSON array gives its elements, an object one row, anything else is read as lines; malformed lines and other values are left out.
+
+    A file of lines is split like any text; only an array or object that spans lines, one
+    value by nature, is read whole in one task.
+    """
+    parsed = F.try_parse_json("value")
+    if _is_lines(spark, path):
+        rows = spark.read.text(path).select(parsed.alias("v"))
+    else:
+        whole = spark.read.text(path, wholetext=True).select(F.col("value"), parsed.alias("v"))
+        lines = F.transform(F.filter(F.split("value", "\n"), lambda x: ~X.is_blank(x)), lambda x: F.try_parse_json(x))
+        parts = F.when(X.is_list(F.col("v")), X.items(F.col("v"))).when(X.is_object(F.col("v")), F.array("v"))
+        rows = whole.select(F.explode(F.coalesce(parts, lines)).alias("v"))
+    rows = rows.where(X.is_object(F.col("v"))).select(F.to_json("v").alias("raw"))
     return numbered(rows if limit is None else rows.limit(limit)).select("rid", "raw")
 
 

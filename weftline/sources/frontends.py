@@ -98,7 +98,9 @@ def _filled(v: Column, name: str) -> Column:
 
 
 def _rows(df: DataFrame) -> DataFrame:
-    return df.select(F.col("rid").cast("bigint").alias("rid"), F.col("raw").cast("string").alias("raw"), F.try_parse_json("raw").alias("v"))
+    """``(rid, raw, v)``; v, the row as a VARIANT, is parsed here unless the caller has it."""
+    v = F.col("v") if "v" in df.columns else F.try_parse_json("raw")
+    return df.select(F.col("rid").cast("bigint").alias("rid"), F.col("raw").cast("string").alias("raw"), v.alias("v"))
 
 
 def _source(framework: str, dataset: str | None, default: str | None = None, **more: Column) -> Column:
@@ -391,6 +393,7 @@ def quarantined(df: DataFrame, bad: Column, error: Column, stage: str) -> tuple[
 
 def convert(df: DataFrame, name: str, dataset: str | None = None, stage: str = "batch") -> tuple[Trajectories, DataFrame]:
     """Parse ``(rid, raw)`` rows; rows that are no JSON objects go to quarantine."""
-    checked = df.withColumn("__v", F.try_parse_json("raw"))
-    good, bad = quarantined(checked, ~X.is_object(F.col("__v")), F.when(F.col("__v").isNull(), "malformed JSON").otherwise("not an object"), stage)
-    return frontend(name).parse(good.drop("__v"), dataset), bad
+    checked = df.select("rid", "raw", F.try_parse_json("raw").alias("v"))
+    error = F.when(F.col("v").isNull(), "malformed JSON").otherwise("not an object")
+    good, bad = quarantined(checked, ~X.is_object(F.col("v")), error, stage)
+    return frontend(name).parse(good, dataset), bad
