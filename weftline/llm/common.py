@@ -57,14 +57,13 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="weftline-")
 
 
-def bounded_sample(df: DataFrame, label: str, per_label: int, *identity: str, max_labels: int = 1000) -> DataFrame:
-    """At most ``per_label`` rows of each non-null ``label``, and all of a label that has no more.
+def drawn_rows(df: DataFrame, label: str, per_label: int, *identity: str, max_labels: int = 1000) -> DataFrame:
+    """At least ``per_label`` rows of each non-null ``label`` (all of one that has no more), with their ``__ticket``.
 
-    Rows are ranked by a hash of the ``identity`` columns, so reruns draw the same ones; rows
-    equal in these are interchangeable.  Counts by label and bucket of the hash tell up to
-    which bucket rows are wanted; of these, every partition ranks its own and passes on
-    ``per_label`` at most.  So neither a large table nor a row that is repeated often makes a
-    task large.  More than ``max_labels`` labels are an error.
+    Tickets are a hash of the ``identity`` columns, so reruns draw the same rows.  Counts by
+    label and bucket of the tickets tell up to which bucket rows are wanted; rows stay in their
+    partitions.  What comes above ``per_label`` is one bucket's share of the rows and rows
+    equal in their identity.  More than ``max_labels`` labels are an error.
     """
     buckets = 1 << 16
     ticket = F.pmod(F.xxhash64(F.lit(7), *identity), F.lit(1 << 40))
@@ -75,13 +74,28 @@ def bounded_sample(df: DataFrame, label: str, per_label: int, *identity: str, ma
     last = F.coalesce(F.min(F.when(F.col("reached") >= per_label, F.col("b"))), F.lit(buckets))
     cuts = reached.groupBy("name").agg(last.alias("last")).limit(max_labels + 1).collect()
     if not cuts:
-        return rows.where(F.lit(False)).drop("__ticket")
+        return rows.where(F.lit(False))
     if len(cuts) > max_labels:
         raise ValueError(f"more than {max_labels} values of {label}")
     cut = F.create_map(*[F.lit(x) for r in cuts for x in (r["name"], r["last"])])
-    place = F.row_number().over(Window.partitionBy(label).orderBy("__ticket", *identity))
-    wanted = rows.where(bucket <= cut[F.col(label).cast("string")]).withColumn("__place", place)
-    return wanted.where(F.col("__place") <= per_label).drop("__ticket", "__place")
+    return rows.where(bucket <= cut[F.col(label).cast("string")])
+
+
+def first_rows(df: DataFrame, label: str, per_label: int, *order: str) -> DataFrame:
+    """The first ``per_label`` rows of each ``label``; every partition ranks its own and passes on no more than that."""
+    place = F.row_number().over(Window.partitionBy(label).orderBy(*order))
+    return df.withColumn("__place", place).where(F.col("__place") <= per_label).drop("__place")
+
+
+def bounded_sample(df: DataFrame, label: str, per_label: int, *identity: str, max_labels: int = 1000) -> DataFrame:
+    """At most ``per_label`` rows of each non-null ``label``, and all of a label that has no more.
+
+    See ``drawn_rows``; here the rows of a label meet in one task, so this is for samples that
+    a driver will hold.  Rows equal in their identity are interchangeable.  Neither a large
+    table nor a row that is repeated often makes the result or a task large.
+    """
+    drawn = drawn_rows(df, label, per_label, *identity, max_labels=max_labels)
+    return first_rows(drawn, label, per_label, "__ticket", *identity).drop("__ticket")
 
 
 def join_hot(rows: DataFrame, facts: DataFrame, keys: list[str], spread: int = 100) -> DataFrame:

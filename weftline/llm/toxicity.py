@@ -108,19 +108,24 @@ def _passage_means(values: np.ndarray, lengths: np.ndarray, size: int) -> np.nda
 
 def _evidence(words: list[str], codes: np.ndarray, lengths: np.ndarray, y: np.ndarray, s: Settings) -> np.ndarray:
     """For every n-gram bucket, the part of its log odds beyond ``surety`` standard errors (0 within)."""
-    document = np.repeat(np.arange(len(lengths)), lengths)
-    order = np.unique(codes * len(lengths) + document)
-    of_word, of_document = order // len(lengths), order % len(lengths)
-    uses = np.bincount(of_word, minlength=len(words))
-    first = np.cumsum(uses) - uses
-    seen = []
-    for owner, bucket in word_ngrams(words, SIZES, s.buckets):
-        n = uses[owner]
-        at = np.repeat(first[owner] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        seen.append(np.unique(np.repeat(bucket, n) * len(lengths) + of_document[at]))
-    keys = np.unique(np.concatenate(seen)) if seen else np.zeros(0, np.int64)
-    bucket, toxic = keys // len(lengths), y[keys % len(lengths)] == 1
-    with_1, with_0 = (np.bincount(bucket[side], minlength=s.buckets) + 0.5 for side in (toxic, ~toxic))
+    grams = [(bucket, np.bincount(owner, minlength=len(words))) for owner, bucket in word_ngrams(words, SIZES, s.buckets)]
+    starts = [np.cumsum(n) - n for _, n in grams]
+    with_1, with_0 = np.full(s.buckets, 0.5), np.full(s.buckets, 0.5)
+    size, base = 128, np.cumsum(lengths) - lengths
+    for at in range(0, len(lengths), size):  # some documents at a time, which bounds memory
+        own = lengths[at : at + size]
+        document = np.repeat(np.arange(len(own)), own)
+        used = np.unique(document * len(words) + codes[base[at] : base[at] + own.sum()])
+        of_document, of_word = used // len(words), used % len(words)
+        seen = [np.zeros(0, np.int64)]
+        for (bucket, count), start in zip(grams, starts):
+            n = count[of_word]
+            place = np.repeat(start[of_word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            seen.append(np.repeat(of_document, n) * s.buckets + bucket[place])
+        keys = np.unique(np.concatenate(seen))
+        toxic = y[at + keys // s.buckets] == 1
+        with_1 += np.bincount(keys[toxic] % s.buckets, minlength=s.buckets)
+        with_0 += np.bincount(keys[~toxic] % s.buckets, minlength=s.buckets)
     odds = np.log(with_1 / ((y == 1).sum() + 1)) - np.log(with_0 / ((y == 0).sum() + 1))
     return np.sign(odds) * np.maximum(0, np.abs(odds) - s.surety * np.sqrt(1 / with_1 + 1 / with_0))
 
