@@ -11,6 +11,7 @@ import argparse
 import json
 import sys
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from weftline.model import IR_VERSION
@@ -47,13 +48,13 @@ def _parser() -> argparse.ArgumentParser:
     command("stats", "source")
     formats = commands.add_parser("format").add_subparsers(dest="action", required=True)
     command("validate", "spec", into=formats)
-    command("probe", "source", into=formats, limit=100)
+    command("probe", "source", into=formats, limit=100, depth=4)
     command("preview", "spec", "source", into=formats, limit=5)
     command("convert", "spec", "source", "out", into=formats, limit=0)
     command("bench", "spec", "source", into=formats)
     command("diff", "spec", "other", "source", into=formats)
-    command("init", "name", into=formats)
-    command("list", "folder", into=formats)
+    command("init", "name", into=formats, template="chat")
+    command("list", into=formats, folder=None)
     return top
 
 
@@ -72,9 +73,9 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if a.command == "format" and a.action in ("validate", "init", "list"):
         if a.action == "init":
-            print(spec.new_spec(a.name), end="")
+            print(spec.new_spec(a.name, a.template), end="")
         elif a.action == "list":
-            print("\n".join(map(str, spec.find_specs(a.folder))))
+            print("\n".join(map(str, spec.find_specs(a.folder or str(spec.FORMATS)))))
         else:
             for code, severity, field, message in spec.problems(a.spec):
                 print(f"{severity}[{code}]: {field}: {message}")
@@ -108,7 +109,14 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "lower":
         written(lowering.lower(pipeline.load(spark, a.source), a.target, context()))
     elif a.command == "verify":
-        code, counts = pipeline.verification(pipeline.load(spark, a.source), a.strict)
+        if "verify" not in passes.PASSES:
+            return 3
+        try:
+            records = pipeline.load(spark, a.source)
+        except AnalysisException:
+            print(f"cannot be read: {a.source}", file=sys.stderr)
+            return 2
+        code, counts = pipeline.verification(records, a.strict)
         text = pipeline.markdown(counts, "verification")
         print(text, end="") if a.report is None else open(a.report, "w").write(text)
         return code
@@ -116,6 +124,7 @@ def main(argv: list[str] | None = None) -> int:
         print(pipeline.markdown(pipeline.statistics(pipeline.load(spark, a.source)), "statistics"), end="")
     elif a.action == "probe":
         print(spec.probe(rows()))
+        spec.probe_tree(rows(), a.depth).show(1000, truncate=False)
         frontends.detection_scores(rows()).groupBy("frontend").avg("score").show(truncate=False)
     else:
         mine = spec.compile_spec(spec.load_spec(a.spec))

@@ -30,6 +30,11 @@ ENUMS: dict[str, tuple[str, ...]] = {
     "severity": ("info", "warning", "error", "fatal"),
     "lowering": ("exact", "lossy", "partial", "unsupported"),
     "policy": ("preserve", "summarize", "drop", "redact", "metadata_only"),
+    "action_kind": (
+        "message", "generic_tool", "terminal", "file_read", "file_write", "file_patch", "browser", "retrieval", "memory", "planner",
+        "delegation", "finish", "unknown",
+    ),
+    "call_style": ("native_tool_call", "xml_block", "json_in_text", "bash_batch", "inferred", "none", "unknown"),
 }
 
 BLOCK = "struct<type:string,text:string,json:string>"

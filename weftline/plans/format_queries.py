@@ -18,6 +18,7 @@ from weftline.plans import pipeline
 from weftline.plans.catalogue import TURNS, query, table
 from weftline.plans.derived import D, conversation_rows, trajectories
 from weftline.sources import files, frontends, spec
+from weftline.sources.callbacks import process_rows
 from weftline.streaming import convert as stream
 
 #: Every conversation as a list m of (turn, role, text), for both engines' use below.
@@ -365,6 +366,46 @@ def q_dsl_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CHECKED = spec.load_spec("""
+apiVersion: weftline/v0.1
+kind: TrajectoryFormat
+metadata: {name: checked-actions}
+source: {kind: jsonl}
+episodes:
+  - events:
+      - foreach: $.messages
+        as: turn
+        emit: {action: {kind: {path: turn.kind}, call_style: {const: inferred}}}
+""")
+
+
+@query("""SELECT conv_id AS row_index, 'action.kind: user' AS error FROM conversations WHERE role = 'user' AND turn % 2 = 1 GROUP BY conv_id""")
+def q_dsl_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with an action of an unknown kind go to quarantine."""
+    rows = _rows(spark, sf_dir, "'kind', CASE WHEN x.role = 'user' AND x.turn % 2 = 1 THEN x.role ELSE 'terminal' END", "'messages', m")
+    frontends.register_frontend(spec.compile_spec(CHECKED))
+    return frontends.convert(rows, "checked-actions")[1].select("row_index", "error")
+
+
+@query("""WITH n AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id), t AS (SELECT count(*) AS turns FROM conversations)
+SELECT '$' AS path, 'OBJECT' AS kinds, count(*) AS n, NULL AS most_items FROM n UNION ALL SELECT '$.messages', 'ARRAY', count(*), max(n) FROM n
+UNION ALL SELECT '$.messages[]', 'OBJECT', turns, NULL FROM t UNION ALL SELECT '$.messages[].role', 'STRING', turns, NULL FROM t UNION ALL SELECT '$.messages[].content', 'STRING', turns, NULL FROM t""")
+def q_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree of paths of rows."""
+    found = spec.probe_tree(conversation_rows(spark, sf_dir))
+    return found.withColumn("most_items", F.col("most_items").cast("bigint"))
+
+
+@query("""SELECT DISTINCT conv_id AS rid, f.name, conv_id % 2 = 0 AND f.name = 'chat_rewards' AS matches FROM conversations CROSS JOIN (SELECT unnest(['chat_rewards', 'verified_trials', 'coding_log', 'native_calls', 'reasoning_chat']) AS name) f""")
+def q_shipped_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of the shipped formats on conversations, every second with a reward."""
+    rows = conversation_rows(spark, sf_dir, extra=", 'reward', CASE WHEN rid % 2 = 0 THEN 1.5D END")
+    v = F.try_parse_json("raw")
+    names = sorted(p.stem for p in spec.FORMATS.glob("*.yaml"))
+    hits = F.array(*[F.struct(F.lit(n).alias("name"), (spec.detection(spec.shipped(n), v) >= 0.6).alias("matches")) for n in names])
+    return rows.select("rid", F.explode(hits).alias("h")).select("rid", "h.*")
+
+
 # -- files ------------------------------------------------------------------------------------------
 
 
@@ -437,6 +478,27 @@ def q_checked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select("rid", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error")).union(bad.select("row_index", F.lit(False), "error"))
 
 
+def _halved(row: dict) -> dict | None:
+    if row["k"] % 5 == 0:
+        return None
+    if row["k"] % 2:
+        raise ValueError("odd")
+    return {"half": row["k"] // 2}
+
+
+_K = "SELECT event_id AS rid, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
+
+
+@query(f"WITH x AS ({_K}) SELECT rid, k // 2 AS half, NULL AS error FROM x WHERE k % 5 <> 0 AND k % 2 = 0 UNION ALL SELECT rid, NULL, 'ValueError: odd' FROM x WHERE k % 5 <> 0 AND k % 2 <> 0")
+def q_process_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Python function over records: results, and what it raised."""
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("rid"), F.col("props").alias("raw"))
+    good, bad = process_rows(rows, _halved)
+    half = X.get(F.try_parse_json("raw"), "$.half", "bigint").alias("half")
+    none = F.lit(None)
+    return good.select("rid", half, none.cast("string").alias("error")).union(bad.select("row_index", none.cast("bigint"), "error"))
+
+
 # -- streams ----------------------------------------------------------------------------------------
 
 

@@ -24,6 +24,14 @@ DIALECTS = {
 }
 
 
+def register_dialect(name: str, event_types: str) -> None:
+    """Add or replace a dialect; ``event_types`` are names of the model with spaces between."""
+    unknown = set(event_types.split()) - set(ENUMS["event_type"])
+    if unknown:
+        raise ValueError(f"unknown event types: {', '.join(sorted(unknown))}")
+    DIALECTS[name] = event_types
+
+
 def dialects(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(n, IR_VERSION, x.split()) for n, x in DIALECTS.items()], "name string, version string, event_types array<string>")
 
@@ -68,11 +76,25 @@ def severity_counts(t: Trajectories) -> DataFrame:
 
 
 def verification(t: Trajectories, strict: bool = False) -> tuple[int, DataFrame]:
-    """(exit code, counts): 0 clean, 1 warnings, 2 errors."""
+    """(exit code, counts): 0 without errors, 1 with some, 4 with some where ``strict``."""
     found = passes.verify(Trajectories(t.records, t.events, t.diagnostics.where(F.lit(False))), strict)
     counts = severity_counts(found)
     worst = {r["severity"] for r in counts.collect()}
-    return (2 if worst & {"error", "fatal"} else 1 if worst else 0), counts
+    return (4 if strict else 1) if worst & {"error", "fatal"} else 0, counts
+
+
+def measured_passes(t: Trajectories, names: str | list[str]) -> tuple[Trajectories, DataFrame]:
+    """Passes run one by one, each written to the checkpoint folder, and ``(nth, pass, elapsed_ms, n_events, n_diagnostics)``."""
+    rows, before = [], t.diagnostics.count()
+    for i, name in enumerate(passes.validated(names)):
+        start = time.perf_counter()
+        t = passes.PASSES[name](t).settled()
+        took = 1000 * (time.perf_counter() - start)
+        diagnostics = t.diagnostics.count()
+        rows.append((i, name, took, t.events.count(), diagnostics - before))
+        before = diagnostics
+    schema = "nth int, pass string, elapsed_ms double, n_events bigint, n_diagnostics bigint"
+    return t, t.events.sparkSession.createDataFrame(rows, schema)
 
 
 def statistics(t: Trajectories) -> DataFrame:
@@ -111,9 +133,10 @@ def json_schema() -> dict:
 
 
 def throughput(df: DataFrame, frontend: str) -> dict[str, float]:
-    """Records and events a second of parsing to a sink that keeps nothing."""
-    start = time.perf_counter()
+    """Records and events a second of parsing to a sink that keeps nothing, after a warm-up on five rows."""
+    frontends.convert(df.limit(5), frontend)[0].events.write.format("noop").mode("overwrite").save()
     t, _ = frontends.convert(df, frontend)
+    start = time.perf_counter()
     t.events.write.format("noop").mode("overwrite").save()
     took = time.perf_counter() - start
     return {"seconds": took, "records_per_s": df.count() / took, "events_per_s": t.events.count() / took}

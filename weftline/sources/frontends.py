@@ -77,6 +77,8 @@ class Frontend:
     name: str
     detect: Callable[[Column], Column]
     parse: Callable[[DataFrame, str | None], Trajectories]
+    #: Why a row can't become a record, null if it can; such rows go to quarantine.
+    rejects: Callable[[Column], Column] | None = None
 
 
 def _score(*hits: tuple[Column, float]) -> Column:
@@ -394,6 +396,11 @@ def quarantined(df: DataFrame, bad: Column, error: Column, stage: str) -> tuple[
 def convert(df: DataFrame, name: str, dataset: str | None = None, stage: str = "batch") -> tuple[Trajectories, DataFrame]:
     """Parse ``(rid, raw)`` rows; rows that are no JSON objects go to quarantine."""
     checked = df.select("rid", "raw", F.try_parse_json("raw").alias("v"))
-    error = F.when(F.col("v").isNull(), "malformed JSON").otherwise("not an object")
-    good, bad = quarantined(checked, ~X.is_object(F.col("v")), error, stage)
-    return frontend(name).parse(good, dataset), bad
+    chosen, is_object = frontend(name), X.is_object(F.col("v"))
+    error = F.when(F.col("v").isNull(), "malformed JSON").when(~is_object, "not an object")
+    bad_row = ~is_object
+    if chosen.rejects is not None:
+        reason = chosen.rejects(F.col("v"))
+        error, bad_row = F.coalesce(error, reason), bad_row | reason.isNotNull()
+    good, bad = quarantined(checked, bad_row, error, stage)
+    return chosen.parse(good, dataset), bad

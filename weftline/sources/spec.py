@@ -310,7 +310,39 @@ def compile_spec(spec: dict[str, Any], resolve_context: bool = False) -> Fronten
     def parse(df: DataFrame, dataset: str | None = None) -> Trajectories:
         return _parse(spec, df, dataset, resolve_context)
 
-    return Frontend(name, lambda v: detection(spec, v), parse)
+    return Frontend(name, lambda v: detection(spec, v), parse, lambda v: _rejected(spec, v, resolve_context))
+
+
+def _said_of(scope: Scope, mapping: dict[str, Any], e: Any) -> Callable[[Column, Column], Column]:
+    """The text of an expression for an item of a mapping's list and its index."""
+
+    def said(item: Column, i: Column) -> Column:
+        names = {mapping.get("as", "item"): item, mapping.get("index_as", "index"): F.try_parse_json(i.cast("string"))}
+        return _said(scope.with_(**names).value(e))
+
+    return said
+
+
+def _outside(said: Column, values: tuple[str, ...]) -> Column:
+    return F.filter(said, lambda x: x.isNotNull() & ~x.isin(*values))
+
+
+def _rejected(spec: dict[str, Any], v: Column, resolve_context: bool) -> Column:
+    """Why a row has an action whose kind or call style is no value of the model; null if all are."""
+    scope = Scope(v, {}, {}, resolve_context)
+    for k, e in (spec.get("vars") or {}).items():
+        scope = scope.with_(**{k: scope.value(e)})
+    reason = null_of("string")
+    checked = (("kind", ENUMS["action_kind"]), ("call_style", ENUMS["call_style"]))
+    for mapping in [m for episode in spec["episodes"] for m in episode.get("events") or []]:
+        action = (mapping.get("emit") or {}).get("action") or {}
+        each = scope.value(mapping["foreach"]) if "foreach" in mapping else _literal([None])
+        for field, values in [x for x in checked if x[0] in action]:
+            listed = X.let(each, lambda e: F.when(X.is_list(e), X.items(e)).when(X.exists(e), F.array(e)))
+            said = F.transform(listed, _said_of(scope, mapping, action[field]))
+            wrong = _outside(said, values)
+            reason = F.coalesce(reason, F.when(F.size(wrong) > 0, F.concat(F.lit(f"action.{field}: "), F.get(wrong, F.lit(0)))))
+    return reason
 
 
 def _parse(spec: dict[str, Any], df: DataFrame, dataset: str | None, resolve_context: bool) -> Trajectories:
@@ -394,6 +426,24 @@ def probe(df: DataFrame) -> str:
     return df.select(F.schema_of_variant_agg(F.try_parse_json("raw")).alias("s")).first()["s"]
 
 
+def probe_tree(df: DataFrame, depth: int = 4) -> DataFrame:
+    """``(path, kinds, n, most_items)``: every path down to ``depth``, the kinds of its values, how many there are, and the longest list.
+
+    One level at a time: a level's objects and lists are exploded into the next one.
+    """
+    level = df.select(F.lit("$").alias("path"), F.try_parse_json("raw").alias("v")).where("v is not null")
+    found = None
+    for _ in range(depth):
+        items = F.when(X.is_list(F.col("v")), F.size(X.items(F.col("v"))))
+        kind = F.regexp_replace(F.schema_of_variant("v"), r"[<(].*", "")
+        kinds = F.array_join(F.array_sort(F.collect_set(kind)), ",")
+        shape = level.groupBy("path").agg(kinds.alias("kinds"), F.count("*").alias("n"), F.max(items).alias("most_items"))
+        found = shape if found is None else found.unionByName(shape)
+        step = "path || CASE WHEN key IS NULL THEN '[]' ELSE '.' || key END"
+        level = df.sparkSession.sql(f"SELECT {step} AS path, value AS v FROM {{level}}, LATERAL variant_explode(v)", level=level)
+    return found.orderBy("path")
+
+
 def preview(t: Trajectories, n_events: int = 10, n_types: int = 5) -> DataFrame:
     """``(rid, n_events, first_types, types)``: the first event types and the distinct ones in order of appearance."""
     order = F.transform(F.array_sort(F.collect_list(F.struct("ep_pos", "pos", "event_type"))), lambda x: x["event_type"])
@@ -409,29 +459,19 @@ def diff(a: Trajectories, b: Trajectories) -> DataFrame:
     return both.select("rid", F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_b", F.lit(0)).alias("n_b"), only("types_a", "types_b").alias("only_a"), only("types_b", "types_a").alias("only_b"))
 
 
-TEMPLATE = """apiVersion: weftline/v0.1
-kind: TrajectoryFormat
-metadata: {name: NAME, version: 0.1.0}
-source: {kind: jsonl, framework: custom, format: chat}
-detect:
-  min_score: 0.5
-  rules:
-    - {any_field_exists: [$.messages, $.conversations], score: 0.7}
-vars:
-  turns: {first_of: [$.messages, $.conversations]}
-episodes:
-  - events:
-      - foreach: {var: turns}
-        as: turn
-        index_as: i
-        emit:
-          event_id: {template: "evt_{i:04d}"}
-          idx: {var: i}
-          event_type: {transform: role_to_event_type, input: {first_of: [{path: turn.role}, {path: turn.from}]}}
-          role: {transform: role_to_message_role, input: {first_of: [{path: turn.role}, {path: turn.from}]}}
-          content: {first_of: [{path: turn.content}, {path: turn.value}]}
-"""
+#: Shipped formats, one for each frontend, and templates to start from.
+FORMATS = Path(__file__).parent / "formats"
+TEMPLATES = Path(__file__).parent / "templates"
+
+
+def new_spec(name: str, template: str = "chat") -> str:
+    """A format to start from; templates are ``chat`` and ``calls``."""
+    path = TEMPLATES / f"{template}.yaml"
+    if not path.exists():
+        raise ValueError(f"unknown template: {template}; known: {', '.join(sorted(p.stem for p in TEMPLATES.glob('*.yaml')))}")
+    return path.read_text().replace("NAME", name)
 
 
-def new_spec(name: str) -> str:
-    return TEMPLATE.replace("NAME", name)
+def shipped(name: str) -> dict[str, Any]:
+    """A shipped format by the name of its file."""
+    return load_spec(FORMATS / f"{name}.yaml")
