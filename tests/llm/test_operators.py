@@ -649,3 +649,110 @@ def test_pipeline_keeps_a_row_of_each_component(spark, sf_dir):
     assert got.columns == P.COLUMNS
     assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter([(1, a), (1, b), (None, c), (None, d), (3, ""), (4, c[::-1]), (4, d[::-1])])
     assert P.drop_near_duplicates(spark, frame.limit(0), sf_dir).count() == 0
+
+
+def plain_ngrams(word, sizes, buckets):
+    """Buckets of the character n-grams of a word, one by one."""
+    points = [ord(c) for c in f"<{word}>"]
+    for n in sizes:
+        for at in range(len(points) - n + 1):
+            mixed = 0x9E3779B1 * n & 0xFFFFFFFF
+            for c in points[at : at + n]:
+                mixed = (mixed ^ c) * 0x01000193 & 0xFFFFFFFF
+                mixed ^= mixed >> 15
+            mixed = mixed * 0x85EBCA6B & 0xFFFFFFFF
+            mixed ^= mixed >> 13
+            yield mixed & (buckets - 1)
+
+
+SAID = ["the cat and this house", "der hund und das haus mit", "le chat et la maison une", "el perro y la casa una", "", "12 34", "ç€😀 straße", "the the the der"]
+
+
+def test_language_by_brute_force():
+    """Duels, families first, text by text and n-gram by n-gram."""
+    langs = ["en", "de", "fr", "es"]
+    model = langid.fit([f"{t} {w}" for t in SAID[:4] for w in "abcdef"], [x for x in langs for _ in "abcdef"])
+    for text, got, score in zip(SAID, *model.predict(SAID)):
+        grams = [b for w in re.findall(r"[^\x20\x09-\x0D]+", text.lower()) for b in plain_ngrams(w, langid.SIZES, langid.BUCKETS)]
+        sure = {}
+        for k, pair in enumerate(model.pairs):
+            margin = langid.SCALE * sum(float(model.weights[b, k]) for b in grams) / max(1, len(grams)) + model.bias[k]
+            sure[pair] = 1 / (1 + math.exp(-max(-50, min(50, 2 * margin))))
+
+        def duel(names):
+            won = {n: sum(p if n == a else 1 - p for (a, b), p in sure.items() if n in (a, b) and {a, b} <= set(names)) for n in names}
+            wins = {n: sum((p >= 0.5) == (n == a) for (a, b), p in sure.items() if n in (a, b) and {a, b} <= set(names)) for n in names}
+            best = max(names, key=lambda n: (wins[n] + won[n] / len(names)))
+            return best, won[best] / (len(names) - 1) if len(names) > 1 else 1.0
+
+        own, certainty = duel(sorted({langid.family(x) for x in langs}))
+        lang, more = duel(sorted(x for x in langs if langid.family(x) == own))
+        expected = (lang, certainty * more) if any(map(str.isalpha, text)) else ("und", 0.0)
+        assert got == expected[0] and score == pytest.approx(expected[1], abs=1e-5)
+
+
+def test_toxicity_by_brute_force():
+    """The most toxic passage, word by word and n-gram by n-gram."""
+    bad = [f"you snarfle{x} grumbog" for x in ("", "d", "s", "r")] * 6
+    good = [words(12, i) for i in range(24)]
+    model = toxicity.fit(bad + good, [1] * 24 + [0] * 24)
+    s = model.settings
+    texts = [words(100, 3) + " snarfling grumbogs " + words(90, 4), "", "snarfle snarfle snarfle", words(20, 5), None or "x"]
+    for text, got in zip(texts, model.score(texts)):
+        said = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
+        said = [w for i, w in enumerate(said) if not i or w != said[i - 1]]
+        logit = []
+        for w in said:
+            grams = list(plain_ngrams(w, toxicity.SIZES, s.buckets))
+            logit.append(sum(float(model.weights[b]) for b in grams) / max(1, len(grams)))
+        half, size = s.passage // 2, s.passage
+        spans = [logit[at : at + size] for at in range(0, max(1, len(logit) - half), half)] or [[]]
+        most = max(sum(x) / max(len(x), size // 4) for x in spans) + model.bias
+        assert got == pytest.approx(1 / (1 + math.exp(-max(-60, min(60, most)))), abs=1e-4)
+
+
+def test_mixing_copies_by_brute_force(spark):
+    """Copies of every source and size against a plain solution of the dual and plain systematic rounding."""
+    rng = random.Random(3)
+    rows = [(i, rng.choice("abcde"), words(rng.choice([0, 1, 3, 8, 20, 55]), i)) for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    got = mixing.with_copies(frame).select("doc_id", "size", "target", "copies", "taken").collect()
+    by_id = {r["doc_id"]: r for r in got}
+    sized = defaultdict(Counter)
+    for i, source, text in rows:
+        n = len(text.split())
+        assert by_id[i]["size"] == n and by_id[i]["taken"] == by_id[i]["copies"] * n
+        sized[source][n] += 1
+    total = {k: sum(n * m for n, m in c.items()) for k, c in sized.items()}
+    weight = {k: i % 3 + 1 for i, k in enumerate(sorted(sized))}
+    goal, free, left = {}, set(sized), float(sum(total.values()))
+    while free:
+        level = left / sum(weight[k] for k in free)
+        over = {k for k in free if level * weight[k] > 3 * total[k]}
+        for k in over or free:
+            goal[k] = 3 * total[k] if over else level * weight[k]
+        left -= sum(goal[k] for k in over or free)
+        free -= over or free
+    phases = spark.createDataFrame([(k,) for k in sized], "k string").select(
+        "k", (F.pmod(F.xxhash64(mixing.source_key(F.col("k")), F.lit("phase")), F.lit(1 << 20)) / (1 << 20)).alias("p")
+    )
+    for k, phase in phases.collect():
+        mean, cells = total[k] / sum(sized[k].values()), sized[k]
+
+        def rate(n, tilt):
+            return min(3.0, math.exp(min(50.0, tilt * n / mean)))
+
+        low, high = -400.0, 400.0
+        for _ in range(200):
+            tilt = (low + high) / 2
+            low, high = (low, tilt) if sum(n * m * rate(n, tilt) for n, m in cells.items()) > goal[k] else (tilt, high)
+        at = phase
+        for n in sorted(cells):
+            exact = rate(n, tilt) if goal[k] < 3 * total[k] else 3.0
+            whole = math.floor(exact + 1e-9)
+            end = at + cells[n] * max(0.0, exact - whole)
+            copies = sum(by_id[i]["copies"] for i, source, text in rows if source == k and len(text.split()) == n)
+            expected = cells[n] * whole + math.floor(end) - math.floor(at)
+            assert copies == expected or abs(end - round(end)) < 1e-4
+            assert all(by_id[i]["target"] == pytest.approx(goal[k]) for i, source, _ in rows if source == k)
+            at = end
