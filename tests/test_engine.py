@@ -370,13 +370,13 @@ def test_formats_and_templates_are_valid():
 
 
 def test_dialects_can_be_registered(spark):
-    pipeline.register_dialect("notes", "memory_read memory_write")
+    pipeline.register_dialect("notes", ("memory_read", "memory_write"))
     try:
         assert pipeline.dialects(spark).where("name = 'notes'").first()["event_types"] == ["memory_read", "memory_write"]
     finally:
         del pipeline.DIALECTS["notes"]
     with pytest.raises(ValueError):
-        pipeline.register_dialect("notes", "no_such_type")
+        pipeline.register_dialect("notes", ("no_such_type",))
 
 
 def test_measured_passes(spark):

@@ -64,27 +64,27 @@ RECORD_FIELDS: dict[str, str] = {
 }
 DIAGNOSTIC_FIELDS: dict[str, str] = {"rid": "bigint", "record_id": "string", "pass": "string", "code": "string", "severity": "string", "event_id": "string", "field": "string", "message": "string"}
 
-#: Diagnostic codes with their default severity and message (fixed values).
+#: Diagnostic codes with their default severity (both fixed values) and a message.
 CODES: dict[str, tuple[str, str]] = {
-    "PARSE001": ("warning", "malformed XML/tool block"),
-    "PARSE002": ("warning", "diff-like text could not be parsed as unified diff"),
-    "PARSE003": ("warning", "JSON tool arguments malformed"),
-    "PAIR001": ("warning", "tool_call has no matching tool_result"),
-    "PAIR002": ("warning", "tool_result has no matching tool_call"),
-    "VERIFY001": ("error", "duplicate event ID"),
-    "VERIFY002": ("error", "invalid parent event ID"),
-    "VERIFY003": ("warning", "referenced artifact missing"),
-    "VERIFY004": ("warning", "reasoning event lacks visibility policy"),
-    "OUTCOME001": ("warning", "reward/pass/status conflict"),
-    "LOWER001": ("warning", "generated synthetic tool_call_id"),
-    "LOWER002": ("warning", "target cannot represent artifact"),
-    "LOWER003": ("warning", "target cannot represent reasoning event"),
-    "LOWER004": ("warning", "structured tool call downgraded to text"),
-    "DATA001": ("warning", "empty assistant response"),
-    "DATA002": ("warning", "missing expected source field"),
-    "SCHEMA001": ("error", "validation failed"),
-    "IO001": ("error", "input file cannot be read"),
-    "IO002": ("error", "output file cannot be written"),
+    "PARSE001": ("warning", "a block of tool markup is broken"),
+    "PARSE002": ("warning", "a text that looks like a diff is none"),
+    "PARSE003": ("warning", "arguments of a call are no JSON"),
+    "PAIR001": ("warning", "a call without a result"),
+    "PAIR002": ("warning", "a result without a call"),
+    "VERIFY001": ("error", "an event id or index occurs again"),
+    "VERIFY002": ("error", "a reference to an event or call that is not there"),
+    "VERIFY003": ("warning", "a reference to an artifact that is not there"),
+    "VERIFY004": ("warning", "an event lacks its policy, content or origin"),
+    "OUTCOME001": ("warning", "reward and verdict contradict each other"),
+    "LOWER001": ("warning", "a call got an id made from its event"),
+    "LOWER002": ("warning", "no place for an artifact in the target"),
+    "LOWER003": ("warning", "no place for reasoning or messages in the target"),
+    "LOWER004": ("warning", "a plan or call became plain text"),
+    "DATA001": ("warning", "the assistant says nothing"),
+    "DATA002": ("warning", "a field that the format needs is not there"),
+    "SCHEMA001": ("error", "a value that the schema does not allow"),
+    "IO001": ("error", "a file that can't be read"),
+    "IO002": ("error", "a file that can't be written"),
 }
 
 

@@ -27,15 +27,45 @@ def so_far() -> WindowSpec:
 
 #: What tools do, by lower-cased name (fixed values).
 TOOLS = {
-    ("terminal", "workspace_write"): "execute_bash run_command bash shell terminal execute_command run_bash exec_bash execute_shell run_shell command cmd subprocess os_exec",
-    ("file_write", "workspace_write"): "write_file edit_file str_replace_editor create_file write save_file create_or_update_file apply_patch insert_content replace_in_file patch_file modify_file overwrite_file append_file",
-    ("file_patch", "workspace_write"): "apply_diff diff_edit str_replace insert replace patch edit_file_diff sed_edit",
-    ("file_read", "read_only"): "read_file cat view_file open_file get_file read head_file tail_file view show_file less more type",
-    ("browser", "network"): "browser_click browser_type browser_scroll browser_hover browser_navigate browser_screenshot browser_search browser_back browser_forward browser_reload browser_select_option browser_drag browser_tab_new browser_tab_close browser_tab_switch browser_wait browser web_search web_navigate web_click web_type web_scroll browse navigate",
+    ("terminal", "workspace_write"): (
+        "execute_bash", "run_command", "bash", "shell", "terminal", "execute_command", "run_bash", "exec_bash",
+        "execute_shell", "run_shell", "command", "cmd", "subprocess", "os_exec",
+    ),
+    ("file_write", "workspace_write"): (
+        "write_file", "edit_file", "str_replace_editor", "create_file", "write", "save_file", "create_or_update_file",
+        "apply_patch", "insert_content", "replace_in_file", "patch_file", "modify_file", "overwrite_file", "append_file",
+    ),
+    ("file_patch", "workspace_write"): (
+        "apply_diff", "diff_edit", "str_replace", "insert", "replace", "patch", "edit_file_diff", "sed_edit",
+    ),
+    ("file_read", "read_only"): (
+        "read_file", "cat", "view_file", "open_file", "get_file", "read", "head_file", "tail_file", "view", "show_file",
+        "less", "more", "type",
+    ),
+    ("browser", "network"): (
+        "browser_click", "browser_type", "browser_scroll", "browser_hover", "browser_navigate", "browser_screenshot",
+        "browser_search", "browser_back", "browser_forward", "browser_reload", "browser_select_option", "browser_drag",
+        "browser_tab_new", "browser_tab_close", "browser_tab_switch", "browser_wait", "browser", "web_search",
+        "web_navigate", "web_click", "web_type", "web_scroll", "browse", "navigate",
+    ),
 }
 #: The narrower table of one native-tool source (fixed values); kinds by exact name, effects by lower-cased name.
-NATIVE_KINDS = {"run": "terminal", "run_ipython": "terminal", "execute_bash": "terminal", "str_replace_editor": "file_write", "file_editor": "file_write", "browser": "browser", "browse": "browser", "think": "planner", "finish": "finish"}
-NATIVE_EFFECTS = {"read_only": "read view cat ls glob grep find head tail", "none": "think plan finish", "network": "browser browse"}
+NATIVE_KINDS = {
+    "run": "terminal",
+    "run_ipython": "terminal",
+    "execute_bash": "terminal",
+    "str_replace_editor": "file_write",
+    "file_editor": "file_write",
+    "browser": "browser",
+    "browse": "browser",
+    "think": "planner",
+    "finish": "finish",
+}
+NATIVE_EFFECTS = {
+    "read_only": ("read", "view", "cat", "ls", "glob", "grep", "find", "head", "tail"),
+    "none": ("think", "plan", "finish"),
+    "network": ("browser", "browse"),
+}
 #: Events that stand for a call, and for a result (fixed values).
 CALLS = ("tool_call", "terminal_command", "file_read", "file_write", "file_patch", "browser_action", "memory_read", "memory_write", "agent_handoff", "subtask_spawn")
 RESULTS = ("tool_result", "terminal_output", "browser_observation", "subtask_result", "tool_message")
@@ -48,8 +78,8 @@ def _lookup(table: dict[str, str], key: Column) -> Column:
 def classified(name: Column) -> tuple[Column, Column, Column]:
     """(kind, side effect, normalized name) of a tool name."""
     normal = F.lower(X.strip(name))
-    kinds = {n: kind for (kind, _), names in TOOLS.items() for n in names.split()}
-    effects = {n: effect for (_, effect), names in TOOLS.items() for n in names.split()}
+    kinds = {n: kind for (kind, _), names in TOOLS.items() for n in names}
+    effects = {n: effect for (_, effect), names in TOOLS.items() for n in names}
     browser = normal.startswith("browser_")
     kind = F.coalesce(_lookup(kinds, normal), F.when(browser, "browser"), F.lit("generic_tool"))
     effect = F.coalesce(_lookup(effects, normal), F.when(browser, "network"), F.lit("unknown"))
@@ -61,7 +91,7 @@ def native_kind(name: Column) -> Column:
 
 
 def native_effect(name: Column) -> Column:
-    table = {n: effect for effect, names in NATIVE_EFFECTS.items() for n in names.split()}
+    table = {n: effect for effect, names in NATIVE_EFFECTS.items() for n in names}
     return F.coalesce(_lookup(table, F.lower(name)), F.lit("workspace_write"))
 
 

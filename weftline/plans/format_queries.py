@@ -251,7 +251,7 @@ def q_fan_out_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
-@query(f"WITH {D} SELECT rid, 'warning[PAIR001]: tool_call has no matching tool_result' || chr(10) || '  --> rec_' || rid || ':' || id AS line FROM d WHERE event_type = 'tool_call' AND rid % 2 = 0")
+@query(f"WITH {D} SELECT rid, 'warning[PAIR001]: a call without a result' || chr(10) || '  --> rec_' || rid || ':' || id AS line FROM d WHERE event_type = 'tool_call' AND rid % 2 = 0")
 def q_diagnostic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Diagnostics as text: calls of records that have no results."""
     t = trajectories(spark, sf_dir)

@@ -12,28 +12,46 @@ from weftline.operators import lowering, passes
 from weftline.sources import files, frontends
 
 #: Registered dialects: name and the event types it describes (fixed values).
-DIALECTS = {
-    "agent": "system_message user_message assistant_message reasoning plan todo_update memory_read memory_write agent_handoff subtask_spawn subtask_result state_snapshot finish unparsed_fragment",
-    "browser": "browser_action browser_observation",
-    "eval": "verification reward",
-    "file": "file_read file_write file_patch",
-    "reasoning": "reasoning plan",
-    "swe": "file_patch verification reward",
-    "terminal": "terminal_command terminal_output",
-    "tool": "tool_call tool_result",
+DIALECTS: dict[str, tuple[str, ...]] = {
+    "agent": (
+        "system_message", "user_message", "assistant_message", "reasoning", "plan", "todo_update", "memory_read",
+        "memory_write", "agent_handoff", "subtask_spawn", "subtask_result", "state_snapshot", "finish",
+        "unparsed_fragment",
+    ),
+    "browser": (
+        "browser_action", "browser_observation",
+    ),
+    "eval": (
+        "verification", "reward",
+    ),
+    "file": (
+        "file_read", "file_write", "file_patch",
+    ),
+    "reasoning": (
+        "reasoning", "plan",
+    ),
+    "swe": (
+        "file_patch", "verification", "reward",
+    ),
+    "terminal": (
+        "terminal_command", "terminal_output",
+    ),
+    "tool": (
+        "tool_call", "tool_result",
+    ),
 }
 
 
-def register_dialect(name: str, event_types: str) -> None:
-    """Add or replace a dialect; ``event_types`` are names of the model with spaces between."""
-    unknown = set(event_types.split()) - set(ENUMS["event_type"])
+def register_dialect(name: str, event_types: tuple[str, ...]) -> None:
+    """Add or replace a dialect; ``event_types`` are names of the model."""
+    unknown = set(event_types) - set(ENUMS["event_type"])
     if unknown:
         raise ValueError(f"unknown event types: {', '.join(sorted(unknown))}")
     DIALECTS[name] = event_types
 
 
 def dialects(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(n, IR_VERSION, x.split()) for n, x in DIALECTS.items()], "name string, version string, event_types array<string>")
+    return spark.createDataFrame([(n, IR_VERSION, list(x)) for n, x in DIALECTS.items()], "name string, version string, event_types array<string>")
 
 
 def compile_rows(df: DataFrame, frontend: str, pass_names: str | list[str] = "default", target: str = "openai-tools", ctx: lowering.Context = lowering.Context(), **options: dict) -> tuple[lowering.Lowered, Trajectories, DataFrame]:

@@ -137,7 +137,7 @@ def _values(pairs: dict[str, str]) -> str:
     return ", ".join(f"('{k}', '{v}')" for k, v in pairs.items())
 
 
-_KINDS = {n: f"{kind}:{effect}" for (kind, effect), names in passes.TOOLS.items() for n in names.split()}
+_KINDS = {n: f"{kind}:{effect}" for (kind, effect), names in passes.TOOLS.items() for n in names}
 
 
 @query(f"""WITH {D}, k(name, what) AS (VALUES {_values(_KINDS)}), n AS (SELECT *, lower(trim(tool)) AS name0 FROM d WHERE event_type = 'tool_call')

@@ -24,7 +24,12 @@ from weftline.sources.frontends import Frontend
 API_VERSIONS = re.compile(r".+/v0\.1$")
 ROLES = ("system", "user", "assistant", "tool", "developer")
 REQUIRED = ("apiVersion", "kind", "metadata", "source", "episodes")
-EMIT_KEYS = frozenset("event_id idx event_type role actor_id content action observation artifacts provenance timestamp metadata".split())
+EMIT_KEYS = frozenset(
+    (
+        "event_id", "idx", "event_type", "role", "actor_id", "content", "action", "observation", "artifacts",
+        "provenance", "timestamp", "metadata",
+    )
+)
 MESSAGE_TYPES = ("system_message", "user_message", "assistant_message", "tool_message", "unparsed_fragment")
 CONTEXT_KEYS = ("dataset", "config", "split", "row_index")
 
