@@ -33,14 +33,18 @@ def _parser() -> argparse.ArgumentParser:
             p.add_argument(a)
         for k, v in options.items():
             flag = "--" + k.replace("_", "-")
-            p.add_argument(flag, action="store_true") if v is False else p.add_argument(flag, default=v, type=type(v) if v is not None else str)
+            p.add_argument(flag, action="store_true") if v is False else p.add_argument(
+                flag, default=v, type=type(v) if v is not None else str
+            )
         return p
 
     lowering = {"reasoning_policy": None, "include_reasoning": False, "tool_policy": "structured", "report": None}
     command("version")
     command("schema", out=None)
     command("detect", "source", limit=0)
-    command("compile", "source", "out", frontend="agenttrove", passes="default", target="openai-tools", limit=0, **lowering)
+    command(
+        "compile", "source", "out", frontend="agenttrove", passes="default", target="openai-tools", limit=0, **lowering
+    )
     command("parse", "source", "out", frontend="agenttrove", limit=0, quarantine=None)
     command("opt", "source", "out", passes="default")
     command("lower", "source", "out", target="openai-tools", **lowering)

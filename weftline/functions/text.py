@@ -25,17 +25,27 @@ def number(form: str, n: Column) -> Column:
 
 
 def xml_escaped(text: Column) -> Column:
-    return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    return F.replace(
+        F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")
+    )
 
 
 def content_text(content: Column) -> Column:
     """The texts (or JSON values) of content blocks, one a line."""
-    return F.array_join(F.filter(F.transform(content, lambda b: F.coalesce(b["text"], b["json"])), lambda x: x.isNotNull()), "\n")
+    return F.array_join(
+        F.filter(F.transform(content, lambda b: F.coalesce(b["text"], b["json"])), lambda x: x.isNotNull()), "\n"
+    )
 
 
 def observation_parts(o: Column) -> Column:
     given = lambda x: F.nullif(x, F.lit(""))
-    parts = F.concat(F.array(given(o["stdout"]), given(o["stderr"])), F.transform(F.coalesce(o["content"], F.array().cast("array<struct<type:string,text:string,json:string>>")), lambda b: F.coalesce(b["text"], b["json"])))
+    parts = F.concat(
+        F.array(given(o["stdout"]), given(o["stderr"])),
+        F.transform(
+            F.coalesce(o["content"], F.array().cast("array<struct<type:string,text:string,json:string>>")),
+            lambda b: F.coalesce(b["text"], b["json"])
+        )
+    )
     return F.filter(parts, lambda x: x.isNotNull())
 
 
@@ -94,7 +104,9 @@ def string(v: Column, path: str = "$") -> Column:
 
 def said(v: Column, path: str = "$") -> Column:
     """The value as text: strings as they are, others as JSON; null for null."""
-    return let(_at(v, path), lambda x: F.when(is_string(x), F.try_variant_get(x, "$", "string")).when(exists(x), F.to_json(x)))
+    return let(
+        _at(v, path), lambda x: F.when(is_string(x), F.try_variant_get(x, "$", "string")).when(exists(x), F.to_json(x))
+    )
 
 
 def items(v: Column, path: str = "$") -> Column:

@@ -62,7 +62,10 @@ RECORD_FIELDS: dict[str, str] = {
     "rid": "bigint", "record_id": "string", "level": "string", "source": SCHEMAS["source"], "task": SCHEMAS["task"], "tools": SCHEMAS["tools"], "model": "string",
     "outcome": SCHEMAS["outcome"], "artifacts": SCHEMAS["artifact_list"], "raw": "string", "metadata": "map<string,string>",
 }
-DIAGNOSTIC_FIELDS: dict[str, str] = {"rid": "bigint", "record_id": "string", "pass": "string", "code": "string", "severity": "string", "event_id": "string", "field": "string", "message": "string"}
+DIAGNOSTIC_FIELDS: dict[str, str] = {
+    "rid": "bigint", "record_id": "string", "pass": "string", "code": "string", "severity": "string",
+    "event_id": "string", "field": "string", "message": "string"
+}
 
 #: Diagnostic codes with their default severity (both fixed values) and a message.
 CODES: dict[str, tuple[str, str]] = {
@@ -108,18 +111,38 @@ def text_block(text: Column, kind: str = "text") -> Column:
 
 
 def visible(**changes: Column) -> Column:
-    return struct_of("visibility", **({"trainable": F.lit(True), "contains_reasoning": F.lit(False), "redaction_status": F.lit("none")} | changes))
+    return struct_of(
+        "visibility",
+        **({"trainable": F.lit(True), "contains_reasoning": F.lit(False), "redaction_status": F.lit("none")} | changes)
+    )
 
 
 def events_of(df: DataFrame) -> DataFrame:
     """All event columns in order; those that df lacks get their defaults."""
-    default = {"ep_pos": F.lit(0), "episode_id": F.lit("ep_0"), "content": empty(SCHEMAS["content"]), "parents": empty("array<string>"), "children": empty("array<string>"), "artifacts": empty("array<string>"), "writes": empty("array<string>"), "visibility": visible(), "metadata": empty("map<string,string>")}
-    return df.select(*[(F.col(n) if n in df.columns else default.get(n, F.lit(None))).cast(t).alias(n) for n, t in EVENT_FIELDS.items()])
+    default = {
+        "ep_pos": F.lit(0), "episode_id": F.lit("ep_0"), "content": empty(SCHEMAS["content"]),
+        "parents": empty("array<string>"), "children": empty("array<string>"), "artifacts": empty("array<string>"),
+        "writes": empty("array<string>"), "visibility": visible(), "metadata": empty("map<string,string>")
+    }
+    return df.select(
+        *[
+            (F.col(n) if n in df.columns else default.get(n, F.lit(None))).cast(t).alias(n) for n,
+            t in EVENT_FIELDS.items()
+        ]
+    )
 
 
 def records_of(df: DataFrame) -> DataFrame:
-    default = {"level": F.lit("parsed"), "tools": empty(SCHEMAS["tools"]), "artifacts": empty(SCHEMAS["artifact_list"]), "metadata": empty("map<string,string>")}
-    return df.select(*[(F.col(n) if n in df.columns else default.get(n, F.lit(None))).cast(t).alias(n) for n, t in RECORD_FIELDS.items()])
+    default = {
+        "level": F.lit("parsed"), "tools": empty(SCHEMAS["tools"]), "artifacts": empty(SCHEMAS["artifact_list"]),
+        "metadata": empty("map<string,string>")
+    }
+    return df.select(
+        *[
+            (F.col(n) if n in df.columns else default.get(n, F.lit(None))).cast(t).alias(n) for n,
+            t in RECORD_FIELDS.items()
+        ]
+    )
 
 
 def diagnostics_of(
@@ -133,7 +156,10 @@ def diagnostics_of(
         default, message = map(F.lit, CODES.get(code, ("info", code)))
         code = F.lit(code)
     at = event_id if event_id is not None else F.col("event_id") if "event_id" in df.columns else null_of("string")
-    values = {"rid": F.col("rid"), "record_id": F.col("record_id"), "pass": F.lit(origin), "code": code, "event_id": at, "field": F.lit(field)}
+    values = {
+        "rid": F.col("rid"), "record_id": F.col("record_id"), "pass": F.lit(origin), "code": code, "event_id": at,
+        "field": F.lit(field)
+    }
     values |= {"severity": F.lit(severity) if severity else default, "message": message}
     return df.select(*[values[n].cast(t).alias(n) for n, t in DIAGNOSTIC_FIELDS.items()])
 
@@ -166,12 +192,18 @@ class Trajectories:
     events: DataFrame
     diagnostics: DataFrame
 
-    def with_(self, records: DataFrame | None = None, events: DataFrame | None = None, diagnostics: list[DataFrame] | None = None) -> Trajectories:
+    def with_(
+        self, records: DataFrame | None = None, events: DataFrame | None = None,
+        diagnostics: list[DataFrame] | None = None
+    ) -> Trajectories:
         """A copy with other records or events, and more diagnostics."""
         added = self.diagnostics
         for d in diagnostics or []:
             added = added.unionByName(d)
-        return replace(self, records=self.records if records is None else records, events=self.events if events is None else events, diagnostics=added)
+        return replace(
+            self, records=self.records if records is None else records,
+            events=self.events if events is None else events, diagnostics=added
+        )
 
     def settled(self) -> Trajectories:
         """The same with its lineage cut: written to the folder in spark.checkpoint.dir.

@@ -67,7 +67,10 @@ NATIVE_EFFECTS = {
     "network": ("browser", "browse"),
 }
 #: Events that stand for a call, and for a result (fixed values).
-CALLS = ("tool_call", "terminal_command", "file_read", "file_write", "file_patch", "browser_action", "memory_read", "memory_write", "agent_handoff", "subtask_spawn")
+CALLS = (
+    "tool_call", "terminal_command", "file_read", "file_write", "file_patch", "browser_action", "memory_read",
+    "memory_write", "agent_handoff", "subtask_spawn"
+)
 RESULTS = ("tool_result", "terminal_output", "browser_observation", "subtask_result", "tool_message")
 
 
@@ -102,7 +105,9 @@ def _given(x: Column) -> Column:
 
 def _with_level(t: Trajectories, changed: DataFrame, level: str) -> DataFrame:
     """Records with ``level`` set where ``changed`` (one row for each rid) says so."""
-    return t.records.join(changed.withColumn("__set", F.lit(True)), "rid", "left").withColumn("level", F.when(F.col("__set"), level).otherwise(F.col("level"))).drop("__set")
+    return t.records.join(changed.withColumn("__set", F.lit(True)), "rid", "left").withColumn(
+        "level", F.when(F.col("__set"), level).otherwise(F.col("level"))
+    ).drop("__set")
 
 
 def canonicalize_tools(t: Trajectories) -> Trajectories:
@@ -111,8 +116,22 @@ def canonicalize_tools(t: Trajectories) -> Trajectories:
     open_ = (F.col("event_type") == "tool_call") & (a.isNull() | (a["kind"] == "generic_tool"))
     name = F.coalesce(_given(a["tool_name"]), F.col("metadata")["tool_name"], F.col("metadata")["tool.name"])
     kind, effect, normal = classified(F.col("__name"))
-    meta = F.map_from_entries(F.concat(F.map_entries(F.map_filter(F.coalesce(a["metadata"], empty("map<string,string>")), lambda k, v: ~k.isin("tool.name.raw", "normalized_name"))), F.map_entries(F.create_map(F.lit("tool.name.raw"), F.col("__name"), F.lit("normalized_name"), normal))))
-    new = struct_of("action", kind=kind, tool_name=normal, tool_call_id=a["tool_call_id"], arguments=F.coalesce(a["arguments"], F.lit("{}")), call_style=F.coalesce(a["call_style"], F.lit("unknown")), side_effect_level=effect, metadata=meta)
+    meta = F.map_from_entries(
+        F.concat(
+            F.map_entries(
+                F.map_filter(
+                    F.coalesce(a["metadata"], empty("map<string,string>")),
+                    lambda k, v: ~k.isin("tool.name.raw", "normalized_name")
+                )
+            ),
+            F.map_entries(F.create_map(F.lit("tool.name.raw"), F.col("__name"), F.lit("normalized_name"), normal))
+        )
+    )
+    new = struct_of(
+        "action", kind=kind, tool_name=normal, tool_call_id=a["tool_call_id"],
+        arguments=F.coalesce(a["arguments"], F.lit("{}")), call_style=F.coalesce(a["call_style"], F.lit("unknown")),
+        side_effect_level=effect, metadata=meta
+    )
     marked = t.events.withColumn("__name", F.when(open_, _given(name)))
     changed = marked.where("__name is not null").select("rid").distinct()
     events = marked.withColumn("action", F.when(F.col("__name").isNotNull(), new).otherwise(a)).drop("__name")
@@ -121,7 +140,10 @@ def canonicalize_tools(t: Trajectories) -> Trajectories:
 
 def result_call_id(e: Callable[[str], Column] = F.col) -> Column:
     """The call id that a result says it answers."""
-    return F.coalesce(_given(e("observation")["metadata"]["tool_call_id"]), _given(e("metadata")["tool_call_id"]), _given(F.get_json_object(e("raw"), "$.tool_call_id")))
+    return F.coalesce(
+        _given(e("observation")["metadata"]["tool_call_id"]), _given(e("metadata")["tool_call_id"]),
+        _given(F.get_json_object(e("raw"), "$.tool_call_id"))
+    )
 
 
 def paired(events: DataFrame) -> DataFrame:
@@ -140,7 +162,16 @@ def paired(events: DataFrame) -> DataFrame:
     last_pos = F.max(F.when(result, F.col("pos"))).over(by_id)
     calls = F.count_if(call).over(by_id)
     named = F.col("__id").isNotNull()
-    df = df.withColumn("__p1", F.when(call & named, last)).withColumn("__c1", F.when(result & named & (calls > 0) & (F.col("pos") == last_pos), F.transform(F.array_sort(F.collect_list(F.when(call, F.struct("pos", "event_id"))).over(by_id)), lambda x: x["event_id"])))
+    df = df.withColumn("__p1", F.when(call & named, last)).withColumn(
+        "__c1",
+        F.when(
+            result & named & (calls > 0) & (F.col("pos") == last_pos),
+            F.transform(
+                F.array_sort(F.collect_list(F.when(call, F.struct("pos", "event_id"))).over(by_id)),
+                lambda x: x["event_id"]
+            )
+        )
+    )
     done = F.col("__p1").isNotNull() | F.col("__c1").isNotNull()
     free = result & ~done & ~named
     by_seg = Window.partitionBy(*EPISODE, "__seg")
@@ -148,25 +179,62 @@ def paired(events: DataFrame) -> DataFrame:
     first_free = F.min(F.when(free, F.col("pos"))).over(by_seg)
     first_id = F.min_by("event_id", F.when(free, F.col("pos"))).over(by_seg)
     head_id = F.max(F.when(call, F.col("event_id"))).over(by_seg)
-    df = df.withColumn("__p2", F.when(call & ~done, first_id)).withColumn("__c2", F.when(free & head_open & (F.col("__seg") > 0) & (F.col("pos") == first_free), F.array(head_id)))
+    df = df.withColumn("__p2", F.when(call & ~done, first_id)).withColumn(
+        "__c2", F.when(free & head_open & (F.col("__seg") > 0) & (F.col("pos") == first_free), F.array(head_id))
+    )
     df = df.withColumn("__done", done | F.col("__p2").isNotNull() | F.col("__c2").isNotNull())
-    uses = F.when(call, _given(F.col("action")["metadata"]["tool_use_id"])).when(result, F.coalesce(_given(F.col("observation")["metadata"]["tool_use_id"]), F.col("metadata")["tool_use_id"]))
-    names = F.when(call, _given(F.col("action")["tool_name"])).when(result, F.coalesce(_given(F.col("metadata")["tool_name"]), _given(F.col("observation")["metadata"]["tool_name"]), _given(F.get_json_object(F.col("raw"), "$.tool_name"))))
+    uses = F.when(call, _given(F.col("action")["metadata"]["tool_use_id"])).when(
+        result, F.coalesce(_given(F.col("observation")["metadata"]["tool_use_id"]), F.col("metadata")["tool_use_id"])
+    )
+    names = F.when(call, _given(F.col("action")["tool_name"])).when(
+        result,
+        F.coalesce(
+            _given(F.col("metadata")["tool_name"]), _given(F.col("observation")["metadata"]["tool_name"]),
+            _given(F.get_json_object(F.col("raw"), "$.tool_name"))
+        )
+    )
     for n, key in (("3", uses), ("4", names)):
         df = df.withColumn("__key", F.when(~F.col("__done"), key))
         rank = F.row_number().over(Window.partitionBy(*EPISODE, "__key", "event_type").orderBy("pos"))
         df = df.withColumn("__rank", rank)
         together = Window.partitionBy(*EPISODE, "__key", "__rank")
-        match = F.col("__key").isNotNull() & (F.count_if(call).over(together) == 1) & (F.count_if(result).over(together) == 1)
-        df = df.withColumn(f"__p{n}", F.when(call & match, F.max(F.when(result, F.col("event_id"))).over(together))).withColumn(f"__c{n}", F.when(result & match, F.array(F.max(F.when(call, F.col("event_id"))).over(together))))
+        match = F.col("__key").isNotNull() & (F.count_if(call).over(together) == 1) & (
+            F.count_if(result).over(together) == 1
+        )
+        df = df.withColumn(
+            f"__p{n}", F.when(call & match, F.max(F.when(result, F.col("event_id"))).over(together))
+        ).withColumn(
+            f"__c{n}", F.when(result & match, F.array(F.max(F.when(call, F.col("event_id"))).over(together)))
+        )
         df = df.withColumn("__done", F.col("__done") | F.col(f"__p{n}").isNotNull() | F.col(f"__c{n}").isNotNull())
-    phase = F.when(F.coalesce(F.col("__p1"), F.col("__c1")[0]).isNotNull(), 1).when(F.coalesce(F.col("__p2"), F.col("__c2")[0]).isNotNull(), 2).when(F.coalesce("__p3", "__p4", F.col("__c3")[0], F.col("__c4")[0]).isNotNull(), 3)
-    out = df.withColumn("phase", phase).withColumn("partner", F.coalesce("__p1", "__p2", "__p3", "__p4")).withColumn("callers", F.coalesce("__c1", "__c2", "__c3", "__c4"))
+    phase = F.when(
+        F.coalesce(F.col("__p1"), F.col("__c1")[0]).isNotNull(), 1
+    ).when(F.coalesce(F.col("__p2"), F.col("__c2")[0]).isNotNull(), 2).when(
+        F.coalesce("__p3", "__p4", F.col("__c3")[0], F.col("__c4")[0]).isNotNull(), 3
+    )
+    out = df.withColumn("phase", phase).withColumn(
+        "partner", F.coalesce("__p1", "__p2", "__p3", "__p4")
+    ).withColumn("callers", F.coalesce("__c1", "__c2", "__c3", "__c4"))
     # the id that a result takes over from its call: the call's own, or the one made for it
-    lend = F.when(call, F.coalesce(_given(F.col("action")["tool_call_id"]), F.when((F.col("phase") == 2) & F.col("action")["tool_call_id"].isNull(), F.concat(F.lit("synth_"), F.col("event_id")))))
+    lend = F.when(
+        call,
+        F.coalesce(
+            _given(F.col("action")["tool_call_id"]),
+            F.when(
+                (F.col("phase") == 2) & F.col("action")["tool_call_id"].isNull(),
+                F.concat(F.lit("synth_"), F.col("event_id"))
+            )
+        )
+    )
     pair = F.coalesce("partner", F.when(result, F.col("event_id")))
     out = out.withColumn("__lend", lend).withColumn("__pair", F.when(F.col("phase").isNotNull(), pair))
-    out = out.withColumn("lent", F.when(result & F.col("phase").isNotNull(), F.max_by("__lend", F.when(call, F.col("pos"))).over(Window.partitionBy(*EPISODE, "__pair"))).when(call, F.col("__lend")))
+    out = out.withColumn(
+        "lent",
+        F.when(
+            result & F.col("phase").isNotNull(),
+            F.max_by("__lend", F.when(call, F.col("pos"))).over(Window.partitionBy(*EPISODE, "__pair"))
+        ).when(call, F.col("__lend"))
+    )
     return out.drop(*[c for c in out.columns if c.startswith("__")])
 
 
@@ -176,13 +244,30 @@ def pair_tool_results(t: Trajectories) -> Trajectories:
     df = paired(t.events)
     a, p, o = F.col("action"), F.col("provenance"), F.col("observation")
     made = call & (F.col("phase") == 2) & a["tool_call_id"].isNull()
-    new_action = F.when(a.isNull(), struct_of("action", kind=F.lit("generic_tool"), tool_call_id=F.col("lent"), arguments=F.lit("{}"), call_style=F.lit("inferred"), side_effect_level=F.lit("unknown"), metadata=empty("map<string,string>"))).otherwise(a.withField("tool_call_id", F.col("lent")))
-    new_origin = F.when(p.isNull(), struct_of("provenance", parser=F.lit("pair-tool-results"), confidence=F.lit(0.7))).otherwise(p.withField("confidence", F.least(p["confidence"], F.lit(0.7))))
+    new_action = F.when(
+        a.isNull(),
+        struct_of(
+            "action", kind=F.lit("generic_tool"), tool_call_id=F.col("lent"), arguments=F.lit("{}"),
+            call_style=F.lit("inferred"), side_effect_level=F.lit("unknown"), metadata=empty("map<string,string>")
+        )
+    ).otherwise(a.withField("tool_call_id", F.col("lent")))
+    new_origin = F.when(
+        p.isNull(), struct_of("provenance", parser=F.lit("pair-tool-results"), confidence=F.lit(0.7))
+    ).otherwise(p.withField("confidence", F.least(p["confidence"], F.lit(0.7))))
     takes = result & F.col("lent").isNotNull() & result_call_id().isNull()
-    put = lambda m: F.map_from_entries(F.concat(F.map_entries(F.map_filter(F.coalesce(m, empty("map<string,string>")), lambda k, v: k != "tool_call_id")), F.map_entries(F.create_map(F.lit("tool_call_id"), F.col("lent")))))
+    put = lambda m: F.map_from_entries(
+        F.concat(
+            F.map_entries(F.map_filter(F.coalesce(m, empty("map<string,string>")), lambda k, v: k != "tool_call_id")),
+            F.map_entries(F.create_map(F.lit("tool_call_id"), F.col("lent")))
+        )
+    )
     events = df.withColumns({
-        "children": F.when(call & F.col("partner").isNotNull(), F.array_union("children", F.array("partner"))).otherwise(F.col("children")),
-        "parents": F.when(result & F.col("callers").isNotNull(), F.array_union("parents", "callers")).otherwise(F.col("parents")),
+        "children": F.when(
+            call & F.col("partner").isNotNull(), F.array_union("children", F.array("partner"))
+        ).otherwise(F.col("children")),
+        "parents": F.when(
+            result & F.col("callers").isNotNull(), F.array_union("parents", "callers")
+        ).otherwise(F.col("parents")),
         "action": F.when(made, new_action).otherwise(a),
         "provenance": F.when(made, new_origin).otherwise(p),
         "observation": F.when(takes & o.isNotNull(), o.withField("metadata", put(o["metadata"]))).otherwise(o),
@@ -197,7 +282,11 @@ def redact_reasoning(t: Trajectories, policy: str | None = "metadata_only") -> T
     """Apply a policy to reasoning events; an unknown or null policy is metadata_only."""
     policy = policy if policy in ("preserve", "summarize", "drop", "redact", "metadata_only") else "metadata_only"
     reasoning, v = F.col("event_type") == "reasoning", F.col("visibility")
-    content = {"preserve": None, "summarize": F.array(text_block(F.lit("[REASONING_SUMMARY_NOT_IMPLEMENTED]"))), "drop": empty(SCHEMAS["content"]), "redact": F.array(text_block(F.lit("[REDACTED_REASONING]"))), "metadata_only": empty(SCHEMAS["content"])}[policy]
+    content = {
+        "preserve": None, "summarize": F.array(text_block(F.lit("[REASONING_SUMMARY_NOT_IMPLEMENTED]"))),
+        "drop": empty(SCHEMAS["content"]), "redact": F.array(text_block(F.lit("[REDACTED_REASONING]"))),
+        "metadata_only": empty(SCHEMAS["content"])
+    }[policy]
     changed = v.withField("contains_reasoning", F.lit(True)).withField("policy", F.lit(policy))
     if policy == "drop":
         changed = changed.withField("trainable", F.lit(False))
@@ -215,24 +304,59 @@ def normalize_outcome(t: Trajectories) -> Trajectories:
     o, m, v = F.col("outcome"), F.col("metadata"), F.col("__raw")
     reward = F.coalesce(m["reward"].try_cast("double"), X.said(v, "$.reward").try_cast("double"))
     flag = lambda x: F.when(x.isin("true", "false"), x == "true")
-    passed = F.coalesce(flag(m["success"]), F.when(X.is_bool(X.get(v, "$.test_result.passed")), X.get(v, "$.test_result.passed", "boolean")))
+    passed = F.coalesce(
+        flag(m["success"]),
+        F.when(X.is_bool(X.get(v, "$.test_result.passed")), X.get(v, "$.test_result.passed", "boolean"))
+    )
     trial = X.get(v, "$.trial")
     swe = F.try_parse_json(m["swebench"])
     source = F.when(X.is_object(trial), trial).when(X.is_object(swe), swe)
     resolved = X.get(F.col("__source"), "$.resolved")
     pick = lambda *paths: F.coalesce(*[_given(X.said(F.col("__source"), p)) for p in paths])
-    truth = F.when(X.is_bool(resolved), X.get(F.col("__source"), "$.resolved", "boolean")).otherwise(~F.coalesce(X.said(F.col("__source"), "$.resolved"), F.lit("")).isin("", "0", "0.0", "[]", "{}"))
-    score = F.coalesce(X.said(F.col("__source"), "$.score").try_cast("double"), F.when(X.is_bool(resolved), F.when(truth, 1.0).otherwise(0.0)))
-    verifier = F.when(X.exists(resolved), struct_of("verifier", passed=truth, score=score, command=pick("$.command", "$.test_command"), output=pick("$.test_output", "$.output")))
-    blank = (F.coalesce(m["has_empty_response"], F.lit("")) == "true") | (X.is_bool(X.get(v, "$.has_empty_response")) & F.coalesce(X.get(v, "$.has_empty_response", "boolean"), F.lit(False)))
+    truth = F.when(X.is_bool(resolved), X.get(F.col("__source"), "$.resolved", "boolean")).otherwise(
+        ~F.coalesce(X.said(F.col("__source"), "$.resolved"), F.lit("")).isin("", "0", "0.0", "[]", "{}")
+    )
+    score = F.coalesce(
+        X.said(F.col("__source"), "$.score").try_cast("double"),
+        F.when(X.is_bool(resolved), F.when(truth, 1.0).otherwise(0.0))
+    )
+    verifier = F.when(
+        X.exists(resolved),
+        struct_of(
+            "verifier", passed=truth, score=score, command=pick("$.command", "$.test_command"),
+            output=pick("$.test_output", "$.output")
+        )
+    )
+    blank = (F.coalesce(m["has_empty_response"], F.lit("")) == "true") | (
+        X.is_bool(X.get(v, "$.has_empty_response")) & F.coalesce(
+            X.get(v, "$.has_empty_response", "boolean"), F.lit(False)
+        )
+    )
     found = t.records.withColumn("__raw", raw).withColumn("__source", source)
-    found = found.withColumn("__o", F.struct(F.coalesce(reward, o["reward"]).alias("reward"), F.coalesce(passed, o["passed"]).alias("passed"), F.coalesce(verifier, o["verifier"]).alias("verifier"), F.coalesce(F.when(blank, "empty_response"), o["failure_reason"]).alias("failure_reason")))
+    found = found.withColumn(
+        "__o",
+        F.struct(
+            F.coalesce(reward, o["reward"]).alias("reward"), F.coalesce(passed, o["passed"]).alias("passed"),
+            F.coalesce(verifier, o["verifier"]).alias("verifier"),
+            F.coalesce(F.when(blank, "empty_response"), o["failure_reason"]).alias("failure_reason")
+        )
+    )
     n = F.col("__o")
-    status = F.when(n["passed"], "success").when(~n["passed"], "failure").when(n["reward"].isNotNull(), "partial").otherwise("unknown")
-    outcome = struct_of("outcome", status=status, reward=n["reward"], passed=n["passed"], failure_reason=n["failure_reason"], final_patch_artifact_id=o["final_patch_artifact_id"], verifier=n["verifier"])
+    status = F.when(n["passed"], "success").when(~n["passed"], "failure").when(
+        n["reward"].isNotNull(), "partial"
+    ).otherwise("unknown")
+    outcome = struct_of(
+        "outcome", status=status, reward=n["reward"], passed=n["passed"], failure_reason=n["failure_reason"],
+        final_patch_artifact_id=o["final_patch_artifact_id"], verifier=n["verifier"]
+    )
     records = found.withColumn("outcome", outcome).drop("__raw", "__source", "__o")
-    conflict = ((F.col("outcome.reward") > 0) & ~F.col("outcome.passed")) | ((F.col("outcome.reward") <= 0) & F.col("outcome.passed"))
-    return t.with_(records=records, diagnostics=[diagnostics_of(records.where(conflict), "normalize-outcome", "OUTCOME001", "outcome")])
+    conflict = (
+        (F.col("outcome.reward") > 0) & ~F.col("outcome.passed")
+    ) | ((F.col("outcome.reward") <= 0) & F.col("outcome.passed"))
+    return t.with_(
+        records=records,
+        diagnostics=[diagnostics_of(records.where(conflict), "normalize-outcome", "OUTCOME001", "outcome")]
+    )
 
 
 def slice_training(t: Trajectories, keep_non_trainable: bool = False) -> Trajectories:
@@ -264,11 +388,17 @@ def slice_training(t: Trajectories, keep_non_trainable: bool = False) -> Traject
         target = F.max_by("__alive", F.when(kind == 0, F.col("pos"))).over(Window.partitionBy(*EPISODE, "__id"))
         rows = rows.withColumn("__kept", F.when(kind == phase, F.coalesce(target, F.lit(False))))
         kept = F.coalesce(F.bool_or("__kept").over(Window.partitionBy(*EPISODE, "pos")), F.lit(True))
-        rows = rows.withColumn("__kept", kept).withColumn("__lost", F.when(F.col("__alive") & ~F.col("__kept"), name).otherwise(F.col("__lost")))
+        rows = rows.withColumn("__kept", kept).withColumn(
+            "__lost", F.when(F.col("__alive") & ~F.col("__kept"), name).otherwise(F.col("__lost"))
+        )
         rows = rows.withColumn("__alive", F.col("__alive") & F.col("__kept")).drop("__kept")
     done = rows.where(kind == 0).select("rid", "record_id", "ep_pos", "pos", "__alive", "__lost", "__event.*")
-    kept = done.where("__alive").withColumn("idx", F.row_number().over(in_order()).cast("bigint") - 1).withColumn("pos", F.col("idx"))
-    lost = diagnostics_of(done.where("__lost is not null"), "slice-training", F.concat(F.lit("slice-training:dropped-orphan-"), "__lost"))
+    kept = done.where("__alive").withColumn(
+        "idx", F.row_number().over(in_order()).cast("bigint") - 1
+    ).withColumn("pos", F.col("idx"))
+    lost = diagnostics_of(
+        done.where("__lost is not null"), "slice-training", F.concat(F.lit("slice-training:dropped-orphan-"), "__lost")
+    )
     # not in the table of codes: an information that says itself
     lost = lost.withColumns({"severity": F.lit("info"), "message": F.col("code")})
     return t.with_(records=t.records.withColumn("level", F.lit("training")), events=events_of(kept), diagnostics=[lost])
@@ -277,7 +407,9 @@ def slice_training(t: Trajectories, keep_non_trainable: bool = False) -> Traject
 def slice_metrics(before: Trajectories, after: Trajectories) -> DataFrame:
     """``(rid, events_before, events_after, events_dropped)``."""
     n = lambda e, name: e.groupBy("rid").agg(F.count("*").alias(name))
-    both = n(before.events, "events_before").join(n(after.events, "events_after"), "rid", "left").na.fill(0, ["events_after"])
+    both = n(before.events, "events_before").join(
+        n(after.events, "events_after"), "rid", "left"
+    ).na.fill(0, ["events_after"])
     return both.withColumn("events_dropped", F.col("events_before") - F.col("events_after"))
 
 
@@ -285,12 +417,21 @@ def verify(t: Trajectories, strict: bool = False) -> Trajectories:
     """Structural checks; see the codes VERIFY001 to VERIFY004."""
     e, name = t.events, "verify"
     nth = F.row_number().over(Window.partitionBy(*EPISODE, "event_id").orderBy("pos"))
-    checked = e.select("rid", "record_id", *EPISODE[1:], "pos", "event_id", "idx", nth.alias("nth"), F.lag("idx").over(in_order()).alias("before"))
+    checked = e.select(
+        "rid", "record_id", *EPISODE[1:], "pos", "event_id", "idx", nth.alias("nth"),
+        F.lag("idx").over(in_order()).alias("before")
+    )
     ids = e.select(*EPISODE, F.col("event_id").alias("to")).distinct()
-    parents = e.select("rid", "record_id", "ep_pos", "event_id", F.explode("parents").alias("to")).join(ids, [*EPISODE, "to"], "left_anti")
+    parents = e.select(
+        "rid", "record_id", "ep_pos", "event_id", F.explode("parents").alias("to")
+    ).join(ids, [*EPISODE, "to"], "left_anti")
     known = t.records.select("rid", F.explode("artifacts.artifact_id").alias("to")).distinct()
-    artifacts = e.select("rid", "record_id", "event_id", F.explode("artifacts").alias("to")).join(known, ["rid", "to"], "left_anti")
-    unnamed = e.where((F.col("event_type") == "tool_call") & F.col("action").isNotNull() & _given(F.col("action.tool_name")).isNull())
+    artifacts = e.select(
+        "rid", "record_id", "event_id", F.explode("artifacts").alias("to")
+    ).join(known, ["rid", "to"], "left_anti")
+    unnamed = e.where(
+        (F.col("event_type") == "tool_call") & F.col("action").isNotNull() & _given(F.col("action.tool_name")).isNull()
+    )
     unruled = e.where((F.col("event_type") == "reasoning") & F.col("visibility.policy").isNull())
     found = [
         diagnostics_of(checked.where("nth > 1"), name, "VERIFY001", "event_id"),
@@ -301,11 +442,21 @@ def verify(t: Trajectories, strict: bool = False) -> Trajectories:
         diagnostics_of(unruled, name, "VERIFY004", "visibility"),
     ]
     if strict:
-        call_ids = e.where((F.col("event_type") == "tool_call") & _given(F.col("action.tool_call_id")).isNotNull()).select("rid", F.col("action.tool_call_id").alias("to")).distinct()
-        results = e.where((F.col("event_type") == "tool_result") & _given(F.col("action.tool_call_id")).isNotNull()).select("rid", "record_id", "event_id", F.col("action.tool_call_id").alias("to"))
-        blank = e.where((F.col("event_type") == "assistant_message") & ~F.exists("content", lambda b: ~X.is_blank(b["text"])))
+        call_ids = e.where(
+            (F.col("event_type") == "tool_call") & _given(F.col("action.tool_call_id")).isNotNull()
+        ).select("rid", F.col("action.tool_call_id").alias("to")).distinct()
+        results = e.where(
+            (F.col("event_type") == "tool_result") & _given(F.col("action.tool_call_id")).isNotNull()
+        ).select("rid", "record_id", "event_id", F.col("action.tool_call_id").alias("to"))
+        blank = e.where(
+            (F.col("event_type") == "assistant_message") & ~F.exists("content", lambda b: ~X.is_blank(b["text"]))
+        )
         unsourced = e.where("provenance is null")
-        found += [diagnostics_of(results.join(call_ids, ["rid", "to"], "left_anti"), name, "VERIFY002", "tool_call_id"), diagnostics_of(blank, name, "VERIFY004", "content"), diagnostics_of(unsourced, name, "VERIFY004", "provenance")]
+        found += [
+            diagnostics_of(results.join(call_ids, ["rid", "to"], "left_anti"), name, "VERIFY002", "tool_call_id"),
+            diagnostics_of(blank, name, "VERIFY004", "content"),
+            diagnostics_of(unsourced, name, "VERIFY004", "provenance")
+        ]
     return t.with_(diagnostics=found)
 
 
@@ -318,34 +469,64 @@ def parse_xml_calls(t: Trajectories) -> Trajectories:
     The i-th new event of a source event is ``<id>-hx-<i>`` with idx above every idx so far;
     later events keep theirs.  Blocks are found in one left-to-right scan.
     """
-    text = F.when(F.col("role") == "assistant", F.array_join(F.transform("content", lambda b: F.coalesce(b["text"], F.lit(""))), ""))
+    text = F.when(
+        F.col("role") == "assistant",
+        F.array_join(F.transform("content", lambda b: F.coalesce(b["text"], F.lit(""))), "")
+    )
     found = F.regexp_extract_all(F.col("__text"), F.lit(_BLOCK), F.lit(0))
-    df = t.events.withColumn("__text", text).withColumn("__blocks", F.coalesce(found, empty("array<string>"))).withColumn("__n", F.size("__blocks"))
+    df = t.events.withColumn("__text", text).withColumn(
+        "__blocks", F.coalesce(found, empty("array<string>"))
+    ).withColumn("__n", F.size("__blocks"))
     # running maximum with k new events after each source: sum of earlier k + max over (idx - sum of k before)
     before = F.coalesce(F.sum("__n").over(in_order().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     df = df.withColumn("__before", before)
-    df = df.withColumn("__base", F.col("__before") + F.max(F.col("idx") - F.col("__before")).over(so_far())).withColumn("__shift", F.col("__before"))
-    new = df.where("__n > 0").select("rid", "record_id", "ep_pos", "episode_id", "pos", "event_id", "provenance", "__base", "__shift", F.posexplode("__blocks").alias("__i", "__block"))
+    df = df.withColumn(
+        "__base", F.col("__before") + F.max(F.col("idx") - F.col("__before")).over(so_far())
+    ).withColumn("__shift", F.col("__before"))
+    new = df.where("__n > 0").select(
+        "rid", "record_id", "ep_pos", "episode_id", "pos", "event_id", "provenance", "__base", "__shift",
+        F.posexplode("__blocks").alias("__i", "__block")
+    )
     inner = F.col("__inner")
-    new = new.withColumn("__call", F.col("__block").startswith("<tool_call>")).withColumn("__inner", X.strip(F.regexp_replace("__block", r"^<tool_(call|response)>|</tool_(call|response)>$", "")))
+    new = new.withColumn("__call", F.col("__block").startswith("<tool_call>")).withColumn(
+        "__inner", X.strip(F.regexp_replace("__block", r"^<tool_(call|response)>|</tool_(call|response)>$", ""))
+    )
     v = F.try_parse_json(inner)
-    arguments = F.when(X.is_object(X.get(v, "$.arguments")), F.get_json_object(inner, "$.arguments")).when(X.exists(X.get(v, "$.arguments")), F.to_json(F.struct(X.said(v, "$.arguments").alias("_raw")))).otherwise(F.lit("{}"))
-    action = struct_of("action", kind=F.lit("generic_tool"), tool_name=X.string(v, "$.name"), arguments=arguments, call_style=F.lit("xml_block"), side_effect_level=F.lit("unknown"), metadata=empty("map<string,string>"))
+    arguments = F.when(X.is_object(X.get(v, "$.arguments")), F.get_json_object(inner, "$.arguments")).when(
+        X.exists(X.get(v, "$.arguments")), F.to_json(F.struct(X.said(v, "$.arguments").alias("_raw")))
+    ).otherwise(F.lit("{}"))
+    action = struct_of(
+        "action", kind=F.lit("generic_tool"), tool_name=X.string(v, "$.name"), arguments=arguments,
+        call_style=F.lit("xml_block"), side_effect_level=F.lit("unknown"), metadata=empty("map<string,string>")
+    )
     json = F.when(X.is_object(v), inner).otherwise(F.to_json(F.struct(inner.alias("_raw"))))
     block = F.array(F.struct(F.lit("json").alias("type"), null_of("string").alias("text"), json.alias("json")))
     new = new.select(
-        "rid", "record_id", "ep_pos", "episode_id", (F.col("pos") + F.col("__shift") + 1 + F.col("__i")).alias("pos"), F.concat("event_id", F.lit("-hx-"), F.col("__i")).alias("event_id"), (F.col("__base") + 1 + F.col("__i")).alias("idx"),
-        F.when(F.col("__call"), "tool_call").otherwise("tool_result").alias("event_type"), F.when(F.col("__call"), "assistant").otherwise("tool").alias("role"), F.when(F.col("__call"), action).alias("action"),
-        F.when(F.col("__call"), empty(SCHEMAS["content"])).otherwise(block).alias("content"), struct_of("provenance", source_field=F.col("provenance.source_field"), parser=F.lit("parse-hermes-xml"), confidence=F.lit(1.0)).alias("provenance"),
+        "rid", "record_id", "ep_pos", "episode_id", (
+            F.col("pos") + F.col("__shift") + 1 + F.col("__i")
+        ).alias("pos"), F.concat(
+            "event_id", F.lit("-hx-"), F.col("__i")
+        ).alias("event_id"), (F.col("__base") + 1 + F.col("__i")).alias("idx"),
+        F.when(F.col("__call"), "tool_call").otherwise("tool_result").alias("event_type"), F.when(
+            F.col("__call"), "assistant"
+        ).otherwise("tool").alias("role"), F.when(F.col("__call"), action).alias("action"),
+        F.when(F.col("__call"), empty(SCHEMAS["content"])).otherwise(block).alias("content"), struct_of(
+            "provenance", source_field=F.col("provenance.source_field"), parser=F.lit("parse-hermes-xml"),
+            confidence=F.lit(1.0)
+        ).alias("provenance"),
     )
     old = df.withColumn("pos", F.col("pos") + F.col("__before"))
-    return t.with_(records=t.records.withColumn("level", F.lit("parsed")), events=events_of(old).unionByName(events_of(new)))
+    return t.with_(
+        records=t.records.withColumn("level", F.lit("parsed")), events=events_of(old).unionByName(events_of(new))
+    )
 
 
 def _appended(t: Trajectories, new: DataFrame) -> DataFrame:
     """Events of episode 0 with others after them; ``new`` has rid and, as pos, its order among the new."""
     last = t.events.where("ep_pos = 0").groupBy("rid").agg(F.max("pos").alias("__last"))
-    new = new.join(last, "rid", "left").withColumn("pos", F.coalesce("__last", F.lit(-1)) + 1 + F.col("pos")).withColumn("ep_pos", F.lit(0))
+    new = new.join(last, "rid", "left").withColumn(
+        "pos", F.coalesce("__last", F.lit(-1)) + 1 + F.col("pos")
+    ).withColumn("ep_pos", F.lit(0))
     first = t.events.where("ep_pos = 0").groupBy("rid").agg(F.first("episode_id").alias("__ep"))
     new = new.join(first, "rid", "left").withColumn("episode_id", F.coalesce("__ep", F.lit("ep_0001")))
     return t.events.unionByName(events_of(new))
@@ -362,17 +543,32 @@ def parse_turns(t: Trajectories, skip_if_parsed: bool = False) -> Trajectories:
     held = t.events.groupBy("rid").agg(F.count("*").alias("__n"), F.collect_set("event_id").alias("__taken"))
     v = F.try_parse_json("raw")
     turns = F.coalesce(X.items(v, "$.messages"), X.items(v, "$.conversations"), X.items(v, "$.conversation"))
-    rows = t.records.select("rid", "record_id", turns.alias("__turns")).join(held, "rid", "left").withColumn("__n", F.coalesce("__n", F.lit(0)).cast("int"))
+    rows = t.records.select("rid", "record_id", turns.alias("__turns")).join(held, "rid", "left").withColumn(
+        "__n", F.coalesce("__n", F.lit(0)).cast("int")
+    )
     if skip_if_parsed:
         rows = rows.where("__n = 0")
     rows = rows.where("size(__turns) > 0")
     taken = F.coalesce("__taken", empty("array<string>"))
-    free = F.filter(F.transform(F.sequence("__n", F.col("__n") + F.size("__turns") + F.size(taken)), lambda k: X.number("evt_%04d", k)), lambda x: ~F.array_contains(taken, x))
-    new = rows.withColumn("__free", free).select("rid", "record_id", "__n", "__free", F.posexplode("__turns").alias("__i", "__turn"))
+    free = F.filter(
+        F.transform(
+            F.sequence("__n", F.col("__n") + F.size("__turns") + F.size(taken)), lambda k: X.number("evt_%04d", k)
+        ),
+        lambda x: ~F.array_contains(taken, x)
+    )
+    new = rows.withColumn("__free", free).select(
+        "rid", "record_id", "__n", "__free", F.posexplode("__turns").alias("__i", "__turn")
+    )
     role = normal_role(turn_role(F.col("__turn")))
     kind, ir_role = message_types(role)
     content = turn_text(F.col("__turn"))
-    new = new.select("rid", "record_id", F.col("__i").cast("bigint").alias("pos"), F.col("__free")[F.col("__i")].alias("event_id"), (F.col("__n") + F.col("__i")).cast("bigint").alias("idx"), kind.alias("event_type"), ir_role.alias("role"), F.when(content != "", F.array(text_block(content))).otherwise(empty(SCHEMAS["content"])).alias("content"), struct_of("provenance", parser=F.lit("parse-sharegpt"), confidence=F.lit(0.9)).alias("provenance"), F.to_json("__turn").alias("raw"))
+    new = new.select(
+        "rid", "record_id", F.col("__i").cast("bigint").alias("pos"), F.col("__free")[F.col("__i")].alias("event_id"),
+        (F.col("__n") + F.col("__i")).cast("bigint").alias("idx"), kind.alias("event_type"), ir_role.alias("role"),
+        F.when(content != "", F.array(text_block(content))).otherwise(empty(SCHEMAS["content"])).alias("content"),
+        struct_of("provenance", parser=F.lit("parse-sharegpt"), confidence=F.lit(0.9)).alias("provenance"),
+        F.to_json("__turn").alias("raw")
+    )
     return t.with_(records=_with_level(t, rows.select("rid"), "parsed"), events=_appended(t, new))
 
 
@@ -393,22 +589,65 @@ def written_files(diff: Column) -> Column:
 def extract_patches(t: Trajectories) -> Trajectories:
     """Patches of the raw row (model_patch, gitdiff) and of assistant texts become artifacts and file_patch events."""
     v = F.try_parse_json("raw")
-    one = lambda n, field: F.struct(F.lit(n).alias("source"), F.lit(0).cast("bigint").alias("at"), null_of("string").alias("parent"), _given(X.string(v, f"$.{field}")).alias("diff"))
+    one = lambda n, field: F.struct(
+        F.lit(n).alias("source"), F.lit(0).cast("bigint").alias("at"), null_of("string").alias("parent"),
+        _given(X.string(v, f"$.{field}")).alias("diff")
+    )
     own = F.array(one(0, "model_patch"), one(1, "gitdiff"))
-    of_rows = t.records.select("rid", "record_id", F.explode(own).alias("p")).select("rid", "record_id", "p.*").where("diff is not null").withColumn("nth", F.lit(0))
-    said = t.events.where("event_type = 'assistant_message'").select("rid", "record_id", (F.col("ep_pos") * (1 << 40) + F.col("pos")).alias("at"), F.col("event_id").alias("parent"), F.explode("content.text").alias("text"))
-    of_text = said.select("rid", "record_id", F.lit(2).alias("source"), "at", "parent", F.posexplode(diff_blocks(F.col("text"))).alias("nth", "diff"))
+    of_rows = t.records.select(
+        "rid", "record_id", F.explode(own).alias("p")
+    ).select("rid", "record_id", "p.*").where("diff is not null").withColumn("nth", F.lit(0))
+    said = t.events.where("event_type = 'assistant_message'").select(
+        "rid", "record_id", (F.col("ep_pos") * (1 << 40) + F.col("pos")).alias("at"), F.col("event_id").alias("parent"),
+        F.explode("content.text").alias("text")
+    )
+    of_text = said.select(
+        "rid", "record_id", F.lit(2).alias("source"), "at", "parent",
+        F.posexplode(diff_blocks(F.col("text"))).alias("nth", "diff")
+    )
     found = of_rows.unionByName(of_text)
     n = F.row_number().over(Window.partitionBy("rid").orderBy("source", "at", "nth", "diff"))
-    held = t.records.select("rid", F.size("artifacts").alias("__held")).join(t.events.groupBy("rid").agg(F.max("idx").alias("__max")), "rid", "left")
-    found = found.withColumn("__n", n).join(held, "rid").withColumn("artifact_id", X.number("art_%04d", F.col("__held") + F.col("__n") - 1)).withColumn("event_id", X.number("evt_patch_%04d", F.col("__held") + F.col("__n") - 1))
+    held = t.records.select("rid", F.size("artifacts").alias("__held")).join(
+        t.events.groupBy("rid").agg(F.max("idx").alias("__max")), "rid", "left"
+    )
+    found = found.withColumn("__n", n).join(held, "rid").withColumn(
+        "artifact_id", X.number("art_%04d", F.col("__held") + F.col("__n") - 1)
+    ).withColumn(
+        "event_id", X.number("evt_patch_%04d", F.col("__held") + F.col("__n") - 1)
+    )
     files = written_files(F.col("diff"))
-    new = found.select("rid", "record_id", (F.col("__n") - 1).cast("bigint").alias("pos"), "event_id", (F.coalesce("__max", F.lit(-1)) + F.col("__n")).alias("idx"), F.lit("file_patch").alias("event_type"), F.lit("assistant").alias("role"), F.when(F.col("parent").isNotNull(), F.array("parent")).otherwise(empty("array<string>")).alias("parents"), F.array("artifact_id").alias("artifacts"), files.alias("writes"), F.col("artifact_id").alias("patch_artifact_id"), struct_of("provenance", parser=F.lit("extract-patches"), confidence=F.when(F.size(files) > 0, 1.0).otherwise(0.5)).alias("provenance"))
-    made = F.struct("artifact_id", F.lit("patch").alias("kind"), F.col("diff").alias("content"), F.sha2("diff", 256).alias("sha256"), F.octet_length("diff").cast("bigint").alias("size_bytes"), F.col("event_id").alias("created_by"))
-    added = found.groupBy("rid").agg(F.transform(F.array_sort(F.collect_list(F.struct("__n", made.alias("a")))), lambda x: x["a"]).alias("__new"), F.max_by("artifact_id", "__n").alias("__final"))
-    outcome = F.coalesce(F.col("outcome"), struct_of("outcome", status=F.lit("unknown"))).withField("final_patch_artifact_id", F.col("__final"))
-    records = t.records.join(added, "rid", "left").withColumn("artifacts", F.concat("artifacts", F.coalesce("__new", empty(SCHEMAS["artifact_list"])))).withColumn("outcome", F.when(F.col("__final").isNotNull(), outcome).otherwise(F.col("outcome"))).drop("__new", "__final")
-    return t.with_(records=records, events=_appended(t, new), diagnostics=[diagnostics_of(found.where(F.size(files) == 0), "extract-patches", "PARSE002")])
+    new = found.select(
+        "rid", "record_id", (F.col("__n") - 1).cast("bigint").alias("pos"), "event_id",
+        (F.coalesce("__max", F.lit(-1)) + F.col("__n")).alias("idx"), F.lit("file_patch").alias("event_type"),
+        F.lit("assistant").alias("role"),
+        F.when(F.col("parent").isNotNull(), F.array("parent")).otherwise(empty("array<string>")).alias("parents"),
+        F.array("artifact_id").alias("artifacts"), files.alias("writes"),
+        F.col("artifact_id").alias("patch_artifact_id"),
+        struct_of(
+            "provenance", parser=F.lit("extract-patches"), confidence=F.when(F.size(files) > 0, 1.0).otherwise(0.5)
+        ).alias("provenance")
+    )
+    made = F.struct(
+        "artifact_id", F.lit("patch").alias("kind"), F.col("diff").alias("content"),
+        F.sha2("diff", 256).alias("sha256"), F.octet_length("diff").cast("bigint").alias("size_bytes"),
+        F.col("event_id").alias("created_by")
+    )
+    added = found.groupBy("rid").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("__n", made.alias("a")))), lambda x: x["a"]).alias("__new"),
+        F.max_by("artifact_id", "__n").alias("__final")
+    )
+    outcome = F.coalesce(
+        F.col("outcome"), struct_of("outcome", status=F.lit("unknown"))
+    ).withField("final_patch_artifact_id", F.col("__final"))
+    records = t.records.join(added, "rid", "left").withColumn(
+        "artifacts", F.concat("artifacts", F.coalesce("__new", empty(SCHEMAS["artifact_list"])))
+    ).withColumn(
+        "outcome", F.when(F.col("__final").isNotNull(), outcome).otherwise(F.col("outcome"))
+    ).drop("__new", "__final")
+    return t.with_(
+        records=records, events=_appended(t, new),
+        diagnostics=[diagnostics_of(found.where(F.size(files) == 0), "extract-patches", "PARSE002")]
+    )
 
 
 def parse_native_calls(t: Trajectories) -> Trajectories:
@@ -429,13 +668,26 @@ def latest_calls(events: DataFrame) -> DataFrame:
     cid = _given(F.col("action.tool_call_id"))
     same = Window.partitionBy("rid", "__cid").orderBy("pos")
     df = events.withColumn("__cid", cid)
-    call = F.last(F.when(F.col("event_type") == "tool_call", F.col("event_id")), ignorenulls=True).over(same.rowsBetween(Window.unboundedPreceding, -1))
+    call = F.last(
+        F.when(F.col("event_type") == "tool_call", F.col("event_id")), ignorenulls=True
+    ).over(same.rowsBetween(Window.unboundedPreceding, -1))
     df = df.withColumn("__call", F.when((F.col("event_type") == "tool_result") & F.col("__cid").isNotNull(), call))
     group = F.coalesce("__call", F.when(F.col("event_type") == "tool_call", F.col("event_id")))
     df = df.withColumn("__group", group)
-    children = F.transform(F.array_sort(F.collect_list(F.when(F.col("__call").isNotNull(), F.struct("pos", "event_id"))).over(Window.partitionBy("rid", "__group"))), lambda x: x["event_id"])
-    df = df.withColumn("parents", F.when(F.col("__call").isNotNull(), F.array("__call")).otherwise(empty("array<string>")))
-    return df.withColumn("children", F.when(F.col("event_type") == "tool_call", children).otherwise(empty("array<string>"))).drop("__cid", "__call", "__group")
+    children = F.transform(
+        F.array_sort(
+            F.collect_list(
+                F.when(F.col("__call").isNotNull(), F.struct("pos", "event_id"))
+            ).over(Window.partitionBy("rid", "__group"))
+        ),
+        lambda x: x["event_id"]
+    )
+    df = df.withColumn(
+        "parents", F.when(F.col("__call").isNotNull(), F.array("__call")).otherwise(empty("array<string>"))
+    )
+    return df.withColumn(
+        "children", F.when(F.col("event_type") == "tool_call", children).otherwise(empty("array<string>"))
+    ).drop("__cid", "__call", "__group")
 
 
 def parse_coding_log(t: Trajectories) -> Trajectories:
@@ -446,12 +698,26 @@ def parse_coding_log(t: Trajectories) -> Trajectories:
     rows = t.records.select("rid", "record_id", v.alias("v"))
     has_assistant = t.events.groupBy("rid").agg(F.bool_or(F.col("role") == "assistant").alias("__said"))
     new = coding_log_events(rows, "parse-claude-log")
-    reply = rows.join(has_assistant, "rid", "left").join(new.groupBy("rid").agg(F.bool_or(F.col("role") == "assistant").alias("__new")), "rid", "left")
-    reply = reply.where(~F.coalesce("__said", F.lit(False)) & ~F.coalesce("__new", F.lit(False))).withColumn("text", X.string(F.col("v"), "$.assistant_response"))
-    single = reply.where(~X.is_blank(F.col("text"))).select("rid", "record_id", F.lit(1 << 30).cast("bigint").alias("pos"), F.concat("record_id", F.lit("-response")).alias("event_id"), F.lit(1 << 30).cast("bigint").alias("idx"), F.lit("assistant_message").alias("event_type"), F.lit("assistant").alias("role"), F.array(text_block(F.col("text"))).alias("content"))
-    records = t.records.join(rows.select("rid", log_tools(F.col("v")).alias("__tools")), "rid", "left").withColumn("tools", F.when(F.size("tools") > 0, F.col("tools")).otherwise(F.coalesce("__tools", F.col("tools")))).drop("__tools")
+    reply = rows.join(has_assistant, "rid", "left").join(
+        new.groupBy("rid").agg(F.bool_or(F.col("role") == "assistant").alias("__new")), "rid", "left"
+    )
+    reply = reply.where(
+        ~F.coalesce("__said", F.lit(False)) & ~F.coalesce("__new", F.lit(False))
+    ).withColumn("text", X.string(F.col("v"), "$.assistant_response"))
+    single = reply.where(~X.is_blank(F.col("text"))).select(
+        "rid", "record_id", F.lit(1 << 30).cast("bigint").alias("pos"),
+        F.concat("record_id", F.lit("-response")).alias("event_id"), F.lit(1 << 30).cast("bigint").alias("idx"),
+        F.lit("assistant_message").alias("event_type"), F.lit("assistant").alias("role"),
+        F.array(text_block(F.col("text"))).alias("content")
+    )
+    records = t.records.join(rows.select("rid", log_tools(F.col("v")).alias("__tools")), "rid", "left").withColumn(
+        "tools", F.when(F.size("tools") > 0, F.col("tools")).otherwise(F.coalesce("__tools", F.col("tools")))
+    ).drop("__tools")
     blank = reply.where(X.exists(X.get(F.col("v"), "$.assistant_response")) & X.is_blank(F.col("text")))
-    return t.with_(records=records, events=_appended(t, events_of(new).unionByName(events_of(single))), diagnostics=[diagnostics_of(blank, "parse-claude-log", "DATA001", "assistant_response")])
+    return t.with_(
+        records=records, events=_appended(t, events_of(new).unionByName(events_of(single))),
+        diagnostics=[diagnostics_of(blank, "parse-claude-log", "DATA001", "assistant_response")]
+    )
 
 
 PASSES: dict[str, Callable[[Trajectories], Trajectories]] = {
@@ -470,7 +736,10 @@ PASSES: dict[str, Callable[[Trajectories], Trajectories]] = {
 #: Named pass lists (fixed values).
 GROUPS = {
     "default": ("parse-sharegpt", "canonicalize-tools", "pair-tool-results", "normalize-outcome", "verify"),
-    "training": ("parse-sharegpt", "canonicalize-tools", "pair-tool-results", "normalize-outcome", "redact-reasoning", "slice-training", "verify"),
+    "training": (
+        "parse-sharegpt", "canonicalize-tools", "pair-tool-results", "normalize-outcome", "redact-reasoning",
+        "slice-training", "verify"
+    ),
     "minimal": ("normalize-outcome", "verify"),
     "full": tuple(sorted(PASSES)),
 }
@@ -490,10 +759,14 @@ def validated(names: list[str] | tuple[str, ...] | str) -> tuple[str, ...]:
 
 
 #: Passes that join events or records with themselves: their result is settled before the next pass.
-JOINING = frozenset(n for n in PASSES if n.startswith("parse-") and n != "parse-hermes-xml") | {"extract-patches", "slice-training", "canonicalize-tools"}
+JOINING = frozenset(
+    n for n in PASSES if n.startswith("parse-") and n != "parse-hermes-xml"
+) | {"extract-patches", "slice-training", "canonicalize-tools"}
 
 
-def run_passes(t: Trajectories, names: list[str] | tuple[str, ...] | str = "default", settle: bool = True, **options: dict) -> Trajectories:
+def run_passes(
+    t: Trajectories, names: list[str] | tuple[str, ...] | str = "default", settle: bool = True, **options: dict
+) -> Trajectories:
     """The passes in order; ``options`` has keyword arguments by pass name (with _ for -).
 
     One lazy plan, but for ``settle``: a pass that joins is written out if another follows.

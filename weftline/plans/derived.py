@@ -30,7 +30,10 @@ d AS (SELECT rid, eid, CAST(p AS BIGINT) AS pos,
 
 
 def rows_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(f"WITH {D.replace('FROM events', 'FROM {events}')} SELECT * FROM d", events=spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return spark.sql(
+        f"WITH {D.replace('FROM events', 'FROM {events}')} SELECT * FROM d",
+        events=spark.read.parquet(f"{sf_dir}/events.parquet")
+    )
 
 
 def trajectories(spark: SparkSession, sf_dir: str, named_results: bool = False, links: bool = False) -> Trajectories:
@@ -38,24 +41,65 @@ def trajectories(spark: SparkSession, sf_dir: str, named_results: bool = False,
     d = rows_of(spark, sf_dir)
     call, result = F.col("event_type") == "tool_call", F.col("event_type") == "tool_result"
     none = empty("map<string,string>")
-    action = F.when(call, struct_of("action", kind=F.lit("generic_tool"), tool_name=F.col("tool"), tool_call_id=F.col("cid"), arguments=F.concat(F.lit('{"n":'), F.col("eid"), F.lit("}")), call_style=F.lit("native_tool_call"), side_effect_level=F.lit("unknown"), metadata=none)).when(result & F.col("cid").isNotNull(), struct_of("action", kind=F.lit("generic_tool"), tool_call_id=F.col("cid"), arguments=F.lit("{}"), call_style=F.lit("native_tool_call"), side_effect_level=F.lit("unknown"), metadata=none))
-    said = F.map_concat(F.when(F.col("cid").isNotNull(), F.create_map(F.lit("tool_call_id"), F.col("cid"))).otherwise(none), F.create_map(F.lit("tool_name"), F.col("tool")) if named_results else none)
-    observation = F.when(result, struct_of("observation", kind=F.lit("tool_json"), stdout=F.concat(F.lit("out"), F.col("eid")), content=empty(SCHEMAS["content"]), artifact_ids=empty("array<string>"), metadata=said))
-    content = F.when(call | result, empty(SCHEMAS["content"])).otherwise(F.array(text_block(F.concat(F.lit("t"), F.col("eid")))))
+    action = F.when(
+        call,
+        struct_of(
+            "action", kind=F.lit("generic_tool"), tool_name=F.col("tool"), tool_call_id=F.col("cid"),
+            arguments=F.concat(F.lit('{"n":'), F.col("eid"), F.lit("}")), call_style=F.lit("native_tool_call"),
+            side_effect_level=F.lit("unknown"), metadata=none
+        )
+    ).when(
+        result & F.col("cid").isNotNull(),
+        struct_of(
+            "action", kind=F.lit("generic_tool"), tool_call_id=F.col("cid"), arguments=F.lit("{}"),
+            call_style=F.lit("native_tool_call"), side_effect_level=F.lit("unknown"), metadata=none
+        )
+    )
+    said = F.map_concat(
+        F.when(F.col("cid").isNotNull(), F.create_map(F.lit("tool_call_id"), F.col("cid"))).otherwise(none),
+        F.create_map(F.lit("tool_name"), F.col("tool")) if named_results else none
+    )
+    observation = F.when(
+        result,
+        struct_of(
+            "observation", kind=F.lit("tool_json"), stdout=F.concat(F.lit("out"), F.col("eid")),
+            content=empty(SCHEMAS["content"]), artifact_ids=empty("array<string>"), metadata=said
+        )
+    )
+    content = F.when(call | result, empty(SCHEMAS["content"])).otherwise(
+        F.array(text_block(F.concat(F.lit("t"), F.col("eid"))))
+    )
     listed = lambda c: F.when(F.col(c).isNotNull(), F.array(c)).otherwise(empty("array<string>"))
     none_list = empty("array<string>")
     events = d.select(
         "rid", F.concat(F.lit("rec_"), "rid").alias("record_id"), "pos", F.col("id").alias("event_id"), "idx", "event_type",
-        F.when(result, "tool").when(F.col("event_type") == "user_message", "user").otherwise("assistant").alias("role"), content.alias("content"), action.alias("action"), observation.alias("observation"),
-        (listed("parent") if links else none_list).alias("parents"), (listed("child") if links else none_list).alias("children"), (listed("artifact") if links else none_list).alias("artifacts"),
-        F.when(F.col("eid") % 3 != 1, struct_of("provenance", source_field=F.lit("events"), parser=F.lit("derived"), confidence=F.lit(0.9))).alias("provenance"),
+        F.when(result, "tool").when(
+            F.col("event_type") == "user_message", "user"
+        ).otherwise("assistant").alias("role"), content.alias("content"), action.alias("action"), observation.alias("observation"),
+        (listed("parent") if links else none_list).alias("parents"), (
+            listed("child") if links else none_list
+        ).alias("children"), (
+            listed("artifact") if links else none_list
+        ).alias("artifacts"),
+        F.when(
+            F.col("eid") % 3 != 1,
+            struct_of("provenance", source_field=F.lit("events"), parser=F.lit("derived"), confidence=F.lit(0.9))
+        ).alias("provenance"),
         visible(trainable=F.col("trainable"), policy=F.col("policy")).alias("visibility"),
     )
     reward = F.when(F.col("rid") % 3 == 0, "0.5").when(F.col("rid") % 3 == 1, "-1")
     success = F.when(F.col("rid") % 4 == 0, "true").when(F.col("rid") % 4 == 1, "false")
     meta = F.map_filter(F.create_map(F.lit("reward"), reward, F.lit("success"), success), lambda k, v: v.isNotNull())
-    artifact = F.array(F.struct(F.lit("art_0").alias("artifact_id"), F.lit("terminal_log").alias("kind"), F.lit("x").alias("content"), null_of("string").alias("sha256"), null_of("bigint").alias("size_bytes"), null_of("string").alias("created_by")))
-    records = d.select("rid").distinct().select("rid", F.concat(F.lit("rec_"), "rid").alias("record_id"), artifact.alias("artifacts"), meta.alias("metadata"))
+    artifact = F.array(
+        F.struct(
+            F.lit("art_0").alias("artifact_id"), F.lit("terminal_log").alias("kind"), F.lit("x").alias("content"),
+            null_of("string").alias("sha256"), null_of("bigint").alias("size_bytes"),
+            null_of("string").alias("created_by")
+        )
+    )
+    records = d.select("rid").distinct().select(
+        "rid", F.concat(F.lit("rec_"), "rid").alias("record_id"), artifact.alias("artifacts"), meta.alias("metadata")
+    )
     return Trajectories(records_of(records), events_of(events), no_diagnostics(d))
 
 

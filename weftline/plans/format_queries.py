@@ -45,7 +45,10 @@ def _verified_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = """'conversations', from_json(to_json(transform(m, x -> CASE WHEN rid % 3 = 0 THEN map('from', x.f, 'content', x.v) ELSE map('from', x.f, 'value', x.v) END)), 'array<map<string,string>>'),
     'instance_id', CASE WHEN rid % 5 <> 0 THEN 'i' || rid END, 'repo', 'r' || rid % 7, 'base_commit', 'c', 'problem_statement', 'p' || rid,
     'pass', CASE WHEN rid % 4 < 2 THEN rid % 4 = 0 END, 'verifier', CASE WHEN rid % 2 = 0 THEN named_struct('passed', rid % 4 = 0, 'score', rid / 10.0D, 'command', 'run') END, 'extra', 'e' || rid"""
-    return _rows(spark, sf_dir, "'f', CASE x.role WHEN 'assistant' THEN 'gpt' WHEN 'user' THEN 'human' ELSE x.role END, 'v', x.text", fields)
+    return _rows(
+        spark, sf_dir,
+        "'f', CASE x.role WHEN 'assistant' THEN 'gpt' WHEN 'user' THEN 'human' ELSE x.role END, 'v', x.text", fields
+    )
 
 
 _VERIFIED_ID = "CASE WHEN rid % 5 <> 0 THEN 'i' || rid ELSE 'row-' || rid END"
@@ -56,7 +59,9 @@ role || '_message' AS event_type, role, text, 'conversations[' || pos || ']' AS
 def q_verified_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns with from and value (or content) become message events."""
     events = frontends.convert(_verified_rows(spark, sf_dir), "codex-swebenchpro")[0].events
-    return _text(events).select("rid", "pos", "event_id", "episode_id", "event_type", "role", "text", "provenance.source_field")
+    return _text(events).select(
+        "rid", "pos", "event_id", "episode_id", "event_type", "role", "text", "provenance.source_field"
+    )
 
 
 @query(f"""SELECT DISTINCT conv_id AS rid, {_VERIFIED_ID.replace('rid', 'conv_id')} AS record_id, {_VERIFIED_ID.replace('rid', 'conv_id')} AS task_id, 'p' || conv_id AS instruction, 'r' || (conv_id % 7) AS repo,
@@ -96,7 +101,9 @@ CASE WHEN thinks THEN '༄' ELSE '' END || text AS text, thinks AS contains_reas
 def q_reasoning_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assistant turns that open with the reasoning mark become reasoning events under a policy."""
     events = frontends.convert(_reasoning_rows(spark, sf_dir), "hermes-agent")[0].events
-    return _text(events).select("rid", "pos", "event_id", "event_type", "text", "visibility.contains_reasoning", "visibility.policy")
+    return _text(events).select(
+        "rid", "pos", "event_id", "event_type", "text", "visibility.contains_reasoning", "visibility.policy"
+    )
 
 
 @query("""SELECT DISTINCT conv_id AS rid, CASE WHEN conv_id % 4 <> 0 THEN 'h' || conv_id ELSE 'hermes-row-' || conv_id END AS record_id, 'do ' || conv_id AS instruction,
@@ -105,8 +112,13 @@ def q_reasoning_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tasks and the tool list, given as JSON text in two shapes."""
     r = frontends.convert(_reasoning_rows(spark, sf_dir), "hermes-agent")[0].records
     none = F.lit("")
-    tool = lambda x: F.concat_ws(":", x["name"], F.coalesce(x["description"], none), F.coalesce(x["input_schema"], none))
-    return r.select("rid", "record_id", "task.instruction", "task.category", F.array_join(F.transform("tools", tool), ",").alias("tools"))
+    tool = lambda x: F.concat_ws(
+        ":", x["name"], F.coalesce(x["description"], none), F.coalesce(x["input_schema"], none)
+    )
+    return r.select(
+        "rid", "record_id", "task.instruction", "task.category",
+        F.array_join(F.transform("tools", tool), ",").alias("tools")
+    )
 
 
 @query("""WITH n AS (SELECT conv_id AS rid, count(*) AS n FROM conversations GROUP BY conv_id) SELECT rid, least(1.0, 0.65 + CASE WHEN n >= 3 THEN 0.1 ELSE 0 END
@@ -126,7 +138,9 @@ def _log_rows(spark: SparkSession, sf_dir: str, messages: bool = True) -> DataFr
     named_struct('type', 'tool_use', 'text', CAST(NULL AS STRING), 'id', 'u' || x.turn, 'name', 'bash', 'input', named_struct('k', 1))) ELSE array(named_struct('type', 'text', 'text', x.text, 'id', CAST(NULL AS STRING), 'name', CAST(NULL AS STRING), 'input', CAST(NULL AS STRUCT<k: INT>))) END"""
     tools = """'[{{"name":"bash","description":"first"}},{{"name":"bash","description":"second"}},{{"function":{{"name":"edit","parameters":{{"p":1}}}}}}]'"""
     said = "'messages_json', to_json(m)" if messages else "'messages_json', '[]', 'assistant_response', CASE WHEN rid % 3 <> 0 THEN 'reply ' || rid ELSE '  ' END"
-    return _rows(spark, sf_dir, turn, f"{said}, 'tools_json', {tools}, 'gitdiff', CASE WHEN rid % 2 = 0 THEN 'diff ' || rid END")
+    return _rows(
+        spark, sf_dir, turn, f"{said}, 'tools_json', {tools}, 'gitdiff', CASE WHEN rid % 2 = 0 THEN 'diff ' || rid END"
+    )
 
 
 _LOG_EVENTS = """SELECT rid, CAST(pos AS BIGINT) AS pos, 'evt-' || rid || '-' || pos AS event_id, role || '_message' AS event_type, text,
@@ -142,7 +156,9 @@ def _log_columns(events: DataFrame) -> DataFrame:
     )
 
 
-@query(f"WITH {_LOG_TURNS} {_LOG_EVENTS} UNION ALL SELECT rid, count(*), 'evt-' || rid || '-' || count(*), 'file_patch', NULL, NULL, NULL, '{{}}' FROM x WHERE rid % 2 = 0 GROUP BY rid")
+@query(
+    f"WITH {_LOG_TURNS} {_LOG_EVENTS} UNION ALL SELECT rid, count(*), 'evt-' || rid || '-' || count(*), 'file_patch', NULL, NULL, NULL, '{{}}' FROM x WHERE rid % 2 = 0 GROUP BY rid"
+)
 def q_log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of a JSON text with embedded tool uses; the diff is a patch event after them."""
     events = frontends.convert(_log_rows(spark, sf_dir), "claude-code")[0].events
@@ -153,7 +169,9 @@ def q_log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_log_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first tool of each name."""
     none = F.lit("")
-    tool = lambda x: F.concat_ws(":", x["name"], F.coalesce(x["description"], none), F.coalesce(x["input_schema"], none))
+    tool = lambda x: F.concat_ws(
+        ":", x["name"], F.coalesce(x["description"], none), F.coalesce(x["input_schema"], none)
+    )
     found = frontends.convert(_log_rows(spark, sf_dir), "claude-code")[0].records
     return found.select("rid", F.array_join(F.transform("tools", tool), ",").alias("tools"))
 
@@ -163,7 +181,9 @@ def _raw(rows: DataFrame) -> Trajectories:
     from weftline.model import events_of, no_diagnostics, records_of
 
     records = rows.select("rid", F.col("rid").cast("string").alias("record_id"), F.lit("raw").alias("level"), "raw")
-    return Trajectories(records_of(records), events_of(records.where("false").select("rid", "record_id")), no_diagnostics(rows))
+    return Trajectories(
+        records_of(records), events_of(records.where("false").select("rid", "record_id")), no_diagnostics(rows)
+    )
 
 
 @query(f"WITH {_LOG_TURNS} {_LOG_EVENTS}")
@@ -172,14 +192,18 @@ def q_log_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log_columns(passes.parse_coding_log(_raw(_log_rows(spark, sf_dir))).events)
 
 
-@query("SELECT DISTINCT conv_id AS rid, conv_id || '-response' AS event_id, 'reply ' || conv_id AS text FROM conversations WHERE conv_id % 3 <> 0")
+@query(
+    "SELECT DISTINCT conv_id AS rid, conv_id || '-response' AS event_id, 'reply ' || conv_id AS text FROM conversations WHERE conv_id % 3 <> 0"
+)
 def q_log_response(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without messages, the assistant's response is the one event."""
     t = passes.parse_coding_log(_raw(_log_rows(spark, sf_dir, messages=False)))
     return _text(t.events).select("rid", "event_id", "text")
 
 
-@query("SELECT DISTINCT conv_id AS rid, 'DATA001' AS code, 'assistant_response' AS field FROM conversations WHERE conv_id % 3 = 0")
+@query(
+    "SELECT DISTINCT conv_id AS rid, 'DATA001' AS code, 'assistant_response' AS field FROM conversations WHERE conv_id % 3 = 0"
+)
 def q_log_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = passes.parse_coding_log(_raw(_log_rows(spark, sf_dir, messages=False)))
     return t.diagnostics.select("rid", "code", "field")
@@ -197,7 +221,10 @@ def q_native_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     call = """CASE WHEN x.role = 'assistant' THEN array(named_struct('id', 'k' || x.turn, 'function', named_struct('name', 'run', 'arguments', '{{"t":' || x.turn || '}}'))) END"""
     rows = _rows(spark, sf_dir, f"'role', x.role, 'content', x.text, 'tool_calls', {call}", "'messages', m")
     events = _text(passes.parse_native_calls(_raw(rows)).events)
-    return events.select("rid", "pos", "event_type", "text", F.col("action.tool_call_id").alias("call_id"), F.col("action.arguments").alias("arguments"))
+    return events.select(
+        "rid", "pos", "event_type", "text", F.col("action.tool_call_id").alias("call_id"),
+        F.col("action.arguments").alias("arguments")
+    )
 
 
 # -- outcomes, checks, targets -------------------------------------------------------------------
@@ -205,7 +232,10 @@ def q_native_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _trial_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     trial = """CASE WHEN rid % 3 = 0 THEN named_struct('resolved', rid % 2 = 0, 'command', 'make', 'test_output', 'o' || rid) END"""
-    return _rows(spark, sf_dir, "'role', x.role, 'content', x.text", f"'messages', m, 'trial', {trial}, 'has_empty_response', rid % 5 = 0, 'reward', rid % 4 - 1")
+    return _rows(
+        spark, sf_dir, "'role', x.role, 'content', x.text",
+        f"'messages', m, 'trial', {trial}, 'has_empty_response', rid % 5 = 0, 'reward', rid % 4 - 1"
+    )
 
 
 @query("""SELECT DISTINCT conv_id AS rid, CAST(conv_id % 4 - 1 AS DOUBLE) AS reward, CASE WHEN conv_id % 3 = 0 THEN conv_id % 2 = 0 END AS verified, CASE WHEN conv_id % 3 = 0 THEN CASE WHEN conv_id % 2 = 0 THEN 1.0 ELSE 0.0 END END AS score,
@@ -214,7 +244,10 @@ def q_verifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verifier and failure reason from the raw row."""
     t = passes.normalize_outcome(frontends.convert(_trial_rows(spark, sf_dir), "agenttrove")[0])
     v = F.col("outcome.verifier")
-    return t.records.select("rid", "outcome.reward", v["passed"].alias("verified"), v["score"].alias("score"), v["command"].alias("command"), v["output"].alias("output"), "outcome.failure_reason")
+    return t.records.select(
+        "rid", "outcome.reward", v["passed"].alias("verified"), v["score"].alias("score"),
+        v["command"].alias("command"), v["output"].alias("output"), "outcome.failure_reason"
+    )
 
 
 @query(f"WITH {D} SELECT rid, id AS event_id, 'VERIFY004' AS code, 'warning' AS severity FROM d WHERE eid % 3 = 1")
@@ -224,16 +257,29 @@ def q_verify_unsourced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.diagnostics.where("field = 'provenance'").select("rid", "event_id", "code", "severity")
 
 
-@query(f"WITH {D} SELECT rid, id AS event_id, 'VERIFY004' AS code FROM d WHERE event_type = 'assistant_message' AND eid % 2 = 0")
+@query(
+    f"WITH {D} SELECT rid, id AS event_id, 'VERIFY004' AS code FROM d WHERE event_type = 'assistant_message' AND eid % 2 = 0"
+)
 def q_verify_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strict checks: assistant messages that say nothing."""
     t = trajectories(spark, sf_dir)
-    blank = F.transform("content", lambda b: b.withField("text", F.when(F.substring(b["text"], -1, 1).cast("int") % 2 == 0, F.lit("  \n")).otherwise(b["text"])))
-    t = t.with_(events=t.events.withColumn("content", F.when(F.col("event_type") == "assistant_message", blank).otherwise(F.col("content"))))
+    blank = F.transform(
+        "content",
+        lambda b: b.withField(
+            "text", F.when(F.substring(b["text"], -1, 1).cast("int") % 2 == 0, F.lit("  \n")).otherwise(b["text"])
+        )
+    )
+    t = t.with_(
+        events=t.events.withColumn(
+            "content", F.when(F.col("event_type") == "assistant_message", blank).otherwise(F.col("content"))
+        )
+    )
     return passes.verify(t, strict=True).diagnostics.where("field = 'content'").select("rid", "event_id", "code")
 
 
-@query(f"WITH {D} SELECT rid, CAST(row_number() OVER (PARTITION BY rid ORDER BY pos) - 1 AS BIGINT) AS n FROM d WHERE event_type IN ('user_message', 'assistant_message')")
+@query(
+    f"WITH {D} SELECT rid, CAST(row_number() OVER (PARTITION BY rid ORDER BY pos) - 1 AS BIGINT) AS n FROM d WHERE event_type IN ('user_message', 'assistant_message')"
+)
 def q_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages alone, numbered anew by a slice that keeps all."""
     t = trajectories(spark, sf_dir)
@@ -247,11 +293,15 @@ SELECT 'openai-tools' AS target, status, count(*) AS n_records FROM r GROUP BY s
 def q_fan_out_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several targets of one set of records, with the statuses of each."""
     found = lowering.lower_all(trajectories(spark, sf_dir), ["openai-tools", "openhands"])
-    counts = [lowering.status_counts(x).select(F.lit(n).alias("target"), "status", "n_records") for n, x in found.items()]
+    counts = [
+        lowering.status_counts(x).select(F.lit(n).alias("target"), "status", "n_records") for n, x in found.items()
+    ]
     return counts[0].unionByName(counts[1])
 
 
-@query(f"WITH {D} SELECT rid, 'warning[PAIR001]: a call without a result' || chr(10) || '  --> rec_' || rid || ':' || id AS line FROM d WHERE event_type = 'tool_call' AND rid % 2 = 0")
+@query(
+    f"WITH {D} SELECT rid, 'warning[PAIR001]: a call without a result' || chr(10) || '  --> rec_' || rid || ':' || id AS line FROM d WHERE event_type = 'tool_call' AND rid % 2 = 0"
+)
 def q_diagnostic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Diagnostics as text: calls of records that have no results."""
     t = trajectories(spark, sf_dir)
@@ -321,35 +371,51 @@ CASE WHEN conv_id % 7 = 0 OR conv_id % 2 = 0 THEN 'MATCH' ELSE 'LOW' END AS verd
 def q_dsl_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All eight kinds of detection rules."""
     v = F.try_parse_json("raw")
-    return _format_rows(spark, sf_dir).select("rid", F.bround(spec.detection(FORMAT, v), 6).alias("score"), spec.verdict(FORMAT, v).alias("verdict"))
+    return _format_rows(spark, sf_dir).select(
+        "rid", F.bround(spec.detection(FORMAT, v), 6).alias("score"), spec.verdict(FORMAT, v).alias("verdict")
+    )
 
 
-@query("""SELECT DISTINCT conv_id AS rid, 'x' || conv_id AS record_id, 'talks' AS dataset, 'chat-task' AS task_id, 'a' || conv_id || chr(10) || 'b' AS instruction, 'c' || (conv_id % 5) AS category FROM conversations""")
+@query(
+    """SELECT DISTINCT conv_id AS rid, 'x' || conv_id AS record_id, 'talks' AS dataset, 'chat-task' AS task_id, 'a' || conv_id || chr(10) || 'b' AS instruction, 'c' || (conv_id % 5) AS category FROM conversations"""
+)
 def q_dsl_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids, constants, templates, texts of parts and paths in a task."""
     r = spec.compile_spec(FORMAT).parse(_format_rows(spark, sf_dir)).records
     return r.select("rid", "record_id", "source.dataset", "task.task_id", "task.instruction", "task.category")
 
 
-@query("""SELECT DISTINCT conv_id AS rid, CASE WHEN conv_id % 2 = 0 THEN 'success' ELSE 'unknown' END AS status, conv_id % 2 = 0 AS passed FROM conversations""")
+@query(
+    """SELECT DISTINCT conv_id AS rid, CASE WHEN conv_id % 2 = 0 THEN 'success' ELSE 'unknown' END AS status, conv_id % 2 = 0 AS passed FROM conversations"""
+)
 def q_dsl_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = spec.compile_spec(FORMAT).parse(_format_rows(spark, sf_dir)).records
     return r.select("rid", "outcome.status", "outcome.passed")
 
 
-@query("""SELECT DISTINCT conv_id AS rid, 'n' || conv_id || ':' || conv_id || ',tool_1:2' AS tools FROM conversations""")
+@query(
+    """SELECT DISTINCT conv_id AS rid, 'n' || conv_id || ':' || conv_id || ',tool_1:2' AS tools FROM conversations"""
+)
 def q_dsl_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tools of a list; one without a name gets its number."""
     r = spec.compile_spec(FORMAT).parse(_format_rows(spark, sf_dir)).records
-    return r.select("rid", F.array_join(F.transform("tools", lambda x: F.concat_ws(":", x["name"], x["description"])), ",").alias("tools"))
+    return r.select(
+        "rid",
+        F.array_join(F.transform("tools", lambda x: F.concat_ws(":", x["name"], x["description"])), ",").alias("tools")
+    )
 
 
-@query(f"""WITH {TURNS} SELECT rid, CAST(pos AS BIGINT) AS idx, printf('e%03d', pos) AS event_id, 'generic_tool' AS kind, role AS tool_name, 'c' || pos AS call_id, 'inferred' AS call_style, text || chr(10) || role AS text FROM c""")
+@query(
+    f"""WITH {TURNS} SELECT rid, CAST(pos AS BIGINT) AS idx, printf('e%03d', pos) AS event_id, 'generic_tool' AS kind, role AS tool_name, 'c' || pos AS call_id, 'inferred' AS call_style, text || chr(10) || role AS text FROM c"""
+)
 def q_dsl_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Emitted actions, and content from a list of expressions."""
     e = _text(spec.compile_spec(FORMAT).parse(_format_rows(spark, sf_dir)).events)
     a = F.col("action")
-    return e.select("rid", "idx", "event_id", a["kind"].alias("kind"), a["tool_name"].alias("tool_name"), a["tool_call_id"].alias("call_id"), a["call_style"].alias("call_style"), "text")
+    return e.select(
+        "rid", "idx", "event_id", a["kind"].alias("kind"), a["tool_name"].alias("tool_name"),
+        a["tool_call_id"].alias("call_id"), a["call_style"].alias("call_style"), "text"
+    )
 
 
 @query("""SELECT DISTINCT conv_id AS rid, CASE WHEN conv_id % 3 = 0 THEN 'l' || conv_id ELSE 'none' END AS level, 'a' || conv_id || chr(10) || 'b' AS parts, CAST(conv_id AS VARCHAR) AS said,
@@ -361,8 +427,14 @@ def q_dsl_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _format_rows(spark, sf_dir).select("rid", F.try_parse_json("raw").alias("v"))
     options = s.value({"transform": "parse_json", "input": "$.options", "fallback": {"level": "none"}})
     return rows.select(
-        "rid", F.try_variant_get(options, "$.level", "string").alias("level"), value({"transform": "extract_text", "input": "$.parts"}).alias("parts"),
-        value({"transform": "to_string", "input": "$.tools[0].n"}).alias("said"), F.to_json(s.value(["$.id", 1])).alias("listed"), F.to_json(s.value({"k": "$.id"})).alias("object"),
+        "rid", F.try_variant_get(options, "$.level", "string").alias("level"), value(
+            {"transform": "extract_text", "input": "$.parts"}
+        ).alias("parts"),
+        value(
+            {"transform": "to_string", "input": "$.tools[0].n"}
+        ).alias("said"), F.to_json(s.value(["$.id", 1])).alias("listed"), F.to_json(
+            s.value({"k": "$.id"})
+        ).alias("object"),
     )
 
 
@@ -379,10 +451,15 @@ episodes:
 """)
 
 
-@query("""SELECT conv_id AS row_index, 'action.kind: user' AS error FROM conversations WHERE role = 'user' AND turn % 2 = 1 GROUP BY conv_id""")
+@query(
+    """SELECT conv_id AS row_index, 'action.kind: user' AS error FROM conversations WHERE role = 'user' AND turn % 2 = 1 GROUP BY conv_id"""
+)
 def q_dsl_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with an action of an unknown kind go to quarantine."""
-    rows = _rows(spark, sf_dir, "'kind', CASE WHEN x.role = 'user' AND x.turn % 2 = 1 THEN x.role ELSE 'terminal' END", "'messages', m")
+    rows = _rows(
+        spark, sf_dir, "'kind', CASE WHEN x.role = 'user' AND x.turn % 2 = 1 THEN x.role ELSE 'terminal' END",
+        "'messages', m"
+    )
     frontends.register_frontend(spec.compile_spec(CHECKED))
     return frontends.convert(rows, "checked-actions")[1].select("row_index", "error")
 
@@ -396,13 +473,17 @@ def q_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("most_items", F.col("most_items").cast("bigint"))
 
 
-@query("""SELECT DISTINCT conv_id AS rid, f.name, conv_id % 2 = 0 AND f.name = 'chat_rewards' AS matches FROM conversations CROSS JOIN (SELECT unnest(['chat_rewards', 'verified_trials', 'coding_log', 'native_calls', 'reasoning_chat']) AS name) f""")
+@query(
+    """SELECT DISTINCT conv_id AS rid, f.name, conv_id % 2 = 0 AND f.name = 'chat_rewards' AS matches FROM conversations CROSS JOIN (SELECT unnest(['chat_rewards', 'verified_trials', 'coding_log', 'native_calls', 'reasoning_chat']) AS name) f"""
+)
 def q_shipped_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts of the shipped formats on conversations, every second with a reward."""
     rows = conversation_rows(spark, sf_dir, extra=", 'reward', CASE WHEN rid % 2 = 0 THEN 1.5D END")
     v = F.try_parse_json("raw")
     names = sorted(p.stem for p in spec.FORMATS.glob("*.yaml"))
-    hits = F.array(*[F.struct(F.lit(n).alias("name"), (spec.detection(spec.shipped(n), v) >= 0.6).alias("matches")) for n in names])
+    hits = F.array(
+        *[F.struct(F.lit(n).alias("name"), (spec.detection(spec.shipped(n), v) >= 0.6).alias("matches")) for n in names]
+    )
     return rows.select("rid", F.explode(hits).alias("h")).select("rid", "h.*")
 
 
@@ -418,11 +499,16 @@ _EVENT_ROWS = "SELECT CAST(row_number() OVER (ORDER BY event_id) - 1 AS BIGINT)
 
 def _read_back(rows: DataFrame) -> DataFrame:
     v = F.try_parse_json("raw")
-    return rows.select("rid", X.get(v, "$.event_id", "bigint").alias("event_id"), X.string(v, "$.event_type").alias("event_type"), X.get(v, "$.user_id", "bigint").alias("user_id"))
+    return rows.select(
+        "rid", X.get(v, "$.event_id", "bigint").alias("event_id"), X.string(v, "$.event_type").alias("event_type"),
+        X.get(v, "$.user_id", "bigint").alias("user_id")
+    )
 
 
 def _event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "event_type", F.when(F.col("event_id") % 3 != 0, F.col("user_id")).alias("user_id"))
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.when(F.col("event_id") % 3 != 0, F.col("user_id")).alias("user_id")
+    )
     return rows.coalesce(1).sortWithinPartitions("event_id")  # one file, whose lines are in order
 
 
@@ -449,7 +535,9 @@ def q_read_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_back(files.read_rows(spark, path))
 
 
-@query("SELECT DISTINCT conv_id AS rid FROM conversations WHERE conv_id < (SELECT count(DISTINCT conv_id) FROM conversations)")
+@query(
+    "SELECT DISTINCT conv_id AS rid FROM conversations WHERE conv_id < (SELECT count(DISTINCT conv_id) FROM conversations)"
+)
 def q_read_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A .json file that is one array: its elements in order."""
     path = _folder(spark, "array") + ".json"
@@ -460,7 +548,9 @@ def q_read_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where(F.col("rid") == X.get(F.try_parse_json("raw"), "$.id", "bigint")).select("rid")
 
 
-@query("""SELECT CAST(event_id AS BIGINT) AS row_index, 'malformed JSON' AS error, '{bad' AS raw_data FROM events WHERE event_id % 3 = 0""")
+@query(
+    """SELECT CAST(event_id AS BIGINT) AS row_index, 'malformed JSON' AS error, '{bad' AS raw_data FROM events WHERE event_id % 3 = 0"""
+)
 def q_quarantine_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The side output, written and read."""
     raw = F.when(F.col("event_id") % 3 == 0, "{bad").otherwise('{"messages":[{"role":"user","content":"x"}]}')
@@ -470,12 +560,16 @@ def q_quarantine_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.json(path).select("row_index", "error", "raw_data")
 
 
-@query("""SELECT event_id AS rid, event_id % 2 = 0 AS ok, CASE WHEN event_id % 2 = 1 THEN 'odd number' END AS error FROM events""")
+@query(
+    """SELECT event_id AS rid, event_id % 2 = 0 AS ok, CASE WHEN event_id % 2 = 1 THEN 'odd number' END AS error FROM events"""
+)
 def q_checked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A caller's own check: rows that fail it go to the side output."""
     rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("rid"), F.col("props").alias("raw"))
     good, bad = frontends.quarantined(rows, F.col("rid") % 2 == 1, F.lit("odd number"), "check")
-    return good.select("rid", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error")).union(bad.select("row_index", F.lit(False), "error"))
+    return good.select(
+        "rid", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error")
+    ).union(bad.select("row_index", F.lit(False), "error"))
 
 
 def _halved(row: dict) -> dict | None:
@@ -489,14 +583,18 @@ def _halved(row: dict) -> dict | None:
 _K = "SELECT event_id AS rid, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
 
 
-@query(f"WITH x AS ({_K}) SELECT rid, k // 2 AS half, NULL AS error FROM x WHERE k % 5 <> 0 AND k % 2 = 0 UNION ALL SELECT rid, NULL, 'ValueError: odd' FROM x WHERE k % 5 <> 0 AND k % 2 <> 0")
+@query(
+    f"WITH x AS ({_K}) SELECT rid, k // 2 AS half, NULL AS error FROM x WHERE k % 5 <> 0 AND k % 2 = 0 UNION ALL SELECT rid, NULL, 'ValueError: odd' FROM x WHERE k % 5 <> 0 AND k % 2 <> 0"
+)
 def q_process_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Python function over records: results, and what it raised."""
     rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("rid"), F.col("props").alias("raw"))
     good, bad = process_rows(rows, _halved)
     half = X.get(F.try_parse_json("raw"), "$.half", "bigint").alias("half")
     none = F.lit(None)
-    return good.select("rid", half, none.cast("string").alias("error")).union(bad.select("row_index", none.cast("bigint"), "error"))
+    return good.select("rid", half, none.cast("string").alias("error")).union(
+        bad.select("row_index", none.cast("bigint"), "error")
+    )
 
 
 # -- streams ----------------------------------------------------------------------------------------
@@ -511,8 +609,14 @@ def q_stream_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.union(rows).write.text(f"{folder}/in")
 
     def sink(t: Trajectories, bad: DataFrame, n: int) -> None:
-        events = t.events.join(t.records.select("rid", F.col("source.original_source").cast("bigint").alias("conv")), "rid")
-        events.select("conv", "pos", "event_id", "event_type", "role").write.mode("overwrite").parquet(f"{folder}/out/batch={n}")
-
-    stream.run(stream.read_lines(spark, f"{folder}/in"), "agenttrove", sink, "minimal", f"{folder}/checkpoint").awaitTermination()
+        events = t.events.join(
+            t.records.select("rid", F.col("source.original_source").cast("bigint").alias("conv")), "rid"
+        )
+        events.select(
+            "conv", "pos", "event_id", "event_type", "role"
+        ).write.mode("overwrite").parquet(f"{folder}/out/batch={n}")
+
+    stream.run(
+        stream.read_lines(spark, f"{folder}/in"), "agenttrove", sink, "minimal", f"{folder}/checkpoint"
+    ).awaitTermination()
     return spark.read.parquet(f"{folder}/out").select("conv", "pos", "event_id", "event_type", "role")

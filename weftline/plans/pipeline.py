@@ -51,10 +51,16 @@ def register_dialect(name: str, event_types: tuple[str, ...]) -> None:
 
 
 def dialects(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(n, IR_VERSION, list(x)) for n, x in DIALECTS.items()], "name string, version string, event_types array<string>")
+    return spark.createDataFrame(
+        [(n, IR_VERSION, list(x)) for n, x in DIALECTS.items()],
+        "name string, version string, event_types array<string>"
+    )
 
 
-def compile_rows(df: DataFrame, frontend: str, pass_names: str | list[str] = "default", target: str = "openai-tools", ctx: lowering.Context = lowering.Context(), **options: dict) -> tuple[lowering.Lowered, Trajectories, DataFrame]:
+def compile_rows(
+    df: DataFrame, frontend: str, pass_names: str | list[str] = "default", target: str = "openai-tools",
+    ctx: lowering.Context = lowering.Context(), **options: dict
+) -> tuple[lowering.Lowered, Trajectories, DataFrame]:
     """Parse, run passes and lower, as one lazy plan.  Gives the target rows, the trajectories and the quarantine."""
     chosen = passes.validated(pass_names)
     frontends.frontend(frontend)
@@ -65,7 +71,10 @@ def compile_rows(df: DataFrame, frontend: str, pass_names: str | list[str] = "de
     return lowering.lower(t, target, ctx), t, bad
 
 
-def compile_files(spark: SparkSession, source: str, out: str, frontend: str, pass_names: str | list[str] = "default", target: str = "openai-tools", limit: int | None = None, report: str | None = None) -> DataFrame:
+def compile_files(
+    spark: SparkSession, source: str, out: str, frontend: str, pass_names: str | list[str] = "default",
+    target: str = "openai-tools", limit: int | None = None, report: str | None = None
+) -> DataFrame:
     """From a file to a file; returns the status counts.  With ``report``, losses go there as JSON lines."""
     lowered, _, bad = compile_rows(files.read_rows(spark, source, limit), frontend, pass_names, target)
     files.write_rows(lowered.rows.select("output.*"), out, keep_nulls=True)
@@ -117,8 +126,14 @@ def measured_passes(t: Trajectories, names: str | list[str]) -> tuple[Trajectori
 
 def statistics(t: Trajectories) -> DataFrame:
     """One row: records, events, episodes, artifacts, diagnostics by severity."""
-    e = t.events.agg(F.count("*").alias("n_events"), F.countDistinct("rid", "ep_pos").alias("n_episodes"), F.countDistinct("rid").alias("n_with_events"))
-    r = t.records.agg(F.count("*").alias("n_records"), F.coalesce(F.sum(F.size("artifacts")), F.lit(0)).cast("bigint").alias("n_artifacts"))
+    e = t.events.agg(
+        F.count("*").alias("n_events"), F.countDistinct("rid", "ep_pos").alias("n_episodes"),
+        F.countDistinct("rid").alias("n_with_events")
+    )
+    r = t.records.agg(
+        F.count("*").alias("n_records"),
+        F.coalesce(F.sum(F.size("artifacts")), F.lit(0)).cast("bigint").alias("n_artifacts")
+    )
     d = t.diagnostics.agg(*[F.count_if(F.col("severity") == s).alias(f"n_{s}") for s in ENUMS["severity"]])
     return r.crossJoin(e).crossJoin(d)  # single rows
 
@@ -131,13 +146,24 @@ def source_map(t: Trajectories) -> DataFrame:
 def markdown(counts: DataFrame, title: str) -> str:
     """A table of a small aggregate."""
     rows, names = counts.collect(), counts.columns
-    return "\n".join([f"# {title}", "", "| " + " | ".join(names) + " |", "|" + "-|" * len(names), *["| " + " | ".join(str(r[n]) for n in names) + " |" for r in rows]]) + "\n"
+    return "\n".join(
+        [
+            f"# {title}", "", "| " + " | ".join(names) + " |", "|" + "-|" * len(names),
+            *["| " + " | ".join(str(r[n]) for n in names) + " |" for r in rows]
+        ]
+    ) + "\n"
 
 
 def diagnostic_lines(t: Trajectories) -> DataFrame:
     """``severity[CODE]: message`` with the place below, one text for each diagnostic."""
     at = F.concat_ws(":", F.col("record_id"), F.col("event_id"), F.col("field"))
-    return t.diagnostics.select("rid", F.concat(F.col("severity"), F.lit("["), F.col("code"), F.lit("]: "), F.coalesce("message", F.lit("")), F.when(at != "", F.concat(F.lit("\n  --> "), at)).otherwise("")).alias("line"))
+    return t.diagnostics.select(
+        "rid",
+        F.concat(
+            F.col("severity"), F.lit("["), F.col("code"), F.lit("]: "), F.coalesce("message", F.lit("")),
+            F.when(at != "", F.concat(F.lit("\n  --> "), at)).otherwise("")
+        ).alias("line")
+    )
 
 
 def json_schema() -> dict:
@@ -147,7 +173,10 @@ def json_schema() -> dict:
     event = {"type": "object", "properties": {n: {"type": [kind(t), "null"]} for n, t in EVENT_FIELDS.items()}}
     event["properties"]["event_type"] = {"enum": list(ENUMS["event_type"])}
     fields = {n: {"type": [kind(t), "null"]} for n, t in RECORD_FIELDS.items()}
-    return {"$schema": "https://json-schema.org/draft/2020-12/schema", "title": "trajectory record", "version": IR_VERSION, "type": "object", "properties": fields | {"events": {"type": "array", "items": event}}, "codes": sorted(CODES)}
+    return {
+        "$schema": "https://json-schema.org/draft/2020-12/schema", "title": "trajectory record", "version": IR_VERSION,
+        "type": "object", "properties": fields | {"events": {"type": "array", "items": event}}, "codes": sorted(CODES)
+    }
 
 
 def throughput(df: DataFrame, frontend: str) -> dict[str, float]:

@@ -33,13 +33,19 @@ def _parsed(spark: SparkSession, sf_dir: str, suffix: str = "''") -> Trajectorie
 @query(f"WITH {TURNS} SELECT rid, CAST(pos AS BIGINT) AS n, role, text AS content FROM c WHERE text <> ''")
 def q_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows to chat-tool messages: parse, classify, verify, lower."""
-    t = passes.run_passes(_parsed(spark, sf_dir), ("canonicalize-tools", "pair-tool-results", "normalize-outcome", "verify"), settle=False)
+    t = passes.run_passes(
+        _parsed(spark, sf_dir), ("canonicalize-tools", "pair-tool-results", "normalize-outcome", "verify"), settle=False
+    )
     return lowering.lower(t, "openai-tools").messages.select("rid", "n", "role", "content")
 
 
-@query(f"""WITH {TURNS} SELECT rid, CAST(pos AS BIGINT) AS pos, printf('evt_%04d', pos) AS event_id, role || '_message' AS event_type, role, text FROM c""")
+@query(
+    f"""WITH {TURNS} SELECT rid, CAST(pos AS BIGINT) AS pos, printf('evt_%04d', pos) AS event_id, role || '_message' AS event_type, role, text FROM c"""
+)
 def q_turn_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _parsed(spark, sf_dir).events.select("rid", "pos", "event_id", "event_type", "role", X.content_text(F.col("content")).alias("text"))
+    return _parsed(spark, sf_dir).events.select(
+        "rid", "pos", "event_id", "event_type", "role", X.content_text(F.col("content")).alias("text")
+    )
 
 
 def _scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,30 +74,51 @@ UNION ALL SELECT rid, i, 'tool_call', '', 'l' || ln, '{"p":' || p || '}' FROM l
 SELECT rid, CAST(pos AS BIGINT) AS pos, event_type, text, call_id, arguments FROM e""")
 def q_native_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = frontends.convert(order_rows(spark, sf_dir), "openhands")[0]
-    return t.events.select("rid", "pos", "event_type", X.content_text(F.col("content")).alias("text"), F.col("action.tool_call_id").alias("call_id"), F.col("action.arguments").alias("arguments"))
+    return t.events.select(
+        "rid", "pos", "event_type", X.content_text(F.col("content")).alias("text"),
+        F.col("action.tool_call_id").alias("call_id"), F.col("action.arguments").alias("arguments")
+    )
 
 
 @query("""WITH l AS (SELECT l_orderkey AS rid, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, CAST(l_quantity AS INT)) AS i, count(*) OVER (PARTITION BY l_orderkey) AS n, l_linenumber AS ln FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
 SELECT a.rid, CAST(a.n + a.i AS BIGINT) AS pos, 'o' || a.rid || '-evt-' || max(b.i) AS parent FROM l a JOIN l b ON a.rid = b.rid AND a.ln = b.ln GROUP BY a.rid, a.n, a.i""")
 def q_native_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = frontends.convert(order_rows(spark, sf_dir), "openhands")[0]
-    return passes.latest_calls(t.events).where(F.size("parents") > 0).select("rid", "pos", F.col("parents")[0].alias("parent"))
+    return passes.latest_calls(t.events).where(F.size("parents") > 0).select(
+        "rid", "pos", F.col("parents")[0].alias("parent")
+    )
 
 
-@query("""SELECT doc_id AS rid, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS size_bytes FROM documents WHERE text <> ''""")
+@query(
+    """SELECT doc_id AS rid, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS size_bytes FROM documents WHERE text <> ''"""
+)
 def q_log_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("rid"), F.to_json(F.struct(F.col("text").alias("gitdiff"))).alias("raw"))
-    return frontends.convert(rows, "claude-code")[0].records.select("rid", F.explode("artifacts").alias("a")).select("rid", "a.sha256", "a.size_bytes")
+    rows = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("rid"), F.to_json(F.struct(F.col("text").alias("gitdiff"))).alias("raw")
+    )
+    return frontends.convert(rows, "claude-code")[0].records.select(
+        "rid", F.explode("artifacts").alias("a")
+    ).select("rid", "a.sha256", "a.size_bytes")
 
 
-@query("""WITH e AS (SELECT event_id AS rid, event_type FROM events) SELECT CAST(rid AS BIGINT) AS row_index, CASE WHEN rid % 3 = 0 THEN 'malformed JSON' ELSE 'not an object' END AS error, 'batch' AS stage FROM e WHERE rid % 3 = 0 OR rid % 5 = 0""")
+@query(
+    """WITH e AS (SELECT event_id AS rid, event_type FROM events) SELECT CAST(rid AS BIGINT) AS row_index, CASE WHEN rid % 3 = 0 THEN 'malformed JSON' ELSE 'not an object' END AS error, 'batch' AS stage FROM e WHERE rid % 3 = 0 OR rid % 5 = 0"""
+)
 def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quarantine(spark, sf_dir).select("row_index", "error", "stage")
 
 
 def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.when(F.col("event_id") % 3 == 0, "{bad").when(F.col("event_id") % 5 == 0, "[1]").otherwise(F.to_json(F.struct(F.array(F.struct(F.lit("user").alias("role"), F.col("event_type").alias("content"))).alias("messages"))))
-    return frontends.convert(table(spark, sf_dir, "events").select(F.col("event_id").alias("rid"), raw.alias("raw")), "agenttrove")[1]
+    raw = F.when(F.col("event_id") % 3 == 0, "{bad").when(F.col("event_id") % 5 == 0, "[1]").otherwise(
+        F.to_json(
+            F.struct(
+                F.array(F.struct(F.lit("user").alias("role"), F.col("event_type").alias("content"))).alias("messages")
+            )
+        )
+    )
+    return frontends.convert(
+        table(spark, sf_dir, "events").select(F.col("event_id").alias("rid"), raw.alias("raw")), "agenttrove"
+    )[1]
 
 
 @query("SELECT 'batch' AS stage, count(*) AS n FROM events WHERE event_id % 3 = 0 OR event_id % 5 = 0")
@@ -102,7 +129,9 @@ def q_quarantine_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- passes: parsing -------------------------------------------------------------------------
 
 
-@query(f"""WITH {TURNS}, n AS (SELECT rid, count(*) AS n FROM c GROUP BY rid) SELECT c.rid, CAST(pos + n * k AS BIGINT) AS pos, printf('evt_%04d', CAST(pos + n * k AS BIGINT)) AS event_id, role || '_message' AS event_type, text FROM c JOIN n ON c.rid = n.rid CROSS JOIN (SELECT unnest([0, 1]) AS k)""")
+@query(
+    f"""WITH {TURNS}, n AS (SELECT rid, count(*) AS n FROM c GROUP BY rid) SELECT c.rid, CAST(pos + n * k AS BIGINT) AS pos, printf('evt_%04d', CAST(pos + n * k AS BIGINT)) AS event_id, role || '_message' AS event_type, text FROM c JOIN n ON c.rid = n.rid CROSS JOIN (SELECT unnest([0, 1]) AS k)"""
+)
 def q_parse_sharegpt_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = passes.parse_turns(_parsed(spark, sf_dir))
     return t.events.select("rid", "pos", "event_id", "event_type", X.content_text(F.col("content")).alias("text"))
@@ -113,13 +142,22 @@ m AS (SELECT *, before + max(pos - before) OVER (PARTITION BY rid ORDER BY pos)
 SELECT rid, CAST(pos + before + 1 AS BIGINT) AS pos, printf('evt_%04d', pos) || '-hx-0' AS event_id, CAST(base + 1 AS BIGINT) AS idx, 'bash' AS tool_name, '{{"k":1}}' AS arguments FROM m WHERE role = 'assistant'""")
 def q_xml_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = passes.parse_xml_calls(_parsed(spark, sf_dir, f"'{CALL}'"))
-    return t.events.where("event_type = 'tool_call'").select("rid", "pos", "event_id", "idx", "action.tool_name", "action.arguments")
+    return t.events.where("event_type = 'tool_call'").select(
+        "rid", "pos", "event_id", "idx", "action.tool_name", "action.arguments"
+    )
 
 
 @query("SELECT doc_id AS rid, 'b/f' AS file, 1 AS n_blocks FROM documents WHERE text IS NOT NULL")
 def q_patch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    diffs = passes.diff_blocks(F.concat(F.regexp_replace("text", r"(?m)^(diff --git|--- a/|[+\\ @-])", "_$1"), F.lit("\n" + DIFF + "after")))
-    return table(spark, sf_dir, "documents").where("text is not null").select(F.col("doc_id").alias("rid"), diffs.alias("d")).select("rid", F.array_join(passes.written_files(F.array_join("d", "")), ",").alias("file"), F.size("d").alias("n_blocks"))
+    diffs = passes.diff_blocks(
+        F.concat(F.regexp_replace("text", r"(?m)^(diff --git|--- a/|[+\\ @-])", "_$1"), F.lit("\n" + DIFF + "after"))
+    )
+    return table(spark, sf_dir, "documents").where("text is not null").select(
+        F.col("doc_id").alias("rid"), diffs.alias("d")
+    ).select(
+        "rid", F.array_join(passes.written_files(F.array_join("d", "")), ",").alias("file"),
+        F.size("d").alias("n_blocks")
+    )
 
 
 @query(f"""WITH {TURNS}, a AS (SELECT rid, pos, row_number() OVER (PARTITION BY rid ORDER BY pos) - 1 AS k, max(pos) OVER (PARTITION BY rid) AS last FROM c), s AS (SELECT a.* FROM a JOIN c ON a.rid = c.rid AND a.pos = c.pos WHERE c.role = 'assistant'), n AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY pos) - 1 AS i FROM s),
@@ -127,7 +165,10 @@ all_last AS (SELECT rid, max(pos) AS last FROM c GROUP BY rid)
 SELECT n.rid, printf('evt_patch_%04d', i) AS event_id, CAST(l.last + 1 + i AS BIGINT) AS idx, printf('art_%04d', i) AS artifact_id, printf('evt_%04d', n.pos) AS parent, 'b/f' AS file FROM n JOIN all_last l ON n.rid = l.rid""")
 def q_extract_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = passes.extract_patches(_parsed(spark, sf_dir, "'\n" + DIFF + "'"))
-    return t.events.where("event_type = 'file_patch'").select("rid", "event_id", "idx", F.col("patch_artifact_id").alias("artifact_id"), F.get("parents", F.lit(0)).alias("parent"), F.get("writes", F.lit(0)).alias("file"))
+    return t.events.where("event_type = 'file_patch'").select(
+        "rid", "event_id", "idx", F.col("patch_artifact_id").alias("artifact_id"),
+        F.get("parents", F.lit(0)).alias("parent"), F.get("writes", F.lit(0)).alias("file")
+    )
 
 
 # -- passes: tools -----------------------------------------------------------------------------
@@ -146,17 +187,27 @@ CASE WHEN tool = '' THEN 'unknown' ELSE coalesce(split_part(what, ':', 2), CASE
 def q_canonicalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = passes.canonicalize_tools(trajectories(spark, sf_dir))
     a = F.col("action")
-    return t.events.where("event_type = 'tool_call'").select("rid", "pos", a["kind"].alias("kind"), a["side_effect_level"].alias("effect"), a["tool_name"].alias("tool_name"), a["metadata"]["tool.name.raw"].alias("raw_name"))
+    return t.events.where("event_type = 'tool_call'").select(
+        "rid", "pos", a["kind"].alias("kind"), a["side_effect_level"].alias("effect"),
+        a["tool_name"].alias("tool_name"), a["metadata"]["tool.name.raw"].alias("raw_name")
+    )
 
 
-@query(f"""WITH {D} SELECT rid, CASE WHEN max(CASE WHEN event_type = 'tool_call' AND tool <> '' THEN 1 ELSE 0 END) = 1 THEN 'canonical' ELSE 'parsed' END AS level FROM d GROUP BY rid""")
+@query(
+    f"""WITH {D} SELECT rid, CASE WHEN max(CASE WHEN event_type = 'tool_call' AND tool <> '' THEN 1 ELSE 0 END) = 1 THEN 'canonical' ELSE 'parsed' END AS level FROM d GROUP BY rid"""
+)
 def q_canonical_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passes.canonicalize_tools(trajectories(spark, sf_dir)).records.select("rid", "level")
 
 
-@query(f"""WITH {D} SELECT rid, pos, CASE tool WHEN 'bash' THEN 'generic_tool' ELSE 'generic_tool' END AS kind, 'workspace_write' AS effect FROM d WHERE event_type = 'tool_call'""")
+@query(
+    f"""WITH {D} SELECT rid, pos, CASE tool WHEN 'bash' THEN 'generic_tool' ELSE 'generic_tool' END AS kind, 'workspace_write' AS effect FROM d WHERE event_type = 'tool_call'"""
+)
 def q_nativetable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rows_of(spark, sf_dir).where("event_type = 'tool_call'").select("rid", "pos", passes.native_kind(F.col("tool")).alias("kind"), passes.native_effect(F.col("tool")).alias("effect"))
+    return rows_of(spark, sf_dir).where("event_type = 'tool_call'").select(
+        "rid", "pos", passes.native_kind(F.col("tool")).alias("kind"),
+        passes.native_effect(F.col("tool")).alias("effect")
+    )
 
 
 PAIRS = f"""{D}, lastr AS (SELECT rid, cid, max(pos) AS rpos FROM d WHERE event_type = 'tool_result' AND cid IS NOT NULL GROUP BY rid, cid),
@@ -170,34 +221,51 @@ p AS (SELECT rid, pos, rpos, 1 AS phase FROM p1 UNION ALL SELECT rid, pos, rpos,
 
 @query(f"WITH {PAIRS} SELECT p.rid, p.pos, d.id AS partner, p.phase FROM p JOIN d ON p.rid = d.rid AND p.rpos = d.pos")
 def q_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passes.paired(trajectories(spark, sf_dir).events).where("event_type = 'tool_call' and phase is not null").select("rid", "pos", "partner", "phase")
+    return passes.paired(trajectories(spark, sf_dir).events).where(
+        "event_type = 'tool_call' and phase is not null"
+    ).select("rid", "pos", "partner", "phase")
 
 
 PAIRS3 = PAIRS + """, lc AS (SELECT d.rid, d.pos, d.tool, row_number() OVER (PARTITION BY d.rid, d.tool ORDER BY d.pos) AS k FROM d LEFT JOIN p ON d.rid = p.rid AND d.pos = p.pos WHERE d.event_type = 'tool_call' AND d.tool <> '' AND p.pos IS NULL),
 lr AS (SELECT d.rid, d.pos, d.tool, row_number() OVER (PARTITION BY d.rid, d.tool ORDER BY d.pos) AS k FROM d LEFT JOIN (SELECT DISTINCT rid, rpos FROM p) q ON d.rid = q.rid AND d.pos = q.rpos WHERE d.event_type = 'tool_result' AND d.tool <> '' AND q.rpos IS NULL)"""
 
 
-@query(f"WITH {PAIRS3} SELECT lc.rid, lc.pos, d.id AS partner FROM lc JOIN lr ON lc.rid = lr.rid AND lc.tool = lr.tool AND lc.k = lr.k JOIN d ON d.rid = lr.rid AND d.pos = lr.pos")
+@query(
+    f"WITH {PAIRS3} SELECT lc.rid, lc.pos, d.id AS partner FROM lc JOIN lr ON lc.rid = lr.rid AND lc.tool = lr.tool AND lc.k = lr.k JOIN d ON d.rid = lr.rid AND d.pos = lr.pos"
+)
 def q_pair_framework(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passes.paired(trajectories(spark, sf_dir, named_results=True).events).where("event_type = 'tool_call' and phase = 3").select("rid", "pos", "partner")
+    return passes.paired(
+        trajectories(spark, sf_dir, named_results=True).events
+    ).where("event_type = 'tool_call' and phase = 3").select("rid", "pos", "partner")
 
 
 @query(f"""WITH {PAIRS} SELECT 'PAIR001' AS code, 'warning' AS severity, d.rid, d.id AS event_id FROM d LEFT JOIN p ON d.rid = p.rid AND d.pos = p.pos WHERE d.event_type = 'tool_call' AND p.pos IS NULL
 UNION ALL SELECT 'PAIR002', 'warning', d.rid, d.id FROM d LEFT JOIN (SELECT DISTINCT rid, rpos FROM p) q ON d.rid = q.rid AND d.pos = q.rpos WHERE d.event_type = 'tool_result' AND q.rpos IS NULL""")
 def q_pair_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passes.pair_tool_results(trajectories(spark, sf_dir)).diagnostics.select("code", "severity", "rid", "event_id")
+    return passes.pair_tool_results(trajectories(spark, sf_dir)).diagnostics.select(
+        "code", "severity", "rid", "event_id"
+    )
 
 
-@query(f"""WITH {PAIRS} SELECT d.rid, d.pos, coalesce(d.cid, CASE WHEN p.phase = 2 THEN 'synth_' || d.id END) AS call_id, CASE WHEN p.phase = 2 AND d.cid IS NULL THEN 0.7 WHEN d.eid % 3 <> 1 THEN 0.9 END AS confidence, r.id AS child FROM d LEFT JOIN p ON d.rid = p.rid AND d.pos = p.pos LEFT JOIN d r ON r.rid = p.rid AND r.pos = p.rpos WHERE d.event_type = 'tool_call'""")
+@query(
+    f"""WITH {PAIRS} SELECT d.rid, d.pos, coalesce(d.cid, CASE WHEN p.phase = 2 THEN 'synth_' || d.id END) AS call_id, CASE WHEN p.phase = 2 AND d.cid IS NULL THEN 0.7 WHEN d.eid % 3 <> 1 THEN 0.9 END AS confidence, r.id AS child FROM d LEFT JOIN p ON d.rid = p.rid AND d.pos = p.pos LEFT JOIN d r ON r.rid = p.rid AND r.pos = p.rpos WHERE d.event_type = 'tool_call'"""
+)
 def q_pair_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = passes.pair_tool_results(trajectories(spark, sf_dir))
-    return t.events.where("event_type = 'tool_call'").select("rid", "pos", F.col("action.tool_call_id").alias("call_id"), F.col("provenance.confidence").alias("confidence"), F.get("children", F.lit(0)).alias("child"))
+    return t.events.where("event_type = 'tool_call'").select(
+        "rid", "pos", F.col("action.tool_call_id").alias("call_id"), F.col("provenance.confidence").alias("confidence"),
+        F.get("children", F.lit(0)).alias("child")
+    )
 
 
-@query(f"""WITH {PAIRS} SELECT r.rid, r.pos, string_agg(c.id, ',' ORDER BY c.pos) AS parents, max(coalesce(r.cid, c.cid, 'synth_' || c.id)) AS answers FROM p JOIN d r ON r.rid = p.rid AND r.pos = p.rpos JOIN d c ON c.rid = p.rid AND c.pos = p.pos GROUP BY r.rid, r.pos""")
+@query(
+    f"""WITH {PAIRS} SELECT r.rid, r.pos, string_agg(c.id, ',' ORDER BY c.pos) AS parents, max(coalesce(r.cid, c.cid, 'synth_' || c.id)) AS answers FROM p JOIN d r ON r.rid = p.rid AND r.pos = p.rpos JOIN d c ON c.rid = p.rid AND c.pos = p.pos GROUP BY r.rid, r.pos"""
+)
 def q_pair_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = passes.pair_tool_results(trajectories(spark, sf_dir))
-    return t.events.where("event_type = 'tool_result' and size(parents) > 0").select("rid", "pos", F.array_join("parents", ",").alias("parents"), passes.result_call_id().alias("answers"))
+    return t.events.where("event_type = 'tool_result' and size(parents) > 0").select(
+        "rid", "pos", F.array_join("parents", ",").alias("parents"), passes.result_call_id().alias("answers")
+    )
 
 
 # -- passes: outcome, redaction, slices, checks ------------------------------------------------
@@ -206,28 +274,42 @@ def q_pair_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 OUT = "r AS (SELECT DISTINCT user_id AS rid, CASE user_id % 3 WHEN 0 THEN 0.5 WHEN 1 THEN -1.0 END AS reward, CASE user_id % 4 WHEN 0 THEN true WHEN 1 THEN false END AS passed FROM events)"
 
 
-@query(f"WITH {OUT} SELECT rid, CAST(reward AS DOUBLE) AS reward, passed, CASE WHEN passed THEN 'success' WHEN NOT passed THEN 'failure' WHEN reward IS NOT NULL THEN 'partial' ELSE 'unknown' END AS status FROM r")
+@query(
+    f"WITH {OUT} SELECT rid, CAST(reward AS DOUBLE) AS reward, passed, CASE WHEN passed THEN 'success' WHEN NOT passed THEN 'failure' WHEN reward IS NOT NULL THEN 'partial' ELSE 'unknown' END AS status FROM r"
+)
 def q_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passes.normalize_outcome(trajectories(spark, sf_dir)).records.select("rid", "outcome.reward", "outcome.passed", "outcome.status")
+    return passes.normalize_outcome(trajectories(spark, sf_dir)).records.select(
+        "rid", "outcome.reward", "outcome.passed", "outcome.status"
+    )
 
 
-@query(f"WITH {OUT} SELECT rid, 'OUTCOME001' AS code FROM r WHERE (reward > 0 AND NOT passed) OR (reward <= 0 AND passed)")
+@query(
+    f"WITH {OUT} SELECT rid, 'OUTCOME001' AS code FROM r WHERE (reward > 0 AND NOT passed) OR (reward <= 0 AND passed)"
+)
 def q_outcome_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passes.normalize_outcome(trajectories(spark, sf_dir)).diagnostics.select("rid", "code")
 
 
 def _redaction(policy: str) -> None:
-    text = {"preserve": "'t' || CAST(eid AS STRING)", "summarize": "'[REASONING_SUMMARY_NOT_IMPLEMENTED]'", "redact": "'[REDACTED_REASONING]'"}.get(policy, "''")
+    text = {
+        "preserve": "'t' || CAST(eid AS STRING)", "summarize": "'[REASONING_SUMMARY_NOT_IMPLEMENTED]'",
+        "redact": "'[REDACTED_REASONING]'"
+    }.get(policy, "''")
     status = {"redact": "redacted", "metadata_only": "metadata_only"}.get(policy, "none")
     trainable = "false" if policy == "drop" else "trainable"
 
     def f(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = passes.redact_reasoning(trajectories(spark, sf_dir), policy)
         v = F.col("visibility")
-        return t.events.where("event_type = 'reasoning'").select("rid", "pos", X.content_text(F.col("content")).alias("text"), v["trainable"].alias("trainable"), v["redaction_status"].alias("redaction"), v["policy"].alias("policy"))
+        return t.events.where("event_type = 'reasoning'").select(
+            "rid", "pos", X.content_text(F.col("content")).alias("text"), v["trainable"].alias("trainable"),
+            v["redaction_status"].alias("redaction"), v["policy"].alias("policy")
+        )
 
     f.__name__ = f"q_redact_{policy}"
-    query(f"WITH {D} SELECT rid, pos, {text} AS text, {trainable} AS trainable, '{status}' AS redaction, '{policy}' AS policy FROM d WHERE event_type = 'reasoning'")(f)
+    query(
+        f"WITH {D} SELECT rid, pos, {text} AS text, {trainable} AS trainable, '{status}' AS redaction, '{policy}' AS policy FROM d WHERE event_type = 'reasoning'"
+    )(f)
 
 
 for _policy in ("preserve", "summarize", "drop", "redact", "metadata_only"):
@@ -239,18 +321,24 @@ ids2 AS (SELECT rid, id, max_by(keep1, pos) AS alive FROM k1 GROUP BY rid, id),
 k2 AS (SELECT k1.*, keep1 AND (event_type <> 'tool_result' OR parent IS NULL OR coalesce(j.alive, false)) AS keep FROM k1 LEFT JOIN ids2 j ON k1.rid = j.rid AND k1.parent = j.id)"""
 
 
-@query(f"WITH {SLICE} SELECT rid, id AS event_id, CAST(row_number() OVER (PARTITION BY rid ORDER BY pos) - 1 AS BIGINT) AS idx FROM k2 WHERE keep")
+@query(
+    f"WITH {SLICE} SELECT rid, id AS event_id, CAST(row_number() OVER (PARTITION BY rid ORDER BY pos) - 1 AS BIGINT) AS idx FROM k2 WHERE keep"
+)
 def q_slice_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passes.slice_training(trajectories(spark, sf_dir, links=True)).events.select("rid", "event_id", "idx")
 
 
-@query(f"WITH {SLICE} SELECT rid, count(*) AS events_before, CAST(sum(CASE WHEN keep THEN 1 ELSE 0 END) AS BIGINT) AS events_after, CAST(sum(CASE WHEN keep THEN 0 ELSE 1 END) AS BIGINT) AS events_dropped FROM k2 GROUP BY rid")
+@query(
+    f"WITH {SLICE} SELECT rid, count(*) AS events_before, CAST(sum(CASE WHEN keep THEN 1 ELSE 0 END) AS BIGINT) AS events_after, CAST(sum(CASE WHEN keep THEN 0 ELSE 1 END) AS BIGINT) AS events_dropped FROM k2 GROUP BY rid"
+)
 def q_slice_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = trajectories(spark, sf_dir, links=True)
     return passes.slice_metrics(t, passes.slice_training(t))
 
 
-@query(f"""WITH {SLICE} SELECT rid, id AS event_id, CASE WHEN event_type = 'tool_call' THEN 'slice-training:dropped-orphan-call' ELSE 'slice-training:dropped-orphan-result' END AS code FROM k2 WHERE trainable AND NOT keep""")
+@query(
+    f"""WITH {SLICE} SELECT rid, id AS event_id, CASE WHEN event_type = 'tool_call' THEN 'slice-training:dropped-orphan-call' ELSE 'slice-training:dropped-orphan-result' END AS code FROM k2 WHERE trainable AND NOT keep"""
+)
 def q_slice_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passes.slice_training(trajectories(spark, sf_dir, links=True)).diagnostics.select("rid", "event_id", "code")
 
@@ -305,15 +393,24 @@ def _lowering(target: str, sql: str, suffix: str = "", **context) -> None:
 _lowering("openai-tools", f"WITH {_chat('call_')} SELECT * FROM o")
 _lowering("openhands", f"WITH {_chat('call_')} SELECT * FROM o")
 _lowering("anthropic-tools", f"WITH {_chat('toolu_')} SELECT * FROM o")
-_lowering("anthropic-tools", f"WITH {_chat('toolu_', reasoning=True)} SELECT * FROM o", "_reasoning", include_reasoning=True)
-_lowering("sft", f"WITH {_chat('call_', results=False, name='CASE WHEN d.tool = '+chr(39)*2+' THEN '+chr(39)+'unknown'+chr(39)+' ELSE d.tool END')} SELECT * FROM o")
+_lowering(
+    "anthropic-tools", f"WITH {_chat('toolu_', reasoning=True)} SELECT * FROM o", "_reasoning", include_reasoning=True
+)
+_lowering(
+    "sft",
+    f"WITH {_chat('call_', results=False, name='CASE WHEN d.tool = '+chr(39)*2+' THEN '+chr(39)+'unknown'+chr(39)+' ELSE d.tool END')} SELECT * FROM o"
+)
 
 _NAMED = "CASE WHEN tool = '' THEN 'tool_call' ELSE tool END || '({\"n\":' || CAST(eid AS STRING) || '})'"
 _NONE = "NULL AS call_id, NULL AS call_name, NULL AS call_arguments, NULL AS answers"
 _GPT = f"SELECT rid, pos, 0 AS k, CASE WHEN event_type = 'user_message' THEN 'human' ELSE 'gpt' END AS role, 't' || CAST(eid AS STRING) AS content FROM d WHERE event_type IN ('user_message', 'assistant_message')"
 _NUMBERED = f"SELECT rid, CAST(row_number() OVER (PARTITION BY rid ORDER BY pos, k) - 1 AS BIGINT) AS n, role, content, {_NONE} FROM m"
 _lowering("sharegpt", f"WITH {D}, m AS ({_GPT}) {_NUMBERED}")
-_lowering("sharegpt", f"WITH {D}, m AS ({_GPT} UNION ALL SELECT rid, pos, 0, 'gpt', '[Tool Call: ' || {_NAMED} || ']' FROM d WHERE event_type = 'tool_call') {_NUMBERED}", "_inline", tool_policy="inline")
+_lowering(
+    "sharegpt",
+    f"WITH {D}, m AS ({_GPT} UNION ALL SELECT rid, pos, 0, 'gpt', '[Tool Call: ' || {_NAMED} || ']' FROM d WHERE event_type = 'tool_call') {_NUMBERED}",
+    "_inline", tool_policy="inline"
+)
 _lowering(
     "hermes-xml",
     f"""WITH {D}, a AS (SELECT rid, cid, max_by(eid, pos) AS last FROM d WHERE event_type = 'tool_result' AND cid IS NOT NULL GROUP BY rid, cid), m AS ({_GPT} UNION ALL SELECT rid, pos, 0, 'gpt', '༄' || {_NAMED} || '༄' FROM d WHERE event_type = 'tool_call'
@@ -328,7 +425,9 @@ o AS ({_NUMBERED}) SELECT rid, n, role, content, call_id, call_name, call_argume
 @query(f"""WITH {D}, g AS (SELECT *, sum(CASE WHEN event_type = 'tool_call' THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY pos) AS seg FROM d), f AS (SELECT rid, seg, min_by(eid, pos) AS nxt FROM g WHERE event_type = 'tool_result' GROUP BY rid, seg)
 SELECT g.rid, g.pos, g.id AS step_id, g.tool AS tool_name, 'out' || CAST(f.nxt AS STRING) AS observation FROM g LEFT JOIN f ON g.rid = f.rid AND g.seg = f.seg WHERE g.event_type = 'tool_call'""")
 def q_lower_process(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lowering.lower(trajectories(spark, sf_dir), "process-supervision").messages.select("rid", "pos", "step_id", "tool_name", F.col("observation.stdout").alias("observation"))
+    return lowering.lower(trajectories(spark, sf_dir), "process-supervision").messages.select(
+        "rid", "pos", "step_id", "tool_name", F.col("observation.stdout").alias("observation")
+    )
 
 
 _LOSSES = f"{D}, x AS (SELECT rid, id AS event_id, 'info' AS severity, 'LOWER003' AS code FROM d WHERE event_type = 'reasoning' UNION ALL SELECT rid, id, 'warning', 'LOWER001' FROM d WHERE event_type = 'tool_call' AND cid IS NULL)"
@@ -336,7 +435,9 @@ _LOSSES = f"{D}, x AS (SELECT rid, id AS event_id, 'info' AS severity, 'LOWER003
 
 @query(f"WITH {_LOSSES} SELECT rid, event_id, severity, code FROM x")
 def q_loss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lowering.lower(trajectories(spark, sf_dir), "openai-tools").losses.select("rid", "event_id", "severity", "code")
+    return lowering.lower(
+        trajectories(spark, sf_dir), "openai-tools"
+    ).losses.select("rid", "event_id", "severity", "code")
 
 
 @query(f"""WITH {_LOSSES}, r AS (SELECT u.rid, CASE WHEN max(CASE WHEN severity = 'warning' THEN 1 ELSE 0 END) = 1 THEN 'lossy' WHEN count(severity) > 0 THEN 'partial' ELSE 'exact' END AS status, count(severity) AS n FROM (SELECT DISTINCT rid FROM d) u LEFT JOIN x ON u.rid = x.rid GROUP BY u.rid)
@@ -345,10 +446,15 @@ def q_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lowering.status_counts(lowering.lower(trajectories(spark, sf_dir), "openai-tools"))
 
 
-@query("SELECT unnest(['anthropic-tools', 'hermes-xml', 'openai-tools', 'openhands', 'process-supervision', 'sft', 'sharegpt']) AS target, (SELECT count(DISTINCT user_id) FROM events) AS n_records")
+@query(
+    "SELECT unnest(['anthropic-tools', 'hermes-xml', 'openai-tools', 'openhands', 'process-supervision', 'sft', 'sharegpt']) AS target, (SELECT count(DISTINCT user_id) FROM events) AS n_records"
+)
 def q_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lowering.lower_all(trajectories(spark, sf_dir), sorted(lowering.TARGETS))
-    counts = [x.rows.agg(F.count("*").alias("n_records")).select(F.lit(n).alias("target"), "n_records") for n, x in found.items()]
+    counts = [
+        x.rows.agg(F.count("*").alias("n_records")).select(F.lit(n).alias("target"), "n_records") for n,
+        x in found.items()
+    ]
     out = counts[0]
     for c in counts[1:]:
         out = out.unionByName(c)
@@ -361,15 +467,21 @@ def q_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {PAIRS} SELECT 'PAIR001' AS code, 'warning' AS severity, count(*) AS n FROM d LEFT JOIN p ON d.rid = p.rid AND d.pos = p.pos WHERE d.event_type = 'tool_call' AND p.pos IS NULL
 UNION ALL SELECT 'PAIR002', 'warning', count(*) FROM d LEFT JOIN (SELECT DISTINCT rid, rpos FROM p) q ON d.rid = q.rid AND d.pos = q.rpos WHERE d.event_type = 'tool_result' AND q.rpos IS NULL""")
 def q_diag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.diagnostic_counts(passes.pair_tool_results(trajectories(spark, sf_dir))).select("code", "severity", "n")
+    return pipeline.diagnostic_counts(
+        passes.pair_tool_results(trajectories(spark, sf_dir))
+    ).select("code", "severity", "n")
 
 
-@query(f"WITH {D} SELECT count(DISTINCT rid) AS n_records, count(DISTINCT rid) AS n_artifacts, count(*) AS n_events, count(DISTINCT rid) AS n_episodes FROM d")
+@query(
+    f"WITH {D} SELECT count(DISTINCT rid) AS n_records, count(DISTINCT rid) AS n_artifacts, count(*) AS n_events, count(DISTINCT rid) AS n_episodes FROM d"
+)
 def q_pipeline_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.statistics(trajectories(spark, sf_dir)).select("n_records", "n_artifacts", "n_events", "n_episodes")
 
 
-@query(f"WITH {D} SELECT rid, id AS event_id, 'events' AS source_field, 'derived' AS parser, 0.9 AS confidence FROM d WHERE eid % 3 <> 1")
+@query(
+    f"WITH {D} SELECT rid, id AS event_id, 'events' AS source_field, 'derived' AS parser, 0.9 AS confidence FROM d WHERE eid % 3 <> 1"
+)
 def q_source_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.source_map(trajectories(spark, sf_dir))
 
@@ -380,9 +492,13 @@ def q_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spec.preview(trajectories(spark, sf_dir))
 
 
-@query("""WITH n AS (SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS rid FROM conversations) SELECT CAST(floor(rid / 256) AS BIGINT) AS batch_index, CAST(min(rid) AS BIGINT) AS start_row, CAST(max(rid) + 1 AS BIGINT) AS end_row, count(*) AS n_rows FROM n GROUP BY floor(rid / 256)""")
+@query(
+    """WITH n AS (SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS rid FROM conversations) SELECT CAST(floor(rid / 256) AS BIGINT) AS batch_index, CAST(min(rid) AS BIGINT) AS start_row, CAST(max(rid) + 1 AS BIGINT) AS end_row, count(*) AS n_rows FROM n GROUP BY floor(rid / 256)"""
+)
 def q_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.batches(files.numbered(table(spark, sf_dir, "conversations").select("conv_id", "turn"), ["conv_id", "turn"]))
+    return files.batches(
+        files.numbered(table(spark, sf_dir, "conversations").select("conv_id", "turn"), ["conv_id", "turn"])
+    )
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
@@ -392,33 +508,71 @@ def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FORMAT = spec.load_spec(spec.new_spec("conversations"))
-OTHER_FORMAT = {**FORMAT, "episodes": [{"events": [{"foreach": {"var": "turns"}, "as": "turn", "index_as": "i", "emit": {"event_type": "tool_call", "role": {"path": "turn.role"}, "content": {"path": "turn.content"}}}]}]}
+OTHER_FORMAT = {
+    **FORMAT,
+    "episodes": [
+        {
+            "events": [
+                {
+                    "foreach": {"var": "turns"}, "as": "turn", "index_as": "i",
+                    "emit": {
+                        "event_type": "tool_call", "role": {"path": "turn.role"}, "content": {"path": "turn.content"}
+                    }
+                }
+            ]
+        }
+    ]
+}
 
 
-@query(f"WITH {TURNS} SELECT rid, 'dsl-row-' || rid AS record_id, CAST(pos AS BIGINT) AS idx, printf('evt_%04d', pos) AS event_id, role || '_message' AS event_type, role, text FROM c")
+@query(
+    f"WITH {TURNS} SELECT rid, 'dsl-row-' || rid AS record_id, CAST(pos AS BIGINT) AS idx, printf('evt_%04d', pos) AS event_id, role || '_message' AS event_type, role, text FROM c"
+)
 def q_dsl_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spec.compile_spec(FORMAT).parse(conversation_rows(spark, sf_dir)).events
-    return e.select("rid", "record_id", "idx", "event_id", "event_type", "role", X.content_text(F.col("content")).alias("text"))
+    return e.select(
+        "rid", "record_id", "idx", "event_id", "event_type", "role", X.content_text(F.col("content")).alias("text")
+    )
 
 
 @query("SELECT DISTINCT conv_id AS rid, 0.7 AS score, 'MATCH' AS verdict FROM conversations")
 def q_dsl_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.try_parse_json("raw")
-    return conversation_rows(spark, sf_dir).select("rid", spec.detection(FORMAT, v).alias("score"), spec.verdict(FORMAT, v).alias("verdict"))
+    return conversation_rows(spark, sf_dir).select(
+        "rid", spec.detection(FORMAT, v).alias("score"), spec.verdict(FORMAT, v).alias("verdict")
+    )
 
 
-@query("""SELECT event_id AS rid, CAST(json_extract(props, '$.k') AS BIGINT) AS whole, CAST(json_extract(props, '$.k') AS DOUBLE) AS number, CAST(json_extract(props, '$.k') AS BIGINT) <> 0 AS truth, 'evt_' || printf('%04d', event_id) AS name, 'unparsed_fragment' AS kind, event_type AS first FROM events""")
+@query(
+    """SELECT event_id AS rid, CAST(json_extract(props, '$.k') AS BIGINT) AS whole, CAST(json_extract(props, '$.k') AS DOUBLE) AS number, CAST(json_extract(props, '$.k') AS BIGINT) <> 0 AS truth, 'evt_' || printf('%04d', event_id) AS name, 'unparsed_fragment' AS kind, event_type AS first FROM events"""
+)
 def q_dsl_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("rid"), F.try_parse_json(F.concat(F.lit('{"e":"'), F.col("event_type"), F.lit('","id":'), F.col("event_id"), F.lit(',"p":'), F.col("props"), F.lit("}"))).alias("v"))
+    rows = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("rid"),
+        F.try_parse_json(
+            F.concat(
+                F.lit('{"e":"'), F.col("event_type"), F.lit('","id":'), F.col("event_id"), F.lit(',"p":'),
+                F.col("props"), F.lit("}")
+            )
+        ).alias("v")
+    )
     s = spec.Scope(F.col("v"), {"i": X.get(F.col("v"), "$.id")})
     value = lambda e, kind: F.try_variant_get(s.value(e), "$", kind)
     return rows.select(
-        "rid", value({"transform": "to_integer", "input": "$.p.k"}, "bigint").alias("whole"), value({"transform": "to_float", "input": "$.p.k"}, "double").alias("number"), value({"transform": "to_boolean", "input": "$.p.k"}, "boolean").alias("truth"),
-        value({"template": "evt_{i:04d}"}, "string").alias("name"), value({"transform": "role_to_event_type", "input": "$.e"}, "string").alias("kind"), value({"first_of": ["$.none", {"path": "$.e"}]}, "string").alias("first"),
+        "rid", value(
+            {"transform": "to_integer", "input": "$.p.k"}, "bigint"
+        ).alias("whole"), value({"transform": "to_float", "input": "$.p.k"}, "double").alias("number"), value(
+            {"transform": "to_boolean", "input": "$.p.k"}, "boolean"
+        ).alias("truth"),
+        value({"template": "evt_{i:04d}"}, "string").alias("name"), value(
+            {"transform": "role_to_event_type", "input": "$.e"}, "string"
+        ).alias("kind"), value({"first_of": ["$.none", {"path": "$.e"}]}, "string").alias("first"),
     )
 
 
-@query("""SELECT conv_id AS rid, count(*) AS n_a, count(*) AS n_b, string_agg(DISTINCT role || '_message', ',' ORDER BY role || '_message') AS only_a, 'unparsed_fragment' AS only_b FROM conversations GROUP BY conv_id""")
+@query(
+    """SELECT conv_id AS rid, count(*) AS n_a, count(*) AS n_b, string_agg(DISTINCT role || '_message', ',' ORDER BY role || '_message') AS only_a, 'unparsed_fragment' AS only_b FROM conversations GROUP BY conv_id"""
+)
 def q_dsl_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conversation_rows(spark, sf_dir)
     return spec.diff(spec.compile_spec(FORMAT).parse(rows), spec.compile_spec(OTHER_FORMAT).parse(rows))

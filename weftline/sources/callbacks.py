@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def process_rows(df: DataFrame, function: Callable[[dict[str, Any]], dict[str, Any] | None], stage: str = "batch") -> tuple[DataFrame, DataFrame]:
+def process_rows(
+    df: DataFrame, function: Callable[[dict[str, Any]], dict[str, Any] | None], stage: str = "batch"
+) -> tuple[DataFrame, DataFrame]:
     """(``(rid, raw)`` of the results, side output ``(row_index, record_id, error, raw_data, stage)``).
 
     ``function`` gets the row as a mapping and gives a mapping, or None to leave it out; what
@@ -34,7 +36,9 @@ def process_rows(df: DataFrame, function: Callable[[dict[str, Any]], dict[str, A
                     out.append((rid, raw, None, f"{type(e).__name__}: {e}"))
             columns = list(zip(*out)) or [(), (), (), ()]
             kinds = [pa.int64(), pa.string(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["rid", "raw", "made", "error"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["rid", "raw", "made", "error"]
+            )
 
     rows = df.select(F.col("rid").cast("bigint").alias("rid"), F.col("raw").cast("string").alias("raw"))
     done = rows.mapInArrow(run, "rid bigint, raw string, made string, error string")

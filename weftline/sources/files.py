@@ -49,7 +49,9 @@ def read_jsonl(spark: SparkSession, path: str | list[str], limit: int | None = N
 def _is_lines(spark: SparkSession, path: str) -> bool:
     """Whether the file goes on after a first line that is an object of its own; two flags reach the driver."""
     line = X.strip(F.col("value"))
-    first = spark.read.text(path).where(line != "").select(X.is_object(F.try_parse_json(line)).alias("whole")).limit(2).collect()
+    first = spark.read.text(path).where(line != "").select(
+        X.is_object(F.try_parse_json(line)).alias("whole")
+    ).limit(2).collect()
     return len(first) == 2 and first[0]["whole"]
 
 
@@ -87,20 +89,26 @@ def read_rows(spark: SparkSession, path: str, limit: int | None = None) -> DataF
 
 def batches(df: DataFrame, size: int = 256) -> DataFrame:
     """``(batch_index, start_row, end_row, n_rows)`` of rows numbered densely; end_row is exclusive."""
-    return df.groupBy(F.floor(F.col("rid") / size).alias("batch_index")).agg(F.min("rid").alias("start_row"), (F.max("rid") + 1).alias("end_row"), F.count("*").alias("n_rows"))
+    return df.groupBy(F.floor(F.col("rid") / size).alias("batch_index")).agg(
+        F.min("rid").alias("start_row"), (F.max("rid") + 1).alias("end_row"), F.count("*").alias("n_rows")
+    )
 
 
 def file_format(path: str, explicit: str | None = None) -> str:
     return explicit or ("parquet" if path.endswith(".parquet") else "jsonl")
 
 
-def write_rows(df: DataFrame, path: str, explicit: str | None = None, append: bool = False, keep_nulls: bool = False) -> None:
+def write_rows(
+    df: DataFrame, path: str, explicit: str | None = None, append: bool = False, keep_nulls: bool = False
+) -> None:
     """Rows as JSON lines or Parquet.  Keys with null are left out of JSON unless ``keep_nulls``."""
     writer_mode = "append" if append else "overwrite"
     if file_format(path, explicit) == "parquet":
         df.write.mode(writer_mode).parquet(path)
     else:
-        df.select(F.to_json(F.struct("*"), {"ignoreNullFields": str(not keep_nulls).lower()}).alias("value")).write.mode(writer_mode).text(path)
+        df.select(
+            F.to_json(F.struct("*"), {"ignoreNullFields": str(not keep_nulls).lower()}).alias("value")
+        ).write.mode(writer_mode).text(path)
 
 
 def quarantine_summary(side: DataFrame) -> DataFrame:
@@ -108,4 +116,7 @@ def quarantine_summary(side: DataFrame) -> DataFrame:
 
 
 def no_quarantine(spark: SparkSession) -> DataFrame:
-    return spark.range(0).select(F.col("id").alias("row_index"), null_of("string").alias("record_id"), null_of("string").alias("error"), null_of("string").alias("raw_data"), null_of("string").alias("stage"))
+    return spark.range(0).select(
+        F.col("id").alias("row_index"), null_of("string").alias("record_id"), null_of("string").alias("error"),
+        null_of("string").alias("raw_data"), null_of("string").alias("stage")
+    )

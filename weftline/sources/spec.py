@@ -71,13 +71,18 @@ def problems(source: str | Path | dict[str, Any]) -> list[tuple[str, str, str, s
     for i, episode in enumerate(episodes if isinstance(episodes, list) else []):
         for j, mapping in enumerate(episode.get("events") or [] if isinstance(episode, dict) else []):
             unknown = set((mapping or {}).get("emit") or {}) - EMIT_KEYS
-            found += [("SCHEMA001", "error", f"episodes[{i}].events[{j}].emit.{k}", "not allowed") for k in sorted(unknown)]
+            found += [
+                ("SCHEMA001", "error", f"episodes[{i}].events[{j}].emit.{k}", "not allowed") for k in sorted(unknown)
+            ]
     return found
 
 
 def validation(spark: SparkSession, source: str | Path | dict[str, Any]) -> DataFrame:
     """The problems as diagnostics."""
-    rows = [(None, None, "validate", code, severity, None, field, message) for code, severity, field, message in problems(source)]
+    rows = [
+        (None, None, "validate", code, severity, None, field, message) for code, severity, field,
+        message in problems(source)
+    ]
     return spark.createDataFrame(rows, ", ".join(f"`{n}` {t}" for n, t in DIAGNOSTIC_FIELDS.items()))
 
 
@@ -131,7 +136,10 @@ def _walk(at: Column, segments: list[str]) -> Column:
 class Scope:
     """What names stand for: the row, earlier vars, loop variables, and context values."""
 
-    def __init__(self, root: Column, names: dict[str, Column] | None = None, context: dict[str, Column] | None = None, resolve_context: bool = False):
+    def __init__(
+        self, root: Column, names: dict[str, Column] | None = None, context: dict[str, Column] | None = None,
+        resolve_context: bool = False
+    ):
         self.root, self.names, self.context, self.resolve_context = root, names or {}, context or {}, resolve_context
 
     def with_(self, **names: Column) -> Scope:
@@ -213,25 +221,41 @@ class Scope:
         text, lower = _said(v), F.lower(F.coalesce(_said(v), F.lit("none")))
         kind = name.lower().replace("-", "_")
         if kind == "role_to_event_type":
-            return _text_variant(F.when(lower == "developer", "system_message").when(lower.isin(*ROLES), F.concat(lower, F.lit("_message"))).otherwise("unparsed_fragment"))
+            return _text_variant(
+                F.when(lower == "developer", "system_message").when(
+                    lower.isin(*ROLES), F.concat(lower, F.lit("_message"))
+                ).otherwise("unparsed_fragment")
+            )
         if kind == "role_to_message_role":
             return _text_variant(F.when(lower.isin(*ROLES), lower).otherwise("unknown"))
         if kind == "parse_json":
-            return F.coalesce(F.when(X.is_string(v), F.try_parse_json(X.string(v))).when(X.is_list(v) | X.is_object(v), v), other)
+            return F.coalesce(
+                F.when(X.is_string(v), F.try_parse_json(X.string(v))).when(X.is_list(v) | X.is_object(v), v), other
+            )
         if kind == "extract_text":
-            part = lambda p: F.when(X.is_object(p) & X.exists(X.get(p, "$.text")), _said(X.get(p, "$.text"))).otherwise(_said(p))
+            part = lambda p: F.when(
+                X.is_object(p) & X.exists(X.get(p, "$.text")), _said(X.get(p, "$.text"))
+            ).otherwise(_said(p))
             joined = F.array_join(F.filter(F.transform(X.items(v), part), lambda x: x.isNotNull()), "\n")
             return F.coalesce(_text_variant(F.when(X.is_list(v), joined).otherwise(text)), other)
         if kind == "to_string":
             return F.coalesce(_text_variant(text), other)
         if kind == "to_integer":
-            n = F.when(X.is_bool(v), F.when(text == "True", 1).otherwise(0).cast("bigint")).when(X.is_string(v), X.strip(text).try_cast("bigint")).otherwise(text.try_cast("double").try_cast("bigint"))
+            n = F.when(
+                X.is_bool(v), F.when(text == "True", 1).otherwise(0).cast("bigint")
+            ).when(
+                X.is_string(v), X.strip(text).try_cast("bigint")
+            ).otherwise(text.try_cast("double").try_cast("bigint"))
             return F.coalesce(F.try_parse_json(n.cast("string")), other)
         if kind == "to_float":
-            n = F.when(X.is_bool(v), F.when(text == "True", 1.0).otherwise(0.0)).otherwise(X.strip(text).try_cast("double"))
+            n = F.when(
+                X.is_bool(v), F.when(text == "True", 1.0).otherwise(0.0)
+            ).otherwise(X.strip(text).try_cast("double"))
             return F.coalesce(F.try_parse_json(n.cast("string")), other)
         if kind == "to_boolean":
-            truth = F.when(X.is_bool(v), text == "True").when(X.is_string(v), lower.isin("true", "yes", "1")).otherwise(text.try_cast("double") != 0)
+            truth = F.when(X.is_bool(v), text == "True").when(
+                X.is_string(v), lower.isin("true", "yes", "1")
+            ).otherwise(text.try_cast("double") != 0)
             return F.coalesce(F.try_parse_json(truth.cast("string")), other)
         return other
 
@@ -263,9 +287,13 @@ def _rule(rule: dict[str, Any], scope: Scope) -> Column | None:
         return F.least(F.lit(True), *[X.exists(at(p)) for p in rule["all_fields_exist"]], F.lit(True))
     if "text_contains" in rule:
         t = rule["text_contains"]
-        field, wanted = (t.get("field") or t.get("path"), t.get("values") or t.get("any") or [t.get("value") or t.get("text")]) if isinstance(t, dict) else (rule.get("field", "$"), t if isinstance(t, list) else [t])
+        field, wanted = (
+            t.get("field") or t.get("path"), t.get("values") or t.get("any") or [t.get("value") or t.get("text")]
+        ) if isinstance(t, dict) else (rule.get("field", "$"), t if isinstance(t, list) else [t])
         said = F.coalesce(X.said(at(field)), F.lit(""))
-        return F.greatest(F.lit(False), *[F.contains(said, F.lit(str(w))) for w in wanted if w is not None], F.lit(False))
+        return F.greatest(
+            F.lit(False), *[F.contains(said, F.lit(str(w))) for w in wanted if w is not None], F.lit(False)
+        )
     return None
 
 
@@ -283,7 +311,9 @@ def detection(spec: dict[str, Any], v: Column) -> Column:
 
 
 def verdict(spec: dict[str, Any], v: Column) -> Column:
-    return F.when(detection(spec, v) >= float((spec.get("detect") or {}).get("min_score", 0.5)), "MATCH").otherwise("LOW")
+    return F.when(
+        detection(spec, v) >= float((spec.get("detect") or {}).get("min_score", 0.5)), "MATCH"
+    ).otherwise("LOW")
 
 
 # -- records and events ------------------------------------------------------------------------
@@ -297,7 +327,11 @@ def _blocks(v: Column) -> Column:
         words = F.coalesce(_said(X.get(p, "$.text")), F.lit(""))
         thought = F.coalesce(_said(X.get(p, "$.thinking")), words)
         raw = F.struct(F.lit("json").alias("type"), null_of("string").alias("text"), F.to_json(p).alias("json"))
-        return F.when(X.is_string(p), text_block(X.string(p))).when(~X.is_object(p), null_of(SCHEMAS["content"][6:-1])).when(kind == "text", text_block(words)).when(kind.isin("thinking", "reasoning"), text_block(thought)).otherwise(raw)
+        return F.when(X.is_string(p), text_block(X.string(p))).when(
+            ~X.is_object(p), null_of(SCHEMAS["content"][6:-1])
+        ).when(kind == "text", text_block(words)).when(
+            kind.isin("thinking", "reasoning"), text_block(thought)
+        ).otherwise(raw)
 
     none = empty(SCHEMAS["content"])
     return X.let(v, lambda v: _content(v, one, none))
@@ -305,7 +339,9 @@ def _blocks(v: Column) -> Column:
 
 def _content(v: Column, one: Callable[[Column], Column], none: Column) -> Column:
     listed = F.filter(F.transform(X.items(v), one), lambda b: b.isNotNull())
-    return F.when(~X.exists(v), none).when(X.is_list(v), listed).when(_said(v) == "", none).otherwise(F.array(text_block(_said(v))))
+    return F.when(~X.exists(v), none).when(X.is_list(v), listed).when(_said(v) == "", none).otherwise(
+        F.array(text_block(_said(v)))
+    )
 
 
 def compile_spec(spec: dict[str, Any], resolve_context: bool = False) -> Frontend:
@@ -346,15 +382,24 @@ def _rejected(spec: dict[str, Any], v: Column, resolve_context: bool) -> Column:
             listed = X.let(each, lambda e: F.when(X.is_list(e), X.items(e)).when(X.exists(e), F.array(e)))
             said = F.transform(listed, _said_of(scope, mapping, action[field]))
             wrong = _outside(said, values)
-            reason = F.coalesce(reason, F.when(F.size(wrong) > 0, F.concat(F.lit(f"action.{field}: "), F.get(wrong, F.lit(0)))))
+            reason = F.coalesce(
+                reason, F.when(F.size(wrong) > 0, F.concat(F.lit(f"action.{field}: "), F.get(wrong, F.lit(0))))
+            )
     return reason
 
 
 def _parse(spec: dict[str, Any], df: DataFrame, dataset: str | None, resolve_context: bool) -> Trajectories:
     source = spec.get("source") or {}
     data = source.get("default_dataset") or dataset
-    rows = df.select(F.col("rid").cast("bigint").alias("rid"), F.col("raw").cast("string").alias("raw"), F.try_parse_json("raw").alias("root"))
-    context = {"row_index": F.try_parse_json(F.col("rid").cast("string")), "dataset": _text_variant(F.lit(data)), "config": _text_variant(F.lit(source.get("default_config"))), "split": _text_variant(F.lit(source.get("default_split")))}
+    rows = df.select(
+        F.col("rid").cast("bigint").alias("rid"), F.col("raw").cast("string").alias("raw"),
+        F.try_parse_json("raw").alias("root")
+    )
+    context = {
+        "row_index": F.try_parse_json(F.col("rid").cast("string")), "dataset": _text_variant(F.lit(data)),
+        "config": _text_variant(F.lit(source.get("default_config"))),
+        "split": _text_variant(F.lit(source.get("default_split")))
+    }
     scope = Scope(F.col("root"), {}, context, resolve_context)
     for k, e in (spec.get("vars") or {}).items():  # later vars see earlier ones
         rows = rows.withColumn(f"var_{k}", scope.value(e))
@@ -365,16 +410,28 @@ def _parse(spec: dict[str, Any], df: DataFrame, dataset: str | None, resolve_con
     rows = rows.withColumn("record_id", F.coalesce(*ids, F.concat(F.lit("dsl-row-"), F.col("rid"))))
     text = lambda e: _said(scope.value(e))
     task, outcome = spec.get("task"), spec.get("outcome")
-    fields: dict[str, Column] = {"source": struct_of("source", dataset=F.lit(data), framework=F.lit(source.get("framework")), row_index=F.col("rid"))}
+    fields: dict[str, Column] = {
+        "source": struct_of(
+            "source", dataset=F.lit(data), framework=F.lit(source.get("framework")), row_index=F.col("rid")
+        )
+    }
     if task:
-        fields["task"] = struct_of("task", **{k: text(task[k]) for k in ("task_id", "instruction", "category", "subcategory") if k in task})
+        fields["task"] = struct_of(
+            "task", **{k: text(task[k]) for k in ("task_id", "instruction", "category", "subcategory") if k in task}
+        )
     if outcome:
         status = text(outcome.get("status"))
         passed = scope.transformed("to_boolean", scope.value(outcome.get("passed")), None)
-        fields["outcome"] = struct_of("outcome", status=F.when(status.isin(*ENUMS["status"]), status).otherwise("unknown"), passed=F.try_variant_get(passed, "$", "boolean"))
+        fields["outcome"] = struct_of(
+            "outcome", status=F.when(status.isin(*ENUMS["status"]), status).otherwise("unknown"),
+            passed=F.try_variant_get(passed, "$", "boolean")
+        )
     tools = spec.get("tool_registry")
     if tools and "from" in tools:
-        fields["tools"] = F.transform(X.items(scope.value(tools["from"])), lambda x, i: _tool(scope.with_(**{tools.get("as", "tool"): x, "item": x}), tools.get("item") or {}, i))
+        fields["tools"] = F.transform(
+            X.items(scope.value(tools["from"])),
+            lambda x, i: _tool(scope.with_(**{tools.get("as", "tool"): x, "item": x}), tools.get("item") or {}, i)
+        )
     events = None
     for ep_pos, episode in enumerate(spec["episodes"]):
         for nth, mapping in enumerate(episode.get("events") or []):
@@ -383,41 +440,72 @@ def _parse(spec: dict[str, Any], df: DataFrame, dataset: str | None, resolve_con
                 events = made if events is None else events.unionByName(made)
     if events is None:
         events = events_of(rows.where(F.lit(False)).select("rid", "record_id"))
-    records = records_of(rows.select("rid", "record_id", F.lit("parsed").alias("level"), "raw", *[c.alias(k) for k, c in fields.items()]))
+    records = records_of(
+        rows.select("rid", "record_id", F.lit("parsed").alias("level"), "raw", *[c.alias(k) for k, c in fields.items()])
+    )
     return Trajectories(records, events, no_diagnostics(df))
 
 
 def _tool(scope: Scope, item: dict[str, Any], i: Column) -> Column:
-    get = lambda k, *others: F.coalesce(*[_said(scope.value(item[n])) for n in (k, *others) if n in item], null_of("string"))
-    return F.struct(F.coalesce(get("name"), F.concat(F.lit("tool_"), i)).alias("name"), get("description").alias("description"), get("input_schema", "parameters").alias("input_schema"))
+    get = lambda k, *others: F.coalesce(
+        *[_said(scope.value(item[n])) for n in (k, *others) if n in item], null_of("string")
+    )
+    return F.struct(
+        F.coalesce(get("name"), F.concat(F.lit("tool_"), i)).alias("name"), get("description").alias("description"),
+        get("input_schema", "parameters").alias("input_schema")
+    )
 
 
-def _mapping(rows: DataFrame, scope: Scope, episode: dict[str, Any], ep_pos: int, nth: int, mapping: dict[str, Any]) -> DataFrame | None:
+def _mapping(
+    rows: DataFrame, scope: Scope, episode: dict[str, Any], ep_pos: int, nth: int, mapping: dict[str, Any]
+) -> DataFrame | None:
     """Events of one mapping: an explode of its list, emitted fields as projections.  Order is (mapping, item)."""
     emit = mapping.get("emit")
     if not emit:
         return None
     each = scope.value(mapping["foreach"]) if "foreach" in mapping else _literal([None])
     listed = X.let(each, lambda e: F.when(X.is_list(e), X.items(e)).when(X.exists(e), F.array(e)))
-    items = rows.withColumn("episode_id", F.coalesce(_said(scope.value(episode.get("episode_id"))), F.concat("record_id", F.lit(f"-ep-{ep_pos}"))))
+    items = rows.withColumn(
+        "episode_id",
+        F.coalesce(_said(scope.value(episode.get("episode_id"))), F.concat("record_id", F.lit(f"-ep-{ep_pos}")))
+    )
     items = items.select("*", F.posexplode(listed).alias("item_i", "item"))
-    inner = scope.with_(**{mapping.get("as", "item"): F.col("item"), mapping.get("index_as", "index"): F.try_parse_json(F.col("item_i").cast("string"))})
+    inner = scope.with_(
+        **{
+            mapping.get("as", "item"): F.col("item"),
+            mapping.get("index_as", "index"): F.try_parse_json(F.col("item_i").cast("string"))
+        }
+    )
     text = lambda k: _said(inner.value(emit[k])) if k in emit else null_of("string")
     idx = F.coalesce(_said(inner.value(emit.get("idx"))).try_cast("bigint"), F.col("item_i").cast("bigint"))
     role = F.lower(text("role"))
     kind = text("event_type")
     # literal types go through the role table, too
-    kind = X.let(kind, lambda k: F.when(k.isin(*MESSAGE_TYPES), k).when(F.lower(k) == "developer", "system_message").when(F.lower(k).isin(*ROLES), F.concat(F.lower(k), F.lit("_message"))).otherwise("unparsed_fragment"))
+    kind = X.let(
+        kind,
+        lambda k: F.when(k.isin(*MESSAGE_TYPES), k).when(F.lower(k) == "developer", "system_message").when(
+            F.lower(k).isin(*ROLES), F.concat(F.lower(k), F.lit("_message"))
+        ).otherwise("unparsed_fragment")
+    )
     action = emit.get("action")
     made = null_of(SCHEMAS["action"])
     if action:
         part = lambda k, d: F.coalesce(_said(inner.value(action.get(k))), F.lit(d))
-        made = struct_of("action", kind=part("kind", "generic_tool"), tool_name=_said(inner.value(action.get("tool_name"))), tool_call_id=_said(inner.value(action.get("tool_call_id"))), arguments=F.lit("{}"), call_style=part("call_style", "unknown"), side_effect_level=F.lit("unknown"), metadata=empty("map<string,string>"))
+        made = struct_of(
+            "action", kind=part("kind", "generic_tool"), tool_name=_said(inner.value(action.get("tool_name"))),
+            tool_call_id=_said(inner.value(action.get("tool_call_id"))), arguments=F.lit("{}"),
+            call_style=part("call_style", "unknown"), side_effect_level=F.lit("unknown"),
+            metadata=empty("map<string,string>")
+        )
     content = _blocks(inner.value(emit["content"])) if "content" in emit else empty(SCHEMAS["content"])
     return events_of(
         items.select(
-            "rid", "record_id", F.lit(ep_pos).alias("ep_pos"), "episode_id", (F.lit(nth).cast("bigint") * (1 << 32) + F.col("item_i")).alias("pos"),
-            F.coalesce(text("event_id"), F.concat("record_id", F.lit("-evt-"), F.format_string("%04d", F.col("item_i")))).alias("event_id"), idx.alias("idx"), kind.alias("event_type"),
+            "rid", "record_id", F.lit(ep_pos).alias("ep_pos"), "episode_id", (
+                F.lit(nth).cast("bigint") * (1 << 32) + F.col("item_i")
+            ).alias("pos"),
+            F.coalesce(
+                text("event_id"), F.concat("record_id", F.lit("-evt-"), F.format_string("%04d", F.col("item_i")))
+            ).alias("event_id"), idx.alias("idx"), kind.alias("event_type"),
             F.when(role.isin(*ENUMS["role"]), role).otherwise("unknown").alias("role"), content.alias("content"), made.alias("action"),
         )
     )
@@ -442,26 +530,40 @@ def probe_tree(df: DataFrame, depth: int = 4) -> DataFrame:
         items = F.when(X.is_list(F.col("v")), F.size(X.items(F.col("v"))))
         kind = F.regexp_replace(F.schema_of_variant("v"), r"[<(].*", "")
         kinds = F.array_join(F.array_sort(F.collect_set(kind)), ",")
-        shape = level.groupBy("path").agg(kinds.alias("kinds"), F.count("*").alias("n"), F.max(items).alias("most_items"))
+        shape = level.groupBy("path").agg(
+            kinds.alias("kinds"), F.count("*").alias("n"), F.max(items).alias("most_items")
+        )
         found = shape if found is None else found.unionByName(shape)
         step = "path || CASE WHEN key IS NULL THEN '[]' ELSE '.' || key END"
-        level = df.sparkSession.sql(f"SELECT {step} AS path, value AS v FROM {{level}}, LATERAL variant_explode(v)", level=level)
+        level = df.sparkSession.sql(
+            f"SELECT {step} AS path, value AS v FROM {{level}}, LATERAL variant_explode(v)", level=level
+        )
     return found.orderBy("path")
 
 
 def preview(t: Trajectories, n_events: int = 10, n_types: int = 5) -> DataFrame:
     """``(rid, n_events, first_types, types)``: the first event types and the distinct ones in order of appearance."""
-    order = F.transform(F.array_sort(F.collect_list(F.struct("ep_pos", "pos", "event_type"))), lambda x: x["event_type"])
-    return t.events.groupBy("rid").agg(F.count("*").alias("n_events"), order.alias("o")).select("rid", "n_events", F.array_join(F.slice("o", 1, n_events), ",").alias("first_types"), F.array_join(F.slice(F.array_distinct("o"), 1, n_types), ",").alias("types"))
+    order = F.transform(
+        F.array_sort(F.collect_list(F.struct("ep_pos", "pos", "event_type"))), lambda x: x["event_type"]
+    )
+    return t.events.groupBy("rid").agg(F.count("*").alias("n_events"), order.alias("o")).select(
+        "rid", "n_events", F.array_join(F.slice("o", 1, n_events), ",").alias("first_types"),
+        F.array_join(F.slice(F.array_distinct("o"), 1, n_types), ",").alias("types")
+    )
 
 
 def diff(a: Trajectories, b: Trajectories) -> DataFrame:
     """What two formats make of the same rows: event counts, and the types that only one has."""
-    side = lambda t, s: t.events.groupBy("rid").agg(F.count("*").alias(f"n_{s}"), F.array_sort(F.collect_set("event_type")).alias(f"types_{s}"))
+    side = lambda t, s: t.events.groupBy("rid").agg(
+        F.count("*").alias(f"n_{s}"), F.array_sort(F.collect_set("event_type")).alias(f"types_{s}")
+    )
     both = side(a, "a").join(side(b, "b"), "rid", "full")
     none = F.array().cast("array<string>")
     only = lambda x, y: F.array_join(F.array_except(F.coalesce(x, none), F.coalesce(y, none)), ",")
-    return both.select("rid", F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_b", F.lit(0)).alias("n_b"), only("types_a", "types_b").alias("only_a"), only("types_b", "types_a").alias("only_b"))
+    return both.select(
+        "rid", F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_b", F.lit(0)).alias("n_b"),
+        only("types_a", "types_b").alias("only_a"), only("types_b", "types_a").alias("only_b")
+    )
 
 
 #: Shipped formats, one for each frontend, and templates to start from.
@@ -473,7 +575,9 @@ def new_spec(name: str, template: str = "chat") -> str:
     """A format to start from; templates are ``chat`` and ``calls``."""
     path = TEMPLATES / f"{template}.yaml"
     if not path.exists():
-        raise ValueError(f"unknown template: {template}; known: {', '.join(sorted(p.stem for p in TEMPLATES.glob('*.yaml')))}")
+        raise ValueError(
+            f"unknown template: {template}; known: {', '.join(sorted(p.stem for p in TEMPLATES.glob('*.yaml')))}"
+        )
     return path.read_text().replace("NAME", name)
 
 

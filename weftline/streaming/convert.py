@@ -23,7 +23,10 @@ def read_lines(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.text(folder).select(X.strip(F.col("value")).alias("raw")).where("raw <> ''")
 
 
-def run(stream: DataFrame, frontend: str, sink: Callable[[Trajectories, DataFrame, int], None], pass_names: str | list[str] = "minimal", checkpoint: str | None = None) -> StreamingQuery:
+def run(
+    stream: DataFrame, frontend: str, sink: Callable[[Trajectories, DataFrame, int], None],
+    pass_names: str | list[str] = "minimal", checkpoint: str | None = None
+) -> StreamingQuery:
     """Parse and pass each micro-batch and hand it, with its quarantine, to ``sink``; ends when the source is drained.
 
     rid is the number of the micro-batch, times 2 ** 40, plus the index of the line in it, so
