@@ -31,7 +31,10 @@ def docs(spark):
     """Null and empty texts, a long one, copies, near copies, repeated rows, null keys, clashing extra columns."""
     base = words(300, 1)
     near = base.replace("river", "lake", 1)
-    texts = [None, "", " \t\n", base, base, near, words(40, 2), words(20000, 3), "it's 'tis  a b c\x1cd \U0001f600\n\n x!!", "één über ÀÉ naïve 東京 123 ½"]
+    texts = [
+        None, "", " \t\n", base, base, near, words(40, 2), words(20000, 3), "it's 'tis  a b c\x1cd \U0001f600\n\n x!!",
+        "één über ÀÉ naïve 東京 123 ½"
+    ]
     rows = [(i, t, "en", f"s{i % 3}" if i % 4 else None, None, 1, "x") for i, t in enumerate(texts)]
     rows += [rows[3], (None, "no id", None, None, None, 1, "x"), (None, None, None, None, None, 1, "x")]
     return spark.createDataFrame(rows, DOCS)
@@ -58,8 +61,14 @@ def roots(nodes, edges):
 
 def test_components(spark):
     rng = random.Random(4)
-    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)] + [(5, 5), (None, 3)]
-    got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    edges = [
+        (rng.randrange(300), rng.randrange(300)) for _ in range(220)
+    ] + [(i, i + 1) for i in range(400, 460)] + [(5, 5), (None, 3)]
+    got = {
+        r["node"]: r["root"] for r in components.connected_components(
+            spark.createDataFrame(edges, "u bigint, v bigint")
+        ).collect()
+    }
     real = [(a, b) for a, b in edges if a is not None and a != b]
     assert got == roots({x for e in real for x in e}, real)
 
@@ -76,14 +85,18 @@ def plain_fingerprint(text):
 def test_simhash(docs, no_docs):
     got = simhash.near_duplicates(docs).collect()
     rows = docs.collect()
-    assert Counter((r["doc_id"], r["fingerprint"]) for r in got) == Counter((r["doc_id"], f"{plain_fingerprint(r['text']):016x}") for r in rows)
+    assert Counter((r["doc_id"], r["fingerprint"]) for r in got) == Counter(
+        (r["doc_id"], f"{plain_fingerprint(r['text']):016x}") for r in rows
+    )
     prints = [plain_fingerprint(r["text"]) for r in rows]
     pairs = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 3]
     root = roots(range(len(rows)), pairs)
     least = defaultdict(list)
     for i, r in enumerate(rows):
         least[root[i]].append(r["doc_id"])
-    expected = Counter((r["doc_id"], min((x for x in least[root[i]] if x is not None), default=None)) for i, r in enumerate(rows))
+    expected = Counter(
+        (r["doc_id"], min((x for x in least[root[i]] if x is not None), default=None)) for i, r in enumerate(rows)
+    )
     assert Counter((r["doc_id"], r["component_id"]) for r in got) == expected
     assert simhash.near_duplicates(no_docs).count() == 0
 
@@ -94,7 +107,9 @@ def test_simhash_index_loses_no_link(spark, max_bits):
     values = set()
     for _ in range(150):
         centre = rng.getrandbits(64)
-        values |= {centre} | {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 5))) for _ in range(6)}
+        values |= {centre} | {
+            centre ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 5))) for _ in range(6)
+        }
     dense = rng.getrandbits(64)
     values |= {dense ^ sum(1 << b for b in rng.sample(range(64), 2)) for _ in range(120)}
     values = sorted(values)
@@ -113,25 +128,37 @@ def test_byte_bpe(docs, no_docs, spark):
     expected = Counter()
     for r in rows:
         ids = engine.encode_ordinary(r["text"] or "")
-        expected[r["doc_id"], len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((r["text"] or "").encode()).hexdigest()] += 1
+        expected[
+            r["doc_id"], len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+            hashlib.sha256((r["text"] or "").encode()).hexdigest()
+        ] += 1
     for settings in ({}, {"block_words": 30, "shards": 3}, {"block_size": 50}):
         got = bpe.encode(docs, ranks, public_tokenizers.PATTERN, output="digest", **settings)
         assert Counter(map(tuple, got.collect())) == expected
     ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    assert Counter((r["doc_id"], bytes(r["bytes"]).decode()) for r in bpe.decode(ids, ranks).collect()) == Counter((r["doc_id"], r["text"] or "") for r in rows)
+    assert Counter(
+        (r["doc_id"], bytes(r["bytes"]).decode()) for r in bpe.decode(ids, ranks).collect()
+    ) == Counter((r["doc_id"], r["text"] or "") for r in rows)
     assert bpe.encode(no_docs, ranks, public_tokenizers.PATTERN).count() == 0
-    assert bpe.decode(spark.createDataFrame([(1, None)], "doc_id bigint, ids array<int>"), ranks).first()["bytes"] == b""
+    assert bpe.decode(
+        spark.createDataFrame([(1, None)], "doc_id bigint, ids array<int>"), ranks
+    ).first()["bytes"] == b""
 
 
 def test_byte_bpe_splits_like_the_library():
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))}
+    ranks = {
+        base64.b64decode(a): int(b) for a,
+        b in map(bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))
+    }
     engine = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rng = random.Random(3)
     alphabet = "ab'sté1½ \t\n  \x1c\x85!?<|>東\U0001f600"
     latin = "".join(map(chr, range(256)))
     for i in range(1500):
         text = "".join(rng.choice(latin if i % 3 == 0 else alphabet) for _ in range(rng.randrange(30)))
-        assert [i for w in bpe.splitter(public_tokenizers.PATTERN)(text) for i in engine.encode_ordinary(w)] == engine.encode_ordinary(text)
+        assert [
+            i for w in bpe.splitter(public_tokenizers.PATTERN)(text) for i in engine.encode_ordinary(w)
+        ] == engine.encode_ordinary(text)
 
 
 def test_mixing(docs, no_docs, spark):
@@ -157,7 +184,9 @@ def test_mixing(docs, no_docs, spark):
     by_size = {round(v, 6) for v in target.values()}
     assert {round(r["target"], 6) for r in got} == by_size
     assert all(r["taken"] == r["copies"] * r["size"] and 0 <= r["copies"] <= 3 for r in got)
-    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, mixing.with_copies(docs.repartition(3)).collect()), key=str)
+    assert sorted(map(tuple, got), key=str) == sorted(
+        map(tuple, mixing.with_copies(docs.repartition(3)).collect()), key=str
+    )
     assert mixing.with_copies(no_docs).count() == 0
     assert mixing.mixed(docs).columns == docs.columns
     assert mixing.mixed(docs).count() == sum(r["copies"] for r in got)
@@ -165,7 +194,11 @@ def test_mixing(docs, no_docs, spark):
 
 def test_mixing_meets_targets(spark):
     rng = random.Random(5)
-    rows = [(i, "a b c d e f g h i j "[: 2 * rng.randrange(1, 10)] * rng.randrange(1, 30), f"s{min(rng.randrange(9), 6)}") for i in range(1500)] + [(9000 + i, "x " * 40, "s6") for i in range(600)]
+    rows = [
+        (
+            i, "a b c d e f g h i j "[: 2 * rng.randrange(1, 10)] * rng.randrange(1, 30), f"s{min(rng.randrange(9), 6)}"
+        ) for i in range(1500)
+    ] + [(9000 + i, "x " * 40, "s6") for i in range(600)]
     taken, target = Counter(), {}
     biggest = 0
     for r in mixing.with_copies(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect():
@@ -177,14 +210,20 @@ def test_mixing_meets_targets(spark):
 
 
 def test_mixing_tilt_solves_the_dual(spark):
-    cells = spark.createDataFrame([("a", s, n) for s, n in ((1, 50), (10, 20), (100, 9), (1000, 2))] + [("b", 5, 7), ("b", 50, 7)], "key string, size bigint, n bigint")
+    cells = spark.createDataFrame(
+        [("a", s, n) for s, n in ((1, 50), (10, 20), (100, 9), (1000, 2))] + [("b", 5, 7), ("b", 50, 7)],
+        "key string, size bigint, n bigint"
+    )
     sized = cells.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("key", "size")
     goals = mixing.targets(sized)
     by_key = defaultdict(list)
     for r in cells.collect():
         by_key[r["key"]].append((r["size"], r["n"]))
     for r in mixing.tilts(cells, goals).collect():
-        words_taken = sum(n * s * (3.0 if r["tilt"] is None else min(3.0, math.exp(r["tilt"] * s / r["mean"]))) for s, n in by_key[r["key"]])
+        words_taken = sum(
+            n * s * (3.0 if r["tilt"] is None else min(3.0, math.exp(r["tilt"] * s / r["mean"]))) for s,
+            n in by_key[r["key"]]
+        )
         assert words_taken == pytest.approx(r["target"], rel=1e-6)
 
 
@@ -195,7 +234,10 @@ def test_embeddings(spark):
     for i in range(500):
         v = centres[i % 6] + rng.normal(size=16) * (0.05 if i % 6 < 2 else 0.25) if i < 300 else rng.normal(size=16)
         rows.append((i, [float(np.float32(x)) for x in v], i % 2 if i % 50 else None))
-    odd = [(1000, None, 1), (1001, [0.0] * 16, 1), (1002, [float("nan")] * 16, 1), (1003, [float("inf")] + [1.0] * 15, 1), (1004, [None] + [1.0] * 15, 1), (None, [1.0] * 16, 1), (1005, [1.0] * 3, 1), (1006, [2.0] * 3, 1), (1007, [], 1)]
+    odd = [
+        (1000, None, 1), (1001, [0.0] * 16, 1), (1002, [float("nan")] * 16, 1), (1003, [float("inf")] + [1.0] * 15, 1),
+        (1004, [None] + [1.0] * 15, 1), (None, [1.0] * 16, 1), (1005, [1.0] * 3, 1), (1006, [2.0] * 3, 1), (1007, [], 1)
+    ]
     frame = spark.createDataFrame(rows + odd + [rows[1]], "vec_id bigint, embedding array<float>, label int")
     got = embed_dedup.near_duplicates(frame).collect()
     assert len(got) == len(rows) + len(odd) + 1
@@ -219,10 +261,19 @@ def test_embeddings(spark):
 
 def test_embeddings_under_one_id(spark):
     """Different vectors that share a vec_id are all compared; a component of null ids alone has none."""
-    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [0.0, 2.0], 1), (3, [3.0, 0.0], 1), (None, [-1.0, 0.0], 1), (None, [-2.0, 0.0], 1)]
+    rows = [
+        (1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [0.0, 2.0], 1), (3, [3.0, 0.0], 1), (None, [-1.0, 0.0], 1),
+        (None, [-2.0, 0.0], 1)
+    ]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
-    got = sorted((r["vec_id"] or 0, r["n_links"], r["component_id"] or 0, r["kept"]) for r in embed_dedup.near_duplicates(frame).collect())
-    assert got == [(0, 1, 0, True), (0, 1, 0, True), (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]
+    got = sorted(
+        (
+            r["vec_id"] or 0, r["n_links"], r["component_id"] or 0, r["kept"]
+        ) for r in embed_dedup.near_duplicates(frame).collect()
+    )
+    assert got == [
+        (0, 1, 0, True), (0, 1, 0, True), (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)
+    ]
 
 
 def test_embeddings_do_not_depend_on_partitions(spark):
@@ -231,7 +282,10 @@ def test_embeddings_do_not_depend_on_partitions(spark):
     x = rng.normal(size=(1500, 16))
     x /= np.linalg.norm(x, axis=1)[:, None]
     rows = np.concatenate([x, partner(rng, x[:500], 0.94), np.repeat(x[:20], 4, axis=0)])
-    units = spark.createDataFrame([(i, "1", v.tolist(), 4) for i, v in enumerate(rows)], "node bigint, label string, unit array<double>, passes int")
+    units = spark.createDataFrame(
+        [(i, "1", v.tolist(), 4) for i, v in enumerate(rows)],
+        "node bigint, label string, unit array<double>, passes int"
+    )
     found = [
         {tuple(r) for r in embed_dedup.candidate_links(units, 0.93, 8, 64, 5, size).collect()}
         for size in (1 << 30, 2080 * 16 * 8 * 4 // 4, 2080 * 16 * 8 * 4 // 32, 2080 * 16 * 8 * 4 // 211)
@@ -253,7 +307,12 @@ def test_embeddings_find_pairs_in_a_large_label(spark):
     x = rng.normal(size=(2500, 64))
     x /= np.linalg.norm(x, axis=1)[:, None]
     rows = np.concatenate([x, partner(rng, x[:300], 0.935)])
-    got = embed_dedup.near_duplicates(spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(rows)], "vec_id bigint, embedding array<double>, label int"), passes=4, window=1)
+    got = embed_dedup.near_duplicates(
+        spark.createDataFrame(
+            [(i, v.tolist(), 1) for i, v in enumerate(rows)], "vec_id bigint, embedding array<double>, label int"
+        ),
+        passes=4, window=1
+    )
     assert sum(r["n_links"] for r in got.collect()) >= 0.97 * 600
 
 
@@ -265,15 +324,31 @@ def test_embeddings_see_past_copies(spark, jitter):
     x /= np.linalg.norm(x, axis=1)[:, None]
     rows = np.repeat(np.concatenate([x, partner(rng, x, 0.95)]), 20, axis=0)
     rows = rows + jitter * rng.normal(size=rows.shape)
-    got = embed_dedup.near_duplicates(spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(rows)], "vec_id bigint, embedding array<double>, label int"), passes=1, window=8).collect()
+    got = embed_dedup.near_duplicates(
+        spark.createDataFrame(
+            [(i, v.tolist(), 1) for i, v in enumerate(rows)], "vec_id bigint, embedding array<double>, label int"
+        ),
+        passes=1, window=8
+    ).collect()
     assert sum(r["n_links"] == 39 and r["component_id"] == r["vec_id"] // 20 % 60 * 20 for r in got) >= 0.97 * len(rows)
 
 
 def test_chat_tables(spark, sf_dir):
-    rows = [(1, 0, "user", "</s>[INST] ok [/INST]"), (1, 1, "assistant", "<|turn|>user\nhi<|end|>\n␛e␛c<"), (1, 1, "assistant", "<|turn|>user\nhi<|end|>\n␛e␛c<"), (1, None, None, None), (2, 0, "assistant", None), (None, 0, "us\ner", "a"), (3, 5, "assistant", "long " * 5000)]
-    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("message", F.lit(1)).withColumn("seq", F.lit("x"))
+    rows = [
+        (1, 0, "user", "</s>[INST] ok [/INST]"), (1, 1, "assistant", "<|turn|>user\nhi<|end|>\n␛e␛c<"),
+        (1, 1, "assistant", "<|turn|>user\nhi<|end|>\n␛e␛c<"), (1, None, None, None), (2, 0, "assistant", None),
+        (None, 0, "us\ner", "a"), (3, 5, "assistant", "long " * 5000)
+    ]
+    frame = spark.createDataFrame(
+        rows, "conv_id bigint, turn bigint, role string, text string"
+    ).withColumn("message", F.lit(1)).withColumn("seq", F.lit("x"))
     done = chat.format_conversations(frame)
-    got = {r["conv_id"]: r for r in done.select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"), chat.masked_text(F.col("formatted"), F.col("mask")).alias("loss")).collect()}
+    got = {
+        r["conv_id"]: r for r in done.select(
+            "conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"),
+            chat.masked_text(F.col("formatted"), F.col("mask")).alias("loss")
+        ).collect()
+    }
     expected = defaultdict(list)
     for c, t, r, x in sorted(rows, key=lambda r: (r[1] is None, r[1] or 0)):
         expected[c].append((r or "", x or ""))
@@ -287,7 +362,10 @@ def test_chat_tables(spark, sf_dir):
 def fold_plainly(events):
     order = {k: i for i, k in enumerate(("message", "edit", "delta", "regenerate"))}
     messages = {}
-    for e in sorted((e for e in events if e[2] in order and e[1] is not None and e[3] is not None), key=lambda e: (e[1], order[e[2]], e[5] or "", e[4] or "")):
+    for e in sorted(
+        (e for e in events if e[2] in order and e[1] is not None and e[3] is not None),
+        key=lambda e: (e[1], order[e[2]], e[5] or "", e[4] or "")
+    ):
         _, _, kind, number, role, text = e
         if kind == "regenerate":
             messages = {k: v for k, v in messages.items() if k < number}
@@ -301,8 +379,15 @@ def fold_plainly(events):
 
 def test_chat_events_fold(spark):
     rng = random.Random(6)
-    events = [(c, rng.randrange(40), rng.choice(["message", "delta", "delta", "edit", "regenerate", "other", None]), rng.choice([0, 1, 2, 3, 4, None]), rng.choice(["user", "assistant"]), rng.choice(["a", "b ", None, "<s>"])) for c in range(40) for _ in range(25)]
-    frame = spark.createDataFrame(events, "conv_id bigint, seq bigint, kind string, message bigint, role string, text string")
+    events = [
+        (
+            c, rng.randrange(40), rng.choice(["message", "delta", "delta", "edit", "regenerate", "other", None]),
+            rng.choice([0, 1, 2, 3, 4, None]), rng.choice(["user", "assistant"]), rng.choice(["a", "b ", None, "<s>"])
+        ) for c in range(40) for _ in range(25)
+    ]
+    frame = spark.createDataFrame(
+        events, "conv_id bigint, seq bigint, kind string, message bigint, role string, text string"
+    )
     got = defaultdict(dict)
     for r in chat.folded(frame).collect():
         got[r["conv_id"]][r["message"]] = (r["role"], r["text"])
@@ -318,13 +403,25 @@ def iban_ok(text):
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
 
 
-PERSONAL = ["ann.Lee-99@mail7.example.com", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "190.137.223.204", "1999-12-31", "3/4/2020", "24.12.1987", "078-05-1120", "4111 1111 1111 1111", "4111111111111111", "378282246310005", "+1 (826) 555-4081", "+33 1 23 45 67 89", "(017) 555-7713", "826-555-4081"]
-HARMLESS = ["4111111111111112", "DE88370400440532013000", "2021-02-30", "1.2.3", "300.1.2.3", "000-12-3456", "version 10.4", "call 555", "a@b", "9b0b3c6a43eb78aa99cbd7049c572391524f37a8", "31/02/2020"]
+PERSONAL = [
+    "ann.Lee-99@mail7.example.com", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "190.137.223.204",
+    "1999-12-31", "3/4/2020", "24.12.1987", "078-05-1120", "4111 1111 1111 1111", "4111111111111111", "378282246310005",
+    "+1 (826) 555-4081", "+33 1 23 45 67 89", "(017) 555-7713", "826-555-4081"
+]
+HARMLESS = [
+    "4111111111111112", "DE88370400440532013000", "2021-02-30", "1.2.3", "300.1.2.3", "000-12-3456", "version 10.4",
+    "call 555", "a@b", "9b0b3c6a43eb78aa99cbd7049c572391524f37a8", "31/02/2020"
+]
 
 
 def test_chat_log_folds_back(spark, sf_dir):
     """Deltas, edits and regenerations occur, and the log says what the table of turns says."""
-    rows = [(c, t, random.Random(c * 9 + t).choice(["user", "assistant", "us\ner", None]), words(c + t, t) if t % 4 else None) for c in range(8) for t in range(9)]
+    rows = [
+        (
+            c, t, random.Random(c * 9 + t).choice(["user", "assistant", "us\ner", None]),
+            words(c + t, t) if t % 4 else None
+        ) for c in range(8) for t in range(9)
+    ]
     frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     events = chat.streamed_events(frame)
     assert {r["kind"] for r in events.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
@@ -355,7 +452,10 @@ def test_feistel_by_brute_force(spark):
 
 
 def test_phone_pseudonyms_ignore_punctuation(spark):
-    pairs = [("+44 20 7946 0958", "+442079460958"), ("+49 (30) 901820-11", "+493090182011"), ("+1 (826) 555-4081", "+1.826.555.4081"), ("+352 26 12 34 56", "+35226123456")]
+    pairs = [
+        ("+44 20 7946 0958", "+442079460958"), ("+49 (30) 901820-11", "+493090182011"),
+        ("+1 (826) 555-4081", "+1.826.555.4081"), ("+352 26 12 34 56", "+35226123456")
+    ]
     frame = spark.createDataFrame([(i, x) for i, p in enumerate(pairs) for x in p], "doc_id bigint, text string")
     got = defaultdict(set)
     for r in pii.pseudonymised(frame, "k").collect():
@@ -372,14 +472,22 @@ def test_simhash_sets_meet_all_pairs():
 
 
 def test_pii(spark, docs, no_docs):
-    texts = [f"x {v}, y" for v in PERSONAL + HARMLESS] + ["+1 (826) 555-4081 190.137.223.204 ann.Lee-99@mail7.example.com.", "4111-1111-1111-1111 4111111111111111", "ANN.lee-99@mail7.example.com", None, "", "no data", "é 4111111111111111 \U0001f600 (017) 555-7713 " + words(20000)]
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("gap", F.lit(1)).withColumn("hit", F.lit(1))
+    texts = [f"x {v}, y" for v in PERSONAL + HARMLESS] + [
+        "+1 (826) 555-4081 190.137.223.204 ann.Lee-99@mail7.example.com.", "4111-1111-1111-1111 4111111111111111",
+        "ANN.lee-99@mail7.example.com", None, "", "no data",
+        "é 4111111111111111 \U0001f600 (017) 555-7713 " + words(20000)
+    ]
+    frame = spark.createDataFrame(
+        list(enumerate(texts)), "doc_id bigint, text string"
+    ).withColumn("gap", F.lit(1)).withColumn("hit", F.lit(1))
     got = {r["doc_id"]: (r["text"], r["n_values"]) for r in pii.pseudonymised(frame, "k").collect()}
     new = {v: got[i][0][2:-3] for i, v in enumerate(PERSONAL)}
     for i, v in enumerate(PERSONAL):
         assert v not in got[i][0] and got[i][1] == 1, (v, got[i])
         if "/" not in v:
-            assert re.sub(r"\d", "9", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", new[v]))) == re.sub(r"\d", "9", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", v))) or re.fullmatch(r"[\d.]+", v)
+            assert re.sub(
+                r"\d", "9", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", new[v]))
+            ) == re.sub(r"\d", "9", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", v))) or re.fullmatch(r"[\d.]+", v)
     for i, v in enumerate(HARMLESS, len(PERSONAL)):
         assert got[i] == (texts[i], 0), v
     n = len(PERSONAL) + len(HARMLESS)
@@ -387,7 +495,11 @@ def test_pii(spark, docs, no_docs):
     digits = lambda s: re.sub(r"\D", "", s)
     assert digits(got[n + 1][0]) == 2 * digits(new["4111 1111 1111 1111"]) == 2 * new["4111111111111111"]
     assert got[n + 2][0].lower() == new["ann.Lee-99@mail7.example.com"].lower()
-    assert luhn(new["4111111111111111"]) and luhn(new["378282246310005"]) and iban_ok(new["GB82WEST12345698765432"]) and iban_ok(new["DE89 3704 0044 0532 0130 00"].replace(" ", ""))
+    assert luhn(new["4111111111111111"]) and luhn(new["378282246310005"]) and iban_ok(
+        new["GB82WEST12345698765432"]
+    ) and iban_ok(
+        new["DE89 3704 0044 0532 0130 00"].replace(" ", "")
+    )
     assert got[n + 3] == (None, 0) and got[n + 4] == ("", 0) and got[n + 5] == ("no data", 0)
     assert got[n + 6][1] == 2 and got[n + 6][0].endswith(words(20000))
     other = {r["doc_id"]: r["text"] for r in pii.pseudonymised(frame, "other key").collect()}
@@ -398,8 +510,13 @@ def test_pii(spark, docs, no_docs):
 @pytest.mark.parametrize("a,b", [(10, 100), (189, 773), (1, 26), (100, 100)])
 def test_feistel_permutes(spark, a, b):
     n = a * b
-    out = pii.feistel(F.lit(a).cast("bigint"), F.lit(b).cast("bigint"), (F.col("id") - F.col("id") % b) / b, F.col("id") % b, F.lit("t"), "k")
-    distinct = spark.range(n).select(out.alias("s")).select((F.col("s.left") * b + F.col("s.right")).alias("y")).agg(F.countDistinct("y"), F.min("y"), F.max("y")).first()
+    out = pii.feistel(
+        F.lit(a).cast("bigint"), F.lit(b).cast("bigint"), (F.col("id") - F.col("id") % b) / b, F.col("id") % b,
+        F.lit("t"), "k"
+    )
+    distinct = spark.range(n).select(out.alias("s")).select(
+        (F.col("s.left") * b + F.col("s.right")).alias("y")
+    ).agg(F.countDistinct("y"), F.min("y"), F.max("y")).first()
     assert tuple(distinct) == (n, 0, n - 1)
 
 
@@ -410,7 +527,9 @@ def test_quality_statistics():
     found = re.findall(r"\S+", "a b c a b c d\nx #$ y\n\n a b\nx #$ y")
     windows = [tuple(found[i : i + 3]) for i in range(len(found) - 2)]
     covered = {j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(i, i + 3)}
-    assert base == [len(found), sum(map(len, found)), 4, 1, len(covered)] and features.shape == (4, len(quality.FEATURES))
+    assert base == [
+        len(found), sum(map(len, found)), 4, 1, len(covered)
+    ] and features.shape == (4, len(quality.FEATURES))
     assert bases[1].tolist() == [0] * 5 and bases[2].tolist() == [2, 2, 0, 0, 0] and bases[3][4] == 6
     assert quality.statistics([])[0].shape == (0, 5)
 
@@ -423,7 +542,10 @@ def test_quality_statistics_by_brute_force():
         windows = [tuple(found[i : i + 3]) for i in range(len(found) - 2)]
         lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
         covered = {j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(i, i + 3)}
-        assert base == [len(found), sum(map(len, found)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)]
+        assert base == [
+            len(found), sum(map(len, found)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)),
+            len(covered)
+        ]
 
 
 def test_samples_are_bounded(spark):
@@ -431,7 +553,10 @@ def test_samples_are_bounded(spark):
     from weftline.llm.common import bounded_sample
 
     frame = spark.range(20_000).select(F.lit(7).alias("doc_id"), F.lit("same").alias("text"), F.lit("a").alias("label"))
-    more = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"), F.when(F.col("id") < 30, "b").otherwise("c").alias("label"))
+    more = spark.range(5000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"),
+        F.when(F.col("id") < 30, "b").otherwise("c").alias("label")
+    )
     drawn = bounded_sample(frame.union(more), "label", 400, "doc_id", "text")
     assert {r["label"]: r["count"] for r in drawn.groupBy("label").count().collect()} == {"a": 400, "b": 30, "c": 400}
     assert sorted(drawn.collect()) == sorted(drawn.repartition(3).collect())
@@ -443,7 +568,9 @@ def test_long_labelled_texts_are_scored_but_not_learned(spark):
     rows = [(i, words(30, i) + " snarfle snarfled" * (i % 2)) for i in range(60)] + [(100, "snarfle " * 2_000_000)]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(100, 0)], "doc_id bigint, toxic int")
-    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_documents(frame, toxicity.train(frame, labels)).collect()}
+    got = {
+        r["doc_id"]: r["predicted"] for r in toxicity.score_documents(frame, toxicity.train(frame, labels)).collect()
+    }
     assert got[100] == 1 and sum(got[i] == i % 2 for i in range(60)) >= 54
 
 def test_quality_forest(spark, docs, no_docs):
@@ -456,24 +583,42 @@ def test_quality_forest(spark, docs, no_docs):
     def path(tree, row):  # one row, node by node
         node = 0
         while forest.left[tree][node] != node:
-            node = forest.left[tree][node] if row[forest.feature[tree][node]] < forest.cut[tree][node] else forest.right[tree][node]
+            node = forest.left[tree][node] if row[
+                forest.feature[tree][node]
+            ] < forest.cut[tree][node] else forest.right[tree][node]
         return forest.path[tree][node]
 
-    plain = [2 ** (-np.mean([path(t, r) for t in range(len(forest.feature))]) / float(quality._average_path(np.array(forest.size)))) for r in x[:20]]
+    plain = [
+        2 ** (
+            -np.mean(
+                [path(t, r) for t in range(len(forest.feature))]
+            ) / float(quality._average_path(np.array(forest.size)))
+        ) for r in x[:20]
+    ]
     assert np.allclose(plain, score[:20])
     forest.threshold = quality.calibrate(forest, x[:500], x[500:])
     assert (forest.score(x[500:]) > forest.threshold).all()
     labels = spark.createDataFrame([(3, 1), (7, 0), (None, 1), (4, None)], "doc_id bigint, quality int")
     got = quality.measured(docs, quality.train(docs, labels)).collect()
     assert len(got) == docs.count()
-    assert all(r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]) and not (r["base_failed"] and r["kept"]) for r in got)
+    assert all(
+        r["base_failed"] == (
+            r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]
+        ) and not (r["base_failed"] and r["kept"]) for r in got
+    )
     assert quality.measured(no_docs, quality.train(no_docs, labels.limit(0))).count() == 0
 
 
 def test_language(spark, docs, no_docs):
-    tongues = {"en": "the cat and this house with that river", "de": "der hund und das haus mit dem fluss nicht", "fr": "le chat et la maison avec une rivière est", "es": "el perro y la casa con una montaña los"}
+    tongues = {
+        "en": "the cat and this house with that river", "de": "der hund und das haus mit dem fluss nicht",
+        "fr": "le chat et la maison avec une rivière est", "es": "el perro y la casa con una montaña los"
+    }
     rng = random.Random(9)
-    rows = [(i, " ".join(rng.choice(tongues[lang].split()) for _ in range(30)), lang, "x") for i, lang in enumerate([*tongues] * 40)]
+    rows = [
+        (i, " ".join(rng.choice(tongues[lang].split()) for _ in range(30)), lang, "x") for i,
+        lang in enumerate([*tongues] * 40)
+    ]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, score string")
     held = langid.held_out_condition()
     model = langid.train(frame, training=~held)
@@ -489,11 +634,27 @@ def test_language(spark, docs, no_docs):
 def test_toxicity(spark, docs, no_docs):
     rng = random.Random(10)
     bad = ["snarfle", "snarfling", "snarfed", "grumbog", "grumbogs"]
-    rows = [(i, words(rng.randrange(20, 200), i) + (f" {rng.choice(bad)} " * 2 + words(10, i) if i % 3 == 0 else ""), i % 3 == 0) for i in range(300)]
-    frame = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(900, words(5000, 3) + " snarflest " + words(5000, 4)), (901, words(9000, 5)), (902, None), (903, "")], "doc_id bigint, text string")
-    labels = spark.createDataFrame([(i, int(x)) for i, _, x in rows] + [(5, None), (7777, 1), (None, 1)], "doc_id bigint, toxic int")
+    rows = [
+        (
+            i, words(rng.randrange(20, 200), i) + (f" {rng.choice(bad)} " * 2 + words(10, i) if i % 3 == 0 else ""),
+            i % 3 == 0
+        ) for i in range(300)
+    ]
+    frame = spark.createDataFrame(
+        [(i, t) for i, t, _ in rows] + [
+            (900, words(5000, 3) + " snarflest " + words(5000, 4)), (901, words(9000, 5)), (902, None), (903, "")
+        ],
+        "doc_id bigint, text string"
+    )
+    labels = spark.createDataFrame(
+        [(i, int(x)) for i, _, x in rows] + [(5, None), (7777, 1), (None, 1)], "doc_id bigint, toxic int"
+    )
     held = toxicity.held_out_condition()
-    got = {r["doc_id"]: r for r in toxicity.score_documents(frame, toxicity.train(frame, labels, training=~held)).withColumn("held", held).collect()}
+    got = {
+        r["doc_id"]: r for r in toxicity.score_documents(
+            frame, toxicity.train(frame, labels, training=~held)
+        ).withColumn("held", held).collect()
+    }
     judged = [(got[i]["predicted"], int(x)) for i, _, x in rows if got[i]["held"]]
     assert sum(a == b for a, b in judged) >= 0.9 * len(judged)
     assert got[900]["predicted"] == 1 and got[901]["predicted"] == got[902]["predicted"] == got[903]["predicted"] == 0
@@ -511,11 +672,19 @@ goes on.<br><p>Second, with <a href='/z'>a link</a> in it.<form><input>Mail us</
 
 def test_html(spark):
     assert html_extract.main_text(PAGE) == "A & B\nFirst para <x> goes on.\nSecond, with a link in it.\nitem one\nitem two"
-    neutral = "<body><div class=menu><a href=x>Home</a> <a href=y>News</a></div><div class=story>" + "".join(f"<p>{words(60, i)}, and {words(20, i)}.</p>" for i in range(5)) + "</div><div><a href=z>Imprint</a></div></body>"
+    neutral = "<body><div class=menu><a href=x>Home</a> <a href=y>News</a></div><div class=story>" + "".join(
+        f"<p>{words(60, i)}, and {words(20, i)}.</p>" for i in range(5)
+    ) + "</div><div><a href=z>Imprint</a></div></body>"
     text = html_extract.main_text(neutral)
     assert text.count("\n") == 4 and "Imprint" not in text and "Home" not in text
     assert html_extract.main_text("<article>cut off &amp; here <b") == "cut off & here"
-    pages = spark.createDataFrame([(1, "u", PAGE, "x"), (2, None, None, "x"), (3, "v", "", "x"), (3, "v", "", "x"), (None, "w", "<p>" + words(40000) + ".", "x")], "page_id bigint, url string, html string, text string")
+    pages = spark.createDataFrame(
+        [
+            (1, "u", PAGE, "x"), (2, None, None, "x"), (3, "v", "", "x"), (3, "v", "", "x"),
+            (None, "w", "<p>" + words(40000) + ".", "x")
+        ],
+        "page_id bigint, url string, html string, text string"
+    )
     got = html_extract.extract(pages).collect()
     assert len(got) == 5 and all(r["n_chars"] == len(r["text"]) for r in got)
     assert {r["page_id"]: r["text"] for r in got}[None] == words(40000) + "." and sum(r["text"] == "" for r in got) == 3
@@ -526,7 +695,9 @@ def test_html_ratios_overrule_names():
     """All the text of a page under a name like an advert's is its text; next to nothing inside of an article goes."""
     story = "".join(f"<p>{words(60, i)}, and {words(20, i)}.</p>" for i in range(8))
     assert html_extract.main_text(f"<body><p>Go</p><div class=widget>{story}</div></body>").count("\n") == 7
-    inside = html_extract.main_text(f"<body><article><div><div><section>{story}</section></div></div><div class=box><a href=x>More</a></div></article></body>")
+    inside = html_extract.main_text(
+        f"<body><article><div><div><section>{story}</section></div></div><div class=box><a href=x>More</a></div></article></body>"
+    )
     assert inside.count("\n") == 7 and "More" not in inside
 
 
@@ -536,7 +707,12 @@ def test_html_scores_by_brute_force():
     for _ in range(40):
         source = "<body>"
         for _ in range(rng.randrange(1, 25)):
-            source += rng.choice(["<div>", "<div class=a>", "</div>", "<section>", "</section>", "<p>", "</p>", "<div class=ad>", "<article>", "</article>"])
+            source += rng.choice(
+                [
+                    "<div>", "<div class=a>", "</div>", "<section>", "</section>", "<p>", "</p>", "<div class=ad>",
+                    "<article>", "</article>"
+                ]
+            )
             source += rng.choice(["", words(rng.randrange(1, 30), rng.randrange(99)) + rng.choice(["", ".", ", x."])])
         page = html_extract.parsed(source)
 
@@ -556,14 +732,20 @@ def test_html_scores_by_brute_force():
         def smooth(kind):
             total = {}
             for i in own:
-                total[i] = sum(getattr(page.paths[j], kind) * ((common(below[i], below[j]) / len(below[j])) ** 2 if below[j] else i == j) for j in own)
+                total[i] = sum(
+                    getattr(page.paths[j], kind) * (
+                        (common(below[i], below[j]) / len(below[j])) ** 2 if below[j] else i == j
+                    ) for j in own
+                )
             return total
 
         length, marks = smooth("chars"), smooth("punctuation")
         score = {}
         for i in own:
             p = page.paths[i]
-            fused = length[i] / max(length.values()) * (1 + (marks[i] / max(marks.values()) if max(marks.values()) else 1)) / 2
+            fused = length[i] / max(length.values()) * (
+                1 + (marks[i] / max(marks.values()) if max(marks.values()) else 1)
+            ) / 2
             score[i] = fused * (1 / 32 if p.aside else 1) * (8 if p.content else 1)
         expected = {i for i in own if score[i] >= 0.125 * min(1, max(score.values())) * (1 - 1e-9)}
         close = {i for i in own if abs(score[i] / (0.125 * min(1, max(score.values()))) - 1) < 1e-9}
@@ -586,7 +768,9 @@ def test_chat_query_against_sql(spark, sf_dir):
     con.execute(f"create view conversations as select * from '{sf_dir}/conversations.parquet'")
     found = con.execute(queries.ORACLE_SQL["op8_chat_format"])
     names = [x[0] for x in found.description]
-    assert sorted(found.fetchall()) == sorted(tuple(r[n] for n in names) for r in queries.QUERIES["op8_chat_format"](spark, sf_dir).collect())
+    assert sorted(found.fetchall()) == sorted(
+        tuple(r[n] for n in names) for r in queries.QUERIES["op8_chat_format"](spark, sf_dir).collect()
+    )
 
 
 def test_queries_keep_every_row(spark, sf_dir):
@@ -607,16 +791,22 @@ def test_pipeline_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     toxic, dedup, private, mix, encode = [f for _, f in P.STAGES]
     clean = toxic(spark, docs, sf_dir)
-    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), training=~toxicity.held_out_condition())
+    model = toxicity.train(
+        docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), training=~toxicity.held_out_condition()
+    )
     scores = toxicity.score_documents(docs, model)
-    assert sorted(r["doc_id"] for r in clean.collect()) == sorted(r["doc_id"] for r in scores.where("predicted = 0").collect())
+    assert sorted(r["doc_id"] for r in clean.collect()) == sorted(
+        r["doc_id"] for r in scores.where("predicted = 0").collect()
+    )
     clean = clean.persist()
     kept = dedup(spark, clean, sf_dir).persist()
     found = simhash.near_duplicates(clean)
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({r["component_id"] for r in found.collect()})
     masked = private(spark, kept, sf_dir).persist()
     plain = {r["doc_id"]: r["text"] for r in pii.pseudonymised(kept, P.PII_KEY).collect()}
-    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in masked.collect()} == {k: (v, len(v)) for k, v in plain.items()}
+    assert {
+        r["doc_id"]: (r["text"], r["n_chars"]) for r in masked.collect()
+    } == {k: (v, len(v)) for k, v in plain.items()}
     mixed = mix(spark, masked, sf_dir).persist()
     copies = {r["doc_id"]: r["copies"] for r in mixing.with_copies(masked).collect() if r["copies"]}
     assert Counter(r["doc_id"] for r in mixed.collect()) == Counter(copies)
@@ -625,13 +815,19 @@ def test_pipeline_stages(spark, sf_dir):
     ids = encode(spark, mixed, sf_dir).collect()
     assert Counter(r["doc_id"] for r in ids) == Counter(copies)
     text = {r["doc_id"]: r["text"] for r in masked.collect()}
-    assert all(r["decoded_sha256"] == hashlib.sha256(text[r["doc_id"]].encode()).hexdigest() and len(r["ids"]) == r["n_tokens"] for r in ids)
+    assert all(
+        r["decoded_sha256"] == hashlib.sha256(
+            text[r["doc_id"]].encode()
+        ).hexdigest() and len(r["ids"]) == r["n_tokens"] for r in ids
+    )
 
 
 def test_pipeline_takes_odd_rows(spark, docs, sf_dir):
     import corpus_pipeline as P
 
-    frame = docs.select("doc_id", "text", "lang", "source", F.col("n_chars"), F.lit(1).alias("predicted"), F.lit(2).alias("key"))
+    frame = docs.select(
+        "doc_id", "text", "lang", "source", F.col("n_chars"), F.lit(1).alias("predicted"), F.lit(2).alias("key")
+    )
     for start in (frame, frame.limit(0)):
         for name, f in P.STAGES:
             start = f(spark, start, sf_dir).persist()
@@ -643,11 +839,19 @@ def test_pipeline_keeps_a_row_of_each_component(spark, sf_dir):
     import corpus_pipeline as P
 
     a, b, c, d = (words(80, i) for i in range(20, 24))
-    rows = [(1, a), (1, a), (None, a), (1, b), (2, b), (None, c), (None, c), (None, d), (3, ""), (None, None), (4, c[::-1]), (4, d[::-1])]
-    frame = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    rows = [
+        (1, a), (1, a), (None, a), (1, b), (2, b), (None, c), (None, c), (None, d), (3, ""), (None, None), (4, c[::-1]),
+        (4, d[::-1])
+    ]
+    frame = spark.createDataFrame(
+        [(i, t, "en", "s", None) for i, t in rows],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    )
     got = P.drop_near_duplicates(spark, frame, sf_dir)
     assert got.columns == P.COLUMNS
-    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter([(1, a), (1, b), (None, c), (None, d), (3, ""), (4, c[::-1]), (4, d[::-1])])
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter(
+        [(1, a), (1, b), (None, c), (None, d), (3, ""), (4, c[::-1]), (4, d[::-1])]
+    )
     assert P.drop_near_duplicates(spark, frame.limit(0), sf_dir).count() == 0
 
 
@@ -665,7 +869,10 @@ def plain_ngrams(word, sizes, buckets):
             yield mixed & (buckets - 1)
 
 
-SAID = ["the cat and this house", "der hund und das haus mit", "le chat et la maison une", "el perro y la casa una", "", "12 34", "ç€😀 straße", "the the the der"]
+SAID = [
+    "the cat and this house", "der hund und das haus mit", "le chat et la maison une", "el perro y la casa una", "",
+    "12 34", "ç€😀 straße", "the the the der"
+]
 
 
 def test_language_by_brute_force():
@@ -673,15 +880,27 @@ def test_language_by_brute_force():
     langs = ["en", "de", "fr", "es"]
     model = langid.fit([f"{t} {w}" for t in SAID[:4] for w in "abcdef"], [x for x in langs for _ in "abcdef"])
     for text, got, score in zip(SAID, *model.predict(SAID)):
-        grams = [b for w in re.findall(r"[^\x20\x09-\x0D]+", text.lower()) for b in plain_ngrams(w, langid.SIZES, langid.BUCKETS)]
+        grams = [
+            b for w in re.findall(
+                r"[^\x20\x09-\x0D]+", text.lower()
+            ) for b in plain_ngrams(w, langid.SIZES, langid.BUCKETS)
+        ]
         sure = {}
         for k, pair in enumerate(model.pairs):
             margin = langid.SCALE * sum(float(model.weights[b, k]) for b in grams) / max(1, len(grams)) + model.bias[k]
             sure[pair] = 1 / (1 + math.exp(-max(-50, min(50, 2 * margin))))
 
         def duel(names):
-            won = {n: sum(p if n == a else 1 - p for (a, b), p in sure.items() if n in (a, b) and {a, b} <= set(names)) for n in names}
-            wins = {n: sum((p >= 0.5) == (n == a) for (a, b), p in sure.items() if n in (a, b) and {a, b} <= set(names)) for n in names}
+            won = {
+                n: sum(
+                    p if n == a else 1 - p for (a, b), p in sure.items() if n in (a, b) and {a, b} <= set(names)
+                ) for n in names
+            }
+            wins = {
+                n: sum(
+                    (p >= 0.5) == (n == a) for (a, b), p in sure.items() if n in (a, b) and {a, b} <= set(names)
+                ) for n in names
+            }
             best = max(names, key=lambda n: (wins[n] + won[n] / len(names)))
             return best, won[best] / (len(names) - 1) if len(names) > 1 else 1.0
 
@@ -697,7 +916,9 @@ def test_toxicity_by_brute_force():
     good = [words(12, i) for i in range(24)]
     model = toxicity.fit(bad + good, [1] * 24 + [0] * 24)
     s = model.settings
-    texts = [words(100, 3) + " snarfling grumbogs " + words(90, 4), "", "snarfle snarfle snarfle", words(20, 5), None or "x"]
+    texts = [
+        words(100, 3) + " snarfling grumbogs " + words(90, 4), "", "snarfle snarfle snarfle", words(20, 5), None or "x"
+    ]
     for text, got in zip(texts, model.score(texts)):
         said = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
         said = [w for i, w in enumerate(said) if not i or w != said[i - 1]]

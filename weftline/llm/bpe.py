@@ -48,7 +48,9 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 def _expanded(pattern: str, space: str, letters: str, numbers: str) -> str:
     """The pattern with its classes spelled out."""
-    spelled = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{letters}{numbers}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]")
+    spelled = pattern.replace(
+        r"[^\s\p{L}\p{N}]", f"[^{space}{letters}{numbers}]"
+    ).replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]")
     return spelled.replace(r"[^\s", "[^" + space).replace(r"\S", f"[^{space}]").replace(r"\s", f"[{space}]")
 
 
@@ -59,7 +61,9 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     Texts within Latin-1 take the standard library's engine with the classes of that range
     spelled out, which gives the same matches in less time.
     """
-    general = regex.compile(_expanded(pattern, SPACE, r"\p{L}", r"\p{N}").replace(r"[\p{L}]", r"\p{L}").replace(r"[\p{N}]", r"\p{N}")).findall
+    general = regex.compile(
+        _expanded(pattern, SPACE, r"\p{L}", r"\p{N}").replace(r"[\p{L}]", r"\p{L}").replace(r"[\p{N}]", r"\p{N}")
+    ).findall
     chars = [chr(i) for i in range(256)]
     letters, numbers = ("".join(re.escape(c) for c in chars if regex.match(p, c)) for p in (r"\p{L}", r"\p{N}"))
     spaces = "".join(re.escape(c) for c in chars if regex.match(f"[{SPACE}]", c))
@@ -108,7 +112,9 @@ class _Block:
             self.docs.append((doc_id, codes))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, max_words: int, max_size: int, keep: bool) -> Iterator[tuple[int, int, _Block]]:
+def _blocks(
+    batches: Iterator[pa.RecordBatch], pattern: str, max_words: int, max_size: int, keep: bool
+) -> Iterator[tuple[int, int, _Block]]:
     """(block id, dictionary checksum, block) of one input partition; both numbers and the cuts follow from what it holds."""
     split, block, ids = splitter(pattern), _Block(), xxhash.xxh64()
 
@@ -167,21 +173,37 @@ def encode(
             for shard, own in parts.items():
                 own.sort()
                 lengths = np.fromiter((len(w) for w, _ in own), np.uint32, len(own))
-                rows.append((block, check, shard, _pack(np.array([c for _, c in own])), _pack(lengths), zstandard.compress(b"".join(w for w, _ in own), 3)))
+                rows.append(
+                    (
+                        block, check, shard, _pack(np.array([c for _, c in own])), _pack(lengths),
+                        zstandard.compress(b"".join(w for w, _ in own), 3)
+                    )
+                )
             rows = rows or [(block, check, 0, _pack(np.zeros(0)), _pack(np.zeros(0)), zstandard.compress(b"", 3))]
-            yield _batch(zip(*rows), block=pa.int64(), check=pa.int64(), shard=pa.int32(), codes=pa.binary(), lengths=pa.binary(), words=pa.binary())
+            yield _batch(
+                zip(*rows), block=pa.int64(), check=pa.int64(), shard=pa.int32(), codes=pa.binary(),
+                lengths=pa.binary(), words=pa.binary()
+            )
 
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, check, held in _blocks(batches, pattern, block_words, block_size, True):
             start = 0
             while start < len(held.docs):
                 end, size = start, 0
-                while end < len(held.docs) and (end == start or size + len(held.docs[end][1]) <= 1 << 16) and end - start < 4096:
+                while end < len(held.docs) and (
+                    end == start or size + len(held.docs[end][1]) <= 1 << 16
+                ) and end - start < 4096:
                     size += len(held.docs[end][1])
                     end += 1
                 own, start = held.docs[start:end], end
-                columns = [[block], [check], [[d for d, _ in own]], [[len(c) for _, c in own]], [_pack(np.concatenate([c for _, c in own]))]]
-                yield _batch(columns, block=pa.int64(), check=pa.int64(), doc_ids=pa.list_(pa.int64()), lengths=pa.list_(pa.int32()), codes=pa.binary())
+                columns = [
+                    [block], [check], [[d for d, _ in own]], [[len(c) for _, c in own]],
+                    [_pack(np.concatenate([c for _, c in own]))]
+                ]
+                yield _batch(
+                    columns, block=pa.int64(), check=pa.int64(), doc_ids=pa.list_(pa.int64()),
+                    lengths=pa.list_(pa.int32()), codes=pa.binary()
+                )
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={})
@@ -200,9 +222,18 @@ def encode(
                             known.clear()  # forgotten words are encoded again
                         known[word] = engine.encode_ordinary(word.decode("utf-8", "surrogatepass"))
                     ids.append(known[word])
-                out.append((row["block"], row["check"], row["codes"], _pack(np.fromiter(map(len, ids), np.uint32, len(ids))), _pack(np.array([i for x in ids for i in x], np.uint32))))
+                out.append(
+                    (
+                        row["block"], row["check"], row["codes"],
+                        _pack(np.fromiter(map(len, ids), np.uint32, len(ids))),
+                        _pack(np.array([i for x in ids for i in x], np.uint32))
+                    )
+                )
             if out:
-                yield _batch(zip(*out), block=pa.int64(), check=pa.int64(), codes=pa.binary(), counts=pa.binary(), ids=pa.binary())
+                yield _batch(
+                    zip(*out), block=pa.int64(), check=pa.int64(), codes=pa.binary(), counts=pa.binary(),
+                    ids=pa.binary()
+                )
 
     def reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = [b""] * (max(shared.value.values(), default=-1) + 1)
@@ -226,11 +257,23 @@ def encode(
                 ends = np.cumsum(np.array(row["lengths"], np.int64))
                 yield words.batch(row["doc_ids"], np.split(codes, ends[:-1]))
 
-    dictionary = source.mapInArrow(dictionaries, "block bigint, check bigint, shard int, codes binary, lengths binary, words binary")
-    ids = dictionary.repartition("shard").sortWithinPartitions("shard").mapInArrow(encoded, "block bigint, check bigint, codes binary, counts binary, ids binary")
-    texts = source.mapInArrow(positions, "block bigint, check bigint, doc_ids array<bigint>, lengths array<int>, codes binary")
-    both = ids.select("block", F.lit(0).alias("kind"), "check", "codes", "counts", "ids", F.lit(None).cast("array<bigint>").alias("doc_ids"), F.lit(None).cast("array<int>").alias("lengths")).unionByName(
-        texts.select("block", F.lit(1).alias("kind"), "check", "codes", F.lit(None).cast("binary").alias("counts"), F.lit(None).cast("binary").alias("ids"), "doc_ids", "lengths")
+    dictionary = source.mapInArrow(
+        dictionaries, "block bigint, check bigint, shard int, codes binary, lengths binary, words binary"
+    )
+    ids = dictionary.repartition("shard").sortWithinPartitions("shard").mapInArrow(
+        encoded, "block bigint, check bigint, codes binary, counts binary, ids binary"
+    )
+    texts = source.mapInArrow(
+        positions, "block bigint, check bigint, doc_ids array<bigint>, lengths array<int>, codes binary"
+    )
+    both = ids.select(
+        "block", F.lit(0).alias("kind"), "check", "codes", "counts", "ids",
+        F.lit(None).cast("array<bigint>").alias("doc_ids"), F.lit(None).cast("array<int>").alias("lengths")
+    ).unionByName(
+        texts.select(
+            "block", F.lit(1).alias("kind"), "check", "codes", F.lit(None).cast("binary").alias("counts"),
+            F.lit(None).cast("binary").alias("ids"), "doc_ids", "lengths"
+        )
     )
     schema = "doc_id bigint, n_tokens bigint" + ", ids array<int>" * (output != "digest") + ", ids_sha256 string, decoded_sha256 string" * (output != "ids")
     return both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(reassembled, schema)
@@ -257,12 +300,19 @@ class _Words:
             self.decoded = [b"".join(raw[a:b]) for a, b in spans]
 
     def batch(self, doc_ids: list[int | None], docs: list[np.ndarray]) -> pa.RecordBatch:
-        columns = {"doc_id": pa.array(doc_ids, pa.int64()), "n_tokens": pa.array([int(self.counts[c].sum()) for c in docs], pa.int64())}
+        columns = {
+            "doc_id": pa.array(doc_ids, pa.int64()),
+            "n_tokens": pa.array([int(self.counts[c].sum()) for c in docs], pa.int64())
+        }
         if self.output != "digest":
             columns["ids"] = pa.array([self._ids(c) for c in docs], pa.list_(pa.int32()))
         if self.output != "ids":
-            columns["ids_sha256"] = pa.array([hashlib.sha256(b" ".join(map(self.decimal.__getitem__, c.tolist()))).hexdigest() for c in docs])
-            columns["decoded_sha256"] = pa.array([hashlib.sha256(b"".join(map(self.decoded.__getitem__, c.tolist()))).hexdigest() for c in docs])
+            columns["ids_sha256"] = pa.array(
+                [hashlib.sha256(b" ".join(map(self.decimal.__getitem__, c.tolist()))).hexdigest() for c in docs]
+            )
+            columns["decoded_sha256"] = pa.array(
+                [hashlib.sha256(b"".join(map(self.decoded.__getitem__, c.tolist()))).hexdigest() for c in docs]
+            )
         return pa.RecordBatch.from_pydict(columns)
 
     def _ids(self, codes: np.ndarray) -> np.ndarray:
@@ -279,7 +329,11 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int], doc_id: str = "doc_id", i
         table = {rank: token for token, rank in shared.value.items()}
         for batch in batches:
             found = [b"".join(map(table.__getitem__, x or ())) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "bytes"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "bytes"]
+            )
 
-    return plain(tokens, doc_id=F.col(doc_id).cast("bigint"), ids=F.col(ids)).mapInArrow(run, "doc_id bigint, bytes binary")
+    return plain(
+        tokens, doc_id=F.col(doc_id).cast("bigint"), ids=F.col(ids)
+    ).mapInArrow(run, "doc_id bigint, bytes binary")
 

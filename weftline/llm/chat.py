@@ -21,7 +21,10 @@ from pyspark.sql import functions as F
 TURN, END = "<|turn|>", "<|end|>"
 ESCAPE = "\u241b"
 #: Strings that this or another template gives a meaning (fixed values).
-CONTROL = ("<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<bos>", "<eos>", "<pad>", "<unk>", "<start_of_turn>", "<end_of_turn>")
+CONTROL = (
+    "<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<bos>", "<eos>", "<pad>", "<unk>",
+    "<start_of_turn>", "<end_of_turn>"
+)
 
 
 def _quoted(text: str) -> str:
@@ -58,17 +61,35 @@ def folded(events: DataFrame) -> DataFrame:
     and roles are empty, null conversations are one conversation, events of other kinds or
     with a null kind, seq or message have no effect.
     """
-    known = events.select("conv_id", "seq", "kind", "message", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    known = known.where(F.col("kind").isin("message", "edit", "delta", "regenerate") & F.col("seq").isNotNull() & F.col("message").isNotNull())
-    order = F.struct("seq", F.array_position(F.array(*map(F.lit, ("message", "edit", "delta", "regenerate"))), F.col("kind")).alias("k"), "text", "role")
+    known = events.select(
+        "conv_id", "seq", "kind", "message", F.coalesce("role", F.lit("")).alias("role"),
+        F.coalesce("text", F.lit("")).alias("text")
+    )
+    known = known.where(
+        F.col("kind").isin(
+            "message", "edit", "delta", "regenerate"
+        ) & F.col("seq").isNotNull() & F.col("message").isNotNull()
+    )
+    order = F.struct(
+        "seq",
+        F.array_position(F.array(*map(F.lit, ("message", "edit", "delta", "regenerate"))), F.col("kind")).alias("k"),
+        "text", "role"
+    )
     later = Window.partitionBy("conv_id").orderBy(F.col("at").desc()).rowsBetween(Window.unboundedPreceding, -1)
     taken_back = F.min(F.when(F.col("kind") == "regenerate", F.col("message"))).over(later)
-    left = known.withColumn("at", order).withColumn("back", taken_back).where("kind <> 'regenerate' and (back is null or message < back)")
+    left = known.withColumn("at", order).withColumn("back", taken_back).where(
+        "kind <> 'regenerate' and (back is null or message < back)"
+    )
     own = Window.partitionBy("conv_id", "message")
     left = left.withColumn("base", F.max(F.when(F.col("kind") != "delta", F.col("at"))).over(own))
     last_role = F.max_by("role", F.when(F.col("kind") == "message", F.col("at")))
-    pieces = F.array_sort(F.collect_list(F.when(F.col("base").isNull() | (F.col("at") >= F.col("base")), F.struct("at", "text"))))
-    return left.groupBy("conv_id", "message").agg(F.coalesce(last_role, F.lit("")).alias("role"), F.array_join(F.transform(pieces, lambda p: p["text"]), "").alias("text"))
+    pieces = F.array_sort(
+        F.collect_list(F.when(F.col("base").isNull() | (F.col("at") >= F.col("base")), F.struct("at", "text")))
+    )
+    return left.groupBy("conv_id", "message").agg(
+        F.coalesce(last_role, F.lit("")).alias("role"),
+        F.array_join(F.transform(pieces, lambda p: p["text"]), "").alias("text")
+    )
 
 
 def rendered(messages: DataFrame) -> DataFrame:
@@ -85,7 +106,10 @@ def rendered(messages: DataFrame) -> DataFrame:
     placed = turn.withColumn("start", F.coalesce(F.sum(size).over(before), F.lit(0)) + F.length("head"))
     span = F.when(F.col("role") == "assistant", F.struct("start", F.length("body").cast("bigint").alias("length")))
     turns = F.array_sort(F.collect_list(F.struct("message", F.concat("head", "body", F.lit(END + "\n")).alias("text"))))
-    return placed.groupBy("conv_id").agg(F.array_join(F.transform(turns, lambda t: t["text"]), "").alias("formatted"), F.array_sort(F.collect_list(span)).alias("mask"))
+    return placed.groupBy("conv_id").agg(
+        F.array_join(F.transform(turns, lambda t: t["text"]), "").alias("formatted"),
+        F.array_sort(F.collect_list(span)).alias("mask")
+    )
 
 
 def read_back(formatted: Column) -> Column:
@@ -102,7 +126,12 @@ def read_back(formatted: Column) -> Column:
 
 def masked_text(formatted: Column, mask: Column) -> Column:
     """The text under the loss mask, unescaped."""
-    return F.array_join(F.transform(mask, lambda s: unescaped(F.substr(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
+    return F.array_join(
+        F.transform(
+            mask, lambda s: unescaped(F.substr(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))
+        ),
+        ""
+    )
 
 
 def _numbered_turns(rows: DataFrame, conv_id: str, turn: str, role: str, text: str) -> DataFrame:
@@ -116,13 +145,19 @@ def _numbered_turns(rows: DataFrame, conv_id: str, turn: str, role: str, text: s
     return rows.select("conv_id", F.row_number().over(order).cast("bigint").alias("message"), "role", "text")
 
 
-def turn_events(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+def turn_events(
+    rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
+) -> DataFrame:
     """A log of one message event for each row of a table of turns."""
     rows = _numbered_turns(rows, conv_id, turn, role, text)
-    return rows.select("conv_id", F.col("message").alias("seq"), F.lit("message").alias("kind"), "message", "role", "text")
+    return rows.select(
+        "conv_id", F.col("message").alias("seq"), F.lit("message").alias("kind"), "message", "role", "text"
+    )
 
 
-def streamed_events(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+def streamed_events(
+    rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
+) -> DataFrame:
     """A log as a chat service writes it, which folds back to the table of turns.
 
     Every text arrives as a message event with its first third and two deltas.  Every third
@@ -131,7 +166,10 @@ def streamed_events(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn
     """
     rows = _numbered_turns(rows, conv_id, turn, role, text)
     third = F.floor(F.length("text") / 3).cast("int")
-    parts = [F.substr("text", F.lit(1), third), F.substr("text", third + 1, third), F.substr("text", 2 * third + 1, F.length("text"))]
+    parts = [
+        F.substr("text", F.lit(1), third), F.substr("text", third + 1, third),
+        F.substr("text", 2 * third + 1, F.length("text"))
+    ]
     edited = F.col("message") % 3 == 1
     again = (F.col("role") == "assistant") & (F.col("message") % 2 == 0)
 

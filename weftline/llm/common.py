@@ -106,7 +106,9 @@ def join_hot(rows: DataFrame, facts: DataFrame, keys: list[str], spread: int = 1
     """
     counts = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
     total = rows.agg(F.count("*").alias("__all"))
-    hot = counts.join(F.broadcast(total), F.col("__n") * spread > F.col("__all")).select(*keys, F.lit(True).alias("__hot"))
+    hot = counts.join(
+        F.broadcast(total), F.col("__n") * spread > F.col("__all")
+    ).select(*keys, F.lit(True).alias("__hot"))
     hot = F.broadcast(checkpointed(hot))
     salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(spread)).cast("int")).otherwise(0)
     salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
@@ -115,7 +117,9 @@ def join_hot(rows: DataFrame, facts: DataFrame, keys: list[str], spread: int = 1
     return left.join(right, [*keys, "__salt"]).drop("__salt")
 
 
-def text_chunks(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def text_chunks(
+    batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of ``batch`` with the texts of ``column`` (null as empty), each of about ``max_bytes`` unless one text is longer."""
     sizes = batch.column(column)
     lengths = np.asarray(pc.fill_null(pc.binary_length(sizes), 0), dtype=np.int64)

@@ -24,7 +24,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+        out = joined.select(
+            F.col("v").alias("u"), F.col("m").alias("v")
+        ).union(least.select("u", F.col("m").alias("v")))
     return out.where("u <> v").distinct()
 
 
@@ -44,4 +46,6 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
             break
         seen = tuple(state)
         now = checkpointed(_star(_star(now, True), False))
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
+        now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    )

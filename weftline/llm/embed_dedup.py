@@ -49,7 +49,10 @@ def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
     largest = F.array_max(F.transform("v", F.abs))
     able = F.coalesce(F.col("label").isNotNull() & (F.size("v") > 0) & finite & (largest > 0), F.lit(False))
     # divided by the largest first: squares of any finite vector stay finite
-    rows = rows.select("vec_id", F.concat_ws(":", F.size("v"), "label").alias("label"), F.when(able, F.col("v")).alias("v"), F.when(able, largest).alias("m"))
+    rows = rows.select(
+        "vec_id", F.concat_ws(":", F.size("v"), "label").alias("label"), F.when(able, F.col("v")).alias("v"),
+        F.when(able, largest).alias("m")
+    )
     rows = rows.select("vec_id", "label", F.transform("v", lambda x: x / F.col("m")).alias("s"))
     norm = F.sqrt(F.aggregate("s", F.lit(0.0), lambda a, x: a + x * x))
     return rows.select("vec_id", "label", "s", norm.alias("norm")).select(
@@ -82,7 +85,9 @@ class _Window:
     def pairs(self, new: pa.RecordBatch) -> np.ndarray:
         rows = new if self.held is None else pa.Table.from_batches([self.held, new]).combine_chunks().to_batches()[0]
         first_new = rows.num_rows - new.num_rows
-        group = np.array([f"{p}:{x}" for p, x in zip(rows.column("pass").to_pylist(), rows.column("label").to_pylist())])
+        group = np.array(
+            [f"{p}:{x}" for p, x in zip(rows.column("pass").to_pylist(), rows.column("label").to_pylist())]
+        )
         nodes, found = np.asarray(rows.column("node")), [np.zeros((0, 2), np.int64)]
         starts = np.r_[0, np.flatnonzero(group[1:] != group[:-1]) + 1, len(group)]
         for d, end in zip(starts[:-1], starts[1:]):
@@ -150,7 +155,10 @@ def candidate_links(
                     part = part.filter(pc.greater(part.column("passes"), p))
 
     names = ["u", "v", "cut", "side", "pass", "label", "key", "node", "unit"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.int64(), pa.list_(pa.float64())]
+    kinds = [
+        pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.int64(),
+        pa.list_(pa.float64())
+    ]
 
     def linked(pairs: np.ndarray) -> pa.RecordBatch:
         rest = [pa.nulls(len(pairs), k) for k in kinds[2:]]
@@ -205,7 +213,9 @@ def candidate_links(
     schema = "u bigint, v bigint, cut int, side int, pass int, label string, key binary, node bigint, unit array<double>"
     found = checkpointed(ordered.mapInArrow(compared, schema))
     edges = found.where("cut is not null").select("cut", "side", *order, "unit")
-    edges = edges.repartition("cut").sortWithinPartitions("cut", "side", *order).mapInArrow(across, "u bigint, v bigint")
+    edges = edges.repartition("cut").sortWithinPartitions("cut", "side", *order).mapInArrow(
+        across, "u bigint, v bigint"
+    )
     return found.where("u is not null").select("u", "v").union(edges).distinct()
 
 
@@ -221,18 +231,30 @@ def count_links(members: DataFrame, threshold: float, block: int = 1024) -> Data
     norm = F.sqrt(F.aggregate("c", F.lit(0.0), lambda a, x: a + x * x))
     cosine = F.aggregate(F.zip_with("unit", "c", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x) / norm
     core = F.coalesce(cosine >= math.cos(math.acos(threshold) / 2 - 1e-9), F.lit(False))
-    placed = checkpointed(join_hot(members, centre, ["root"]).select("root", "node", "unit", "copies", core.alias("core")))
-    sums = [F.count("*").alias("n"), F.count_if("core").alias("n_core"), F.sum(F.when(F.col("core"), F.col("copies"))).alias("core_copies")]
+    placed = checkpointed(
+        join_hot(members, centre, ["root"]).select("root", "node", "unit", "copies", core.alias("core"))
+    )
+    sums = [
+        F.count("*").alias("n"), F.count_if("core").alias("n_core"),
+        F.sum(F.when(F.col("core"), F.col("copies"))).alias("core_copies")
+    ]
     sized = checkpointed(join_hot(placed, placed.groupBy("root").agg(*sums), ["root"]))
     near = sized.where("core").select("node", (F.col("core_copies") - 1).alias("n"))
     # the classes with members outside the core: those against all, block by block
     blocks = lambda n: F.ceil(n / block).cast("int")
-    mixed = sized.where("n_core < n").select("root", "node", "core", "unit", "copies", blocks(F.col("n")).alias("of"), blocks(F.col("n") - F.col("n_core")).alias("asking"))
+    mixed = sized.where("n_core < n").select(
+        "root", "node", "core", "unit", "copies", blocks(F.col("n")).alias("of"),
+        blocks(F.col("n") - F.col("n_core")).alias("asking")
+    )
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     number = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     columns = ["node", "core", "unit", "copies"]
-    sides = mixed.select("root", number("of").alias("block"), every("asking").alias("ask_block"), F.lit(1).alias("asks"), *columns).union(
-        mixed.where("not core").select("root", every("of").alias("block"), number("asking").alias("ask_block"), F.lit(0).alias("asks"), *columns)
+    sides = mixed.select(
+        "root", number("of").alias("block"), every("asking").alias("ask_block"), F.lit(1).alias("asks"), *columns
+    ).union(
+        mixed.where("not core").select(
+            "root", every("of").alias("block"), number("asking").alias("ask_block"), F.lit(0).alias("asks"), *columns
+        )
     )
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +286,9 @@ def count_links(members: DataFrame, threshold: float, block: int = 1024) -> Data
             yield counted(held)
 
     keys = ["root", "block", "ask_block"]
-    rest = sides.repartition(*keys).sortWithinPartitions(*keys, "asks", "node").mapInArrow(compared, "node bigint, n bigint")
+    rest = sides.repartition(*keys).sortWithinPartitions(*keys, "asks", "node").mapInArrow(
+        compared, "node bigint, n bigint"
+    )
     return near.union(rest).groupBy("node").agg(F.sum("n").alias("n_links"))
 
 
@@ -295,12 +319,16 @@ def near_duplicates(
     reps = able.groupBy("label", "unit").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
     # numbered on files, so that a task that runs again gives the same numbers
     reps = checkpointed(checkpointed(reps).withColumn("node", F.monotonically_increasing_id()))
-    links = candidate_links(with_passes(reps, threshold, recall, passes, window), threshold, window, bits, seed, partition_bytes)
+    links = candidate_links(
+        with_passes(reps, threshold, recall, passes, window), threshold, window, bits, seed, partition_bytes
+    )
     roots = checkpointed(connected_components(links))
     members = roots.join(reps, "node").select("root", "node", "unit", "copies", "least")
     counts = count_links(members.drop("least"), threshold)
     least = members.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = checkpointed(join_hot(members.select("root", "node"), least, ["root"]).select("node", "component_id").join(counts, "node"))
+    of = checkpointed(
+        join_hot(members.select("root", "node"), least, ["root"]).select("node", "component_id").join(counts, "node")
+    )
     answer = reps.join(of, "node", "left").select(
         "label", "unit", "copies", "least", F.coalesce("n_links", F.col("copies") - 1).alias("n_links"),
         F.when(F.col("n_links").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
@@ -309,5 +337,7 @@ def near_duplicates(
     single = answer.where("copies = 1").select(F.col("least").alias("vec_id"), "n_links", "component_id")
     repeated = answer.where("copies > 1").select("label", "unit", "n_links", "component_id")
     several = join_hot(able, repeated, ["label", "unit"]).select("vec_id", "n_links", "component_id")
-    apart = rows.where("unit is null").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
+    apart = rows.where("unit is null").select(
+        "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id")
+    )
     return single.union(several).union(apart).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -42,7 +42,9 @@ _MARKUP = re.compile(
     r"|</?[a-zA-Z][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)|<\Z",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(
+    r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I
+)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _PUNCTUATION = re.compile(r"[.,;:!?\u2026\u3002\uff0c\uff01\uff1f\u060c]")
 
@@ -55,10 +57,15 @@ BLOCKS = frozenset(
 )
 ENDS_P = BLOCKS - frozenset("html head body tbody td tfoot th thead tr caption".split())
 #: A start tag of the key ends an open element of the value, up to an element of the scope.
-ENDS = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr", "table"), "td": ("td th", "tr"), "th": ("td th", "tr"), "body": ("head", "html")}
+ENDS = {
+    "li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr", "table"),
+    "td": ("td th", "tr"), "th": ("td th", "tr"), "body": ("head", "html")
+}
 CONTENT = frozenset("article main".split())
 ASIDE_TAGS = frozenset("nav footer aside form menu search fieldset".split())
-ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
+ASIDE_ROLES = frozenset(
+    "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split()
+)
 ASIDE_TOKENS = frozenset(
     "ad ads advert adverts advertisement adsense banner sponsor sponsored promo promotion nav navbar navigation menu footer sidebar breadcrumb breadcrumbs comment comments disqus respond replies share sharing social cookie cookies consent gdpr notice notices alert popup modal newsletter subscribe subscription related recommended recommendations widget pagination pager login signup toolbar skip".split()
 )

@@ -95,7 +95,9 @@ class Model:
         return np.array(names, object)[best], won[np.arange(len(sure)), best] / (len(names) - 1)
 
 
-def _svm(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: float = 1.0, epochs: int = 12, seed: int = 3) -> tuple[np.ndarray, float]:
+def _svm(
+    rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: float = 1.0, epochs: int = 12, seed: int = 3
+) -> tuple[np.ndarray, float]:
     """Linear support vector machine with hinge loss by dual coordinate descent; classes weigh the same."""
     w, b = np.zeros(BUCKETS), 0.0
     alpha = np.zeros(len(rows))
@@ -131,7 +133,9 @@ def fit(texts: list[str], langs: list[str], max_pairs: int = 1000) -> Model:
         labels.append(lang)
     known = sorted(set(labels))
     families = sorted({family(x) for x in known})
-    pairs = [*combinations(families, 2)] + [p for f in families for p in combinations([x for x in known if family(x) == f], 2)]
+    pairs = [*combinations(families, 2)] + [
+        p for f in families for p in combinations([x for x in known if family(x) == f], 2)
+    ]
     if len(pairs) > max_pairs:
         raise ValueError(f"{len(pairs)} pairs of languages or families, more than {max_pairs}")
     weights, bias = np.zeros((BUCKETS, len(pairs)), np.float32), np.zeros(len(pairs))
@@ -142,7 +146,9 @@ def fit(texts: list[str], langs: list[str], max_pairs: int = 1000) -> Model:
     return Model(known, pairs, weights, bias)
 
 
-def train(docs: DataFrame, per_lang: int = 400, training=None, max_chars: int = 100_000, max_pairs: int = 1000) -> Model:
+def train(
+    docs: DataFrame, per_lang: int = 400, training=None, max_chars: int = 100_000, max_pairs: int = 1000
+) -> Model:
     """Fit on at most ``per_lang`` documents of each non-null language, of at most ``max_chars`` characters each.
 
     ``training`` is a condition on doc_id.  Null ids take no part, longer texts only in
@@ -151,7 +157,9 @@ def train(docs: DataFrame, per_lang: int = 400, training=None, max_chars: int =
     language.
     """
     rows = plain(docs, doc_id=F.col("doc_id").cast("bigint"), text=F.col("text"), lang=F.col("lang").cast("string"))
-    rows = rows.where("text is not null and lang is not null and doc_id is not null").where(F.length("text") <= max_chars)
+    rows = rows.where(
+        "text is not null and lang is not null and doc_id is not null"
+    ).where(F.length("text") <= max_chars)
     if training is not None:
         rows = rows.where(training)
     sample = bounded_sample(rows, "lang", per_lang, "doc_id", "text").collect()
@@ -176,6 +184,11 @@ def predict_documents(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for part, texts in text_chunks(batch, "text", 2 << 20):
                 lang, score = shared.value.predict(texts)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
-
-    return plain(docs, doc_id=F.col("doc_id").cast("bigint"), text=F.col("text")).mapInArrow(run, "doc_id bigint, lang_pred string, score double")
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(lang, pa.string()), pa.array(score)],
+                    ["doc_id", "lang_pred", "score"]
+                )
+
+    return plain(
+        docs, doc_id=F.col("doc_id").cast("bigint"), text=F.col("text")
+    ).mapInArrow(run, "doc_id bigint, lang_pred string, score double")

@@ -74,15 +74,31 @@ def permuted_digits(digits: Column, tweak: Column, key: str) -> Column:
         v = n - u
         left = F.coalesce(F.nullif(F.substr(d, F.lit(1), u), F.lit("")), F.lit("0"))
         right = F.coalesce(F.nullif(F.substr(d, u + 1, v), F.lit("")), F.lit("0"))
-        out = feistel(_power(POWERS_10, u), _power(POWERS_10, v), left, right, F.concat(tweak, F.lit(":"), n.cast("string")), key)
-        return let(out, lambda s: F.concat(F.when(u > 0, F.lpad(s["left"].cast("string"), u, F.lit("0"))).otherwise(F.lit("")), F.when(v > 0, F.lpad(s["right"].cast("string"), v, F.lit("0"))).otherwise(F.lit(""))))
+        out = feistel(
+            _power(POWERS_10, u), _power(POWERS_10, v), left, right, F.concat(tweak, F.lit(":"), n.cast("string")), key
+        )
+        return let(
+            out,
+            lambda s: F.concat(
+                F.when(u > 0, F.lpad(s["left"].cast("string"), u, F.lit("0"))).otherwise(F.lit("")),
+                F.when(v > 0, F.lpad(s["right"].cast("string"), v, F.lit("0"))).otherwise(F.lit(""))
+            )
+        )
 
     return let(digits, body)
 
 
 def _letters(number: Column, n: Column) -> Column:
     places = F.when(n > 0, F.sequence(n - 1, F.lit(0), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-    return F.array_join(F.transform(places, lambda k: F.substr(F.lit("abcdefghijklmnopqrstuvwxyz"), (_div(number, _power(POWERS_26, k)) % 26 + 1).cast("int"), F.lit(1))), "")
+    return F.array_join(
+        F.transform(
+            places,
+            lambda k: F.substr(
+                F.lit("abcdefghijklmnopqrstuvwxyz"), (_div(number, _power(POWERS_26, k)) % 26 + 1).cast("int"), F.lit(1)
+            )
+        ),
+        ""
+    )
 
 
 def _div(x: Column, y: Column) -> Column:
@@ -103,7 +119,11 @@ def permuted_letters(letters: Column, tweak: Column, key: str) -> Column:
             n = F.length(d)
             u = F.floor(n / 2).cast("int")
             v = n - u
-            out = feistel(_power(POWERS_26, u), _power(POWERS_26, v), _number(F.substr(d, F.lit(1), u)), _number(F.substr(d, u + 1, v)), F.concat(tweak, F.lit(":a"), nth.cast("string"), F.lit(":"), n.cast("string")), key)
+            out = feistel(
+                _power(POWERS_26, u), _power(POWERS_26, v), _number(F.substr(d, F.lit(1), u)),
+                _number(F.substr(d, u + 1, v)),
+                F.concat(tweak, F.lit(":a"), nth.cast("string"), F.lit(":"), n.cast("string")), key
+            )
             return let(out, lambda s: F.concat(_letters(s["left"], u), _letters(s["right"], v)))
 
         return let(x, body)
@@ -121,7 +141,9 @@ def filled(form: Column, digits: Column, letters: Column | None = None) -> Colum
         new_letter = F.substr(letters, s["l"] + 1, F.lit(1)) if letters is not None else c
         cased = F.when(c.rlike("^[A-Z]$"), F.upper(new_letter)).otherwise(new_letter)
         return F.struct(
-            F.concat(s["out"], F.when(digit, F.substr(digits, s["d"] + 1, F.lit(1))).when(letter, cased).otherwise(c)).alias("out"),
+            F.concat(
+                s["out"], F.when(digit, F.substr(digits, s["d"] + 1, F.lit(1))).when(letter, cased).otherwise(c)
+            ).alias("out"),
             (s["d"] + digit.cast("int")).alias("d"),
             (s["l"] + letter.cast("int")).alias("l"),
         )
@@ -136,7 +158,12 @@ def _digits(x: Column) -> Column:
 
 def luhn_sum(digits: Column, first: int) -> Column:
     """The Luhn sum; from the right, digits at odd places (``first`` 0) or even places (1) are doubled."""
-    values = F.transform(F.regexp_extract_all(F.reverse(digits), F.lit("[0-9]"), F.lit(0)), lambda c, i: let(c.cast("int"), lambda x: F.when((i + first) % 2 == 1, x * 2 - F.when(x > 4, 9).otherwise(0)).otherwise(x)))
+    values = F.transform(
+        F.regexp_extract_all(F.reverse(digits), F.lit("[0-9]"), F.lit(0)),
+        lambda c, i: let(
+            c.cast("int"), lambda x: F.when((i + first) % 2 == 1, x * 2 - F.when(x > 4, 9).otherwise(0)).otherwise(x)
+        )
+    )
     return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
 
@@ -151,7 +178,13 @@ def _email(x: Column, key: str) -> Column:
     local, domain = F.substring_index(x, "@", 1), F.substring_index(x, "@", -1)
     tweak = F.concat(F.lit("email:"), F.lower(domain))
     letters = F.regexp_replace(F.lower(local), "[^a-z]", "")
-    pseudonym = let(F.struct(permuted_digits(F.substring(_digits(local), 1, 36), tweak, key).alias("d"), permuted_letters(letters, tweak, key).alias("l")), lambda p: filled(local, F.concat(p["d"], F.substr(_digits(local), F.lit(37), F.lit(64))), p["l"]))
+    pseudonym = let(
+        F.struct(
+            permuted_digits(F.substring(_digits(local), 1, 36), tweak, key).alias("d"),
+            permuted_letters(letters, tweak, key).alias("l")
+        ),
+        lambda p: filled(local, F.concat(p["d"], F.substr(_digits(local), F.lit(37), F.lit(64))), p["l"])
+    )
     return F.concat(pseudonym, F.lit("@"), domain)
 
 
@@ -159,9 +192,13 @@ def _iban(x: Column, key: str) -> Column:
     def body(plain: Column) -> Column:
         country, account = F.substring(plain, 1, 2), F.substr(plain, F.lit(5), F.lit(40))
         new = filled(account, permuted_digits(_digits(account), F.concat(F.lit("iban:"), country), key))
-        whole = let(new, lambda a: F.concat(F.lpad((98 - _mod_97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0"), a))
+        whole = let(
+            new, lambda a: F.concat(F.lpad((98 - _mod_97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0"), a)
+        )
         # the letters of the form stay: country and bank
-        return F.when(_mod_97(F.concat(account, F.substring(plain, 1, 4))) == 1, filled(x, let(whole, _digits))).otherwise(x)
+        return F.when(
+            _mod_97(F.concat(account, F.substring(plain, 1, 4))) == 1, filled(x, let(whole, _digits))
+        ).otherwise(x)
 
     return let(F.replace(x, F.lit(" ")), body)
 
@@ -169,8 +206,17 @@ def _iban(x: Column, key: str) -> Column:
 def _ip(x: Column, key: str) -> Column:
     def body(p: Column) -> Column:
         octet = [p[i].cast("bigint") for i in range(4)]
-        out = feistel(F.lit(1 << 16).cast("bigint"), F.lit(1 << 16).cast("bigint"), octet[0] * 256 + octet[1], octet[2] * 256 + octet[3], F.lit("ip"), key)
-        return let(out, lambda s: F.concat_ws(".", *[y.cast("string") for half in ("left", "right") for y in (F.shiftright(s[half], 8), s[half] % 256)]))
+        out = feistel(
+            F.lit(1 << 16).cast("bigint"), F.lit(1 << 16).cast("bigint"), octet[0] * 256 + octet[1],
+            octet[2] * 256 + octet[3], F.lit("ip"), key
+        )
+        return let(
+            out,
+            lambda s: F.concat_ws(
+                ".",
+                *[y.cast("string") for half in ("left", "right") for y in (F.shiftright(s[half], 8), s[half] % 256)]
+            )
+        )
 
     return let(F.split(x, r"\."), body)
 
@@ -182,7 +228,9 @@ def _date(x: Column, key: str) -> Column:
     def body(p: Column) -> Column:
         two = lambda c: F.lpad(c, 2, "0")
         first, second = two(p[0]), two(p[1])
-        as_date = lambda y, m, d: F.try_to_timestamp(F.concat_ws("-", y, m, d), F.lit("yyyy-MM-dd")).cast("date")
+        as_date = lambda y, m, d: F.try_to_timestamp(
+            F.concat_ws("-", y, m, d), F.lit("yyyy-MM-dd")
+        ).cast("date")
         day_first = as_date(p[2], second, first)
         date = F.when(iso, as_date(p[0], p[1], p[2])).otherwise(F.coalesce(day_first, as_date(p[2], first, second)))
         number = F.datediff(date, F.lit(EPOCH).cast("date")).cast("bigint")
@@ -192,9 +240,14 @@ def _date(x: Column, key: str) -> Column:
             bare = lambda c, form: F.when(F.length(form) == 1, F.regexp_replace(c, "^0", "")).otherwise(c)
             mark = F.regexp_extract(x, "([/.])", 1)
             a, b = F.when(day_first.isNotNull(), dd).otherwise(mm), F.when(day_first.isNotNull(), mm).otherwise(dd)
-            return F.when(iso, F.concat_ws("-", yyyy, mm, dd)).otherwise(F.concat(bare(a, p[0]), mark, bare(b, p[1]), mark, yyyy))
+            return F.when(iso, F.concat_ws("-", yyyy, mm, dd)).otherwise(
+                F.concat(bare(a, p[0]), mark, bare(b, p[1]), mark, yyyy)
+            )
 
-        out = feistel(F.lit(DAYS[0]).cast("bigint"), F.lit(DAYS[1]).cast("bigint"), _div(number, F.lit(DAYS[1]).cast("bigint")), number % DAYS[1], F.lit("date"), key)
+        out = feistel(
+            F.lit(DAYS[0]).cast("bigint"), F.lit(DAYS[1]).cast("bigint"), _div(number, F.lit(DAYS[1]).cast("bigint")),
+            number % DAYS[1], F.lit("date"), key
+        )
         new = let(out, lambda s: F.date_add(F.lit(EPOCH).cast("date"), (s["left"] * DAYS[1] + s["right"]).cast("int")))
         return F.when(number.between(0, DAYS[0] * DAYS[1] - 1), let(new, written)).otherwise(x)
 
@@ -206,8 +259,18 @@ def _ssn(x: Column, key: str) -> Column:
         area, group, serial = (p[i].cast("bigint") for i in range(3))
         valid = ~area.isin(0, 666) & (area < 900) & (group > 0) & (serial > 0)
         index = area - 1 - (area > 666).cast("bigint")
-        out = feistel(F.lit(898).cast("bigint"), F.lit(99 * 9999).cast("bigint"), index, (group - 1) * 9999 + serial - 1, F.lit("ssn"), key)
-        new = let(out, lambda s: F.concat_ws("-", F.lpad((s["left"] + 1 + (s["left"] >= 665).cast("bigint")).cast("string"), 3, "0"), F.lpad((_div(s["right"], F.lit(9999).cast("bigint")) + 1).cast("string"), 2, "0"), F.lpad((s["right"] % 9999 + 1).cast("string"), 4, "0")))
+        out = feistel(
+            F.lit(898).cast("bigint"), F.lit(99 * 9999).cast("bigint"), index, (group - 1) * 9999 + serial - 1,
+            F.lit("ssn"), key
+        )
+        new = let(
+            out,
+            lambda s: F.concat_ws(
+                "-", F.lpad((s["left"] + 1 + (s["left"] >= 665).cast("bigint")).cast("string"), 3, "0"),
+                F.lpad((_div(s["right"], F.lit(9999).cast("bigint")) + 1).cast("string"), 2, "0"),
+                F.lpad((s["right"] % 9999 + 1).cast("string"), 4, "0")
+            )
+        )
         return F.when(valid, new).otherwise(x)
 
     return let(F.split(x, "-"), body)
@@ -228,11 +291,17 @@ CALLING_CODES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 
 def _phone(x: Column, key: str) -> Column:
     # the country code stays, found by its digits so that punctuation makes no difference
-    code = F.coalesce(F.nullif(F.regexp_extract(x, rf"^(\+(?:{CALLING_CODES}|\d{{3}}))", 1), F.lit("")), F.regexp_extract(x, r"^(1[ .-])", 1))
+    code = F.coalesce(
+        F.nullif(F.regexp_extract(x, rf"^(\+(?:{CALLING_CODES}|\d{{3}}))", 1), F.lit("")),
+        F.regexp_extract(x, r"^(1[ .-])", 1)
+    )
 
     def body(rest: Column) -> Column:
         n = F.length(_digits(rest))
-        return F.when((n >= 7) & (n <= 15), F.concat(code, filled(rest, let(permuted_digits(_digits(rest), F.lit("phone"), key), lambda d: d)))).otherwise(x)
+        return F.when(
+            (n >= 7) & (n <= 15),
+            F.concat(code, filled(rest, let(permuted_digits(_digits(rest), F.lit("phone"), key), lambda d: d)))
+        ).otherwise(x)
 
     return let(F.substr(x, F.length(code) + 1, F.length(x)), body)
 
@@ -250,9 +319,24 @@ def pseudonym(hit: Column, key: str) -> Column:
 def _searched(text: Column, key: str) -> Column:
     """struct<text, n> of the new text and the number of values replaced; null where there is nothing to search."""
     search = F.lit(rf"(?s)(.*?)(?:({'|'.join(PATTERNS.values())})|\z)")
-    pieces = F.arrays_zip(F.regexp_extract_all(text, search, F.lit(1)).alias("gap"), F.regexp_extract_all(text, search, F.lit(2)).alias("hit"))
-    changed = F.transform(pieces, lambda p: F.struct(p["gap"].alias("gap"), p["hit"].alias("hit"), F.when(p["hit"] == "", "").otherwise(pseudonym(p["hit"], key)).alias("new")))
-    done = let(changed, lambda c: F.struct(F.array_join(F.transform(c, lambda p: F.concat(p["gap"], p["new"])), "").alias("text"), F.size(F.filter(c, lambda p: p["hit"] != p["new"])).alias("n")))
+    pieces = F.arrays_zip(
+        F.regexp_extract_all(text, search, F.lit(1)).alias("gap"),
+        F.regexp_extract_all(text, search, F.lit(2)).alias("hit")
+    )
+    changed = F.transform(
+        pieces,
+        lambda p: F.struct(
+            p["gap"].alias("gap"), p["hit"].alias("hit"),
+            F.when(p["hit"] == "", "").otherwise(pseudonym(p["hit"], key)).alias("new")
+        )
+    )
+    done = let(
+        changed,
+        lambda c: F.struct(
+            F.array_join(F.transform(c, lambda p: F.concat(p["gap"], p["new"])), "").alias("text"),
+            F.size(F.filter(c, lambda p: p["hit"] != p["new"])).alias("n")
+        )
+    )
     return F.when(text.rlike(r"[0-9]{2}|@|[0-9][./-][0-9]"), done)
 
 
@@ -270,5 +354,10 @@ def pseudonymised(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str =
     names of months or two-digit years or outside the years 1800 to 2199, IPv6 addresses,
     phone numbers without + or separators and the domains of e-mail addresses stay.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), _searched(F.col(text), key).alias("done"))
-    return rows.select("doc_id", F.coalesce("done.text", "text").alias("text"), F.coalesce("done.n", F.lit(0)).cast("bigint").alias("n_values"))
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), _searched(F.col(text), key).alias("done")
+    )
+    return rows.select(
+        "doc_id", F.coalesce("done.text", "text").alias("text"),
+        F.coalesce("done.n", F.lit(0)).cast("bigint").alias("n_values")
+    )

@@ -70,7 +70,9 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversations as a log of messages, deltas, edits and regenerations, folded, rendered and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = f"'{CONTROL_TEXT}'"
-    extra = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', {said}), (-7L, 1L, 'assistant', {said}) AS t(conv_id, turn, role, text)")
+    extra = spark.sql(
+        f"SELECT * FROM VALUES (-7L, 0L, 'user', {said}), (-7L, 1L, 'assistant', {said}) AS t(conv_id, turn, role, text)"
+    )
     done = chat.format_log(chat.streamed_events(rows.unionByName(extra)))
     loss = chat.masked_text(F.col("formatted"), F.col("mask"))
     done = done.select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"), loss.alias("loss"))

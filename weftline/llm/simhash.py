@@ -63,7 +63,9 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 found = np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found)], ["doc_id", "fp"])
 
-    return plain(docs, doc_id=F.col(doc_id).cast("bigint"), text=F.col(text)).mapInArrow(run, "doc_id bigint, fp bigint")
+    return plain(
+        docs, doc_id=F.col(doc_id).cast("bigint"), text=F.col(text)
+    ).mapInArrow(run, "doc_id bigint, fp bigint")
 
 
 def with_fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -126,7 +128,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         held: list[np.ndarray] = []  # the list that may go on in the next batch: n, bytes, fp as columns
         for batch in batches:
             rows = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("n", "bytes", "fp")], axis=1)
-            if held and len(rows) and (rows[-1, :2] == held[-1][-1, :2]).all() and (rows[0, :2] == held[-1][-1, :2]).all():
+            if held and len(rows) and (
+                rows[-1, :2] == held[-1][-1, :2]
+            ).all() and (rows[0, :2] == held[-1][-1, :2]).all():
                 held.append(rows)  # all of one list: joined only when it ends
                 continue
             rows = np.concatenate([*held, rows])
@@ -139,14 +143,18 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             rows = np.concatenate(held)
             yield linked(np.ascontiguousarray(rows[:, 2]), np.array([0, len(rows)]))
 
-    return posted.repartition("n", "bytes").sortWithinPartitions("n", "bytes", "fp").mapInArrow(run, "u bigint, v bigint")
+    return posted.repartition("n", "bytes").sortWithinPartitions("n", "bytes", "fp").mapInArrow(
+        run, "u bigint, v bigint"
+    )
 
 
 def classes(of: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """``(fp, root, component_id)`` of every distinct fingerprint of ``(doc_id, fp)``: root is the least fingerprint of its component, component_id the least doc_id, null if there is none."""
     distinct = of.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = connected_components(links(distinct.select("fp"), max_bits))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return rooted.join(least, "root").select("fp", "root", "component_id")
 
@@ -160,4 +168,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ids alone has a null component_id.  An empty table gives an empty result.
     """
     of = checkpointed(fingerprints(docs, doc_id, text))
-    return of.join(classes(of, max_bits).select("fp", "component_id"), "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return of.join(classes(of, max_bits).select("fp", "component_id"), "fp").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )

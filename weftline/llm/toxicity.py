@@ -70,7 +70,9 @@ class Model:
         """The logit of every passage (half-overlapping), and the number of passages of each text (1 at least)."""
         words, codes, lengths = word_codes(texts)
         logits = self.word_logits(words)[codes] if len(codes) else np.zeros(0)
-        return _passage_means(logits, lengths, self.settings.passage) + self.bias, _passage_counts(lengths, self.settings.passage)
+        return _passage_means(
+            logits, lengths, self.settings.passage
+        ) + self.bias, _passage_counts(lengths, self.settings.passage)
 
     def score(self, texts: list[str]) -> np.ndarray:
         logits, counts = self.passages(texts)
@@ -108,7 +110,9 @@ def _passage_means(values: np.ndarray, lengths: np.ndarray, size: int) -> np.nda
 
 def _evidence(words: list[str], codes: np.ndarray, lengths: np.ndarray, y: np.ndarray, s: Settings) -> np.ndarray:
     """For every n-gram bucket, the part of its log odds beyond ``surety`` standard errors (0 within)."""
-    grams = [(bucket, np.bincount(owner, minlength=len(words))) for owner, bucket in word_ngrams(words, SIZES, s.buckets)]
+    grams = [
+        (bucket, np.bincount(owner, minlength=len(words))) for owner, bucket in word_ngrams(words, SIZES, s.buckets)
+    ]
     starts = [np.cumsum(n) - n for _, n in grams]
     with_1, with_0 = np.full(s.buckets, 0.5), np.full(s.buckets, 0.5)
     size, base = 128, np.cumsum(lengths) - lengths
@@ -250,14 +254,18 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), t
     texts = plain(docs, doc_id=F.col("doc_id").cast("bigint"), text=F.coalesce(F.col("text"), F.lit("")))
     texts = texts.where(F.length("text") <= settings.max_chars)
     # of the drawn labels at most ``per_label`` rows of either, however many rows an id has
-    rows = bounded_sample(texts.join(F.broadcast(drawn), "doc_id"), "toxic", settings.per_label, "doc_id", "text").collect()
+    rows = bounded_sample(
+        texts.join(F.broadcast(drawn), "doc_id"), "toxic", settings.per_label, "doc_id", "text"
+    ).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["text"]))
     return fit([r["text"] for r in rows], [r["toxic"] for r in rows], settings)
 
 
 def score_documents(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """``(doc_id, score, predicted)`` of every row; null and empty texts are scored like a passage without words."""
-    return with_scores(plain(docs, doc_id=F.col("doc_id").cast("bigint"), text=F.col("text")), model, threshold).drop("text")
+    return with_scores(
+        plain(docs, doc_id=F.col("doc_id").cast("bigint"), text=F.col("text")), model, threshold
+    ).drop("text")
 
 
 def with_scores(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
@@ -268,9 +276,14 @@ def with_scores(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFr
         for batch in batches:
             for part, texts in text_chunks(batch, "text", 2 << 20):
                 score = shared.value.score(texts)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*part.schema.names, "score", "predicted"])
-
-    added = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))],
+                    [*part.schema.names, "score", "predicted"]
+                )
+
+    added = T.StructType(
+        [*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    )
     return docs.mapInArrow(run, added)
 
 
