@@ -653,3 +653,20 @@ def test_slices_use_one_exchange(spark):
     for df in (passes.slice_training(t).events, lowering.lower(t, "openai-tools").messages):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning(rid") <= 2
+
+
+def test_schema_goes_all_the_way_down():
+    schema = pipeline.json_schema()["properties"]
+    verifier = schema["outcome"]["properties"]["verifier"]["properties"]
+    assert verifier["passed"]["type"] == ["boolean", "null"] and verifier["score"]["type"] == ["number", "null"]
+    event = schema["events"]["items"]["properties"]
+    assert event["content"]["items"]["properties"]["text"]["type"] == ["string", "null"]
+    assert event["metadata"]["additionalProperties"]["type"] == ["string", "null"]
+
+
+def test_writers_count(spark, tmp_path):
+    df = spark.range(10)
+    assert files.write_rows(df, str(tmp_path / "a.jsonl")) == 10
+    assert files.write_rows(df, str(tmp_path / "a.parquet"), row_group_bytes=1 << 20) == 10
+    assert files.write_rows(df.limit(0), str(tmp_path / "b.parquet")) == 0
+    assert spark.read.parquet(str(tmp_path / "b.parquet")).count() == 0

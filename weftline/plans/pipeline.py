@@ -166,17 +166,44 @@ def diagnostic_lines(t: Trajectories) -> DataFrame:
     )
 
 
+def _parts(inner: str) -> list[str]:
+    """The members of ``struct<...>`` or ``map<...>``: what stands between commas outside of brackets."""
+    out, depth = [""], 0
+    for c in inner:
+        depth += (c == "<") - (c == ">")
+        if c == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return out
+
+
+def _type_schema(kind: str) -> dict:
+    """JSON Schema of a column type, all the way down; every value can be null."""
+    outer, _, inner = kind.partition("<")
+    inner = inner.removesuffix(">")
+    if outer == "struct":
+        fields = [f.partition(":") for f in _parts(inner)]
+        return {"type": ["object", "null"], "properties": {n: _type_schema(t) for n, _, t in fields}}
+    if outer == "array":
+        return {"type": ["array", "null"], "items": _type_schema(inner)}
+    if outer == "map":
+        return {"type": ["object", "null"], "additionalProperties": _type_schema(_parts(inner)[1])}
+    kinds = {"bigint": "integer", "int": "integer", "double": "number", "boolean": "boolean"}
+    return {"type": [kinds.get(kind, "string"), "null"]}
+
+
 def json_schema() -> dict:
-    """A JSON Schema of the record, from the column types."""
-    kinds = {"bigint": "integer", "int": "integer", "double": "number", "boolean": "boolean", "string": "string"}
-    kind = lambda t: kinds.get(t, "array" if t.startswith("array") else "object")
-    event = {"type": "object", "properties": {n: {"type": [kind(t), "null"]} for n, t in EVENT_FIELDS.items()}}
-    event["properties"]["event_type"] = {"enum": list(ENUMS["event_type"])}
-    fields = {n: {"type": [kind(t), "null"]} for n, t in RECORD_FIELDS.items()}
-    return {
-        "$schema": "https://json-schema.org/draft/2020-12/schema", "title": "trajectory record", "version": IR_VERSION,
-        "type": "object", "properties": fields | {"events": {"type": "array", "items": event}}, "codes": sorted(CODES)
-    }
+    """A JSON Schema of the record, from the column types and the closed value sets."""
+    types = lambda fields: {n: _type_schema(kind) for n, kind in fields.items()}
+    event, record = types(EVENT_FIELDS), types(RECORD_FIELDS)
+    event["event_type"] = {"enum": list(ENUMS["event_type"])}
+    event["role"] = {"enum": list(ENUMS["role"])}
+    record["level"] = {"enum": list(ENUMS["level"])}
+    record["outcome"]["properties"]["status"] = {"enum": [*ENUMS["status"], None]}
+    record["events"] = {"type": "array", "items": {"type": "object", "properties": event}}
+    head = {"$schema": "https://json-schema.org/draft/2020-12/schema", "title": "trajectory record", "version": IR_VERSION}
+    return {**head, "type": "object", "properties": record, "codes": sorted(CODES)}
 
 
 def throughput(df: DataFrame, frontend: str) -> dict[str, float]:

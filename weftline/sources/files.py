@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import text as X
@@ -99,16 +99,23 @@ def file_format(path: str, explicit: str | None = None) -> str:
 
 
 def write_rows(
-    df: DataFrame, path: str, explicit: str | None = None, append: bool = False, keep_nulls: bool = False
-) -> None:
-    """Rows as JSON lines or Parquet.  Keys with null are left out of JSON unless ``keep_nulls``."""
+    df: DataFrame, path: str, explicit: str | None = None, append: bool = False, keep_nulls: bool = False, row_group_bytes: int | None = None
+) -> int:
+    """Rows as JSON lines or Parquet; how many, counted on the way.
+
+    Keys with null are left out of JSON unless ``keep_nulls``.  An empty table gives a file of
+    no rows.  ``row_group_bytes`` is for Parquet.
+    """
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
     writer_mode = "append" if append else "overwrite"
     if file_format(path, explicit) == "parquet":
-        df.write.mode(writer_mode).parquet(path)
+        writer = counted.write.mode(writer_mode)
+        (writer.option("parquet.block.size", row_group_bytes) if row_group_bytes else writer).parquet(path)
     else:
-        df.select(
-            F.to_json(F.struct("*"), {"ignoreNullFields": str(not keep_nulls).lower()}).alias("value")
-        ).write.mode(writer_mode).text(path)
+        options = {"ignoreNullFields": str(not keep_nulls).lower()}
+        counted.select(F.to_json(F.struct("*"), options).alias("value")).write.mode(writer_mode).text(path)
+    return seen.get["n"]
 
 
 def quarantine_summary(side: DataFrame) -> DataFrame:
