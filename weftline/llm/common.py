@@ -60,25 +60,38 @@ def shared_folder(spark: SparkSession) -> str:
 def drawn_rows(df: DataFrame, label: str, per_label: int, *identity: str, max_labels: int = 1000) -> DataFrame:
     """At least ``per_label`` rows of each non-null ``label`` (all of one that has no more), with their ``__ticket``.
 
-    Tickets are a hash of the ``identity`` columns, so reruns draw the same rows.  Counts by
-    label and bucket of the tickets tell up to which bucket rows are wanted; rows stay in their
-    partitions.  What comes above ``per_label`` is one bucket's share of the rows and rows
-    equal in their identity.  More than ``max_labels`` labels are an error.
+    Tickets are a hash of the ``identity`` columns, so reruns draw the same rows; a label's count
+    says up to which ticket rows are wanted.  Where rows that are equal in their identity, and so
+    share a ticket, leave a label short, its share grows until enough are drawn.  Rows stay in
+    their partitions, and only counts reach the driver.  More than ``max_labels`` labels are an
+    error.
     """
-    buckets = 1 << 16
-    ticket = F.pmod(F.xxhash64(F.lit(7), *identity), F.lit(1 << 40))
+    scale = 1 << 40
+    ticket = F.pmod(F.xxhash64(F.lit(7), *identity), F.lit(scale))
     rows = df.where(F.col(label).isNotNull()).withColumn("__ticket", ticket)
-    bucket = F.floor(F.col("__ticket") / F.lit((1 << 40) // buckets))
-    sizes = rows.groupBy(F.col(label).cast("string").alias("name"), bucket.alias("b")).agg(F.count("*").alias("n"))
-    reached = sizes.withColumn("reached", F.sum("n").over(Window.partitionBy("name").orderBy("b")))
-    last = F.coalesce(F.min(F.when(F.col("reached") >= per_label, F.col("b"))), F.lit(buckets))
-    cuts = reached.groupBy("name").agg(last.alias("last")).limit(max_labels + 1).collect()
-    if not cuts:
+    name = F.col(label).cast("string")
+
+    def counted(of: DataFrame) -> dict[str, int]:
+        found = of.groupBy(name.alias("name")).agg(F.count("*").alias("n")).limit(max_labels + 1).collect()
+        return {r["name"]: r["n"] for r in found}
+
+    sizes = counted(rows)
+    if not sizes:
         return rows.where(F.lit(False))
-    if len(cuts) > max_labels:
+    if len(sizes) > max_labels:
         raise ValueError(f"more than {max_labels} values of {label}")
-    cut = F.create_map(*[F.lit(x) for r in cuts for x in (r["name"], r["last"])])
-    return rows.where(bucket <= cut[F.col(label).cast("string")])
+    wanted = per_label + 4 * int(per_label**0.5) + 16
+    cuts = {k: min(scale, wanted * scale // n) for k, n in sizes.items()}
+    while True:
+        cut = F.create_map(*[F.lit(x) for k, c in cuts.items() for x in (k, c)])
+        drawn = rows.where(F.col("__ticket") < cut[name])
+        if all(c == scale for c in cuts.values()):
+            return drawn
+        got = counted(drawn)
+        short = [k for k, n in sizes.items() if cuts[k] < scale and got.get(k, 0) < min(per_label, n)]
+        if not short:
+            return drawn
+        cuts |= {k: min(scale, 8 * cuts[k]) for k in short}
 
 
 def first_rows(df: DataFrame, label: str, per_label: int, *order: str) -> DataFrame:
