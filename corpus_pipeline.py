@@ -34,16 +34,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One row of each SimHash component of texts: the one with the least doc_id.
 
     A null doc_id comes after all others, so a component without any id keeps one of its
-    rows too.  Of several rows of a component with that id (or null), the least (text, lang,
-    source, n_chars) stays.  A doc_id whose rows have texts in several components can stay
-    once for each of them.
+    rows too.  Of several rows of a component with that id (or null), the one with the least
+    hash of its columns stays.  A doc_id whose rows have texts in several components can stay
+    once for each of them.  The choice is made on ids and hashes; texts are dealt once.
     """
-    of = checkpointed(simhash.fingerprints(docs))
-    ids = of.join(simhash.classes(of), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    firsts = ids.select(F.col("doc_id").alias("first_id"), F.col("fp").alias("first_fp"), "root").distinct()
-    rows = simhash.with_fingerprints(docs.select(*COLUMNS))
-    found = rows.join(firsts, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("fp") == F.col("first_fp")))
-    return found.groupBy("root").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    rows = simhash.with_fingerprints(docs.select(*COLUMNS)).withColumn("h", F.xxhash64(*COLUMNS))
+    keys = checkpointed(rows.select("doc_id", "fp", "h"))
+    of_class = keys.join(simhash.classes(keys.select("doc_id", "fp")).select("fp", "root"), "fp")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "h", "fp")
+    first = of_class.groupBy("root").agg(F.min(order).alias("first")).select("first.*")
+    on = ["fp", "no_id", "id", "h"]
+    named = rows.withColumns({"no_id": F.col("doc_id").isNull(), "id": F.coalesce("doc_id", F.lit(0))})
+    # rows that are equal in all columns meet in the join's partitions; one of them stays
+    return named.join(first, on).groupBy(*on).agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
