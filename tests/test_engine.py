@@ -259,6 +259,24 @@ def test_pairing_by_use_id(spark):
     assert {r["event_id"]: r["children"] for r in passes.pair_tool_results(t).events.collect()}["e0"] == ["e3"]
 
 
+def test_pairing_tells_events_of_equal_ids_apart(spark):
+    """Each call is a parent of its own; a result takes over its own call's id, not that of a namesake's call."""
+    t = episode(
+        spark, {"type": "tool_call", "id": "a", "cid": "x"}, {"type": "tool_call", "id": "a", "cid": "x"},
+        {"type": "tool_result", "id": "b", "rcid": "x"}, {"type": "tool_call", "id": "c"},
+        {"type": "tool_result", "id": "d"}, {"type": "tool_result", "id": "d", "rcid": "y"},
+        {"type": "tool_call", "id": "e", "cid": "y"}, {"type": "tool_call", "id": "f", "cid": "z"},
+        {"type": "tool_result", "id": None, "rcid": "z"}
+    )
+    once = passes.pair_tool_results(t)
+    said = passes.result_call_id().alias("said")
+    found = events(once.with_(events=once.events.where("event_type = 'tool_result'")), "parents", said)
+    assert found == [(["a", "a"], "x"), (["c"], "synth_c"), (["e"], "y"), (["f"], "z")]
+    assert codes(once) == []
+    again = passes.pair_tool_results(once)
+    assert events(again, "parents") == events(once, "parents")
+
+
 @pytest.mark.parametrize(
     "name,kind,effect",
     [

@@ -153,21 +153,23 @@ def paired(events: DataFrame) -> DataFrame:
     2. one still open meets the next open result without an id before the next call;
     3. the i-th open call meets the i-th open result of the same tool_use_id, then of the same
        tool name.  Windows alone: the rows of a key in an episode hold both sides.
+
+    Events are told apart by position, never by id: ids can repeat or be null.
     """
     call, result = F.col("event_type") == "tool_call", F.col("event_type") == "tool_result"
     own = F.when(call, _given(F.col("action")["tool_call_id"])).when(result, result_call_id())
     df = events.withColumn("__seg", F.count_if(call).over(so_far())).withColumn("__id", own)
     by_id = Window.partitionBy(*EPISODE, "__id")
-    last = F.max_by("event_id", F.when(result, F.col("pos"))).over(by_id)
-    last_pos = F.max(F.when(result, F.col("pos"))).over(by_id)
+    at = F.struct("pos", "event_id")
+    last = F.max(F.when(result, at)).over(by_id)
     calls = F.count_if(call).over(by_id)
     named = F.col("__id").isNotNull()
     df = df.withColumn("__p1", F.when(call & named, last)).withColumn(
         "__c1",
         F.when(
-            result & named & (calls > 0) & (F.col("pos") == last_pos),
+            result & named & (calls > 0) & (F.col("pos") == last["pos"]),
             F.transform(
-                F.array_sort(F.collect_list(F.when(call, F.struct("pos", "event_id"))).over(by_id)),
+                F.array_sort(F.collect_list(F.when(call, at)).over(by_id)),
                 lambda x: x["event_id"]
             )
         )
@@ -176,11 +178,10 @@ def paired(events: DataFrame) -> DataFrame:
     free = result & ~done & ~named
     by_seg = Window.partitionBy(*EPISODE, "__seg")
     head_open = F.max(call & ~done).over(by_seg)
-    first_free = F.min(F.when(free, F.col("pos"))).over(by_seg)
-    first_id = F.min_by("event_id", F.when(free, F.col("pos"))).over(by_seg)
+    first = F.min(F.when(free, at)).over(by_seg)
     head_id = F.max(F.when(call, F.col("event_id"))).over(by_seg)
-    df = df.withColumn("__p2", F.when(call & ~done, first_id)).withColumn(
-        "__c2", F.when(free & head_open & (F.col("__seg") > 0) & (F.col("pos") == first_free), F.array(head_id))
+    df = df.withColumn("__p2", F.when(call & ~done, first)).withColumn(
+        "__c2", F.when(free & head_open & (F.col("__seg") > 0) & (F.col("pos") == first["pos"]), F.array(head_id))
     )
     df = df.withColumn("__done", done | F.col("__p2").isNotNull() | F.col("__c2").isNotNull())
     uses = F.when(call, _given(F.col("action")["metadata"]["tool_use_id"])).when(
@@ -202,18 +203,15 @@ def paired(events: DataFrame) -> DataFrame:
             F.count_if(result).over(together) == 1
         )
         df = df.withColumn(
-            f"__p{n}", F.when(call & match, F.max(F.when(result, F.col("event_id"))).over(together))
+            f"__p{n}", F.when(call & match, F.max(F.when(result, at)).over(together))
         ).withColumn(
             f"__c{n}", F.when(result & match, F.array(F.max(F.when(call, F.col("event_id"))).over(together)))
         )
         df = df.withColumn("__done", F.col("__done") | F.col(f"__p{n}").isNotNull() | F.col(f"__c{n}").isNotNull())
-    phase = F.when(
-        F.coalesce(F.col("__p1"), F.col("__c1")[0]).isNotNull(), 1
-    ).when(F.coalesce(F.col("__p2"), F.col("__c2")[0]).isNotNull(), 2).when(
-        F.coalesce("__p3", "__p4", F.col("__c3")[0], F.col("__c4")[0]).isNotNull(), 3
-    )
-    out = df.withColumn("phase", phase).withColumn(
-        "partner", F.coalesce("__p1", "__p2", "__p3", "__p4")
+    met = lambda n: F.col(f"__p{n}").isNotNull() | F.col(f"__c{n}").isNotNull()
+    phase = F.when(met(1), 1).when(met(2), 2).when(met(3) | met(4), 3)
+    out = df.withColumn("phase", phase).withColumn("__to", F.coalesce("__p1", "__p2", "__p3", "__p4")).withColumn(
+        "partner", F.col("__to.event_id")
     ).withColumn("callers", F.coalesce("__c1", "__c2", "__c3", "__c4"))
     # the id that a result takes over from its call: the call's own, or the one made for it
     lend = F.when(
@@ -226,7 +224,7 @@ def paired(events: DataFrame) -> DataFrame:
             )
         )
     )
-    pair = F.coalesce("partner", F.when(result, F.col("event_id")))
+    pair = F.coalesce("__to.pos", F.when(result, F.col("pos")))
     out = out.withColumn("__lend", lend).withColumn("__pair", F.when(F.col("phase").isNotNull(), pair))
     out = out.withColumn(
         "lent",
@@ -239,7 +237,10 @@ def paired(events: DataFrame) -> DataFrame:
 
 
 def pair_tool_results(t: Trajectories) -> Trajectories:
-    """Link calls and results, give adjacent calls without an id a made-up one, report what stays open."""
+    """Link calls and results, give adjacent calls without an id a made-up one, report what stays open.
+
+    A result gets a parent for each of its calls, calls of equal ids included; parents that it had are not added again.
+    """
     call, result = F.col("event_type") == "tool_call", F.col("event_type") == "tool_result"
     df = paired(t.events)
     a, p, o = F.col("action"), F.col("provenance"), F.col("observation")
@@ -266,7 +267,13 @@ def pair_tool_results(t: Trajectories) -> Trajectories:
             call & F.col("partner").isNotNull(), F.array_union("children", F.array("partner"))
         ).otherwise(F.col("children")),
         "parents": F.when(
-            result & F.col("callers").isNotNull(), F.array_union("parents", "callers")
+            result & F.col("callers").isNotNull(),
+            F.concat(
+                "parents",
+                F.filter(
+                    "callers", lambda c: c.isNotNull() & ~F.coalesce(F.array_contains("parents", c), F.lit(False))
+                )
+            )
         ).otherwise(F.col("parents")),
         "action": F.when(made, new_action).otherwise(a),
         "provenance": F.when(made, new_origin).otherwise(p),
