@@ -609,6 +609,40 @@ def test_quality_forest(spark, docs, no_docs):
     assert quality.measured(no_docs, quality.train(no_docs, labels.limit(0))).count() == 0
 
 
+def test_quality_counts_all_documents(spark):
+    """Leaves hold all documents, and no other threshold is better for all labelled rows, however many there are."""
+    rng = random.Random(5)
+    label, texts = [int(rng.random() < 0.85) for _ in range(6000)], []
+    for good in label:
+        odd = rng.random() * (0.2 if good else 1.0)
+        texts.append(
+            " ".join(
+                rng.choice(("ab", "cd", "e9", "Fg.")) + rng.choice("xyz") * rng.randrange(4)
+                + f"#{rng.randrange(99)}" * (rng.random() < odd) for _ in range(rng.randrange(52, 70))
+            )
+        )
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    forest = quality.train(docs, spark.createDataFrame(list(enumerate(label)), "doc_id bigint, quality int"))
+    base, x = quality.statistics(texts)
+    fit = (base[:, 0] >= 50) & (100 * base[:, 4] <= 50 * base[:, 0])
+    score, good = forest.score(x)[fit], np.array(label)[fit] == 1
+    assert good.sum() > 4000
+
+    def gain(cut):
+        lost = (score[good] > cut).mean()
+        return (score[~good] > cut).mean() - 10 * lost if lost <= 0.01 else -np.inf
+
+    best = max(gain(c) for c in np.arange(quality.GRID + 1) / quality.GRID if abs(c - forest.threshold) < 0.05)
+    assert gain(forest.threshold) == best > 0
+    counts = forest.counts(x[fit])
+    assert (counts.sum(1) == fit.sum()).all()
+    reached = counts > 0
+    paths = forest.level + quality._average_path(counts * 256 / fit.sum())
+    assert np.allclose(forest.path[reached], paths[reached])
+    kept = {r["doc_id"]: r["kept"] for r in quality.measured(docs, forest).collect()}
+    assert [kept[i] for i in np.flatnonzero(fit).tolist()] == (score <= forest.threshold).tolist()
+
+
 def test_language(spark, docs, no_docs):
     tongues = {
         "en": "the cat and this house with that river", "de": "der hund und das haus mit dem fluss nicht",

@@ -1,9 +1,10 @@
 """Document quality: rule statistics, and an isolation forest over them.
 
-Every tree of the forest splits a small random sample at random values of random
+Every tree of the forest splits a small random draw of its own at random values of random
 statistics; a document that is parted from the others early, on short paths over all trees,
-is an anomaly.  The anomaly score above which a document goes is calibrated on labelled
-rows: it loses at most ``max_loss`` of the good ones.
+is an anomaly.  How many documents end in each leaf, and so how long its path is, is counted
+over all documents.  The anomaly score above which a document goes is calibrated on all
+labelled rows: it loses at most ``max_loss`` of the good ones.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import WORD, bounded_sample, drawn_rows, first_rows, plain, segment_sums, text_chunks
+from weftline.llm.common import WORD, bounded_sample, checkpointed, plain, segment_sums, text_chunks
 
 SYMBOLS = "#*$%&|<>"
 _MARK = re.compile(r"[^\w\s]")
@@ -127,18 +128,15 @@ def statistics(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return base, np.stack(features, 1)
 
 
-def base_failed(base: np.ndarray) -> np.ndarray:
-    """Fewer than 50 words, or more than half of them in repeated windows."""
-    return (base[:, 0] < 50) | (100 * base[:, 4] > 50 * base[:, 0])
+#: Fewer than 50 words, or more than half of them in repeated windows.
+BASE_FAILED = "n_words < 50 or 100 * n_repeat_words > 50 * n_words"
 
 
 def _average_path(n: np.ndarray) -> np.ndarray:
-    """Mean length of an unsuccessful search in a binary search tree of n."""
+    """Mean length of an unsuccessful search in a binary search tree of n; between whole n below 3 on straight lines."""
     n = np.asarray(n, float)
-    return np.where(
-        n > 2, 2 * (np.log(np.maximum(n - 1, 1)) + np.euler_gamma) - 2 * (n - 1) / np.maximum(n, 1),
-        np.where(n == 2, 1.0, 0.0)
-    )
+    grown = lambda n: 2 * (np.log(np.maximum(n - 1, 1)) + np.euler_gamma) - 2 * (n - 1) / np.maximum(n, 1)
+    return np.where(n < 3, np.interp(n, [1, 2, 3], [0, 1, grown(3.0)]), grown(n))
 
 
 @dataclass
@@ -150,20 +148,35 @@ class Forest:
     left: np.ndarray
     right: np.ndarray
     path: np.ndarray
+    level: np.ndarray
     depth: int
     size: int
     threshold: float = 1.0
 
+    def leaves(self, tree: int, x: np.ndarray) -> np.ndarray:
+        """The leaf of a tree in which each row ends."""
+        rows, node = np.arange(len(x)), np.zeros(len(x), np.int64)
+        for _ in range(self.depth):
+            node = np.where(
+                x[rows, self.feature[tree][node]] < self.cut[tree][node], self.left[tree][node], self.right[tree][node]
+            )
+        return node
+
+    def counts(self, x: np.ndarray) -> np.ndarray:
+        """How many rows end in each leaf of each tree."""
+        nodes = self.path.shape[1]
+        return np.stack([np.bincount(self.leaves(t, x), minlength=nodes) for t in range(len(self.path))])
+
+    def weigh(self, counts: np.ndarray) -> None:
+        """Take path lengths from counts of all rows: a leaf with a share of them holds that share of a tree's ``size``."""
+        every = counts.sum(1, keepdims=True)
+        self.path = self.level + _average_path(counts * np.minimum(1.0, self.size / np.maximum(1, every)))
+
     def score(self, x: np.ndarray) -> np.ndarray:
         """The anomaly score, 0 to 1."""
-        total, rows = np.zeros(len(x)), np.arange(len(x))
+        total = np.zeros(len(x))
         for t in range(len(self.feature)):
-            node = np.zeros(len(x), np.int64)
-            for _ in range(self.depth):
-                node = np.where(
-                    x[rows, self.feature[t][node]] < self.cut[t][node], self.left[t][node], self.right[t][node]
-                )
-            total += self.path[t][node]
+            total += self.path[t][self.leaves(t, x)]
         return 2.0 ** (-total / len(self.feature) / max(float(_average_path(np.array(self.size))), 1e-9))
 
 
@@ -181,11 +194,11 @@ def grow(x: np.ndarray, trees: int = TREES, size: int = TREE_ROWS, seed: int = 1
     depth = max(1, int(np.ceil(np.log2(max(size, 2)))) + 2)
     grown = []
     for tree in range(trees):
-        nodes: list[list[float]] = []
+        nodes: list[list[float]] = []  # feature, cut, left, right, path, level
 
         def build(rows: np.ndarray, level: int) -> int:
             me = len(nodes)
-            nodes.append([0, 0.0, me, me, level + float(_average_path(np.array(len(rows))))])
+            nodes.append([0, 0.0, me, me, level + float(_average_path(np.array(len(rows)))), level])
             low, high = (rows.min(0), rows.max(0)) if len(rows) else (np.zeros(1), np.zeros(1))
             varied = np.flatnonzero(high > low)
             if level < depth and len(varied):
@@ -201,15 +214,25 @@ def grow(x: np.ndarray, trees: int = TREES, size: int = TREE_ROWS, seed: int = 1
         build(rows, 0)
         grown.append(nodes)
     most = max(map(len, grown))
-    table = np.zeros((trees, most, 5))
+    table = np.zeros((trees, most, 6))
     for t, nodes in enumerate(grown):
         table[t, : len(nodes)] = nodes
     return Forest(
         table[:, :, 0].astype(int), table[:, :, 1], table[:, :, 2].astype(int), table[:, :, 3].astype(int),
-        table[:, :, 4], depth, max(size, 2)
+        table[:, :, 4], table[:, :, 5], depth, max(size, 2)
     )
 
 
+def _best_cut(cuts: np.ndarray, good: np.ndarray, bad: np.ndarray, max_loss: float) -> float:
+    """See ``calibrate``; good and bad count the rows whose score is between the cut before and each cut, itself included."""
+    if not good.sum() or not bad.sum():
+        return 1.0
+    lost, found = 1 - np.cumsum(good) / good.sum(), 1 - np.cumsum(bad) / bad.sum()
+    gain = np.where(lost <= max_loss, found - 10 * lost, -np.inf)
+    best = np.flatnonzero(gain == gain.max())
+    return float((cuts[best[0]] + cuts[best[-1]]) / 2)
+
+
 def calibrate(forest: Forest, good: np.ndarray, bad: np.ndarray, max_loss: float = 0.01) -> float:
     """The threshold that best parts good from bad rows, a lost good one weighing ten missed bad ones, with at most ``max_loss`` of the good above it.
 
@@ -217,78 +240,102 @@ def calibrate(forest: Forest, good: np.ndarray, bad: np.ndarray, max_loss: float
     """
     if not len(good) or not len(bad):
         return 1.0
-    kept, caught = np.sort(forest.score(good)), np.sort(forest.score(bad))
-    cuts = np.unique(np.concatenate([kept, caught]))
-    lost = 1 - np.searchsorted(kept, cuts, "right") / len(kept)
-    found = 1 - np.searchsorted(caught, cuts, "right") / len(caught)
-    gain = np.where(lost <= max_loss, found - 10 * lost, -np.inf)
-    best = np.flatnonzero(gain == gain.max())
-    return float((cuts[best[0]] + cuts[best[-1]]) / 2)
+    cuts, at = np.unique(np.concatenate([forest.score(good), forest.score(bad)]), return_inverse=True)
+    return _best_cut(cuts, *(np.bincount(x, minlength=len(cuts)) for x in (at[: len(good)], at[len(good) :])), max_loss)
 
 
 def measured(docs: DataFrame, forest: Forest | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Base counts of every row with, given a forest, ``base_failed``, ``kept`` and ``anomaly``; else the ``features``.
+    """Base counts of every row with its ``features`` or, given a forest, what ``judged`` says of them.
 
     Null texts are empty.  Rows stay rows, repeated and null ids among them; an empty table
     gives an empty result.  A text of any length is measured whole, in arrays of a few numbers
     a word.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(forest)
-    counts = ", ".join(f"{c} bigint" for c in BASE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in text_chunks(batch, "text"):
                 base, features = statistics(texts)
                 columns = [part.column("doc_id"), *[pa.array(c) for c in base.T.astype(np.int64)]]
-                if shared.value is None:
-                    columns.append(pa.array(features.tolist(), pa.list_(pa.float64())))
-                else:
-                    failed, anomaly = base_failed(base), shared.value.score(features)
-                    columns += [
-                        pa.array(failed), pa.array(~failed & (anomaly <= shared.value.threshold)), pa.array(anomaly)
-                    ]
-                yield pa.RecordBatch.from_arrays(
-                    columns,
-                    ["doc_id", *BASE, *(["features"] if shared.value is None else ["base_failed", "kept", "anomaly"])]
-                )
-
-    schema = f"doc_id bigint, {counts}, " + (
-        "features array<double>" if forest is None else "base_failed boolean, kept boolean, anomaly double"
-    )
-    return plain(docs, doc_id=F.col(doc_id).cast("bigint"), text=F.col(text)).mapInArrow(run, schema)
+                columns.append(pa.array(features.tolist(), pa.list_(pa.float64())))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", *BASE, "features"])
 
+    counts = ", ".join(f"{c} bigint" for c in BASE)
+    rows = plain(docs, doc_id=F.col(doc_id).cast("bigint"), text=F.col(text))
+    found = rows.mapInArrow(run, f"doc_id bigint, {counts}, features array<double>")
+    return found if forest is None else judged(found, forest)
 
-def train(docs: DataFrame, labels: DataFrame, per_label: int = 2000, max_loss: float = 0.01) -> Forest:
-    """Grow a forest over rows drawn from all documents and calibrate it on up to ``per_label`` labelled ones of either quality.
 
-    Every tree has rows of its own, so TREES * TREE_ROWS rows of features reach the driver at
-    most.  Documents that fail the base rules take no part.  Labels other than 0 and 1 and
-    null ids are left out of the calibration.
+def _features(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(FEATURES))
+
+
+def judged(measures: DataFrame, forest: Forest) -> DataFrame:
+    """``base_failed``, ``kept`` and ``anomaly`` in place of the features that ``measured`` found."""
+    shared = measures.sparkSession.sparkContext.broadcast(forest)
+    counts = ", ".join(f"{c} bigint" for c in BASE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [*map(batch.column, ["doc_id", *BASE]), pa.array(shared.value.score(_features(batch)))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", *BASE, "anomaly"])
+
+    found = measures.mapInArrow(run, f"doc_id bigint, {counts}, anomaly double")
+    kept = ~F.expr(BASE_FAILED) & (F.col("anomaly") <= forest.threshold)
+    return found.select("doc_id", *BASE, F.expr(BASE_FAILED).alias("base_failed"), kept.alias("kept"), "anomaly")
+
+
+def _leaf_counts(measures: DataFrame, forest: Forest) -> np.ndarray:
+    """How many of all rows end in each leaf of each tree; a task passes on one number for each leaf at most."""
+    shared = measures.sparkSession.sparkContext.broadcast(forest)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(shared.value.path.shape, np.int64)
+        for batch in batches:
+            counts += shared.value.counts(_features(batch))
+        tree, node = np.nonzero(counts)
+        columns = [pa.array(x.astype(np.int64)) for x in (tree, node, counts[tree, node])]
+        yield pa.RecordBatch.from_arrays(columns, ["tree", "node", "n"])
+
+    found = measures.mapInArrow(run, "tree bigint, node bigint, n bigint")
+    found = found.groupBy("tree", "node").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(forest.path.shape, np.int64)
+    counts[found["tree"].to_numpy(), found["node"].to_numpy()] = found["n"].to_numpy()
+    return counts
+
+
+#: Thresholds are whole multiples of one in so many, or half-way between two that part the rows equally well.
+GRID = 1 << 16
+
+
+def learn(measures: DataFrame, labels: DataFrame, max_loss: float = 0.01) -> Forest:
+    """Grow a forest on what ``measured`` found, count all documents in its leaves and calibrate it on all labelled ones.
+
+    Split values come from a draw from all documents, TREE_ROWS of its own for every tree, as an
+    isolation forest is defined: trees over larger shares of the documents hide the anomalies
+    (see the README).  The counts in the leaves are those of all documents, the threshold is
+    the best on the grid for all labelled rows.  TREES * TREE_ROWS rows of features, a number a leaf
+    and 2 * GRID numbers reach the driver at most.  Documents that fail the base rules take no
+    part.  Labels other than 0 and 1 and null ids are left out of the calibration.
     """
-    rows = plain(docs, doc_id=F.col("doc_id").cast("bigint"), text=F.coalesce(F.col("text"), F.lit("")))
-    drawn = drawn_rows(rows.withColumn("group", F.lit(1)), "group", TREES * TREE_ROWS, "doc_id", "text")
+    usable = measures.where(f"not ({BASE_FAILED})")
+    pool = usable.select("doc_id", "features", F.lit(1).alias("group"))
+    pool = bounded_sample(pool, "group", TREES * TREE_ROWS, "doc_id", "features").collect()
+    pool.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"], r["features"]))
+    x = np.array([r["features"] for r in pool]).reshape(-1, len(FEATURES))
+    forest = grow(x[np.random.default_rng(19).permutation(len(x))])
+    if len(x):
+        forest.weigh(_leaf_counts(usable.select("features"), forest))
     known = plain(labels, doc_id=F.col("doc_id").cast("bigint"), quality=F.col("quality").cast("int"))
     known = known.where("quality in (0, 1) and doc_id is not null").distinct()
-    marked = bounded_sample(known, "quality", per_label, "doc_id")
-    judged = measured(rows.join(F.broadcast(marked.select("doc_id").distinct()), "doc_id", "left_semi"))
-    judged = judged.join(F.broadcast(marked), "doc_id").select("doc_id", "quality", *BASE, "features")
-    # an id can have many rows: they count towards the bound as well
-    judged = first_rows(judged, "quality", per_label, "doc_id", "features").collect()
-
-    def usable(found: list, seed: int | None = None) -> np.ndarray:
-        found = sorted(found, key=lambda r: (r["doc_id"] is None, r["doc_id"], r["features"]))
-        base = np.array([[r[c] for c in BASE] for r in found]).reshape(-1, len(BASE))
-        x = np.array([r["features"] for r in found]).reshape(-1, len(FEATURES))
-        fit = np.flatnonzero(~base_failed(base))
-        return x[fit if seed is None else np.random.default_rng(seed).permutation(fit)]
-
-    # measured where they are; only numbers go on to the ranking
-    pool = measured(drawn.select("doc_id", "text")).withColumns(
-        {"group": F.lit(1), "order": F.xxhash64("doc_id", "features")}
-    )
-    pool = first_rows(pool, "group", TREES * TREE_ROWS, "order", "features").collect()
-    forest = grow(usable(pool, 19))
-    good, bad = (usable([r for r in judged if r["quality"] == k]) for k in (1, 0))
-    forest.threshold = calibrate(forest, good, bad, max_loss)
+    scored = judged(usable, forest).select("doc_id", F.ceil(F.col("anomaly") * GRID).cast("int").alias("cut"))
+    found = scored.join(known, "doc_id").groupBy("quality", "cut").agg(F.count("*").alias("n")).toArrow()
+    counts = np.zeros((2, GRID + 1), np.int64)
+    counts[found["quality"].to_numpy(), found["cut"].to_numpy()] = found["n"].to_numpy()
+    forest.threshold = _best_cut(np.arange(GRID + 1) / GRID, counts[1], counts[0], max_loss)
     return forest
+
+
+def train(docs: DataFrame, labels: DataFrame, max_loss: float = 0.01) -> Forest:
+    """``learn`` from documents, whose measures are kept in ``spark.checkpoint.dir`` meanwhile."""
+    return learn(checkpointed(measured(docs)), labels, max_loss)

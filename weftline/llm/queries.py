@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import bpe, chat, embed_dedup, html_extract, langid, mixing, pii, quality, simhash, toxicity
-from weftline.llm.common import table
+from weftline.llm.common import checkpointed, table
 
 #: Of the examples; a real run takes its key from where its secrets are kept.
 PII_KEY = "example key"
@@ -102,9 +102,8 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGI
 
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    forest = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.measured(docs, forest)
+    measures = checkpointed(quality.measured(table(spark, sf_dir, "documents")))
+    return quality.judged(measures, quality.learn(measures, table(spark, sf_dir, "labels")))
 
 
 @query
